@@ -10,21 +10,24 @@ from leadloom.checks.registry import Registry
 
 
 def fixture_inputs(spark, folder: str) -> Inputs:
-    return Inputs(spark, folder, FIXTURES)
+    return Inputs(spark, folder, registry().pieces)
 
 
 @cache
 def registry() -> Registry:
-    from leadloom.checks import queries_trade
+    from leadloom.checks import queries_factory, queries_layers, queries_trade
+    from leadloom.checks.fixtures_layers import LAYER_FIXTURES
+    from leadloom.checks.oracle_factory import FACTORY
+    from leadloom.checks.oracle_layers import LAYERS
     from leadloom.checks.oracle_trade import TRADE
 
     pieces: dict[str, str] = {}
-    for part in (FIXTURES, TRADE):
+    for part in (FIXTURES, LAYER_FIXTURES, TRADE, FACTORY, LAYERS):
         twice = pieces.keys() & part.keys()
         if twice:
             raise ValueError(f"SQL pieces defined twice: {sorted(twice)}")
         pieces.update(part)
     made = Registry(pieces)
-    for module in (queries_trade,):
+    for module in (queries_trade, queries_factory, queries_layers):
         module.register(made)
     return made

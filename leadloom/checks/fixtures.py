@@ -85,6 +85,59 @@ FIXTURES: dict[str, str] = {
         SELECT 'Q' || CAST(c_custkey AS STRING) AS person_key, c_name AS name, 'Head of Purchasing' AS title,
                'q' || CAST(c_custkey AS STRING) || '@x.example' AS email, c_custkey % 100 = 0 AS is_decision_maker
         FROM {customer}""",
+    # --- signals ------------------------------------------------------------------------------
+    "signals": """
+        SELECT 'sig:e' || CAST(event_id AS STRING) AS signal_uid, 'raw:e' || CAST(event_id AS STRING) AS raw_uid,
+               'web.events' AS source_key,
+               CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'commercial_click_detected'
+                    WHEN 'signup' THEN CASE event_id % 3 WHEN 0 THEN 'lead_created' WHEN 1 THEN 'contact_enriched' ELSE 'news_trigger_detected' END
+                    WHEN 'purchase' THEN CASE event_id % 3 WHEN 0 THEN 'deal_won' WHEN 1 THEN 'rfq_created' ELSE 'third_party_intent_detected' END
+                    ELSE CASE event_id % 2 WHEN 0 THEN 'bot_detected' ELSE 'meeting_scheduled' END END AS signal_type,
+               CASE event_type WHEN 'view' THEN 'WebsiteBehaviorSource' WHEN 'click' THEN 'WebsiteBehaviorSource'
+                    WHEN 'signup' THEN CASE event_id % 3 WHEN 0 THEN 'CRMSource' WHEN 1 THEN 'EnrichmentSource' ELSE 'ThirdPartyIntelligenceSource' END
+                    WHEN 'purchase' THEN CASE event_id % 3 WHEN 0 THEN 'CRMSource' WHEN 1 THEN 'RFQInquirySource' ELSE 'ThirdPartyIntelligenceSource' END
+                    ELSE 'BotDetectionSource' END AS source_family,
+               ts AS occurred_at, CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(0.4 + (event_id % 6) * 0.1 AS DOUBLE) END AS confidence_score,
+               CASE WHEN event_id % 5 < 3 THEN 'U' || CAST(user_id AS STRING) || ' ' ELSE NULL END AS account_hint,
+               CASE WHEN event_id % 4 = 0 THEN 'PU' || CAST(user_id AS STRING) ELSE NULL END AS person_hint,
+               CASE WHEN event_id % 7 = 0 THEN 'd' || CAST(user_id AS STRING) || '.example' ELSE NULL END AS domain_hint,
+               CASE WHEN event_id % 9 = 0 THEN 'x@y.example' ELSE NULL END AS email_hint, CAST(NULL AS STRING) AS phone_hint,
+               CASE WHEN event_id % 2 = 0 THEN 'prod' ELSE NULL END AS product_hint,
+               CASE WHEN event_id % 3 = 0 THEN 'cat' ELSE NULL END AS category_hint, CAST(NULL AS STRING) AS hs_code,
+               CASE WHEN event_id % 6 = 1 THEN 's' || CAST(user_id AS STRING) ELSE NULL END AS session_id,
+               CAST(event_id % 9 AS DOUBLE) AS number_of_shipments, value AS shipment_value
+        FROM {events}
+        UNION ALL
+        SELECT 'sig:o' || CAST(o_orderkey AS STRING) AS signal_uid, 'raw:o' || CAST(o_orderkey AS STRING) AS raw_uid,
+               'raw.trade_shipment_bl' AS source_key,
+               CASE WHEN o_orderkey % 4 = 0 THEN 'active_importer_detected' ELSE 'shipment_detected' END AS signal_type,
+               'TradeShipmentSource' AS source_family,
+               TIMESTAMP '2024-02-02 00:00:00' - INTERVAL '1' DAY * (o_orderkey % 120) AS occurred_at,
+               0.9 AS confidence_score, 'C' || CAST(o_custkey AS STRING) AS account_hint,
+               CASE WHEN o_orderkey % 6 = 0 THEN 'PU' || CAST(o_custkey AS STRING) ELSE NULL END AS person_hint,
+               CAST(NULL AS STRING) AS domain_hint, CAST(NULL AS STRING) AS email_hint, CAST(NULL AS STRING) AS phone_hint,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'prod' ELSE NULL END AS product_hint, CAST(NULL AS STRING) AS category_hint,
+               CASE WHEN o_orderkey % 5 = 0 THEN '680299' ELSE NULL END AS hs_code, CAST(NULL AS STRING) AS session_id,
+               CAST(o_orderkey % 12 AS DOUBLE) AS number_of_shipments, o_totalprice AS shipment_value
+        FROM {orders}""",
+    "accounts_known": """
+        SELECT 'u' || CAST(user_id AS STRING) AS entity_id FROM (SELECT DISTINCT user_id FROM {events}) AS e
+        UNION ALL SELECT 'C' || CAST(c_custkey AS STRING) AS entity_id FROM {customer} WHERE c_acctbal > 1000""",
+    "persons_known": """
+        SELECT 'pu' || CAST(user_id AS STRING) AS entity_id FROM (SELECT DISTINCT user_id FROM {events}) AS e""",
+    "source_keys": """
+        SELECT CASE e.event_id % 10 WHEN 0 THEN 'raw.trade_shipment_bl' WHEN 1 THEN 'CRM.rfqs' WHEN 2 THEN 'firmo.contact_enrich'
+                 WHEN 3 THEN 'app_staging.enquiries' WHEN 4 THEN 'other.import_' || e.event_type WHEN 5 THEN 'web.click_' || e.event_type
+                 WHEN 6 THEN 'x.deal_' || e.event_type WHEN 7 THEN 'y.scoop' WHEN 8 THEN 'z.intent' ELSE 'z.' || e.event_type END AS source_key, e.event_id
+        FROM {events} AS e""",
+    "shipment_rows": """
+        SELECT o_orderkey AS shipment_id, 'C' || CAST(o_custkey AS STRING) AS importer_id, o_orderpriority AS product_name,
+               CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE '6802' END AS hs_code, CAST(o_orderkey % 7 AS STRING) || ',000' AS shipment_value,
+               CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:00:00' END AS shipment_date
+        FROM {orders}""",
+    "platform_pageviews": "SELECT event_id AS pageViewId, user_id AS userId, CAST(ts AS STRING) AS createdAt FROM {events} WHERE event_type = 'view'",
+    "platform_rfqs": "SELECT o_orderkey AS rfqId, o_custkey AS user_id, 'P' || o_orderpriority AS productId FROM {orders} WHERE o_orderstatus = 'O'",
+    "signals_known": "SELECT 'signal:derived:PageView:' || CAST(event_id AS STRING) AS signal_uid FROM {events} WHERE user_id < 40",
     # --- organisations and outside reports ----------------------------------------------------
     "orgs": """
         SELECT 'C' || CAST(c.c_custkey AS STRING) AS org_id, c.c_name || ' ' || c.c_mktsegment || ' Ltd' AS org_name,

@@ -36,7 +36,7 @@ TRADE: dict[str, str] = {
     "trade_snapshots": f"""
         SELECT {sid("m.rel_id", "strftime(m.year_month, '%Y-%m-%d')")} AS snapshot_id, m.rel_id, m.year_month, m.shipment_count,
                m.total_quantity, m.total_value,
-               CASE WHEN b.baseline_avg_qty > 0 THEN round(round((m.total_quantity / b.baseline_avg_qty - 1.0) * 100, 9), 2)
+               CASE WHEN b.baseline_avg_qty > 0 THEN CAST(round(CAST((m.total_quantity / b.baseline_avg_qty - 1.0) * 100 AS DECIMAL(38, 9)), 2) AS DOUBLE)
                     ELSE 0.0 END AS qty_vs_baseline_pct
         FROM {{monthly_trade}} AS m JOIN {{trade_baseline}} AS b ON m.rel_id = b.rel_id""",
     "relationships_from_partners": f"""
@@ -45,7 +45,7 @@ TRADE: dict[str, str] = {
                  p.partner_company_name AS supplier_name, h.hs_code, substr(h.hs_code, 1, 2) AS hs_chapter,
                  b.number_of_shipments AS total_shipments,
                  greatest(1, CAST(floor(datediff('day', b.from_date, b.to_date) / 30.0) AS BIGINT)) AS relationship_age_months,
-                 round(round(p.trade_volume_kg * h.import_share_pct / 100 / 12, 9), 2) AS baseline_avg_qty, 0.0::DOUBLE AS baseline_avg_value,
+                 CAST(round(CAST(p.trade_volume_kg * h.import_share_pct / 100 / 12 AS DECIMAL(38, 9)), 2) AS DOUBLE) AS baseline_avg_qty, 0.0::DOUBLE AS baseline_avg_value,
                  b.to_date AS last_shipment_date, 'import_partner' AS data_source, b.from_date, b.to_date
           FROM {{import_partner}} AS p JOIN {{imported_hs}} AS h ON p.company_id = h.company_id
           LEFT JOIN {{company_list}} AS b ON p.company_id = b.company_id AND lower(b.company_role) = 'buyer'
@@ -54,7 +54,7 @@ TRADE: dict[str, str] = {
         SELECT {sid("rel_id", "strftime(ym, '%Y-%m-%d')")} AS snapshot_id, rel_id, ym AS year_month,
                CASE WHEN q > 0 THEN greatest(1, CAST(floor(q / 1000) AS BIGINT)) ELSE 0 END AS shipment_count,
                q AS total_quantity, 0.0::DOUBLE AS total_value, 0.0::DOUBLE AS qty_vs_baseline_pct
-        FROM (SELECT rel_id, ym, round(round(baseline_avg_qty * CASE WHEN lf < 6 THEN greatest(0.1, 1.0 - (lf / total) * 0.3) ELSE 1.0 END, 9), 2) AS q
+        FROM (SELECT rel_id, ym, CAST(round(CAST(baseline_avg_qty * CASE WHEN lf < 6 THEN greatest(0.1, 1.0 - (lf / total) * 0.3) ELSE 1.0 END AS DECIMAL(38, 9)), 2) AS DOUBLE) AS q
           FROM (SELECT rel_id, baseline_avg_qty, CAST(ym AS DATE) AS ym,
                        CAST(floor(datediff('day', CAST(ym AS DATE), to_date) / 30.0) AS DOUBLE) AS lf, total
             FROM (SELECT *, floor(datediff('day', from_date, to_date) / 30.0) AS total,
@@ -65,7 +65,7 @@ TRADE: dict[str, str] = {
           SELECT b.company_id AS buyer_id, b.company_name AS buyer_name, s.company_id AS supplier_id, s.company_name AS supplier_name,
                  i.hs_code, substr(i.hs_code, 1, 2) AS hs_chapter, b.number_of_shipments AS total_shipments,
                  greatest(1, CAST(floor(datediff('day', b.from_date, b.to_date) / 30.0) AS BIGINT)) AS relationship_age_months,
-                 round(round(b.shipment_value * i.import_share_pct / 100 / 12, 9), 2) AS baseline_avg_qty, 0.0::DOUBLE AS baseline_avg_value,
+                 CAST(round(CAST(b.shipment_value * i.import_share_pct / 100 / 12 AS DECIMAL(38, 9)), 2) AS DOUBLE) AS baseline_avg_qty, 0.0::DOUBLE AS baseline_avg_value,
                  b.to_date AS last_shipment_date, 'bsl_crossmatch' AS data_source
           FROM {{company_list}} AS b JOIN {{imported_hs}} AS i ON b.company_id = i.company_id
           JOIN {{exported_hs}} AS e ON i.hs_code = e.hs_code JOIN {{company_list}} AS s ON e.company_id = s.company_id
@@ -148,7 +148,7 @@ TRADE: dict[str, str] = {
                  WHEN 'dormant' THEN CASE WHEN days > 90 THEN 'no_shipment_3_months' ELSE 'volume_collapsed_70pct' END
                  WHEN 'stressed' THEN CASE WHEN dr >= 0.3 THEN 'volume_drop_' || CAST(CAST(floor(dr * 100) AS INTEGER) AS VARCHAR) || 'pct' ELSE 'shipment_gap_45_90d' END
                  WHEN 'irregular' THEN 'shipment_frequency_halved' ELSE 'no_stress_signals' END AS rule_reason,
-               CASE WHEN days < 9999 THEN days END AS rule_days_silent, round(round(dr * 100, 9), 1) AS rule_vol_drop_pct FROM k""",
+               CASE WHEN days < 9999 THEN days END AS rule_days_silent, CAST(round(CAST(dr * 100 AS DECIMAL(38, 9)), 1) AS DOUBLE) AS rule_vol_drop_pct FROM k""",
     "series_features": """
         SELECT rel_id, avg(total_quantity) AS mean_qty,
                CASE WHEN avg(total_quantity) > 0 THEN coalesce(stddev_samp(total_quantity), 0) / avg(total_quantity) ELSE 0 END AS cv_qty,
@@ -161,9 +161,9 @@ TRADE: dict[str, str] = {
         SELECT *, greatest(0.0, least(1.0, (1 - recent_vs_baseline) * 0.5 + cv_qty * 0.3 + zero_frac * 0.2)) AS anomaly_score
         FROM {series_features}""",
     "health_status": """
-        SELECT rel_id, round(round(anomaly_score, 9), 4) AS anomaly_score,
+        SELECT rel_id, CAST(round(CAST(anomaly_score AS DECIMAL(38, 9)), 4) AS DOUBLE) AS anomaly_score,
                CASE WHEN recent_vs_baseline < 0.2 THEN 'collapsed' WHEN slope < -0.1 THEN 'declining' WHEN slope > 0.1 THEN 'growing' ELSE 'stable' END AS trend_direction,
-               round(round(h, 9), 1) AS health_score,
+               CAST(round(CAST(h AS DECIMAL(38, 9)), 1) AS DOUBLE) AS health_score,
                CASE WHEN h >= 70 THEN 'healthy' WHEN h >= 40 THEN 'stressed' WHEN h >= 20 THEN 'dormant' ELSE 'churned' END AS health_status
         FROM (SELECT *, greatest(0.0, least(100.0, 100 - anomaly_score * 60 - CASE WHEN anomaly_score > 0.7 THEN 20 ELSE 0 END)) AS h
               FROM {anomaly_statistical}) AS x""",
@@ -182,7 +182,7 @@ TRADE: dict[str, str] = {
     "opps_model": f"""
         SELECT {sid("r.buyer_id", "r.supplier_id", "r.hs_code", "'opp'")} AS opportunity_id, h.rel_id, r.buyer_id, r.buyer_name,
                r.supplier_id AS existing_supplier_id, r.supplier_name AS existing_supplier_name, r.hs_code, h.stress_reason,
-               round(round(100 - h.health_score, 9), 1) AS stress_score, r.baseline_avg_qty AS buyer_monthly_volume,
+               CAST(round(CAST(100 - h.health_score AS DECIMAL(38, 9)), 1) AS DOUBLE) AS stress_score, r.baseline_avg_qty AS buyer_monthly_volume,
                'ml_based' AS detection_method, 'open' AS status, {ASOF} AS first_detected_at
         FROM {{stress_reason}} AS h JOIN {{trade_relationships}} AS r ON h.rel_id = r.rel_id
         WHERE h.health_status IN ('stressed', 'dormant', 'churned')""",
@@ -200,9 +200,9 @@ TRADE: dict[str, str] = {
         hs AS (SELECT hs_code, count(DISTINCT supplier_id) AS n FROM {{trade_relationships}} GROUP BY hs_code)
         SELECT r.rel_id, r.buyer_id, r.supplier_id, r.hs_code, r.relationship_age_months, r.total_shipments, r.baseline_avg_qty,
                datediff('day', r.last_shipment_date, {DAY}) AS last_shipment_date_days_ago,
-               round(round(CASE WHEN r.baseline_avg_qty > 0 THEN coalesce(m6.a3, 0) / r.baseline_avg_qty ELSE 0 END, 9), 4) AS qty_trend_3m,
-               round(round(CASE WHEN r.baseline_avg_qty > 0 THEN coalesce(m6.a6, 0) / r.baseline_avg_qty ELSE 0 END, 9), 4) AS qty_trend_6m,
-               round(round(CASE WHEN m6.n6 >= 2 AND m6.a6 > 0 THEN m6.sd / m6.a6 ELSE 0 END, 9), 4) AS shipment_regularity,
+               CAST(round(CAST(CASE WHEN r.baseline_avg_qty > 0 THEN coalesce(m6.a3, 0) / r.baseline_avg_qty ELSE 0 END AS DECIMAL(38, 9)), 4) AS DOUBLE) AS qty_trend_3m,
+               CAST(round(CAST(CASE WHEN r.baseline_avg_qty > 0 THEN coalesce(m6.a6, 0) / r.baseline_avg_qty ELSE 0 END AS DECIMAL(38, 9)), 4) AS DOUBLE) AS qty_trend_6m,
+               CAST(round(CAST(CASE WHEN m6.n6 >= 2 AND m6.a6 > 0 THEN m6.sd / m6.a6 ELSE 0 END AS DECIMAL(38, 9)), 4) AS DOUBLE) AS shipment_regularity,
                greatest(0, 6 - coalesce(m6.n6, 0)) + coalesce(m6.z6, 0) AS months_with_zero_shipments,
                bs.n AS buyer_total_supplier_count, coalesce(f.employee_count, 0) AS buyer_employee_count,
                CAST('0x' || substr(md5(lower(coalesce(f.industry, ''))), 1, 7) AS BIGINT) % 100 AS buyer_industry_encoded,
@@ -216,7 +216,7 @@ TRADE: dict[str, str] = {
         LEFT JOIN {{firms}} AS f ON r.buyer_id = f.org_id LEFT JOIN {{supplier_act}} AS a ON r.supplier_id = a.supplier_id
         LEFT JOIN {{health_status}} AS x ON r.rel_id = x.rel_id""",
     "score_opportunities": """
-        SELECT * EXCLUDE (status, p), CASE WHEN p >= 0.40 THEN round(round(p, 9), 4) END AS switch_probability,
+        SELECT * EXCLUDE (status, p), CASE WHEN p >= 0.40 THEN CAST(round(CAST(p AS DECIMAL(38, 9)), 4) AS DOUBLE) END AS switch_probability,
                CASE WHEN p >= 0.40 THEN status ELSE 'filtered_low_probability' END AS status
         FROM (SELECT *, least(0.95, stress_score / 100 * 0.8) AS p FROM {switch_opportunities}) AS x""",
     "supplier_profile": f"""
@@ -233,7 +233,7 @@ TRADE: dict[str, str] = {
     "candidate_suppliers": """
         SELECT DISTINCT r.hs_code, p.supplier_id, p.supplier_name, p.active_buyer_count, p.recent_export_volume, p.employee_count,
                CAST(p.has_contact AS BIGINT) AS has_contact, p.export_recency_days, substr(r.hs_code, 1, 4) AS hs_prefix,
-               round(round(3.0 * least(p.active_buyer_count, 10) + 10.0 * p.has_contact + 2.0 * greatest(0.0, 7 - p.export_recency_days / 30.0), 9), 6) AS own_points
+               CAST(round(CAST(3.0 * least(p.active_buyer_count, 10) + 10.0 * p.has_contact + 2.0 * greatest(0.0, 7 - p.export_recency_days / 30.0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS own_points
         FROM {trade_relationships} AS r JOIN {supplier_profile} AS p ON r.supplier_id = p.supplier_id""",
     "all_pairs": """
         SELECT o.opportunity_id, o.existing_supplier_id, p.supplier_id, any_value(p.supplier_name) AS supplier_name,
@@ -250,7 +250,7 @@ TRADE: dict[str, str] = {
     "match_suppliers": f"""
         SELECT {sid("opportunity_id", "supplier_id")} AS match_id, opportunity_id, supplier_id AS candidate_supplier_id,
                supplier_name AS candidate_supplier_name, CASE WHEN is_exact = 1 THEN 'exact' ELSE 'chapter' END AS hs_code_match_type,
-               round(round(s, 9), 1) AS match_score, rk AS rank, active_buyer_count, there = 1 AS exports_to_buyer_country, has_contact > 0 AS has_contact
+               CAST(round(CAST(s AS DECIMAL(38, 9)), 1) AS DOUBLE) AS match_score, rk AS rank, active_buyer_count, there = 1 AS exports_to_buyer_country, has_contact > 0 AS has_contact
         FROM (SELECT *, CASE WHEN max(raw) OVER w - min(raw) OVER w < 1e-9 THEN 50.0
                      ELSE (raw - min(raw) OVER w) / (max(raw) OVER w - min(raw) OVER w) * 100 END AS s,
                      row_number() OVER (PARTITION BY opportunity_id ORDER BY raw DESC, supplier_id) AS rk
@@ -267,14 +267,14 @@ TRADE: dict[str, str] = {
                buyer_monthly_volume,
                'Buyer: ' || buyer_name || ' imports ' || hs_code || ' (~' || format('{{:,}}', CAST(floor(buyer_monthly_volume) AS BIGINT)) || ' units/month) from '
                  || existing_supplier_name || '. Relationship showing ' || replace(stress_reason, '_', ' ') || '. Switch probability: '
-                 || CAST(CAST(round(round(switch_probability * 100, 9), 0) AS INTEGER) AS VARCHAR) || '%. Contact: '
+                 || CAST(CAST(CAST(round(CAST(switch_probability * 100 AS DECIMAL(38, 9)), 0) AS DOUBLE) AS INTEGER) AS VARCHAR) || '%. Contact: '
                  || CASE WHEN contact_name IS NULL THEN 'find via contact search' ELSE contact_name || ' (' || contact_title || ')' END || '.'
                  || CASE WHEN exports_to_buyer_country THEN ' Already ships to buyer country.' ELSE '' END
                  || CASE WHEN active_buyer_count > 0 THEN ' ' || CAST(active_buyer_count AS VARCHAR) || ' active buyers.' ELSE '' END AS recommended_action,
                coalesce(contact_name, '') AS contact_name, coalesce(contact_title, '') AS contact_title, coalesce(contact_email, '') AS contact_email,
                'new' AS status
         FROM (SELECT m.*, o.* EXCLUDE (opportunity_id, status), c.contact_name, c.contact_title, c.contact_email,
-                round(round(least(100.0, o.switch_probability * 40 + m.match_score * 0.35 + least(o.buyer_monthly_volume / 10000, 25.0)), 9), 1) AS f
+                CAST(round(CAST(least(100.0, o.switch_probability * 40 + m.match_score * 0.35 + least(o.buyer_monthly_volume / 10000, 25.0)) AS DECIMAL(38, 9)), 1) AS DOUBLE) AS f
               FROM {{match_suppliers}} AS m JOIN {{score_opportunities}} AS o ON m.opportunity_id = o.opportunity_id
               LEFT JOIN {{buyer_contacts}} AS c ON o.buyer_id = c.buyer_id
               WHERE m.match_score >= 60 AND o.status = 'open' AND o.switch_probability >= 0.4) AS x""",
@@ -287,13 +287,13 @@ TRADE: dict[str, str] = {
                'URGENT - Relationship ' || upper(health_status) || ': ' || buyer_name || ' imports ' || hs_code || ' (~'
                  || format('{{:,}}', CAST(floor(buyer_monthly_volume) AS BIGINT)) || ' units/month) from ' || existing_supplier_name
                  || '. Relationship showing ' || replace(stress_reason, '_', ' ') || ' (health score: '
-                 || CAST(CAST(round(round(health_score, 9), 0) AS INTEGER) AS VARCHAR)
+                 || CAST(CAST(CAST(round(CAST(health_score AS DECIMAL(38, 9)), 0) AS DOUBLE) AS INTEGER) AS VARCHAR)
                  || '/100). No alternative supplier matched yet; look for one in the market. Switch probability: '
-                 || CAST(CAST(round(round(switch_probability * 100, 9), 0) AS INTEGER) AS VARCHAR) || '%.' AS recommended_action,
+                 || CAST(CAST(CAST(round(CAST(switch_probability * 100 AS DECIMAL(38, 9)), 0) AS DOUBLE) AS INTEGER) AS VARCHAR) || '%.' AS recommended_action,
                coalesce(contact_name, '') AS contact_name, coalesce(contact_title, '') AS contact_title, coalesce(contact_email, '') AS contact_email,
                'sourcing_needed' AS status
         FROM (SELECT o.*, h.health_status, h.health_score, c.contact_name, c.contact_title, c.contact_email,
-                round(round(least(100.0, o.switch_probability * 40 + least(o.buyer_monthly_volume / 10000, 25.0) + greatest(0.0, (100 - h.health_score) * 0.35)), 9), 1) AS f
+                CAST(round(CAST(least(100.0, o.switch_probability * 40 + least(o.buyer_monthly_volume / 10000, 25.0) + greatest(0.0, (100 - h.health_score) * 0.35)) AS DECIMAL(38, 9)), 1) AS DOUBLE) AS f
               FROM {{score_opportunities}} AS o JOIN {{health_status}} AS h ON o.rel_id = h.rel_id
               LEFT JOIN {{buyer_contacts}} AS c ON o.buyer_id = c.buyer_id
               WHERE o.status = 'open' AND o.switch_probability >= 0.4 AND h.health_status IN ('dormant', 'churned')

@@ -25,3 +25,8 @@ def values_table(columns: str, rows) -> str:
             return "NULL"
         return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
     return "(VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows) + f") AS v({columns})"
+
+
+def rnd(expr: str, digits: int) -> str:
+    """Half-up rounding of a double after dropping noise beyond 9 places."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38, 9)), {digits}) AS DOUBLE)"

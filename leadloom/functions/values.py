@@ -85,5 +85,13 @@ def tidy_round(col: Column, digits: int) -> Column:
     return F.round(F.round(col, 9), digits)
 
 
+def one_row(parts: Sequence[DataFrame]) -> DataFrame:
+    """One-row frames with different columns put side by side (union and max, no cross join)."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def days_before(ts: Column, days: int) -> Column:
     return ts - F.make_dt_interval(days=F.lit(days))
