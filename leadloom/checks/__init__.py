@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from functools import cache
+from importlib import import_module
 
 from leadloom.checks.compose import Inputs
-from leadloom.checks.fixtures import FIXTURES
 from leadloom.checks.registry import Registry
 
+SQL_PARTS = (
+    ("fixtures", "FIXTURES"), ("fixtures_layers", "LAYER_FIXTURES"), ("fixtures_platform", "PLATFORM_FIXTURES"),
+    ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
+    ("oracle_platform", "PLATFORM"),
+)
+QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform")
+
 
 def fixture_inputs(spark, folder: str) -> Inputs:
     return Inputs(spark, folder, registry().pieces)
@@ -15,19 +22,14 @@ def fixture_inputs(spark, folder: str) -> Inputs:
 
 @cache
 def registry() -> Registry:
-    from leadloom.checks import queries_factory, queries_layers, queries_trade
-    from leadloom.checks.fixtures_layers import LAYER_FIXTURES
-    from leadloom.checks.oracle_factory import FACTORY
-    from leadloom.checks.oracle_layers import LAYERS
-    from leadloom.checks.oracle_trade import TRADE
-
     pieces: dict[str, str] = {}
-    for part in (FIXTURES, LAYER_FIXTURES, TRADE, FACTORY, LAYERS):
+    for module, name in SQL_PARTS:
+        part = getattr(import_module(f"leadloom.checks.{module}"), name)
         twice = pieces.keys() & part.keys()
         if twice:
             raise ValueError(f"SQL pieces defined twice: {sorted(twice)}")
         pieces.update(part)
     made = Registry(pieces)
-    for module in (queries_trade, queries_factory, queries_layers):
-        module.register(made)
+    for module in QUERY_PARTS:
+        import_module(f"leadloom.checks.{module}").register(made)
     return made

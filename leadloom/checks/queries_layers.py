@@ -119,7 +119,7 @@ def feed(i):
 
 def register(r: Registry) -> None:
     r.add("read_landed_json", landed_orders, "o_orderkey,o_custkey,o_orderstatus,o_totalprice:d")
-    r.add("path_fields", lambda i: landed.path_fields(landed_orders(i)), "o_orderkey,company_role,from_date,to_date")
+    r.add("path_fields", lambda i: landed.path_fields(landed_orders(i)), "o_orderkey,company_role,from_date:s,to_date:s")
     r.add("partitioned_table_read", lambda i: tables.split_ranges(i.lineitem, "l_orderkey"), "split:i,lower:i,upper:i,rows:i")
     r.add("resolve_columns", lambda i: tables.resolve_columns(
         i.bills, trade.SHIPMENT_ALIASES, trade.SHIPMENT_TYPES, trade.SHIPMENT_REQUIRED),
@@ -147,7 +147,7 @@ def register(r: Registry) -> None:
     r.add("flatten_struct", lambda i: la.flatten_struct(i.orders.select(F.struct(
         F.col("o_orderkey").alias("id"), F.struct("o_custkey", "o_orderstatus", "o_orderdate").alias("inner")).alias("doc")), {
         "order_id": ("doc.id", "long"), "buyer": ("doc.inner.o_custkey", "long"),
-        "state": ("doc.inner.o_orderstatus", "string"), "day": ("doc.inner.o_orderdate", "date")}), "order_id,buyer,state,day")
+        "state": ("doc.inner.o_orderstatus", "string"), "day": ("doc.inner.o_orderdate", "date")}), "order_id,buyer,state,day:s")
     r.add("json_side_columns", lambda i: la.json_side_columns(i.orders.select("o_orderkey", F.struct(
         F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status")).alias("side")), ["side"]), "o_orderkey,side")
     r.add("family_tree_rows", lambda i: la.family_tree_edges(i.tree_edges), "root:i,node:i,parent:i,name,level:i,node_type")
@@ -178,6 +178,6 @@ def register(r: Registry) -> None:
           "hash_key,most_suitable_hs_code,most_suitable_hs_description,dutiable_hs_code,dutiable_hs_description")
     r.add("list_to_text", line_lists, "order_id,ids,names,first_id:i")
     r.add("parse_dates", lambda i: i.date_texts.select("id", parse_date("raw").alias("day"), parse_timestamp("raw").alias("moment")),
-          "id,day,moment")
+          "id,day:s,moment")
     r.add("feed_job", feed,
           "bsl_key:i,hash_key,company_id,country,zip_code,matched_hs_codes,company_role,number_of_shipments:i,shipment_value:d,ingested_at,created_on,created_by")

@@ -5,8 +5,8 @@ from leadloom.checks.registry import Registry
 from leadloom.operators import enrich, health, trade
 from leadloom.plans.trade import OrgPlan, TradePlan
 
-REL = "rel_id,buyer_id,buyer_name,supplier_id,supplier_name,hs_code,hs_chapter,total_shipments:i,relationship_age_months:i,baseline_avg_qty:d,baseline_avg_value:d,last_shipment_date,data_source"
-SNAP = "snapshot_id,rel_id,year_month,shipment_count:i,total_quantity:d,total_value:d,qty_vs_baseline_pct:d"
+REL = "rel_id,buyer_id,buyer_name,supplier_id,supplier_name,hs_code,hs_chapter,total_shipments:i,relationship_age_months:i,baseline_avg_qty:d,baseline_avg_value:d,last_shipment_date:s,data_source"
+SNAP = "snapshot_id,rel_id,year_month:s,shipment_count:i,total_quantity:d,total_value:d,qty_vs_baseline_pct:d"
 OPP = "opportunity_id,rel_id,buyer_id,buyer_name,existing_supplier_id,existing_supplier_name,hs_code,stress_reason,stress_score:d,buyer_monthly_volume:d,detection_method,status,first_detected_at"
 FEAT = "rel_id,mean_qty:d,cv_qty:d,slope:d,zero_frac:d,recent_vs_baseline:d,n_months:i"
 HEALTH = "rel_id,anomaly_score:d,trend_direction,health_score:d,health_status"
@@ -23,12 +23,12 @@ def monthly(i):
 
 def register(r: Registry) -> None:
     r.add("monthly_trade", lambda i: trade.monthly_trade(i.shipments, AS_OF_TRADE),
-          "rel_id,buyer_id,supplier_id,hs_code,year_month,buyer_name,supplier_name,shipment_count:i,total_quantity:d,total_value:d,last_shipment_date")
+          "rel_id,buyer_id,supplier_id,hs_code,year_month:s,buyer_name,supplier_name,shipment_count:i,total_quantity:d,total_value:d,last_shipment_date:s")
     r.add("trade_baseline", lambda i: trade.trade_baseline(monthly(i)),
           "rel_id,baseline_avg_qty:d,baseline_avg_value:d,baseline_months:i")
-    r.add("trade_relationships", lambda i: trade.trade_relationships(monthly(i)), REL + ",last_month")
+    r.add("trade_relationships", lambda i: trade.trade_relationships(monthly(i)), REL + ",last_month:s")
     r.add("trade_snapshots", lambda i: trade.trade_snapshots(monthly(i)), SNAP)
-    r.add("relationships_from_partners", lambda i: plan(i).partners, REL + ",from_date,to_date")
+    r.add("relationships_from_partners", lambda i: plan(i).partners, REL + ",from_date:s,to_date:s")
     r.add("synthetic_months", lambda i: trade.synthetic_months(plan(i).partners, AS_OF_TRADE), SNAP)
     r.add("relationships_from_codes", lambda i: plan(i).crossmatch, REL)
     r.add("union_trade_sources", lambda i: plan(i).all_relationships, REL)
