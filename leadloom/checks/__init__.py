@@ -10,10 +10,11 @@ from leadloom.checks.registry import Registry
 
 SQL_PARTS = (
     ("fixtures", "FIXTURES"), ("fixtures_layers", "LAYER_FIXTURES"), ("fixtures_platform", "PLATFORM_FIXTURES"),
+    ("fixtures_sellers", "SELLER_FIXTURES"),
     ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
-    ("oracle_platform", "PLATFORM"),
+    ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"),
 )
-QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform")
+QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers")
 
 
 def fixture_inputs(spark, folder: str) -> Inputs:

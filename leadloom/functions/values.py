@@ -61,7 +61,8 @@ def as_ts(value) -> Column:
 
 def whole_days(later: Column, earlier: Column) -> Column:
     """Whole 24-hour days between two timestamps, rounded down."""
-    return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(86_400_000_000)).cast("long")
+    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+    return F.floor(micros / F.lit(86_400_000_000)).cast("long")
 
 
 def choose(rules: Sequence[tuple[Column, object]], default) -> Column:

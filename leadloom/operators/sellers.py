@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leadloom.config import Distribution
 from leadloom.functions.rank import top_k
 from leadloom.functions.values import as_ts, choose, lookup, text, tidy_round
+from leadloom.operators.merge import surrogate_key
 from leadloom.session import staged
 
 # Ranking weights, answer times by visibility, credit costs, tiers.
@@ -150,81 +151,81 @@ def _match_reason() -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.lit("open_match"))
 
 
-def _first_in_quota(pool: DataFrame, quotas: DataFrame, salts: int = 32) -> DataFrame:
-    """Of the proposals to a seller its first ``quota`` by ``ord``; two levels, so a hot seller is spread."""
-    rows = pool.join(quotas, "seller_id").withColumn("_s", F.pmod(F.xxhash64("lead_id"), F.lit(salts)))
-    local = Window.partitionBy("seller_id", "_s").orderBy("ord")
-    rows = rows.withColumn("_n", F.row_number().over(local)).where(F.col("_n") <= F.col("quota"))
-    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("seller_id").orderBy("ord")))
-    return rows.where(F.col("_n") <= F.col("quota")).select(*pool.columns)
-
-
-def _settle(leads: DataFrame, prefs: DataFrame, quotas: DataFrame, per_lead: int) -> DataFrame:
-    """Proposals in rounds: (lead_id, kind, ord) x (kind, pos, seller_id) x (seller_id, quota).
-
-    Every lead with a free place asks its next sellers; each seller keeps its first ``quota`` leads
-    by ``ord``. All sellers rank leads alike, so the end state is what serving the leads one by one
-    gives. A lead whose remaining sellers are all full of better leads drops out at once.
-    """
-    state = staged(leads.withColumns({"next_pos": F.lit(1), "open": F.lit(per_lead)}), "state")
-    prefs, quotas = staged(prefs, "prefs"), staged(quotas, "quotas")
-    columns = ["lead_id", "kind", "ord", "seller_id"]
-    held = None
-    while True:
-        asks = state.where("open > 0").select("lead_id", "kind", "ord", F.explode(F.sequence(
-            F.col("next_pos"), F.col("next_pos") + F.col("open") - 1)).alias("pos"))
-        asks = staged(asks.join(prefs, ["kind", "pos"]).select(*columns), "asks")
-        if asks.isEmpty():
-            return held if held is not None else asks
-        pool = asks if held is None else held.unionByName(asks)
-        held = staged(_first_in_quota(pool, quotas), "held")
-        full = held.groupBy("seller_id").agg(F.count(F.lit(1)).alias("n"), F.max("ord").alias("last")).join(
-            quotas, "seller_id").where("n >= quota").select("seller_id", "last")
-        # From a place in its list on: is any seller not full, and what is the worst lead still held?
-        rest = Window.partitionBy("kind").orderBy(F.desc("pos"))
-        outlook = prefs.join(full, "seller_id", "left").select(
-            "kind", F.col("pos").alias("next_pos"), F.max(F.col("last").isNull()).over(rest).alias("room"),
-            F.max("last").over(rest).alias("worst"))
-        mine = held.groupBy("lead_id").agg(F.count(F.lit(1)).alias("have"))
-        moved = state.withColumn("next_pos", F.when(F.col("open") > 0, F.col("next_pos") + F.col("open")).otherwise(
-            F.col("next_pos"))).join(mine, "lead_id", "left").join(outlook, ["kind", "next_pos"], "left")
-        alive = F.coalesce(F.col("room") | (F.col("ord") < F.col("worst")), F.lit(False))
-        # Leads that hold all their places stay: they may lose one to a better lead later.
-        state = staged(moved.where(alive | (F.coalesce("have", F.lit(0)) > 0)).select(
-            "lead_id", "kind", "ord", "next_pos",
-            F.when(alive, per_lead - F.coalesce("have", F.lit(0))).otherwise(0).cast("int").alias("open")), "state")
+CHUNK = 10_000
+
+
+def _serve_chunk(per_lead: int):
+    """Leads of one chunk served one by one; every seller of the chunk's lists comes with its budget."""
+    def serve(leads: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
+        sellers = lists.drop_duplicates("seller_id")
+        cap = dict(zip(sellers["seller_id"], sellers["cap"]))
+        credit = dict(zip(sellers["seller_id"], sellers["cr"]))
+        of_kind = {k: list(g["seller_id"]) for k, g in lists.sort_values("rank").groupby("kind")}
+        out = []
+        for lead in leads.sort_values("g").itertuples(index=False):
+            got, spent = 0, False
+            for seller in of_kind.get(lead.kind, ()):
+                if cap[seller] <= 0:
+                    spent = True
+                elif credit[seller] >= lead.cost:
+                    cap[seller] -= 1
+                    credit[seller] -= lead.cost
+                    out.append((lead.lead_id, seller, lead.cost))
+                    got += 1
+                    if got == per_lead:
+                        break
+            if spent:
+                of_kind[lead.kind] = [x for x in of_kind[lead.kind] if cap[x] > 0]
+        return pd.DataFrame(out, columns=["lead_id", "seller_id", "cost"])
+    return serve
 
 
 def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind_of: Sequence[str],
-                    per_lead: int) -> DataFrame:
-    """One priority class after the other, since credits left depend on the dearer classes.
-
-    Within a class every lead costs the same, so a seller's budget is a number of leads.
+                    per_lead: int, chunk: int = CHUNK) -> DataFrame:
+    """Leads by priority class, score and id; each takes the first ``per_lead`` sellers of its kind's
+    list that have capacity and credits left.
+
+    Each lead's choice depends on all before it, so the order cannot be split, but the leads that
+    still matter can be kept few: after every chunk of fixed size the budgets are brought up to
+    date and leads none of whose sellers has room for them drop out by a join. One task sees one
+    chunk and the open sellers of its kinds; the number of chunks follows the places the sellers
+    have, not the number of leads.
     """
-    budget = sellers.select("seller_id", (F.col("max_leads_per_day") - F.col("leads_today")).cast("long").alias("cap"),
-                            F.col("credits_available").cast("double").alias("cr"))
-    rows = _demand(leads).withColumns({
-        "class": _class_of(F.col("priority")), "kind": F.concat_ws("|", *[text(c) for c in kind_of]),
-        "ord": F.struct((-F.col("score").cast("double")).alias("s"), F.col("lead_id"))})
-    done = None
-    for c, priority in enumerate(PRIORITY_ORDER, start=1):
-        cost = CREDIT_COST[priority]
-        affordable = F.floor(F.col("cr") / cost) if cost else F.when(F.col("cr") >= 0, F.col("cap")).otherwise(0)
-        quotas = budget.select("seller_id", F.least("cap", affordable).cast("long").alias("quota")).where("quota > 0")
-        open_prefs = prefs.join(quotas.select("seller_id"), "seller_id", "left_semi").withColumn(
-            "pos", F.row_number().over(Window.partitionBy("kind").orderBy("rank")))
-        got = _settle(rows.where(F.col("class") == c).select("lead_id", "kind", "ord"), open_prefs.select(
-            "kind", "pos", "seller_id"), quotas, per_lead).select("lead_id", "seller_id", F.lit(cost).alias("cost"))
+    budget = staged(sellers.select(
+        "seller_id", (F.col("max_leads_per_day") - F.col("leads_today")).cast("long").alias("cap"),
+        F.col("credits_available").cast("double").alias("cr")).where("cap > 0"), "budget")
+    prefs = staged(prefs.select("kind", "seller_id", "rank"), "prefs")
+    rows = _demand(leads).select(
+        "lead_id", "priority", "hs_chapter", "country", F.concat_ws("|", *[text(c) for c in kind_of]).alias("kind"),
+        _class_of(F.col("priority")).alias("class"), (-F.col("score").cast("double")).alias("s"),
+        _cost(F.col("priority")).cast("long").alias("cost"))
+    rows = staged(surrogate_key(rows, "g", ["class", "s", "lead_id"]), "ordered")
+    done, served_to = None, 0
+    while True:
+        open_lists = prefs.join(budget.where("cap > 0"), "seller_id")
+        richest = open_lists.groupBy("kind").agg(F.max("cr").alias("most"))
+        waiting = rows.where(F.col("g") > served_to).join(richest, "kind").where(F.col("cost") <= F.col("most"))
+        turn = staged(waiting.select("g", "lead_id", "kind", "cost").orderBy("g").limit(chunk), "turn")
+        served_to = turn.agg(F.max("g")).first()[0]
+        if served_to is None:
+            break
+        lists = open_lists.join(turn.select("kind").distinct(), "kind", "left_semi")
+        one = F.lit(1).alias("one")
+        got = staged(turn.groupBy(one).cogroup(lists.groupBy(one)).applyInPandas(
+            _serve_chunk(per_lead), "lead_id string, seller_id string, cost long"), "served")
         done = got if done is None else done.unionByName(got)
-        used = got.groupBy("seller_id").agg(F.count(F.lit(1)).alias("u"))
+        used = got.groupBy("seller_id").agg(F.count(F.lit(1)).alias("u"), F.sum("cost").alias("c"))
         budget = staged(budget.join(used, "seller_id", "left").select(
             "seller_id", (F.col("cap") - F.coalesce("u", F.lit(0))).alias("cap"),
-            (F.col("cr") - F.coalesce("u", F.lit(0)) * cost).alias("cr")), "budget")
-    out = rows.select("lead_id", "hs_chapter", "country", "priority").join(done, "lead_id").join(
-        sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
+            (F.col("cr") - F.coalesce("c", F.lit(0))).alias("cr")), "budget")
+    out = rows.select("lead_id", "hs_chapter", "country", "priority")
+    if done is None:
+        return out.where("false").join(sellers, F.lit(False)).select(
+            F.lit("").alias("assignment_id"), "seller_id", "lead_id", "priority", F.lit("").alias("match_reason"),
+            F.lit(0).cast("long").alias("credits_cost"))
+    out = out.join(done, "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
     return out.select(F.concat(F.lit("sla:"), "seller_id", F.lit(":"), "lead_id").alias("assignment_id"), "seller_id",
-                      "lead_id", "priority", _match_reason().alias("match_reason"),
-                      F.col("cost").cast("long").alias("credits_cost"))
+                      "lead_id", "priority", _match_reason().alias("match_reason"), F.col("cost").alias("credits_cost"))
 
 
 def assign_exclusive(leads: DataFrame, sellers: DataFrame, stats: DataFrame) -> DataFrame:
