@@ -11,11 +11,11 @@ from leadloom.checks.registry import Registry
 SQL_PARTS = (
     ("fixtures", "FIXTURES"), ("fixtures_layers", "LAYER_FIXTURES"), ("fixtures_platform", "PLATFORM_FIXTURES"),
     ("fixtures_sellers", "SELLER_FIXTURES"),
-    ("fixtures_streams", "STREAM_FIXTURES"),
+    ("fixtures_streams", "STREAM_FIXTURES"), ("oracle_graph", "GRAPH_FIXTURES"), ("oracle_models", "MODEL_FIXTURES"),
     ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
-    ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"),
+    ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"), ("oracle_graph", "GRAPH"), ("oracle_models", "MODELS"),
 )
-QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views")
+QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models")
 
 
 def fixture_inputs(spark, folder: str) -> Inputs:

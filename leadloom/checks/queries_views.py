@@ -32,6 +32,9 @@ def enriched(i):
     return v.enriched_leads(t.matched_leads, t.scored, rels, AS_OF_TRADE, best_per_buyer=True)
 
 
+MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def work_dir(i) -> str:
     return f"{shared_dir(i.spark)}/leadloom/{uuid.uuid4().hex}"
 
@@ -39,7 +42,7 @@ def work_dir(i) -> str:
 def web_stream(i, folder: str):
     """Web events as JSON lines in a landing folder, a part of them delivered twice, read as a stream."""
     rows = i.web_events
-    rows.unionByName(rows.where("topic = 'crm.buyer_clicks'")).select(F.to_json(F.struct("*"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")).repartition(
+    rows.unionByName(rows.where("topic = 'crm.buyer_clicks'")).select(F.to_json(F.struct("*"), MICROS).alias("value")).repartition(
         3).write.text(f"{folder}/in")
     schema = T.StructType([f for f in rows.schema.fields])
     schema = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == "_polled_at" else T.StringType()) for f in schema.fields])
