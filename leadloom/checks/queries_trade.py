@@ -14,7 +14,10 @@ LEAD = "lead_id,opportunity_id,match_id,buyer_id,buyer_name,candidate_supplier_i
 
 
 def plan(i) -> TradePlan:
-    return TradePlan(i, AS_OF_TRADE)
+    """The trade plan of these inputs, made once so its stages are shared."""
+    if "trade_plan" not in i.__dict__:
+        i.trade_plan = TradePlan(i, AS_OF_TRADE)
+    return i.trade_plan
 
 
 def monthly(i):
