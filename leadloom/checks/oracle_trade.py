@@ -235,6 +235,9 @@ TRADE: dict[str, str] = {
                CAST(p.has_contact AS BIGINT) AS has_contact, p.export_recency_days, substr(r.hs_code, 1, 4) AS hs_prefix,
                CAST(round(CAST(3.0 * least(p.active_buyer_count, 10) + 10.0 * p.has_contact + 2.0 * greatest(0.0, 7 - p.export_recency_days / 30.0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS own_points
         FROM {trade_relationships} AS r JOIN {supplier_profile} AS p ON r.supplier_id = p.supplier_id""",
+    "rank_heuristic": """
+        SELECT hs_code, supplier_id, 40.0 * (active_buyer_count % 2) + 20.0 + 15.0 * has_contact + 3.0 * least(active_buyer_count, 10) + 10.0 * has_contact
+               + 2.0 * greatest(0.0, 7 - export_recency_days / 30.0) AS raw_score FROM {candidate_suppliers}""",
     "all_pairs": """
         SELECT o.opportunity_id, o.existing_supplier_id, p.supplier_id, any_value(p.supplier_name) AS supplier_name,
                any_value(p.active_buyer_count) AS active_buyer_count, any_value(p.has_contact) AS has_contact,

@@ -73,6 +73,7 @@ VIEWS: dict[str, str] = {
                 WHEN _source_table = 'crm.page_event_trackings' AND button_identity <> '' THEN ['click'] WHEN _source_table = 'crm.page_visits' AND element_name <> '' THEN ['click', 'session'] ELSE ['session'] END AS hs FROM {web_events}),
         y AS (SELECT *, unnest(hs) AS handler FROM x)
         SELECT event_key, topic, _source_table AS source_table, handler, CASE WHEN handler = 'click' AND button_identity = '' THEN coalesce(element_name, '') ELSE button_identity END AS button_identity, user_id, element_type, _polled_at FROM y""",
+    "read_events": "SELECT event_key, user_id, topic, _polled_at FROM {web_events}",
     "dedup_events": "SELECT DISTINCT event_key, user_id, topic FROM {web_events}",
     "stream_trade": "SELECT * FROM {monthly_trade}",
     "stream_stress": "SELECT * FROM {stress_rules}",

@@ -32,7 +32,7 @@ def register(r: Registry) -> None:
           "hypothesis_id,signal_uid,signal_type,candidate_entity_type,candidate_entity_id,resolution_method,confidence_score:d,status,processing_priority:i")
     r.add("resolve_identity", lambda i: f.resolve_identity(plan(i).hypotheses, i.accounts_known, i.persons_known),
           "hypothesis_id,candidate_entity_type,entity_id,resolution_confidence:d")
-    r.add("evidence", lambda i: plan(i).evidence,
+    r.add("evidence", lambda i: f.evidence(f.with_evidence(f.with_identity(i.signals), AS_OF_EVENTS)),
           "evidence_uid,signal_uid,hypothesis_id,evidence_type,evidence_category,context_bonus:i,combination_bonus:i,evidence_strength_raw:i,evidence_strength:i,decay_factor:d,signal_age_days:i,signal_confidence:d,product_match:d,contact_exists,rfq_exists,trade_exists,number_of_shipments:d")
     r.add("opportunity_hypotheses", lambda i: f.opportunity_hypotheses(plan(i).evidence),
           "hypothesis_id,evidence_uid,hypothesis_type,rule,threshold:d,confidence:d")

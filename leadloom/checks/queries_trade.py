@@ -1,8 +1,10 @@
 """Registered queries: trade, enrichment, health, switch leads."""
 
+from pyspark.sql import functions as F
+
 from leadloom.checks.fixtures import AS_OF_TRADE
 from leadloom.checks.registry import Registry
-from leadloom.operators import enrich, health, trade
+from leadloom.operators import enrich, health, switch, trade
 from leadloom.plans.trade import OrgPlan, TradePlan
 
 REL = "rel_id,buyer_id,buyer_name,supplier_id,supplier_name,hs_code,hs_chapter,total_shipments:i,relationship_age_months:i,baseline_avg_qty:d,baseline_avg_value:d,last_shipment_date:s,data_source"
@@ -64,6 +66,9 @@ def register(r: Registry) -> None:
           "rel_id,buyer_id,supplier_id,hs_code,relationship_age_months:i,total_shipments:i,baseline_avg_qty:d,last_shipment_date_days_ago:i,qty_trend_3m:d,qty_trend_6m:d,shipment_regularity:d,months_with_zero_shipments:i,buyer_total_supplier_count:i,buyer_employee_count:i,buyer_industry_encoded:i,buyer_intent_signal_count:i,buyer_has_leadership_change:i,buyer_has_funding_event:i,buyer_has_ma_event:i,supplier_active_buyer_count:i,supplier_recent_export_volume:d,hs_code_market_supplier_count:i,anomaly_score:d")
     r.add("candidate_suppliers", lambda i: plan(i).candidates,
           "hs_code,supplier_id,supplier_name,active_buyer_count:i,recent_export_volume:d,employee_count:i,has_contact:i,export_recency_days:i,hs_prefix,own_points:d")
+    r.add("rank_heuristic", lambda i: switch.rank_heuristic(plan(i).candidates.withColumns({
+        "hs_exact_match": F.col("active_buyer_count") % 2, "hs_chapter_match": F.lit(1),
+        "exports_to_buyer_country": F.col("has_contact")})), "hs_code,supplier_id,raw_score:d")
     r.add("match_suppliers", lambda i: plan(i).matches,
           "match_id,opportunity_id,candidate_supplier_id,candidate_supplier_name,hs_code_match_type,match_score:d,rank:i,active_buyer_count:i,exports_to_buyer_country,has_contact")
     r.add("switch_leads_matched", lambda i: plan(i).matched_leads, LEAD)

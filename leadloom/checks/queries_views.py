@@ -44,8 +44,7 @@ def web_stream(i, folder: str):
     rows = i.web_events
     rows.unionByName(rows.where("topic = 'crm.buyer_clicks'")).select(F.to_json(F.struct("*"), MICROS).alias("value")).repartition(
         3).write.text(f"{folder}/in")
-    schema = T.StructType([f for f in rows.schema.fields])
-    schema = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == "_polled_at" else T.StringType()) for f in schema.fields])
+    schema = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == "_polled_at" else T.StringType()) for f in rows.schema])
     good, _ = ev.parse_events(ev.read_events(i.spark, f"{folder}/in", files_per_batch=2), schema)
     return ev.dedup_events(good, within="60 days")
 
@@ -62,6 +61,16 @@ def deduped(i):
     return i.spark.read.parquet(f"{folder}/log")
 
 
+def read(i):
+    """Web events through the file source, repeats included."""
+    folder = work_dir(i)
+    i.web_events.select(F.to_json(F.struct("*"), MICROS).alias("value")).write.text(f"{folder}/in")
+    schema = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == "_polled_at" else T.StringType()) for f in i.web_events.schema])
+    good, _ = ev.parse_events(ev.read_events(i.spark, f"{folder}/in"), schema)
+    ev.run_to_log(good, f"{folder}/log", f"{folder}/state", "append")
+    return i.spark.read.parquet(f"{folder}/log")
+
+
 def trade_log(i) -> str:
     folder = work_dir(i)
     rows = i.shipment_events
@@ -108,6 +117,7 @@ def register(r: Registry) -> None:
     # streams
     add("route_events", lambda i: ev.route_events(i.web_events).withColumn("source_table", F.col("_source_table")),
         "event_key,topic,source_table,handler,button_identity,user_id,element_type")
+    add("read_events", read, "event_key,user_id,topic,_polled_at")
     add("dedup_events", deduped, "event_key,user_id,topic")
     add("stream_trade", lambda i: st.months_of(i.spark, trade_log(i)),
         "rel_id,buyer_id,supplier_id,hs_code,year_month:s,buyer_name,supplier_name,shipment_count:i,total_quantity:d,total_value:d,last_shipment_date:s")

@@ -1,7 +1,9 @@
 """The lead factory: identity, evidence, opportunity, fit, class, lead, route, quality.
 
-Every stage is one row per signal, so a run is one projection pipeline; only identity resolution
-and the one-visible-lead-per-buyer rule need a shuffle.
+Every stage is one row per signal, so the stages are column steps (``with_identity`` ..
+``with_lead``) on one wide frame: no join and no shuffle from signal to lead. The tables of the
+stages are projections of it. Only identity resolution and the one-visible-lead-per-buyer rule
+shuffle.
 """
 
 from __future__ import annotations
@@ -81,26 +83,32 @@ def _trade_like(kind: Column, family: Column, words=("shipment", "import", "expo
     return out
 
 
-def identity_hypotheses(signals: DataFrame, prefix: str = DEFAULT.prefixes.trade) -> DataFrame:
+def with_identity(signals: DataFrame, prefix: str = DEFAULT.prefixes.trade) -> DataFrame:
     """Who a signal is about: entity type and id, how it was found, how sure, and its priority."""
     account, person, domain = F.col("account_hint"), F.col("person_hint"), F.col("domain_hint")
     kind, family = F.col("signal_type"), F.col("source_family")
     has = [account.isNotNull(), person.isNotNull(), domain.isNotNull()]
     from_trade = has[0] & (family == TRADE)
-    return signals.select(
-        F.concat(F.lit("ih25:"), F.col("signal_uid")).alias("hypothesis_id"), "signal_uid", "signal_type",
-        choose([(has[0], "Account"), (has[1], "Person"), (has[2], "Organization")],
-               "AnonymousSession").alias("candidate_entity_type"),
-        F.coalesce(norm(account), norm(person), norm(domain), F.col("session_id").cast("string"),
-                   F.col("signal_uid")).alias("candidate_entity_id"),
-        choose([(from_trade, f"{prefix}_company_id_or_account_hint"), (has[0], "exact_account_id_match"),
-                (has[1], "exact_person_id_match"), (has[2], "email_domain_match")],
-               "unresolved_signal").alias("resolution_method"),
-        choose([(from_trade, 0.95), (has[0], 0.78), (has[1], 0.80), (has[2], 0.70)], 0.40).alias("confidence_score"),
-        F.when(has[0] | has[1] | has[2], "proposed").otherwise("poor_identity").alias("status"),
-        choose([(kind.isin(*RFQ_FIRST), 100), (kind.isin(*DEAL_TYPES, *COMMITMENT_TYPES), 95),
-                (_trade_like(kind, family), 90), (kind.isin(*INTELLIGENCE_TYPES), 80),
-                (kind == "lead_created", 70)], 10).alias("processing_priority"))
+    return signals.withColumns({
+        "hypothesis_id": F.concat(F.lit("ih25:"), F.col("signal_uid")),
+        "candidate_entity_type": choose([(has[0], "Account"), (has[1], "Person"), (has[2], "Organization")], "AnonymousSession"),
+        "candidate_entity_id": F.coalesce(norm(account), norm(person), norm(domain), F.col("session_id").cast("string"),
+                                          F.col("signal_uid")),
+        "resolution_method": choose([
+            (from_trade, f"{prefix}_company_id_or_account_hint"), (has[0], "exact_account_id_match"),
+            (has[1], "exact_person_id_match"), (has[2], "email_domain_match")], "unresolved_signal"),
+        "identity_confidence": choose([(from_trade, 0.95), (has[0], 0.78), (has[1], 0.80), (has[2], 0.70)], 0.40),
+        "identity_status": F.when(has[0] | has[1] | has[2], "proposed").otherwise("poor_identity"),
+        "processing_priority": choose([
+            (kind.isin(*RFQ_FIRST), 100), (kind.isin(*DEAL_TYPES, *COMMITMENT_TYPES), 95), (_trade_like(kind, family), 90),
+            (kind.isin(*INTELLIGENCE_TYPES), 80), (kind == "lead_created", 70)], 10)})
+
+
+def identity_hypotheses(wide: DataFrame) -> DataFrame:
+    """The identity table of a frame with identity columns."""
+    return wide.select("hypothesis_id", "signal_uid", "signal_type", "candidate_entity_type", "candidate_entity_id",
+                       "resolution_method", F.col("identity_confidence").alias("confidence_score"),
+                       F.col("identity_status").alias("status"), "processing_priority")
 
 
 def resolve_identity(hypotheses: DataFrame, accounts: DataFrame, persons: DataFrame) -> DataFrame:
@@ -115,8 +123,8 @@ def resolve_identity(hypotheses: DataFrame, accounts: DataFrame, persons: DataFr
         F.col("confidence_score").alias("resolution_confidence"))
 
 
-def evidence(signals: DataFrame, as_of, cfg: Scoring = Scoring()) -> DataFrame:
-    """Typed evidence of every signal still inside its time window, decayed by age."""
+def with_evidence(signals: DataFrame, as_of, cfg: Scoring = Scoring()) -> DataFrame:
+    """Typed evidence of every signal still inside its time window, decayed by age; stale ones are dropped."""
     kind, family = F.col("signal_type"), F.col("source_family")
     when = F.coalesce(F.col("occurred_at").cast("timestamp"), as_ts(as_of))
     aged = signals.withColumn("signal_age_days", F.greatest(F.lit(0), whole_days(as_ts(as_of), when)))
@@ -145,17 +153,25 @@ def evidence(signals: DataFrame, as_of, cfg: Scoring = Scoring()) -> DataFrame:
         "evidence_category": choose([(etype == k, v) for k, v in CATEGORY_OF.items()], "behavior"),
         "context_bonus": context, "combination_bonus": combo, "_decay": decay,
         "evidence_strength_raw": F.least(F.lit(100), base + context + combo)})
-    return staged.select(
-        F.concat(F.lit("ev25:"), F.col("signal_uid")).alias("evidence_uid"), "signal_uid",
-        F.concat(F.lit("ih25:"), F.col("signal_uid")).alias("hypothesis_id"),
-        "evidence_type", "evidence_category", "context_bonus", "combination_bonus", "evidence_strength_raw",
-        F.greatest(F.lit(1), F.round(F.col("evidence_strength_raw") * F.col("_decay")).cast("long")).alias("evidence_strength"),
-        (F.round(F.col("_decay") * 1000) / 1000.0).alias("decay_factor"), "signal_age_days",
-        choose([(family == f, c) for f, c in EVIDENCE_CONFIDENCE.items()],
-               F.coalesce(F.col("confidence_score").cast("double"), F.lit(0.70))).alias("signal_confidence"),
-        F.when(interest, 1.0).otherwise(0.3).alias("product_match"), contact.alias("contact_exists"),
-        is_rfq.alias("rfq_exists"), (F.col("evidence_category") == "trade").alias("trade_exists"),
-        F.coalesce(F.col("number_of_shipments").cast("double"), F.lit(0.0)).alias("number_of_shipments"))
+    return staged.withColumns({
+        "evidence_uid": F.concat(F.lit("ev25:"), F.col("signal_uid")),
+        "evidence_strength": F.greatest(F.lit(1), F.round(F.col("evidence_strength_raw") * F.col("_decay")).cast("long")),
+        "decay_factor": F.round(F.col("_decay") * 1000) / 1000.0,
+        "signal_confidence": choose([(family == f, c) for f, c in EVIDENCE_CONFIDENCE.items()],
+                                    F.coalesce(F.col("confidence_score").cast("double"), F.lit(0.70))),
+        "product_match": F.when(interest, 1.0).otherwise(0.3), "contact_exists": contact, "rfq_exists": is_rfq,
+        "trade_exists": F.col("evidence_category") == "trade",
+        "number_of_shipments": F.coalesce(F.col("number_of_shipments").cast("double"), F.lit(0.0))}).drop("_decay")
+
+
+EVIDENCE_COLUMNS = ("evidence_uid", "signal_uid", "hypothesis_id", "evidence_type", "evidence_category", "context_bonus",
+                    "combination_bonus", "evidence_strength_raw", "evidence_strength", "decay_factor", "signal_age_days",
+                    "signal_confidence", "product_match", "contact_exists", "rfq_exists", "trade_exists", "number_of_shipments")
+
+
+def evidence(wide: DataFrame) -> DataFrame:
+    """The evidence table of a frame with identity and evidence columns."""
+    return wide.select(*EVIDENCE_COLUMNS)
 
 
 def opportunity_hypotheses(ev: DataFrame, cfg: Scoring = Scoring()) -> DataFrame:
@@ -169,11 +185,10 @@ def opportunity_hypotheses(ev: DataFrame, cfg: Scoring = Scoring()) -> DataFrame
          + cfg.opp_weight_contact * F.col("contact_exists").cast("double")).alias("confidence"))
 
 
-def fit_scores(ev: DataFrame, hypotheses: DataFrame, cfg: Scoring = Scoring()) -> DataFrame:
+def with_fit(wide: DataFrame, cfg: Scoring = Scoring()) -> DataFrame:
     """Six component scores, their weighted sum, what speaks against the lead, and the decision."""
-    ident = hypotheses.select("hypothesis_id", F.col("confidence_score").alias("identity_confidence"))
     strength, cat = F.col("evidence_strength").cast("double"), F.col("evidence_category")
-    rows = ev.join(ident, "hypothesis_id").withColumns({
+    rows = wide.withColumns({
         "behavior_score": F.when(cat == "behavior", strength).otherwise(0.0),
         "intent_score": F.when(cat == "intent", strength).otherwise(0.0),
         "trade_score": F.when(cat.isin("trade", "commitment"), strength).otherwise(0.0),
@@ -191,27 +206,31 @@ def fit_scores(ev: DataFrame, hypotheses: DataFrame, cfg: Scoring = Scoring()) -
         (F.col("evidence_strength") < cfg.low_intent_below, "low_intent"),
         (score < cfg.no_fit_below, "no_fit")], None))
     against = F.col("suppression_type")
-    return rows.select(
-        F.concat(F.lit("fs25:"), F.col("evidence_uid")).alias("fit_suppression_uid"), "evidence_uid", *weights,
-        "six_component_score",
-        choose([(score >= 85, "very_high_fit"), (score >= 70, "high_fit"), (score >= 50, "medium_fit")],
-               "low_fit").alias("fit_band"),
-        "suppression_type",
-        choose([(against == "weak_identity", "block"), (against.isNotNull(), "review"), (score >= 70, "allow"),
-                (score >= 50, "review")], "block").alias("final_decision"))
+    return rows.withColumns({
+        "fit_suppression_uid": F.concat(F.lit("fs25:"), F.col("evidence_uid")),
+        "fit_band": choose([(score >= 85, "very_high_fit"), (score >= 70, "high_fit"), (score >= 50, "medium_fit")], "low_fit"),
+        "final_decision": choose([(against == "weak_identity", "block"), (against.isNotNull(), "review"), (score >= 70, "allow"),
+                                  (score >= 50, "review")], "block")})
+
+
+FIT_COLUMNS = ("fit_suppression_uid", "evidence_uid", "behavior_score", "intent_score", "trade_score", "fit_score",
+               "recency_score", "reachability_score", "six_component_score", "fit_band", "suppression_type", "final_decision")
+
 
+def fit_scores(wide: DataFrame) -> DataFrame:
+    """The fit table of a frame with identity, evidence and fit columns."""
+    return wide.select(*FIT_COLUMNS)
 
-def classify_leads(ev: DataFrame, fits: DataFrame, cfg: Scoring = Scoring()) -> DataFrame:
+
+def with_class(wide: DataFrame, cfg: Scoring = Scoring()) -> DataFrame:
     """Lead type by the first of 20 ordered rules, then grain, stage, priority and visibility."""
-    rows = fits.join(ev.select("evidence_uid", "evidence_type", "evidence_category", "number_of_shipments",
-                               "rfq_exists", "trade_exists", "product_match", "contact_exists"), "evidence_uid")
     s, t = F.col("six_component_score"), F.col("evidence_type")
     high, critical, repeat = s >= cfg.high_score, s >= cfg.critical_score, F.col("number_of_shipments") >= 5
     trade = F.col("evidence_category") == "trade"
     rfq, commit = t == "rfq_intent_detected", t == "procurement_commitment_detected"
     active, maker = t == "active_opportunity_detected", t == "decision_maker_presence_detected"
     event = t == "event_engagement_detected"
-    rows = rows.withColumn("lead_type", choose([
+    rows = wide.withColumn("lead_type", choose([
         (F.col("final_decision") == "block", "blocked"),
         (rfq & (s >= cfg.min_rfq), "rfq_submitted"), (rfq, "rfq_draft"),
         (commit & repeat, "strategic_consolidation"), (commit, "deal_ready"),
@@ -223,39 +242,41 @@ def classify_leads(ev: DataFrame, fits: DataFrame, cfg: Scoring = Scoring()) ->
         (critical, "procurement_project_active"), (high, "hot_in_market"),
         (s >= 50, "warm_account"), (s >= 30, "intent_only")], "visit_only"))
     lt = F.col("lead_type")
-    return rows.select(
-        F.concat(F.lit("lc25:"), F.col("fit_suppression_uid")).alias("classification_uid"), "fit_suppression_uid",
-        "evidence_uid", "lead_type",
-        choose([(lt == "blocked", "none"),
-                (F.col("rfq_exists") | F.col("trade_exists") | (F.col("product_match") >= 0.60), "opportunity_lead"),
-                (F.col("contact_exists"), "person_lead")], "account_lead").alias("lead_grain"),
-        choose([(lt.isin(*LATE_STAGE), "late"), (lt == "blocked", "invalid"),
-                (lt.isin("visit_only", "cold_market"), "early")], "mid").alias("lead_stage"),
-        choose([(lt.isin(*LATE_STAGE) | critical, "critical"), (lt.isin(*HIGH_TYPES) | high, "high"),
-                (lt.isin(*MEDIUM_TYPES), "medium"), (lt.isin(*LOW_TYPES), "low"), (lt == "blocked", "none")],
-               "medium").alias("priority"),
-        _grouped(lt, VISIBILITY_GROUPS, "feed").alias("visibility"))
-
-
-def create_leads(classes: DataFrame, fits: DataFrame, ev: DataFrame, hypotheses: DataFrame,
-                 cfg: Scoring = Scoring(), prefix: str = DEFAULT.prefixes.trade) -> DataFrame:
+    return rows.withColumns({
+        "classification_uid": F.concat(F.lit("lc25:"), F.col("fit_suppression_uid")),
+        "lead_grain": choose([
+            (lt == "blocked", "none"),
+            (F.col("rfq_exists") | F.col("trade_exists") | (F.col("product_match") >= 0.60), "opportunity_lead"),
+            (F.col("contact_exists"), "person_lead")], "account_lead"),
+        "lead_stage": choose([(lt.isin(*LATE_STAGE), "late"), (lt == "blocked", "invalid"),
+                              (lt.isin("visit_only", "cold_market"), "early")], "mid"),
+        "priority": choose([(lt.isin(*LATE_STAGE) | critical, "critical"), (lt.isin(*HIGH_TYPES) | high, "high"),
+                            (lt.isin(*MEDIUM_TYPES), "medium"), (lt.isin(*LOW_TYPES), "low"), (lt == "blocked", "none")], "medium"),
+        "visibility": _grouped(lt, VISIBILITY_GROUPS, "feed")})
+
+
+CLASS_COLUMNS = ("classification_uid", "fit_suppression_uid", "evidence_uid", "lead_type", "lead_grain", "lead_stage",
+                 "priority", "visibility")
+
+
+def classify_leads(wide: DataFrame) -> DataFrame:
+    """The classification table of a frame with all columns up to the class."""
+    return wide.select(*CLASS_COLUMNS)
+
+
+def create_leads(wide: DataFrame, cfg: Scoring = Scoring(), prefix: str = DEFAULT.prefixes.trade) -> DataFrame:
     """Leads of everything not blocked; only strong, allowed ones are visible to sellers."""
-    ident = hypotheses.select("hypothesis_id", "candidate_entity_id", "resolution_method", "status",
-                              F.col("confidence_score").alias("identity_confidence")).withColumnRenamed(
-        "status", "identity_status")
-    rows = (classes.where(F.col("lead_type") != "blocked").withColumnRenamed("visibility", "class_visibility")
-            .join(fits.drop("evidence_uid"), "fit_suppression_uid").join(ev, "evidence_uid")
-            .join(ident, "hypothesis_id", "left"))
+    rows = wide.where(F.col("lead_type") != "blocked")
     lt, method = F.col("lead_type"), F.col("resolution_method")
     shown = (F.col("evidence_strength") >= cfg.visible_strength) & (F.col("final_decision") == "allow")
     return rows.select(
         F.concat(F.lit("lead25:"), F.col("classification_uid")).alias("lead_uid"), "classification_uid",
         "lead_grain", "lead_type", "lead_stage", "priority",
-        F.when(shown, F.col("class_visibility")).otherwise("internal_only").alias("visibility"),
+        F.when(shown, F.col("visibility")).otherwise("internal_only").alias("visibility"),
         shown.alias("seller_visible"), shown.alias("routing_eligible"), "final_decision",
         F.col("six_component_score").alias("final_score"), "evidence_strength", "decay_factor", "signal_age_days",
-        F.coalesce("identity_confidence", F.lit(0.0)).alias("identity_confidence"),
-        F.coalesce("candidate_entity_id", F.concat(F.lit("no_entity:"), F.col("evidence_uid"))).alias("buyer_account_key"),
+        "identity_confidence",
+        F.col("candidate_entity_id").alias("buyer_account_key"),
         choose([(F.contains(method, F.lit(prefix)), "known_trade_account"),
                 (F.contains(method, F.lit("crm")) | F.contains(method, F.lit("account")), "known_crm_account"),
                 (F.col("identity_status") == "poor_identity", "unresolved_account")],

@@ -26,7 +26,7 @@ def parse_gate(gate: Column) -> Column:
 def confidence_gate(instances: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Instances (entity, id, confidence) with the gate of their entity type and whether they pass; no gate, pass."""
     gates = taxonomy.select("entity", parse_gate(F.col("gate")).alias("required"))
-    return instances.join(F.broadcast(gates), "entity", "left").withColumn(
+    return instances.join(gates, "entity", "left").withColumn(
         "passed", F.coalesce(F.col("confidence") >= F.col("required"), F.lit(True)))
 
 

@@ -11,6 +11,7 @@ from leadloom.functions.rank import best_row, top_k
 from leadloom.functions.values import as_ts, choose, norm, tidy_round
 from leadloom.operators.enrich import contains_pairs
 from leadloom.operators.health import days_silent
+from leadloom.session import staged
 
 AT_RISK = ("stressed", "dormant", "churned")
 # Points of the supplier ranking and where they apply.
@@ -187,7 +188,8 @@ def match_suppliers(opps: DataFrame, candidates: DataFrame, rels: DataFrame, cou
     of an opportunity lie in the top six (one may be the excluded supplier) of four lists: per
     code, per 4-digit prefix, and both again within the buyer's country. (2) Own points take few
     distinct values, so the lowest score over all candidates comes out of per-value counts of the
-    same four groups by inclusion and exclusion. Both steps are linear in the relationships.
+    same four groups by inclusion and exclusion. Both steps are linear in the relationships. The
+    small tables that several branches read (asked, demand, reach) are written once.
     """
     k = TOP_SUPPLIERS + 1
     place = countries.select("buyer_id", norm("country").alias("country")).where("country <> ''").distinct()
@@ -196,13 +198,15 @@ def match_suppliers(opps: DataFrame, candidates: DataFrame, rels: DataFrame, cou
         place, "buyer_id", "left").select(
         "opportunity_id", "existing_supplier_id", "hs_code", F.substring("hs_code", 1, 4).alias("hs_prefix"),
         F.coalesce("country", F.lit("")).alias("country"))
-    demand = asked.groupBy("hs_code", "hs_prefix", "country").agg(F.lit(1).alias("one")).drop("one")
+    asked = staged(asked, "asked")
+    demand = staged(asked.groupBy("hs_code", "hs_prefix", "country").agg(F.lit(1).alias("one")).drop("one"), "demand")
 
     # Which supplier ships to which asked country ("holds the name", as text).
     shipped = rels.select("supplier_id", "buyer_id").distinct().join(place, "buyer_id").select(
         "supplier_id", F.col("country").alias("long_text")).distinct()
     same = contains_pairs(place, "country", demand.where("country <> ''"), "country")
-    reach = shipped.join(same, "long_text").select("supplier_id", F.col("short_text").alias("country")).distinct()
+    reach = staged(shipped.join(same, "long_text").select(
+        "supplier_id", F.col("short_text").alias("country")).distinct(), "reach")
 
     by_code = candidates.select("hs_code", "supplier_id", "own_points")
     by_prefix = candidates.select("hs_prefix", "supplier_id", "own_points").distinct()

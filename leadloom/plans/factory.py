@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from leadloom.config import Scoring
 from leadloom.operators import factory as f
+from leadloom.session import staged
 
 
 class FactoryPlan:
@@ -16,25 +17,38 @@ class FactoryPlan:
     def __init__(self, signals: DataFrame, as_of: str, cfg: Scoring = Scoring()):
         self.signals, self.as_of, self.cfg = signals, as_of, cfg
 
+    @cached_property
+    def evidenced(self) -> DataFrame:
+        """Signals with identity and evidence columns, written once.
+
+        All stages in one projection would make a generated method too large to compile; and the
+        leads, the deduplication and the quality report all start from here.
+        """
+        return staged(f.with_evidence(f.with_identity(self.signals), self.as_of, self.cfg), "evidenced")
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        return f.with_class(f.with_fit(self.evidenced, self.cfg), self.cfg)
+
     @cached_property
     def hypotheses(self) -> DataFrame:
-        return f.identity_hypotheses(self.signals)
+        return f.identity_hypotheses(f.with_identity(self.signals))
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return f.evidence(self.signals, self.as_of, self.cfg)
+        return f.evidence(self.evidenced)
 
     @cached_property
     def fits(self) -> DataFrame:
-        return f.fit_scores(self.evidence, self.hypotheses, self.cfg)
+        return f.fit_scores(self.wide)
 
     @cached_property
     def classes(self) -> DataFrame:
-        return f.classify_leads(self.evidence, self.fits, self.cfg)
+        return f.classify_leads(self.wide)
 
     @cached_property
     def created(self) -> DataFrame:
-        return f.create_leads(self.classes, self.fits, self.evidence, self.hypotheses, self.cfg)
+        return f.create_leads(self.wide, self.cfg)
 
     @cached_property
     def leads(self) -> DataFrame:

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -53,10 +55,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, for loops whose plan would grow with each turn."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)

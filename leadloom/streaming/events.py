@@ -172,13 +172,14 @@ def email_scores(leads: DataFrame, emails: DataFrame) -> DataFrame:
 
     Adding d and then clamping to lo..hi is a function (d, lo, hi); two in a row are again one:
     lo and hi of the first move by the second's d and are clamped by the second. So events are
-    folded per lead and day first and the days then, and no lead's whole history is in one fold.
+    folded per lead and minute, then the minutes of a day, then the days; no fold holds a whole
+    history.
     """
     kind = F.lower(text("event_type"))
     steps = emails.withColumn("d", choose([(kind.isin(*EMAIL_UP), EMAIL_GAIN), (kind.isin(*EMAIL_DOWN), EMAIL_LOSS)], None))
     low, high = F.lit(SCORE_LOW).cast("long"), F.lit(SCORE_HIGH).cast("long")
     steps = steps.where("d is not null").select(
-        "lead_uid", F.to_date("at").alias("day"), F.struct("at", "event_id", F.col("d").cast("long").alias("d"),
+        "lead_uid", F.to_date("at").alias("day"), F.date_trunc("minute", "at").alias("minute"), F.struct("at", "event_id", F.col("d").cast("long").alias("d"),
                                                          low.alias("lo"), high.alias("hi")).alias("f"))
 
     def clamp(x: Column, f: Column) -> Column:
@@ -189,9 +190,12 @@ def email_scores(leads: DataFrame, emails: DataFrame) -> DataFrame:
                          F.lit(1_000_000).cast("long").alias("hi"))
         return F.aggregate(F.array_sort(items), start, lambda a, f: F.struct(
             (a["d"] + f["d"]).alias("d"), clamp(a["lo"], f).alias("lo"), clamp(a["hi"], f).alias("hi")))
-    per_day = steps.groupBy("lead_uid", "day").agg(fold(F.collect_list("f")).alias("g"))
-    total = per_day.select("lead_uid", F.struct("day", "g.d", "g.lo", "g.hi").alias("f")).groupBy("lead_uid").agg(
-        fold(F.collect_list("f")).alias("g"))
+    folded = steps
+    for keys in (["lead_uid", "day", "minute"], ["lead_uid", "day"], ["lead_uid"]):
+        folded = folded.groupBy(*keys).agg(fold(F.collect_list("f")).alias("g"))
+        if len(keys) > 1:  # the key that goes away is the order of the next fold
+            folded = folded.select(*keys[:-1], F.struct(F.col(keys[-1]).alias("at"), "g.d", "g.lo", "g.hi").alias("f"))
+    total = folded
     joined = leads.join(total, "lead_uid", "left")
     return joined.withColumn("score_final", F.coalesce(clamp(F.col("score_final").cast("long"), F.col("g")), "score_final")).drop("g")
 

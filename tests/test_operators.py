@@ -63,7 +63,7 @@ def test_evidence_windows_and_ages(spark):
     for name in ("account_hint", "person_hint", "domain_hint", "email_hint", "phone_hint", "product_hint", "category_hint", "hs_code",
                  "session_id", "confidence_score", "number_of_shipments"):
         sig = sig.withColumn(name, F.lit(None).cast("string"))
-    got = {r.signal_uid: (r.signal_age_days, r.evidence_strength) for r in factory.evidence(sig, AS_OF).collect()}
+    got = {r.signal_uid: (r.signal_age_days, r.evidence_strength) for r in factory.evidence(factory.with_evidence(factory.with_identity(sig), AS_OF)).collect()}
     assert got == {"s0": (0, 80), "s1": (7, 63), "s3": (0, 80)}
 
 
