@@ -45,5 +45,5 @@ def register(r: Registry) -> None:
     r.add("route_leads", lambda i: tuned(i).routed,
           "lead_uid,lead_type,routing_queue,queue_id,seller_id,notification_id,channel,template,urgency,history_id,outcome_id",
           "tuned_route_leads")
-    r.add("pipeline_quality", lambda i: plan(i).quality,
-          "total_signals:i,signals_without_identity:i,signals_with_identity:i,evidence_missing_strength:i,evidence_invalid_strength:i,leads_without_classification:i,weak_leads:i,total_leads:i,orphaned_identity_hypotheses:i,evidence_without_identity:i,identity_miss_pct:d,evidence_null_pct:d,weak_leads_pct:d,failures:i,failure_messages,passed")
+    r.add("factory_quality", lambda i: plan(i).quality,
+          "total_signals:i,signals_without_identity:i,signals_with_identity:i,evidence_missing_strength:i,evidence_invalid_strength:i,leads_without_classification:i,weak_leads:i,total_leads:i,orphaned_identity_hypotheses:i,evidence_without_identity:i,identity_miss_pct:d,evidence_null_pct:d,weak_leads_pct:d,failures:i,failure_messages,passed", "pipeline_quality")

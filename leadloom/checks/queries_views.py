@@ -96,9 +96,9 @@ def register(r: Registry) -> None:
         "opportunity_id,rel_id,detection_method,health_score:d,health_status,switch_probability:d")
     add("detection_comparison", lambda i: v.detection_comparison(plan(i).scored, plan(i).health),
         "detection_method,total:i,avg_health_score:d,avg_switch_prob_pct:d,churned:i,dormant:i,stressed:i")
-    add("pipeline_counts", lambda i: v.pipeline_counts({
+    add("result_counts", lambda i: v.pipeline_counts({
         "Lead": i.leads, "TradeRelationship": plan(i).rels, "Seller": i.sellers, "SellerLeadAssignment": i.assignments,
-        "SupplierSwitchOpportunity": plan(i).opportunities}), "label,rows:i")
+        "SupplierSwitchOpportunity": plan(i).opportunities}), "label,rows:i", "pipeline_counts")
     add("enriched_leads", enriched,
         "lead_id,buyer_name,existing_supplier_name,candidate_supplier_name,hs_code,hs_description,final_lead_score:d,urgency,health_score:d,monthly_volume:d,total_shipments:i,months_since_last:i,act_within_two_weeks")
     add("decision_makers", lambda i: v.decision_makers(i.company_search.select(F.col("company_name").alias("company")), _people(i)),

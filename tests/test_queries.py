@@ -15,7 +15,7 @@ SOME = ["monthly_trade", "trade_snapshots", "stress_rules", "score_opportunities
         "create_leads", "buyer_profiles", "session_leads", "keyed_merge", "gold_upsert", "assign_leads", "demote_stale",
         "apply_overrides", "stream_profiles", "effective_permissions", "lead_prediction", "classifier_metrics"]
 LAZY = ["trade_snapshots", "match_profiles", "dedup_leads", "session_leads", "strategic_watch", "keyed_merge",
-        "link_conversion_buyers", "pipeline_quality", "next_best_action", "keyword_use_cases", "contact_links"]
+        "link_conversion_buyers", "factory_quality", "next_best_action", "keyword_use_cases", "contact_links"]
 
 
 @pytest.fixture(scope="module")
