@@ -53,7 +53,7 @@ long AS (SELECT DISTINCT s.doc_id, s.item_id FROM seeds s JOIN (SELECT doc_id, l
   WHERE c = 6 AND s + shift >= 1 AND s + shift + 8 <= size),
 found AS (SELECT doc_id, item_id FROM long UNION SELECT doc_id, item_id FROM short),
 per AS (SELECT doc_id, list_sort(list(item_id)) AS items FROM found GROUP BY doc_id)
-SELECT doc_id, items IS NOT NULL AS contaminated, coalesce(items, []) AS items FROM documents LEFT JOIN per USING (doc_id)"""
+SELECT doc_id, items IS NOT NULL AS contaminated, array_to_string(coalesce(items, []), ',') AS items FROM documents LEFT JOIN per USING (doc_id)"""
 
 OP8 = r"""
 WITH u AS (SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS DATE) AS fetched_on,
@@ -89,9 +89,9 @@ WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(
 g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
 e AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM g),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS both FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id < b.doc_id
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS common FROM e a JOIN e b ON a.gram = b.gram AND a.doc_id < b.doc_id
   AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
-l AS (SELECT a, b FROM p WHERE 100 * both >= 90 * (n + m - both)),
+l AS (SELECT a, b FROM p WHERE 100 * common >= 90 * (n + m - common)),
 links AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, k.b FROM reach r JOIN links k ON r.b = k.a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id FROM g"""

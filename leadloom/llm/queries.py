@@ -58,7 +58,8 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
 
 
 def op7_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
