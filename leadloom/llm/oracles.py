@@ -21,7 +21,7 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND word_chars / n >= 2 AND word_chars / n <= 15 AND n_symbols / n <= 0.1 AND stops / n >= 0.02
-    AND n_dup_lines / n_lines <= 0.3 AND ellipses / n_lines <= 0.3 AND bullets / n_lines <= 0.9
+    AND n_dup_lines / n_lines <= 0.5 AND ellipses / n_lines <= 0.3 AND bullets / n_lines <= 0.9
     AND uppers / greatest(letters, 1) <= 0.6 AS kept
 FROM b"""
 

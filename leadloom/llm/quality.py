@@ -38,7 +38,7 @@ RULES = (
     Rule("mean_word_length", 2.0, 15.0),
     Rule("symbols_per_word", None, 0.1),
     Rule("stop_word_ratio", 0.02, None),
-    Rule("dup_line_ratio", None, 0.3),
+    Rule("dup_line_ratio", None, 0.5),
     Rule("ellipsis_line_ratio", None, 0.3),
     Rule("bullet_line_ratio", None, 0.9),
     Rule("upper_ratio", None, 0.6),
