@@ -6,14 +6,17 @@ The join is exact and shuffles keys, not texts:
 1. Equal sets form a class (128-bit digest); only the smallest id of a class goes on. A class of a third of all rows
    costs one row per map task.
 2. The forest's upper level: a class enters the trees of its rarest n-grams only. Ordered by corpus frequency, linked
-   sets share one of their first ``n - ceil(percent * n / 100) + 1`` n-grams, so no linked pair is apart. N-grams with
-   more than 2^-20 of all occurrences (at most 2^20 of them, the only thing broadcast) come last in that order, so
-   passages which many documents hold open no tree.
-3. Every class is compared with the smallest id met in its trees. What links is joined up; trees whose classes are all
-   joined need nothing more. This makes large families of near copies cheap without leaving pairs out.
-4. The other trees: leaves hold a class's size and a bitmap of its n-grams, nodes the OR of their children's bitmaps and
-   the range of sizes. A dual traversal from (root, root) drops node pairs whose largest possible overlap is too small,
-   or which are joined already. Trees over ``tile`` classes are cut into tiles that meet pair by pair.
+   sets share at least ``extra`` of their first ``n - ceil(percent * n / 100) + extra`` n-grams, so no linked pair is
+   apart; a class that shares fewer with all others has no link and leaves. N-grams with more than 2^-20 of all occurrences
+   (at most 2^20 of them, the only thing broadcast) come last in that order, so passages which many documents hold open no
+   tree. Trees of the same classes are one tree.
+3. Every class is compared with the smallest id of most of its trees. What links is joined up; trees whose classes are
+   all joined need nothing more. This makes large families of near copies cheap without leaving pairs out.
+4. The other trees: leaves hold a class's size and a bitmap of its n-grams (about four bits each), nodes the OR of their
+   children's bitmaps and the range of sizes. A dual traversal from (root, root) drops node pairs whose largest possible
+   overlap is too small, or which are joined already. A tree of one node's size has only leaf pairs; those of all such
+   trees are made distinct before they meet their bitmaps. Trees over ``tile`` classes are cut into tiles that meet pair by
+   pair.
 5. Pairs that remain are checked on the whole sets. Components come from large and small stars.
 
 Sets of classes that share an n-gram are computed again from the texts instead of being stored for all documents.
@@ -35,8 +38,10 @@ from leadloom.llm.tokens import blocks, find_words, hash_words, mix, sets_of, sh
 from leadloom.session import staged
 
 HOT_SHARE = 20  # an n-gram is frequent from 2^-20 of all occurrences on
-BITS = 2048  # of a bitmap
+LEAST_BITS = 512  # of a bitmap; a power of two with at least four bits for each n-gram
 FANOUT = 8
+ONE_NODE = 32  # classes of a tree that is one node
+EXTRA = 4  # a quarter more n-grams than needed to share one, so that linked sets share that many more
 TILE = 1024
 BROADCAST_IDS = 500_000  # ids that may be broadcast (8 bytes each); beyond, the join shuffles
 
@@ -69,7 +74,8 @@ def _prefixes(docs: DataFrame, key: str, text: str, words: int, percent: int, ho
 
     def rare(values: np.ndarray) -> np.ndarray:
         n = len(values)
-        want = n - -(-percent * n // 100) + 1 if n else 0
+        spare = n - -(-percent * n // 100)
+        want = spare + 1 + spare // EXTRA if n else 0
         kinds, times = shared.value
         weight = np.zeros(n, np.int64)
         if len(kinds) and n:
@@ -91,40 +97,85 @@ def _prefixes(docs: DataFrame, key: str, text: str, words: int, percent: int, ho
     return docs.select(key, text).mapInArrow(run, "id long, n long, digest binary, rare array<long>")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """id, its n-grams ascending, a bitmap of them."""
+def _bitmaps(docs: DataFrame, words: int) -> DataFrame:
+    """id, n (size of its set), bits (a bitmap of its n-grams)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            sets = sets_of(batch.column("text"), words)
-            maps = []
+            sets, maps = sets_of(batch.column("text"), words), []
             for s in sets:
-                bits = np.zeros(BITS // 64, np.uint64)
-                spot = (mix(s) % np.uint64(BITS)).astype(np.int64)
+                width = max(LEAST_BITS, 1 << (4 * len(s) - 1).bit_length())
+                bits = np.zeros(width // 64, np.uint64)
+                spot = (mix(s) & np.uint64(width - 1)).astype(np.int64)
                 np.bitwise_or.at(bits, spot >> 6, np.uint64(1) << (spot & 63).astype(np.uint64))
                 maps.append(bits.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array(maps, pa.binary())], ["id", "n", "bits"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, n long, bits binary")
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """id, other, its n-grams ascending."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            sets = sets_of(batch.column("text"), words)
             edge = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(edge), pa.array(flat)),
-                                              pa.array(maps, pa.binary())], ["id", "grams", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("other"), pa.ListArray.from_arrays(
+                pa.array(edge), pa.array(np.concatenate(sets).view(np.int64)))], ["id", "other", "grams"])
+
+    return docs.select("id", "other", "text").mapInArrow(run, "id long, other long, grams array<long>")
 
-    return docs.mapInArrow(run, "id long, grams array<long>, bits binary")
 
+def _hinted(df: DataFrame) -> DataFrame:
+    """Broadcast if the (stored) table is short enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
+
+def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b), stored, whose whole sets are similar enough. A set travels once per pair, to its partner a."""
+    ones = staged(pairs.select(F.col("a").alias("id")).distinct(), "ones")
+    two = docs.join(_hinted(pairs.select(F.col("b").alias("id"), F.col("a").alias("other"))), "id")
+    one = docs.join(_hinted(ones), "id").withColumn("other", F.col("id"))
+    left = _sets(two, words).select(F.col("other").alias("a"), F.col("id").alias("b"), F.col("grams").alias("gb"))
+    right = _sets(one, words).select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     both = F.size(F.array_intersect("ga", "gb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", both.alias("both"), (F.size("ga") + F.size("gb")).alias("sizes"))
+    return (left.join(right, "a").select("a", "b", both.alias("both"), (F.size("ga") + F.size("gb")).alias("sizes"))
             .where(100 * F.col("both") >= percent * (F.col("sizes") - F.col("both"))).select("a", "b").distinct())
 
 
+def _possible_pairs(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xa, xb = (batch.column(c).to_pylist() for c in ("xa", "xb"))
+            na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+            widths, ok = np.array([min(len(x), len(y)) // 8 for x, y in zip(xa, xb)]), np.zeros(batch.num_rows, bool)
+            for width in np.unique(widths).tolist():
+                mine = np.flatnonzero(widths == width)
+                leaves = [_leaves([x[k] for k in mine.tolist()], n[mine], np.full(len(mine), -1), width)
+                          for x, n in ((xa, na), (xb, nb))]
+                ok[mine] = _possible(leaves[0], np.arange(len(mine)), leaves[1], np.arange(len(mine)), percent)
+            keep = pa.array(ok)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+    known = pairs.join(bitmaps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa")), "a")
+    known = known.join(bitmaps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb")), "b")
+    return known.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
+
+
+def _leaves(maps: list[bytes], n: np.ndarray, joined: np.ndarray, width: int) -> tuple:
+    """Bitmaps folded to ``width`` words, the bits set in them, sizes (low and high) and what each leaf is joined to."""
+    bits = np.empty((len(maps), width), np.uint64)
+    for k, m in enumerate(maps):
+        bits[k] = np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, width), axis=0)
+    return bits, np.bitwise_count(bits).sum(1, dtype=np.int64), n, n, joined
+
+
 class _Tree:
     """A signature tree over one group of classes, leaves in order of size."""
 
-    def __init__(self, bits: np.ndarray, n: np.ndarray, group: np.ndarray):
-        self.levels = [(bits, np.bitwise_count(bits).sum(1, dtype=np.int64), n, n, group)]
+    def __init__(self, leaves: tuple):
+        self.levels = [leaves]
         while len(self.levels[-1][0]) > 1:
             b, pop, low, high, grp = self.levels[-1]
             cut = np.arange(0, len(b), FANOUT)
@@ -173,44 +224,79 @@ def tree_pairs(one: _Tree, two: _Tree | None, percent: int) -> tuple[np.ndarray,
         i, j = i[ok], j[ok]
 
 
-def _group_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Candidates of one tile (own tree) or of two tiles (two trees)."""
-    trees, ids = [], []
-    for tile in sorted(rows["tile"].unique()):
-        part = rows[rows["tile"] == tile].drop_duplicates("id").sort_values(["n", "id"])
-        bits = np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(len(part), -1)
-        trees.append(_Tree(bits, part["n"].to_numpy(np.int64), part["joined"].to_numpy(np.int64)))
-        ids.append(part["id"].to_numpy(np.int64))
-    i, j = tree_pairs(trees[0], trees[1] if len(trees) > 1 else None, percent)
-    a, b = ids[0][i], ids[-1][j]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _segments(n: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Ranges of ascending sizes between which no pair can link."""
+    cut = np.flatnonzero(100 * n[:-1] < percent * n[1:]) + 1
+    edge = [0, *cut.tolist(), len(n)]
+    return list(zip(edge[:-1], edge[1:]))
+
+
+def _tree_group(rows: pd.DataFrame, percent: int) -> Iterator[pd.DataFrame]:
+    """Candidates of one tile (its own tree) or of two tiles (two trees)."""
+    rows = rows.drop_duplicates("id").sort_values(["n", "id"], ignore_index=True)
+    tiles = rows["tile"].unique()
+    for a, b in _segments(rows["n"].to_numpy(), percent):
+        part = rows.iloc[a:b]
+        width = min(map(len, part["bits"])) // 8
+        sides = [part[part["tile"] == t] for t in tiles]
+        if all(len(x) for x in sides):
+            trees = [_Tree(_leaves(x["bits"].tolist(), x["n"].to_numpy(np.int64), x["joined"].to_numpy(np.int64), width)) for x in sides]
+            i, j = tree_pairs(trees[0], trees[1] if len(trees) > 1 else None, percent)
+            x, y = sides[0]["id"].to_numpy()[i], sides[-1]["id"].to_numpy()[j]
+            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches of rows sorted by ``keys`` cut where a group ends."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if len(rows):
+            last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy()
+            edge = len(rows) - int(np.argmin(last[::-1])) if not last.all() else 0
+            if edge:
+                yield rows.iloc[:edge]
+            rest = rows.iloc[edge:]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def _node_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Leaf pairs of the trees of one node, by size and by what is joined; members: gram, id, n, joined."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _whole_groups(batches, ["gram"]):
+            gram, ids, n, joined = (rows[c].to_numpy() for c in ("gram", "id", "n", "joined"))
+            start = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            size = np.diff(np.append(start, len(gram)))
+            found = []
+            for m in np.unique(size[size > 1]).tolist():  # all trees of a size at once
+                i, j = np.triu_indices(m, 1)
+                at = start[size == m][:, None]
+                x, y = (at + i).ravel(), (at + j).ravel()
+                ok = (joined[x] != joined[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (ids[x] != ids[y])
+                found.append(np.stack((np.minimum(ids[x], ids[y])[ok], np.maximum(ids[x], ids[y])[ok])))
+            if found:
+                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pd.DataFrame({"a": a, "b": b})
+
+    return (members.select("gram", "id", "n", "joined").repartition("gram").sortWithinPartitions("gram")
+            .mapInPandas(run, "a long, b long").distinct())
 
 
 def _traverse(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of all trees; members: gram, id, n, joined, bits, tiles (how many the tree is cut into)."""
+    """Candidate pairs of larger trees; members: gram, id, n, joined, bits, tiles (how many the tree is cut into)."""
     tile = F.pmod(F.xxhash64("id"), F.col("tiles"))
     spread = members.withColumn("tile", tile).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     spread = spread.withColumn("one", F.least("tile", "other")).withColumn("two", F.greatest("tile", "other"))
+    order = ["gram", "one", "two"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None  # the rows of the group that the last batch broke off in
-        keys = ["gram", "one", "two"]
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy()
-            edge = len(rows) - int(np.argmin(last[::-1])) if not last.all() else 0
-            yield from whole(rows.iloc[:edge], keys)
-            rest = rows.iloc[edge:]
-        if rest is not None:
-            yield from whole(rest, keys)
+        for rows in _whole_groups(batches, order):
+            found = [p for _, g in rows.groupby(order, sort=False) for p in _tree_group(g, percent)]
+            if found:
+                yield pd.concat(found, ignore_index=True).drop_duplicates()
 
-    def whole(rows: pd.DataFrame, keys: list[str]) -> Iterator[pd.DataFrame]:
-        if len(rows):
-            found = [_group_pairs(g, percent) for _, g in rows.groupby(keys, sort=False)]
-            yield pd.concat(found, ignore_index=True).drop_duplicates()
-
-    order = ["gram", "one", "two"]
     return (spread.repartition(*order).sortWithinPartitions(*order)
             .select("gram", "one", "two", "tile", "id", "n", "joined", "bits")
             .mapInPandas(run, "a long, b long").distinct())
@@ -227,17 +313,29 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     every = staged(_prefixes(docs, "id", "text", words, percent, frequent_shingles(docs, "text", words)), "prefixes")
     real = every.where("n > 0 and id is not null")
-    classes = real.groupBy("digest").agg(F.min("id").alias("rep"), F.max("n").alias("size"))
-    heads = real.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi")
-    entries = heads.select("id", "n", F.explode("rare").alias("gram"))
-    trees = entries.groupBy("gram").agg(F.count("*").alias("classes"), F.min("id").alias("least")).where("classes > 1")
-    members = staged(entries.join(trees, "gram"), "members")
+    classes = real.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    copies = real.select("id", "digest").join(classes.where("copies > 1"), "digest").where("id <> rep")
+    copies = staged(copies.select("id", "digest").distinct(), "copies")
+    entries = real.join(_hinted(copies), ["id", "digest"], "left_anti").select("id", "n", F.explode("rare").alias("gram"))
+    trees = entries.groupBy("gram").agg(F.count("*").alias("classes")).where("classes > 1")
+    members = staged(entries.join(trees.select("gram"), "gram"), "members")
+    # the least that a linked class shares with this one: that of the smallest size that can link
+    least_size = F.expr(f"({percent} * n + 99) div 100")
+    need = least_size - F.expr(f"({percent} * (({percent} * n + 99) div 100) + 99) div 100")
+    enough = members.groupBy("id", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= 1 + F.floor(need / EXTRA))
+    members = members.join(enough.select("id", "n"), ["id", "n"])
+    same = [F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
+    trees = members.groupBy("gram").agg(F.count("*").alias("classes"), F.min("id").alias("least"), *same).where("classes > 1")
+    trees = trees.groupBy("classes", "least", "s1", "s2").agg(F.min("gram").alias("gram"), F.count("*").alias("times"))
+    members = staged(members.join(trees.select("gram", "least", "times"), "gram"), "trees")
 
     active = staged(members.select("id").distinct(), "active")
-    small = active.count() <= BROADCAST_IDS
-    sets = staged(_sets(docs.join(F.broadcast(active) if small else active, "id", "left_semi"), words), "sets")
-    first = members.where("least < id").groupBy("id").agg(F.min("least").alias("a")).select("a", F.col("id").alias("b"))
-    stars = staged(_linked(first, sets, percent), "stars")
+    docs = docs.where("id IS NOT NULL")
+    bitmaps = staged(_bitmaps(docs.join(_hinted(active), "id", "left_semi"), words), "bitmaps")
+    first = members.where("least < id").groupBy("id", "least").agg(F.sum("times").alias("times"))
+    first = first.groupBy(F.col("id").alias("b")).agg(F.max_by("least", F.struct("times", -F.col("least"))).alias("a")).select("a", "b")
+    first = staged(_possible_pairs(first, bitmaps, percent), "first")
+    stars = staged(_linked(first, docs, words, percent), "stars")
 
     joined = members.select("id").distinct().join(stars.select(F.col("b").alias("id"), "a"), "id", "left")
     joined = joined.select("id", F.coalesce("a", "id").alias("joined"))
@@ -247,10 +345,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     known = members.join(joined, "id")
     open_trees = known.groupBy("gram").agg(F.min("joined").alias("j0"), F.max("joined").alias("j1"),
                                            F.count("*").alias("rows")).where("j0 <> j1")
-    open_trees = open_trees.select("gram", F.ceil(F.col("rows") / tile).alias("tiles"))
-    rows = known.join(open_trees, "gram").join(sets.select("id", "bits"), "id")
-    pairs = staged(_traverse(rows, percent), "pairs")
-    links = staged(_linked(pairs, sets, percent).union(stars), "links")
+    rows = staged(known.join(open_trees.select("gram", "rows"), "gram"), "open")
+    nodes = staged(_node_pairs(rows.where(f"rows <= {ONE_NODE}"), percent), "nodes")
+    large = rows.where(f"rows > {ONE_NODE}").withColumn("tiles", F.ceil(F.col("rows") / tile)).join(bitmaps.select("id", "bits"), "id")
+    pairs = staged(_possible_pairs(nodes, bitmaps, percent).union(_traverse(large, percent)).distinct(), "pairs")
+    links = staged(_linked(pairs, docs, words, percent).union(stars), "links")
 
     graph = components(links).withColumnRenamed("id", "rep")
     graph = classes.join(graph, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
@@ -267,8 +366,7 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     groups = staged(jaccard_components(docs, key, text, words, percent), "groups")
     gone = staged(groups.where(f"`{key}` <> component_id").select(F.col(key).alias("_gone")).distinct(), "gone")
-    small = gone.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if small else gone, docs[key] == F.col("_gone"), "left_anti")
+    kept = docs.join(_hinted(gone), docs[key] == F.col("_gone"), "left_anti")
     twice = staged(groups.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
                    .select(F.col(key).alias("_twice")), "twice")
     if twice.isEmpty():
