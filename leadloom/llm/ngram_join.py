@@ -5,11 +5,12 @@ The join is exact and shuffles keys, not texts:
 
 1. Equal sets form a class (128-bit digest); only the smallest id of a class goes on. A class of a third of all rows
    costs one row per map task.
-2. The forest's upper level: a class enters the trees of its rarest n-grams only. Ordered by corpus frequency, linked
+2. The forest's upper level: a class enters the trees of its rarest n-grams only. Ordered from rare to frequent, linked
    sets share at least ``extra`` of their first ``n - ceil(percent * n / 100) + extra`` n-grams, so no linked pair is
-   apart; a class that shares fewer with all others has no link and leaves. N-grams with more than 2^-20 of all occurrences
-   (at most 2^20 of them, the only thing broadcast) come last in that order, so passages which many documents hold open no
-   tree. Trees of the same classes are one tree.
+   apart; a class that shares fewer with all others has no link and leaves. Order is by the frequency of an n-gram's
+   words (those with more than 2^-18 of all), so rare words decide at any size of the corpus; n-grams with more than 2^-20
+   of all occurrences come last, so passages which many documents hold open no tree. These two tables, of at most 2^18 and
+   2^20 rows, are broadcast. Trees of the same classes are one tree.
 3. Every class is compared with the smallest id of most of its trees. What links is joined up; trees whose classes are
    all joined need nothing more. This makes large families of near copies cheap without leaving pairs out.
 4. The other trees: leaves hold a class's size and a bitmap of its n-grams (about four bits each), nodes the OR of their
@@ -38,6 +39,7 @@ from leadloom.llm.tokens import blocks, find_words, hash_words, mix, sets_of, sh
 from leadloom.session import staged
 
 HOT_SHARE = 20  # an n-gram is frequent from 2^-20 of all occurrences on
+WORD_SHARE = 18  # a word is frequent from 2^-18 on
 LEAST_BITS = 512  # of a bitmap; a power of two with at least four bits for each n-gram
 FANOUT = 8
 ONE_NODE = 32  # classes of a tree that is one node
@@ -46,53 +48,74 @@ TILE = 1024
 BROADCAST_IDS = 500_000  # ids that may be broadcast (8 bytes each); beyond, the join shuffles
 
 
-def frequent_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent n-grams and their counts, ascending by n-gram. Only the order of n-grams depends on them, no result."""
+def frequencies(docs: DataFrame, text: str, words: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Frequent n-grams and frequent words with their counts, ascending. Only the order of n-grams depends on them, no result."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, text, 24 << 20):
+        for batch in blocks(batches, text, 4 << 20):
             data, at = text_bytes(batch.column(text))
             found = find_words(data, at)
-            values, _ = shingles(hash_words(data, found), found.text, len(at) - 1, words)
-            kinds, times = np.unique(values, return_counts=True)
-            keep = times >= max(2, len(values) >> HOT_SHARE)
-            keep &= times >= 4
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.append(kinds[keep].view(np.int64), 0)), pa.array(np.append(times[keep], 0)),
-                pa.array(np.append(np.zeros(keep.sum(), np.int64), len(values)))], ["shingle", "times", "size"])
-
-    parts = staged(docs.select(text).mapInArrow(count, "shingle long, times long, size long"), "frequent")
-    total = parts.agg(F.sum("size")).first()[0] or 0
-    hot = parts.where("times > 0").groupBy("shingle").agg(F.sum("times").alias("times"))
-    hot = hot.where(F.col("times") > (total >> HOT_SHARE)).toPandas()  # at most 2^20 rows by the share
-    hot = hot.assign(shingle=hot["shingle"].to_numpy(np.int64).view(np.uint64)).sort_values("shingle")
-    return hot["shingle"].to_numpy(np.uint64), hot["times"].to_numpy(np.int64)
+            hashes = hash_words(data, found)
+            grams = shingles(hashes, found.text, len(at) - 1, words)[0]
+            for kind, values in ((0, grams), (1, hashes)):
+                kinds, times = np.unique(values, return_counts=True)
+                keep = times >= 3  # what a block holds less often is not counted; that can only change the order
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(keep.sum() + 1, kind, np.int32)), pa.array(np.append(kinds[keep].view(np.int64), 0)),
+                    pa.array(np.append(times[keep], 0)), pa.array(np.append(np.zeros(keep.sum(), np.int64), len(values)))],
+                    ["kind", "value", "times", "size"])
+
+    parts = staged(docs.select(text).mapInArrow(count, "kind int, value long, times long, size long"), "frequent")
+    sizes = {r["kind"]: r["size"] for r in parts.groupBy("kind").agg(F.sum("size").alias("size")).collect()}
+    tables = []
+    for kind, share in ((0, HOT_SHARE), (1, WORD_SHARE)):
+        hot = parts.where(f"times > 0 AND kind = {kind}").groupBy("value").agg(F.sum("times").alias("times"))
+        hot = hot.where(F.col("times") > (sizes.get(kind, 0) >> share)).toPandas()  # bounded by the share
+        hot = hot.assign(value=hot["value"].to_numpy(np.int64).view(np.uint64)).sort_values("value")
+        tables.append((hot["value"].to_numpy(np.uint64), hot["times"].to_numpy(np.int64)))
+    return tables
+
+
+def _counts(table: tuple[np.ndarray, np.ndarray], values: np.ndarray) -> np.ndarray:
+    """The counts of values in a table, 0 if they are not in it."""
+    kinds, times = table
+    if not len(kinds) or not len(values):
+        return np.zeros(len(values), np.int64)
+    place = np.minimum(np.searchsorted(kinds, values), len(kinds) - 1)
+    return np.where(kinds[place] == values, times[place], 0)
 
 
 def _prefixes(docs: DataFrame, key: str, text: str, words: int, percent: int, hot) -> DataFrame:
     """key, n, digest of the set, its rarest n-grams (``rare``)."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
-    def rare(values: np.ndarray) -> np.ndarray:
+    def rare(values: np.ndarray, order: np.ndarray) -> np.ndarray:
         n = len(values)
         spare = n - -(-percent * n // 100)
         want = spare + 1 + spare // EXTRA if n else 0
-        kinds, times = shared.value
-        weight = np.zeros(n, np.int64)
-        if len(kinds) and n:
-            place = np.minimum(np.searchsorted(kinds, values), len(kinds) - 1)
-            weight = np.where(kinds[place] == values, times[place], 0)
-        return values[np.lexsort((mix(values), weight))[:want]]
+        return values[np.lexsort((mix(values), order))[:want]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, known = shared.value
         for batch in blocks(batches, text):
-            sets = sets_of(batch.column(text), words)
-            heads = [rare(s) for s in sets]
-            flat = np.concatenate(heads).view(np.int64)
-            edge = np.concatenate(([0], np.cumsum([len(h) for h in heads]))).astype(np.int32)
+            data, at = text_bytes(batch.column(text))
+            found = find_words(data, at)
+            hashes = hash_words(data, found)
+            rank = (8 * np.log2(_counts(known, hashes) + 1)).astype(np.int64)
+            values, owner, order = shingles(hashes, found.text, len(at) - 1, words, rank)
+            often = _counts(grams, values)
+            order = np.where(often > 0, (1 << 20) + often, order)
+            edge = np.searchsorted(owner, np.arange(len(at)))
+            sizes, digests, heads = [], [], []
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                own, first = np.unique(values[a:b], return_index=True)
+                sizes.append(len(own))
+                digests.append(xxhash.xxh3_128_digest(own.tobytes()))
+                heads.append(rare(own, order[a:b][first]))
+            cut = np.concatenate(([0], np.cumsum([len(h) for h in heads]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                batch.column(key), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))], ["id", "n", "digest", "rare"])
+                batch.column(key), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(heads).view(np.int64)))],
+                ["id", "n", "digest", "rare"])
 
     return docs.select(key, text).mapInArrow(run, "id long, n long, digest binary, rare array<long>")
 
@@ -311,7 +334,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     their names, are not read.
     """
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    every = staged(_prefixes(docs, "id", "text", words, percent, frequent_shingles(docs, "text", words)), "prefixes")
+    every = staged(_prefixes(docs, "id", "text", words, percent, frequencies(docs, "text", words)), "prefixes")
     real = every.where("n > 0 and id is not null")
     classes = real.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     copies = real.select("id", "digest").join(classes.where("copies > 1"), "digest").where("id <> rep")

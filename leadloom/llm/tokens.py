@@ -53,7 +53,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return every[at[0]:at[-1]], at - at[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut between rows so that one holds about ``most`` bytes of text, or one longer text."""
     for batch in batches:
         if not batch.num_rows:
@@ -117,20 +117,22 @@ def hash_words(data: np.ndarray, words: Words, lower: bool = True) -> np.ndarray
     return mix(out ^ (words.end - words.start).astype(np.uint64))
 
 
-def shingles(hashes: np.ndarray, text: np.ndarray, texts: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``n`` words and their text numbers, in text order; a text with fewer words gives one
-    shingle of all of them, a text without words none."""
+def shingles(hashes: np.ndarray, text: np.ndarray, texts: int, n: int,
+             weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``n`` words, their text numbers, in text order, and the sums of their words' weights; a text with
+    fewer words gives one shingle of all of them, a text without words none."""
+    weights = np.zeros(len(hashes), np.int64) if weights is None else weights
     count = np.bincount(text, minlength=texts) if len(text) else np.zeros(texts, np.int64)
     begin = np.concatenate(([0], np.cumsum(count)))[:-1]
     odd = np.uint64(0xD6E8FEB86659FD93)
     if len(hashes) >= n:
         whole = np.flatnonzero(text[:len(text) - n + 1] == text[n - 1:])
-        acc = hashes[whole]
+        acc, heavy = hashes[whole], weights[whole]
         for k in range(1, n):
-            acc = acc * odd + hashes[whole + k]
+            acc, heavy = acc * odd + hashes[whole + k], heavy + weights[whole + k]
     else:
-        whole, acc = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    values, owner = [mix(acc)], [text[whole]]
+        whole, acc, heavy = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    values, owner, sums = [mix(acc)], [text[whole]], [heavy]
     for size in range(1, n):
         few = np.flatnonzero(count == size)
         if len(few):
@@ -139,15 +141,19 @@ def shingles(hashes: np.ndarray, text: np.ndarray, texts: int, n: int) -> tuple[
                 acc = acc * odd + hashes[begin[few] + k]
             values.append(mix(acc + np.uint64(size)))
             owner.append(few)
-    values, owner = np.concatenate(values), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable") if len(owner) else owner
-    return values[order], owner[order]
+            sums.append(sum(weights[begin[few] + k] for k in range(size)))
+    short = len(values) > 1
+    values, owner, sums = np.concatenate(values), np.concatenate(owner), np.concatenate(sums)
+    if short:
+        order = np.argsort(owner, kind="stable")
+        values, owner, sums = values[order], owner[order], sums[order]
+    return values, owner, sums
 
 
 def sets_of(texts: pa.Array, n: int) -> list[np.ndarray]:
     """The distinct shingles of every text, ascending."""
     data, at = text_bytes(texts)
     words = find_words(data, at)
-    values, owner = shingles(hash_words(data, words), words.text, len(at) - 1, n)
+    values, owner, _ = shingles(hash_words(data, words), words.text, len(at) - 1, n)
     edge = np.searchsorted(owner, np.arange(len(at)))
     return [np.unique(values[a:b]) for a, b in zip(edge[:-1], edge[1:])]
