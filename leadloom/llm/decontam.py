@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Tokens are runs of letters and digits in lower case. A seed is nine tokens seen through a mask that ignores every third of
-them; with the three masks a substituted word in nine does not hide a passage. Seeds of the training texts meet those of
+Tokens are runs of letters and digits in lower case. A seed is eight or nine tokens seen through a mask that ignores every
+third of them; between the two masks, over all starts, a substituted word in nine does not hide a passage. Seeds of the training texts meet those of
 the benchmark in a hash join; a hit gives an alignment (document, item, shift). Around the hits whole texts are compared:
 an item leaks into a document if on one alignment at least 11 of 13 consecutive item tokens agree (80 % of all tokens of
 an item shorter than that). Items of fewer than nine tokens are sought with all their tokens; items of fewer than
@@ -17,7 +17,7 @@ from leadloom.llm.exprs import let
 from leadloom.session import staged
 
 SPAN = 9
-MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8), (1, 2, 4, 5, 7, 8))  # token positions that count
+MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8))  # token positions that count; the third shift is the first one step on
 WINDOW = 13
 NEEDED = 0.8
 MIN_TOKENS = 5
@@ -34,19 +34,21 @@ def _starts(h: Column, span: int) -> Column:
     return F.when(F.size(h) >= span, F.sequence(F.lit(0), F.size(h) - span)).otherwise(F.array().cast("array<int>"))
 
 
-def _seeds(h: Column, masks: tuple[tuple[int, ...], ...], span: int) -> list[Column]:
+def _seeds(h: Column, masks: tuple[tuple[int, ...], ...]) -> list[Column]:
     """For every mask the seeds at all starts."""
     def one(k: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(_starts(h, span), lambda i: F.xxhash64(F.lit(1000 * span + k), *[F.get(h, i + p) for p in mask]))
+        return F.transform(_starts(h, mask[-1] + 1), lambda i: F.xxhash64(F.lit(1000 * mask[-1] + k), *[F.get(h, i + p) for p in mask]))
     return [one(k, mask) for k, mask in enumerate(masks)]
 
 
-def _exploded(df: DataFrame, keep: list[str], tokens_column: str, masks, span: int) -> DataFrame:
-    """keep, at, seed: one row per start and mask."""
-    every = let(F.col(tokens_column), lambda h: F.concat(*_seeds(h, masks, span)))
-    starts = F.greatest(F.size(tokens_column) - (span - 1), F.lit(1))
-    rows = df.select(*keep, starts.alias("starts"), F.posexplode(every).alias("pos", "seed"))
-    return rows.withColumn("at", F.col("pos") % F.col("starts")).drop("pos", "starts")
+def _exploded(df: DataFrame, keep: list[str], tokens_column: str, masks) -> DataFrame:
+    """keep, at, seed: one row per start and mask (one or two masks)."""
+    every = let(F.col(tokens_column), lambda h: F.concat(*_seeds(h, masks)))
+    rows = df.select(*keep, F.size(tokens_column).alias("n"), F.posexplode(every).alias("at", "seed"))
+    for mask in masks[:-1]:  # seeds of later masks stand behind those of this one
+        count = F.greatest(F.col("n") - mask[-1], F.lit(0))
+        rows = rows.withColumn("at", F.when(F.col("at") >= count, F.col("at") - count).otherwise(F.col("at")))
+    return rows.drop("n")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -61,16 +63,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("want"))
     items = staged(items.where(F.size("want") >= MIN_TOKENS).distinct(), "items")
     lengths = [r[0] for r in items.select(F.size("want").alias("n")).where(f"n < {SPAN}").distinct().collect()]  # below 9
-    kinds = [(MASKS, SPAN, items.where(F.size("want") >= SPAN))]
-    kinds += [((tuple(range(n)),), n, items.where(F.size("want") == n)) for n in sorted(lengths)]
+    kinds = [(MASKS, items.where(F.size("want") >= SPAN))]
+    kinds += [((tuple(range(n)),), items.where(F.size("want") == n)) for n in sorted(lengths)]
 
     hits = None
     hashed = docs.select("id", tokens(F.col("text")).alias("have"))
-    for masks, span, some in kinds:
-        seeds = staged(_exploded(some, ["item", F.xxhash64("want").alias("version")], "want", masks, span)
+    for masks, some in kinds:
+        seeds = staged(_exploded(some, ["item", F.xxhash64("want").alias("version")], "want", masks)
                        .select("item", "version", F.col("at").alias("place"), "seed").distinct(), "seeds")
         few = seeds.count() <= BROADCAST_SEEDS
-        found = _exploded(hashed, ["id"], "have", masks, span).join(F.broadcast(seeds) if few else seeds, "seed")
+        found = _exploded(hashed, ["id"], "have", masks).join(F.broadcast(seeds) if few else seeds, "seed")
         found = found.select("id", "item", "version", (F.col("at") - F.col("place")).alias("shift"))
         hits = found if hits is None else hits.union(found)
     hits = staged(hits.distinct(), "hits")

@@ -43,14 +43,13 @@ dt AS (SELECT doc_id, generate_subscripts(have, 1) AS p, unnest(have) AS tok FRO
 m AS (SELECT doc_id, item_id, v, n, q, p - q AS shift FROM dt JOIN it USING (tok)),
 near AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, v, shift ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM m),
 good AS (SELECT DISTINCT doc_id, item_id, v, shift FROM near WHERE c >= ceil(least(n, 13) * 0.8)),
-masks AS (SELECT * FROM (VALUES (0, 0), (0, 1), (0, 3), (0, 4), (0, 6), (0, 7), (1, 0), (1, 2), (1, 3), (1, 5), (1, 6), (1, 8),
-  (2, 1), (2, 2), (2, 4), (2, 5), (2, 7), (2, 8)) AS x(mask, place)),
-seeds AS (SELECT doc_id, item_id, v, shift, n, mask, q - place AS s, count(*) AS c FROM m JOIN good USING (doc_id, item_id, v, shift), masks
-  WHERE n >= 9 AND q - place >= 1 AND q - place + 8 <= n GROUP BY ALL),
+masks AS (SELECT * FROM (VALUES (8, 0), (8, 1), (8, 3), (8, 4), (8, 6), (8, 7), (9, 0), (9, 2), (9, 3), (9, 5), (9, 6), (9, 8)) AS x(span, place)),
+seeds AS (SELECT doc_id, item_id, v, shift, n, span, q - place AS s, count(*) AS c FROM m JOIN good USING (doc_id, item_id, v, shift), masks
+  WHERE n >= 9 AND q - place >= 1 AND q - place + span - 1 <= n GROUP BY ALL),
 short AS (SELECT doc_id, item_id, v, shift FROM m JOIN good USING (doc_id, item_id, v, shift) WHERE n < 9
   GROUP BY doc_id, item_id, v, shift, n HAVING count(*) = n),
 long AS (SELECT DISTINCT s.doc_id, s.item_id FROM seeds s JOIN (SELECT doc_id, len(have) AS size FROM d) z USING (doc_id)
-  WHERE c = 6 AND s + shift >= 1 AND s + shift + 8 <= size),
+  WHERE c = 6 AND s + shift >= 1 AND s + shift + span - 1 <= size),
 found AS (SELECT doc_id, item_id FROM long UNION SELECT doc_id, item_id FROM short),
 per AS (SELECT doc_id, list_sort(list(item_id)) AS items FROM found GROUP BY doc_id)
 SELECT doc_id, items IS NOT NULL AS contaminated, array_to_string(coalesce(items, []), ',') AS items FROM documents LEFT JOIN per USING (doc_id)"""
