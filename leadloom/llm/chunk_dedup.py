@@ -24,6 +24,7 @@ WINDOW = 32  # bytes that decide an end
 MASK = np.uint32(((1 << 5) - 1) << 24)  # five bits: 32 bytes between ends on average; bits up there see the last 25 bytes
 LONGEST = 1 << 16  # an end is set there if none was found: a text of one repeated byte has ends everywhere or nowhere
 LEAST_BYTES = 128
+NAMING = 16  # bytes of a chunk that tells which document a passage was copied from
 _GEAR = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 
 
@@ -102,11 +103,14 @@ def _marked(least: int):
                 inner = earliest[which] < np.arange(len(end))
                 many = np.bincount(which)[which] > 1 if len(end) else known
                 before = inner | (first < (_LAST if key is None else key))
-                spans = [{"start": int(start[a]), "end": int(end[b]), "first_doc": None if first[a] == _LAST else int(first[a])}
-                         for a, b in _spans(before, start, end, least)]
+                runs = _spans(before, start, end, least)
+                long = end - start  # a chunk of a few bytes says nothing about where a passage comes from
+                best = [a + int(np.argmax(long[a:b + 1])) for a, b in runs]
+                spans = [{"start": int(start[a]), "end": int(end[b]), "first_doc": None if first[k] == _LAST else int(first[k])}
+                         for (a, b), k in zip(runs, best)]
                 shared = _spans(known | many, start, end, least)
-                docs = sorted({int(first[k]) for a, b in _spans(before, start, end, least) for k in range(a, b + 1)
-                               if first[k] != _LAST} - {key})
+                docs = sorted({int(first[k]) for a, b in runs for k in range(a, b + 1)
+                               if first[k] != _LAST and long[k] >= NAMING} - {key})
                 out.append((key, size, len(end), int(before.sum()), spans, docs, sum(s["end"] - s["start"] for s in spans),
                             sum(int(end[b] - start[a]) for a, b in shared)))
             if out:
@@ -124,7 +128,7 @@ _OUT = pa.schema([("id", pa.int64()), ("bytes", pa.int64()), ("n_chunks", pa.int
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least_bytes: int = LEAST_BYTES) -> DataFrame:
     """One row per row of ``docs``: key, bytes, n_chunks, dup_chunks (met in a document of a smaller key, or before in the
     same text), spans of at least ``least_bytes`` bytes of such chunks (start and end in bytes of the UTF-8 text, first_doc:
-    the smallest key that holds the first chunk), first_docs (all those keys), repeated_bytes (in spans) and shared_bytes
+    the smallest key that holds the longest chunk), first_docs (such keys of all chunks of 16 bytes or more), repeated_bytes (in spans) and shared_bytes
     (in spans of chunks that any other place holds too, so the first copy shows as well).
 
     Null and empty texts have no chunk. Rows that share a key count as one document. A null key counts as largest.

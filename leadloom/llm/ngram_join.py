@@ -15,8 +15,7 @@ The join is exact and shuffles keys, not texts:
    all joined need nothing more. This makes large families of near copies cheap without leaving pairs out.
 4. The other trees: leaves hold a class's size and a bitmap of its n-grams (about four bits each), nodes the OR of their
    children's bitmaps and the range of sizes. A dual traversal from (root, root) drops node pairs whose largest possible
-   overlap is too small, or which are joined already. A tree of one node's size has only leaf pairs; those of all such
-   trees are made distinct before they meet their bitmaps. Trees over ``tile`` classes are cut into tiles that meet pair by
+   overlap is too small, or which are joined already. Trees over ``tile`` classes are cut into tiles that meet pair by
    pair.
 5. Pairs that remain are checked on the whole sets. Components come from large and small stars.
 
@@ -285,24 +284,35 @@ def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
 
 
 def _node_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Leaf pairs of the trees of one node, by size and by what is joined; members: gram, id, n, joined."""
+    """Candidates of the trees of one node, all trees of a batch at once; members: gram, id, n, joined, bits."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _whole_groups(batches, ["gram"]):
             gram, ids, n, joined = (rows[c].to_numpy() for c in ("gram", "id", "n", "joined"))
+            bits = rows["bits"].tolist()
             start = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
             size = np.diff(np.append(start, len(gram)))
-            found = []
-            for m in np.unique(size[size > 1]).tolist():  # all trees of a size at once
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for m in np.unique(size[size > 1]).tolist():
                 i, j = np.triu_indices(m, 1)
                 at = start[size == m][:, None]
                 x, y = (at + i).ravel(), (at + j).ravel()
                 ok = (joined[x] != joined[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (ids[x] != ids[y])
-                found.append(np.stack((np.minimum(ids[x], ids[y])[ok], np.maximum(ids[x], ids[y])[ok])))
-            if found:
-                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pd.DataFrame({"a": a, "b": b})
-
-    return (members.select("gram", "id", "n", "joined").repartition("gram").sortWithinPartitions("gram")
+                left.append(x[ok])
+                right.append(y[ok])
+            x, y = np.concatenate(left), np.concatenate(right)
+            x, y = np.where(ids[x] < ids[y], x, y), np.where(ids[x] < ids[y], y, x)
+            _, once = np.unique(np.stack((ids[x], ids[y])), axis=1, return_index=True)
+            x, y = x[once], y[once]
+            width = np.array([min(len(bits[p]), len(bits[q])) // 8 for p, q in zip(x.tolist(), y.tolist())], np.int64)
+            for w in np.unique(width).tolist():
+                for p, q in zip(*[np.array_split(side[width == w], 1 + (width == w).sum() * w // (1 << 21)) for side in (x, y)]):
+                    used, place = np.unique(np.concatenate((p, q)), return_inverse=True)
+                    leaves = _leaves([bits[k] for k in used.tolist()], n[used], joined[used], w)
+                    ok = _possible(leaves, place[:len(p)], leaves, place[len(p):], percent)
+                    if ok.any():
+                        yield pd.DataFrame({"a": ids[p[ok]], "b": ids[q[ok]]})
+
+    return (members.select("gram", "id", "n", "joined", "bits").repartition("gram").sortWithinPartitions("gram")
             .mapInPandas(run, "a long, b long").distinct())
 
 
@@ -369,9 +379,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     open_trees = known.groupBy("gram").agg(F.min("joined").alias("j0"), F.max("joined").alias("j1"),
                                            F.count("*").alias("rows")).where("j0 <> j1")
     rows = staged(known.join(open_trees.select("gram", "rows"), "gram"), "open")
-    nodes = staged(_node_pairs(rows.where(f"rows <= {ONE_NODE}"), percent), "nodes")
-    large = rows.where(f"rows > {ONE_NODE}").withColumn("tiles", F.ceil(F.col("rows") / tile)).join(bitmaps.select("id", "bits"), "id")
-    pairs = staged(_possible_pairs(nodes, bitmaps, percent).union(_traverse(large, percent)).distinct(), "pairs")
+    rows = rows.join(bitmaps.select("id", "bits"), "id")
+    large = rows.where(f"rows > {ONE_NODE}").withColumn("tiles", F.ceil(F.col("rows") / tile))
+    pairs = staged(_node_pairs(rows.where(f"rows <= {ONE_NODE}"), percent).union(_traverse(large, percent)).distinct(), "pairs")
     links = staged(_linked(pairs, docs, words, percent).union(stars), "links")
 
     graph = components(links).withColumnRenamed("id", "rep")
