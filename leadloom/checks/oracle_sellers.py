@@ -19,8 +19,7 @@ SELLERS: dict[str, str] = {
                 CASE k.visibility WHEN 'instant_alert' THEN 4 WHEN 'push_notify' THEN 24 WHEN 'priority' THEN 48 ELSE 168 END AS sla
               FROM k JOIN {{sellers}} AS s ON {_match} JOIN {{seller_stats}} AS st ON st.seller_id = s.seller_id),
         y AS (SELECT *, {rnd("0.30 * CASE WHEN hs_chapters IS NULL THEN 0.5 ELSE 1.0 END + 0.15 * CASE WHEN target_countries IS NULL OR list_contains(target_countries, '*') THEN 0.5 ELSE 1.0 END + 0.20 * least(win_rate * 2.5, 1.0) + 0.15 * CASE WHEN h <= sla * 0.25 THEN 1.0 WHEN h <= sla * 0.5 THEN 0.75 WHEN h <= sla THEN 0.5 ELSE 0.1 END + 0.10 * least(greatest(0, m - t) / CAST(m AS DOUBLE), 1.0) + 0.10 * least(ta / 100.0, 1.0)", 4)} AS rank_score FROM x)
-        SELECT hs_chapter, country, visibility, seller_id, rank_score, row_number() OVER (PARTITION BY hs_chapter, country, visibility ORDER BY rank_score DESC, seller_id) AS rank FROM y
-        QUALIFY row_number() OVER (PARTITION BY hs_chapter, country, visibility ORDER BY rank_score DESC, seller_id) <= 10""",
+        SELECT hs_chapter, country, visibility, seller_id, rank_score, row_number() OVER (PARTITION BY hs_chapter, country, visibility ORDER BY rank_score DESC, seller_id) AS rank FROM y""",
     "assign_leads": f"""
         WITH p AS (SELECT s.seller_id, k.lead_id, k.priority, k.ch, k.co, s.hs_chapters, s.target_countries, s.credits_available AS cr, greatest(0, s.max_leads_per_day - s.leads_today) AS cap,
                 CASE k.priority WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END AS c, k.score FROM {_lead} AS k JOIN {{sellers}} AS s ON s.active AND {_match}),
@@ -74,8 +73,7 @@ SELLERS: dict[str, str] = {
     "stale": f"""
         SELECT l.*, r.t, r.s, r.d FROM {{leads}} AS l JOIN (SELECT * FROM {_rules}) AS r ON r.f = l.lead_type
         WHERE NOT coalesce(l.suppressed, FALSE) AND coalesce(l.distribution_status, '') <> 'suppressed' AND (l.last_transition_at IS NULL OR l.last_transition_at < {NOW} - to_days(CAST(r.d AS INTEGER)))
-          AND (l.classified_at IS NULL OR l.classified_at < {NOW} - to_days(CAST(r.d AS INTEGER)))
-        QUALIFY row_number() OVER (PARTITION BY l.lead_type ORDER BY greatest(l.last_transition_at, l.classified_at), l.lead_uid) <= 500""",
+          AND (l.classified_at IS NULL OR l.classified_at < {NOW} - to_days(CAST(r.d AS INTEGER)))""",
     "demote_stale": f"""
         SELECT l.lead_uid, coalesce(x.t, l.lead_type) AS lead_type, coalesce(x.s, l.score_final) AS score_final,
                CASE WHEN x.t IS NULL THEN l.visibility_level WHEN x.t = 'rfq_draft' THEN 'push_notify' WHEN x.t = 'rfq_submitted' THEN 'instant_alert' WHEN x.t = 'visit_only' THEN 'count_only' ELSE 'feed' END AS visibility_level,

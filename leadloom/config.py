@@ -68,7 +68,6 @@ class Distribution:
 class Feedback:
     min_samples: int = 50
     retune_every_days: int = 7
-    demotion_cap: int = 500
 
 
 @dataclass(frozen=True)

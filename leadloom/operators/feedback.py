@@ -139,10 +139,10 @@ def _rules(df: DataFrame) -> DataFrame:
         DEMOTION_RULES, "lead_type string, to_type string, stale_days int, new_score int"))
 
 
-def stale_leads(leads: DataFrame, as_of, cap: int | None = Feedback().demotion_cap) -> DataFrame:
+def stale_leads(leads: DataFrame, as_of, cap: int | None = None) -> DataFrame:
     """Leads a demotion rule applies to, with the rule. A demotion stamps the time, so a lead meets one rule a run.
 
-    At most ``cap`` per rule and run, longest untouched first; the rest follows next run. None: all.
+    ``cap``, if given, is the most per rule and run, longest untouched first; the rest follows next run.
     """
     now = as_ts(as_of)
     rows = leads.join(_rules(leads), "lead_type").where(
@@ -156,7 +156,7 @@ def stale_leads(leads: DataFrame, as_of, cap: int | None = Feedback().demotion_c
     return top_k(rows, ["lead_type"], [F.coalesce(touched, F.lit("1900-01-01").cast("timestamp")), F.col("lead_uid")], cap).drop("rank")
 
 
-def demote_stale(leads: DataFrame, as_of, cap: int | None = Feedback().demotion_cap) -> DataFrame:
+def demote_stale(leads: DataFrame, as_of, cap: int | None = None) -> DataFrame:
     """The lead table after one demotion run."""
     hit = stale_leads(leads, as_of, cap).select("lead_uid", "to_type", "new_score")
     joined = leads.join(hit, "lead_uid", "left")
@@ -171,7 +171,7 @@ def demote_stale(leads: DataFrame, as_of, cap: int | None = Feedback().demotion_
         "transition_count": F.coalesce("transition_count", F.lit(0)) + moved.cast("int")}).drop("to_type", "new_score")
 
 
-def state_history(leads: DataFrame, as_of, cap: int | None = Feedback().demotion_cap) -> DataFrame:
+def state_history(leads: DataFrame, as_of, cap: int | None = None) -> DataFrame:
     """The history rows that demotion run appends."""
     now = F.date_format(as_ts(as_of), "yyyy-MM-dd'T'HH:mm:ss")
     return stale_leads(leads, as_of, cap).select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
 from leadloom.functions.values import choose, first_non_empty, non_empty, text
+from leadloom.session import staged
 
 # Confidence words and role fallbacks.
 GATE_WORDS = [(["high", "very high"], 0.9), (["medium"], 0.7), (["low"], 0.5)]
@@ -119,14 +120,17 @@ def policies(rows: DataFrame) -> DataFrame:
 def effective_permissions(scope_rows: DataFrame, policy_rows: DataFrame) -> DataFrame:
     """(scope_id, permission, effect): a scope inherits its ancestors' rules; one deny outweighs any allow.
 
-    The closure of at most four scope levels is built by joins level by level.
+    The closure is built level by level over distinct pairs until a level adds none, so depth is free and a loop ends.
     """
     up = scope_rows.select(F.col("scope_id"), F.col("parent_id").alias("ancestor"))
     closure = scope_rows.select("scope_id", F.col("scope_id").alias("ancestor")).unionByName(up)
     parents = scope_rows.select(F.col("scope_id").alias("ancestor"), F.col("parent_id").alias("above"))
-    level = up
-    for _ in range(2):
-        level = level.join(parents, "ancestor").where("above is not null").select("scope_id", F.col("above").alias("ancestor"))
+    level, closure = up, staged(closure.distinct(), "closure")
+    while True:
+        above = level.join(parents, "ancestor").where("above is not null").select("scope_id", F.col("above").alias("ancestor"))
+        level = staged(above.distinct().join(closure, ["scope_id", "ancestor"], "left_anti"), "level")
+        if level.isEmpty():
+            break
         closure = closure.unionByName(level)
     rules = policy_rows.groupBy("scope_id", "permission").agg(F.max((F.col("effect") == "deny")).alias("denied"))
     return closure.distinct().join(rules.withColumnRenamed("scope_id", "ancestor"), "ancestor").groupBy(

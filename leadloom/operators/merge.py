@@ -38,7 +38,9 @@ def keyed_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], as_of=None,
     right = new.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in new.columns])).alias("_r"))
     joined = left.join(right, keys, "full_outer")
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate key in merge source")))
+    # a filter, not a column: it runs whichever columns a reader asks for
+    joined = joined.where(F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate key in merge source")).cast("boolean"))
+                          .otherwise(F.lit(True)))
     is_new, matched = F.col("_in_old").isNull(), F.col("_in_old").isNotNull() & F.col("_n").isNotNull()
 
     def value(name: str) -> Column:
@@ -52,10 +54,7 @@ def keyed_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], as_of=None,
             return F.when(F.col("_n").isNotNull(), after).otherwise(before)
         return F.when(is_new, after).otherwise(before)
 
-    first = keys[0]
-    return joined.select(*[
-        (F.coalesce(guard.cast(old.schema[c].dataType), F.col(c)) if c == first else F.col(c)).alias(c)
-        if c in keys else value(c).alias(c) for c in columns])
+    return joined.select(*[F.col(c) if c in keys else value(c).alias(c) for c in columns])
 
 
 def surrogate_key(rows: DataFrame, name: str, order: Sequence[str], existing: DataFrame | None = None,

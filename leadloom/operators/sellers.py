@@ -82,7 +82,7 @@ def rank_score(sla: Column) -> Column:
     return tidy_round(sum(WEIGHTS[k] * v for k, v in parts.items()), 4)
 
 
-def rank_sellers(leads: DataFrame, sellers: DataFrame, stats: DataFrame, k: int | None = 10) -> DataFrame:
+def rank_sellers(leads: DataFrame, sellers: DataFrame, stats: DataFrame, k: int | None = None) -> DataFrame:
     """Eligible sellers ranked per kind of lead (chapter, country, visibility), best ``k`` (None: all).
 
     The score depends on a lead only through its kind, so it is computed per kind and seller and

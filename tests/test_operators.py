@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from leadloom.operators import enrich, factory, feedback, health, layers, merge, models, sellers, switch, trade
+from leadloom.operators import enrich, factory, feedback, governance, health, layers, merge, models, sellers, switch, trade
 from tests.conftest import rows
 
 AS_OF = "2024-01-31 00:00:00"
@@ -238,3 +238,19 @@ def test_matches_stay_in_range(spark):
     assert got and all(0 <= m.match_score <= 100 and (m["rank"] == 1 or m.match_score >= 60) and m["rank"] <= 5 for m in got)
     held = {r.opportunity_id: r.existing_supplier_id for r in opps.collect()}
     assert all(m.candidate_supplier_id != held[m.opportunity_id] for m in got)
+
+
+@pytest.mark.parametrize("read", [lambda df: df.select("v").collect(), lambda df: df.count(), lambda df: df.collect()])
+def test_duplicate_merge_keys_raise_whatever_is_read(spark, read):
+    old = spark.createDataFrame([(1, "a")], "k long, v string")
+    new = spark.createDataFrame([(2, "b"), (2, "c")], "k long, v string")
+    with pytest.raises(Exception, match="duplicate key"):
+        read(merge.keyed_merge(old, new, ["k"]))
+
+
+def test_permissions_reach_down_any_depth(spark):
+    chain = [(f"s{n}", f"s{n - 1}" if n else None) for n in range(7)] + [("a", "b"), ("b", "a")]
+    rules = spark.createDataFrame([("s0", "p", "deny"), ("a", "q", "allow")], "scope_id string, permission string, effect string")
+    got = governance.effective_permissions(spark.createDataFrame(chain, "scope_id string, parent_id string"), rules).collect()
+    assert {(r.scope_id, r.effect) for r in got if r.permission == "p"} == {(f"s{n}", "deny") for n in range(7)}
+    assert {r.scope_id for r in got if r.permission == "q"} == {"a", "b"}
