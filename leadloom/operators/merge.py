@@ -7,6 +7,7 @@ table. Concurrent writers of one table are out of scope.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,21 +24,31 @@ def audit_columns(df: DataFrame, as_of, by: str) -> DataFrame:
     return df.withColumns({"created_on": now, "created_by": F.lit(by), "modified_on": now, "modified_by": F.lit(by)})
 
 
+def _same_key(keys: Sequence[str]) -> Column:
+    """Keys equal those of a side that calls them ``_k_...``; null is a key like any other."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+
+
 def keyed_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], as_of=None, by: str | None = None,
                 update: Sequence[str] | None = None, keep: Sequence[str] = KEPT_ON_UPDATE) -> DataFrame:
     """Old rows with the listed columns replaced where the key comes again, plus the new keys.
 
     ``keep`` columns are never overwritten; modified_on/by are set on update when ``as_of`` is
     given. A key that occurs twice in ``new`` raises: which row should win is the caller's to say.
+    Null keys equal each other.
     """
     keys = list(keys)
     columns = list(old.columns) + [c for c in new.columns if c not in old.columns]
     update = [c for c in (update if update is not None else new.columns) if c not in keys and c not in keep]
     left = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in old.columns if c not in keys],
                       F.lit(True).alias("_in_old"))
-    right = new.groupBy(*keys).agg(
+    right = new.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in new.columns])).alias("_r"))
-    joined = left.join(right, keys, "full_outer")
+    joined = left.join(right, _same_key(keys), "full_outer")
     # a filter, not a column: it runs whichever columns a reader asks for
     joined = joined.where(F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate key in merge source")).cast("boolean"))
                           .otherwise(F.lit(True)))
@@ -54,7 +65,10 @@ def keyed_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], as_of=None,
             return F.when(F.col("_n").isNotNull(), after).otherwise(before)
         return F.when(is_new, after).otherwise(before)
 
-    return joined.select(*[F.col(c) if c in keys else value(c).alias(c) for c in columns])
+    def key(name: str) -> Column:  # in one of the sides it may be null
+        return F.when(is_new, F.col(f"_k_{name}")).otherwise(F.col(name))
+
+    return joined.select(*[(key(c) if c in keys else value(c)).alias(c) for c in columns])
 
 
 def surrogate_key(rows: DataFrame, name: str, order: Sequence[str], existing: DataFrame | None = None,
@@ -84,12 +98,13 @@ def gold_upsert(gold: DataFrame, silver: DataFrame, key_name: str, natural_key:
                 order: Sequence[str], update: bool = True) -> DataFrame:
     """Silver into gold: new natural keys get the next surrogate keys, known ones keep theirs.
 
-    ``update=False`` appends new rows only.
+    ``update=False`` appends new rows only. A natural key with nulls is known again on the next run.
     """
-    fresh = silver.join(gold.select(*natural_key), list(natural_key), "left_anti")
+    known_keys = _keys_of(gold, natural_key)
+    fresh = silver.join(known_keys, _same_key(natural_key), "left_anti")
     numbered = surrogate_key(fresh.select(*silver.columns), key_name, order, existing=gold)
     kept = gold
     if update:
-        known = silver.join(gold.select(*natural_key), list(natural_key), "left_semi").select(*silver.columns)
+        known = silver.join(known_keys, _same_key(natural_key), "left_semi")
         kept = keyed_merge(gold, known, natural_key)
     return kept.unionByName(numbered.select(*gold.columns), allowMissingColumns=True)

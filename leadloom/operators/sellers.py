@@ -44,13 +44,13 @@ def _chapter(code: Column) -> Column:
 
 
 def _markets(sellers: DataFrame) -> DataFrame:
-    """Seller rows per (chapter, country) they serve; '*' where they are open."""
+    """Seller rows per (chapter, country) they serve; '*' where they are open. A listed chapter '*' is no chapter of a lead."""
     def served(col: str) -> Column:
         wide = F.col(col).isNull() | (F.size(col) == 0) | F.array_contains(col, ANY)
         return F.explode(F.when(wide, F.array(F.lit(ANY))).otherwise(F.array_distinct(col)))
     rows = sellers.withColumn("m_chapter", F.explode(F.when(
         F.col("hs_chapters").isNull() | (F.size("hs_chapters") == 0), F.array(F.lit(ANY))).otherwise(
-        F.array_distinct("hs_chapters"))))
+        F.array_remove(F.array_distinct("hs_chapters"), ANY))))
     return rows.withColumn("m_country", served("target_countries"))
 
 
@@ -60,8 +60,8 @@ def _demand(leads: DataFrame) -> DataFrame:
 
 def _blocks() -> Column:
     """The four markets a lead belongs to: its own and the open ones."""
-    return F.explode(F.array(*[F.struct(ch.alias("m_chapter"), co.alias("m_country"))
-                               for ch in (F.col("hs_chapter"), F.lit(ANY)) for co in (F.col("country"), F.lit(ANY))]))
+    return F.explode(F.array_distinct(F.array(*[F.struct(ch.alias("m_chapter"), co.alias("m_country"))
+                                                for ch in (F.col("hs_chapter"), F.lit(ANY)) for co in (F.col("country"), F.lit(ANY))])))
 
 
 def rank_score(sla: Column) -> Column:

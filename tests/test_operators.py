@@ -254,3 +254,23 @@ def test_permissions_reach_down_any_depth(spark):
     got = governance.effective_permissions(spark.createDataFrame(chain, "scope_id string, parent_id string"), rules).collect()
     assert {(r.scope_id, r.effect) for r in got if r.permission == "p"} == {(f"s{n}", "deny") for n in range(7)}
     assert {r.scope_id for r in got if r.permission == "q"} == {"a", "b"}
+
+
+def test_null_natural_keys_keep_their_surrogate_key(spark):
+    silver = spark.createDataFrame([("a", None, 1), (None, None, 2), ("b", "x", 3)], "p string, q string, v long")
+    empty = silver.where("false").selectExpr("cast(null as long) AS k", "*")
+    once = merge.gold_upsert(empty, silver, "k", ["p", "q"], ["p", "q"])
+    again = merge.gold_upsert(once, silver.withColumn("v", F.col("v") * 10), "k", ["p", "q"], ["p", "q"])
+    key = lambda df: {(r.p, r.q): r.k for r in df.collect()}
+    assert key(once) == key(again) and sorted(key(once).values()) == [1, 2, 3]
+    assert sorted(r.v for r in again.collect()) == [10, 20, 30]
+
+
+def test_a_listed_star_is_no_second_market(spark):
+    leads = [("L1", "low", 5, "6802", "us", "feed"), ("L2", "low", 4, "7003", "us", "feed")]
+    people = [("S1", ["68", "*", "68"], ["US", "*"], 2, 0, 5.0, True), ("S2", ["*"], None, 2, 0, 5.0, True)]
+    lead_df = spark.createDataFrame(leads, "lead_id string, priority string, score int, hs_code string, buyer_country string, visibility string")
+    seller_df = spark.createDataFrame(people, "seller_id string, hs_chapters array<string>, target_countries array<string>, "
+                                      "max_leads_per_day int, leads_today int, credits_available double, active boolean")
+    got = sorted((r.seller_id, r.lead_id) for r in sellers.assign_leads(lead_df, seller_df).collect())
+    assert got == sorted(one_by_one(leads, people, lambda _: people, None)) == [("S1", "L1")]
