@@ -1,14 +1,14 @@
 """DuckDB statements for platform leads and behaviour profiles."""
 
+from leadloom.checks.oracle_views import CLICK_BUTTONS, CLICK_ELEMENTS
 from leadloom.checks.sqltext import quoted, values_table
-from leadloom.operators import behavior as b
 from leadloom.operators import platform_leads as p
 
 _scores = values_table("t, s", p.SCORES.items())
 _vis = values_table("t, v", p.VISIBILITY.items())
 _tags = values_table("t, tags", [(k, ",".join(v)) for k, v in p.PLAYBOOK_TAGS.items()])
-_elements = values_table("name, w", b.ELEMENT_WEIGHTS.items())
-_buttons = values_table("name, w", b.BUTTON_WEIGHTS.items())
+_elements = values_table("name, w", CLICK_ELEMENTS)
+_buttons = values_table("name, w", CLICK_BUTTONS)
 
 
 def lead(body: str) -> str:

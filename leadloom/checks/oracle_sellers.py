@@ -1,9 +1,16 @@
 """DuckDB statements for sellers and feedback."""
 
 from leadloom.checks.sqltext import rnd, sid, values_table
-from leadloom.operators import feedback as f
 
-_rules = values_table("f, t, d, s", f.DEMOTION_RULES)
+# Demotion rules (from, to, days without activity, new score). Written here again, so that a wrong one shows.
+_rules = values_table("f, t, d, s", [
+    ("rfq_submitted", "rfq_draft", 7, 60), ("quote_ready", "rfq_submitted", 14, 75),
+    ("hot_in_market", "known_account_interest", 3, 60), ("engaged_person", "known_person_interest", 21, 65),
+    ("engaged_account", "known_account_interest", 30, 60), ("known_account_interest", "intent_only", 60, 50),
+    ("known_person_interest", "intent_only", 60, 50), ("intent_only", "visit_only", 90, 35),
+    ("trade_buyer_candidate", "intent_only", 45, 50), ("strategic_account_watch", "visit_only", 180, 30),
+    ("reactivation_candidate", "intent_only", 30, 50), ("competitor_displacement", "known_account_interest", 30, 60),
+    ("active_importer", "intent_only", 90, 50)])
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _lead = "(SELECT *, substr(replace(replace(hs_code, '[', ''), ']', ''), 1, 2) AS ch, upper(buyer_country) AS co FROM {market_leads})"
 _match = "(s.hs_chapters IS NULL OR list_contains(s.hs_chapters, k.ch)) AND (s.target_countries IS NULL OR list_contains(s.target_countries, k.co) OR list_contains(s.target_countries, '*'))"

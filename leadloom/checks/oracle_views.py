@@ -2,13 +2,28 @@
 
 from leadloom.checks.sqltext import rnd, values_table, words
 from leadloom.operators import views as v
-from leadloom.operators.behavior import BUTTON_WEIGHTS, ELEMENT_WEIGHTS
 
+# Fixed values, written here again so that a wrong one in an operator shows: weights of clicks, health states, buying titles.
+CLICK_ELEMENTS = [
+    ("Get Quote Now", 3), ("Get Quote", 3), ("Send a Query", 2), ("Contact Supplier", 2), ("Chat with Seller", 2),
+    ("Technical Specifications", 1), ("Packaging Details", 1), ("Certifications and Compliance", 1), ("Company Profile", 1)]
+CLICK_BUTTONS = [
+    ("getQuoteButton", 3), ("getquotebutton", 3), ("contact-seller", 2), ("contact_seller", 2), ("send-query", 2),
+    ("Chat with Seller", 2), ("add-to-contact", 2), ("catalog-download", 2), ("company-profile", 1),
+    ("Technical Specifications-product-specifciation-Tab", 1), ("Packaging Details-product-specifciation-Tab", 1),
+    ("Certifications and Compliance-product-specifciation-Tab", 1), ("Shipping option-product-specifciation-Tab", 1),
+    ("Warranty Information-product-specifciation-Tab", 1), ("Product Description-product-specifciation-Tab", 1),
+    ("Return Policy-product-specifciation-Tab", 1), ("product-image-click", 1), ("visit-store-link", 1), ("view-more-pdp", 1)]
+_STATUSES = ("churned", "dormant", "stressed", "irregular", "healthy")
+_TITLES = [
+    "procurement", "purchasing", "supply chain", "sourcing", "supplier", "category manager", "buyer", "head of supply",
+    "vp supply", "director of supply", "chief supply", "chief procurement", "cpo", "director of procurement",
+    "vp procurement", "global procurement", "strategic sourcing", "materials manager", "vendor management", "supply manager"]
 _chapters = values_table("ch, name", v.HS_CHAPTERS.items())
-_elements = values_table("name, w", ELEMENT_WEIGHTS.items())
-_buttons = values_table("name, w", BUTTON_WEIGHTS.items())
-_stat = ", ".join(f"count(*) FILTER (WHERE health_status = '{s}') AS {s}" for s in v.STATUSES)
-_stat3 = ", ".join(f"count(*) FILTER (WHERE health_status = '{s}') AS {s}" for s in v.STATUSES[:3])
+_elements = values_table("name, w", CLICK_ELEMENTS)
+_buttons = values_table("name, w", CLICK_BUTTONS)
+_stat = ", ".join(f"count(*) FILTER (WHERE health_status = '{s}') AS {s}" for s in _STATUSES)
+_stat3 = ", ".join(f"count(*) FILTER (WHERE health_status = '{s}') AS {s}" for s in _STATUSES[:3])
 
 VIEWS: dict[str, str] = {
     "valued": """
@@ -44,7 +59,7 @@ VIEWS: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY s.buyer_id ORDER BY s.final_lead_score DESC, s.lead_id DESC) = 1""",
     "decision_makers": f"""
         WITH x AS (SELECT DISTINCT s.company_name AS company FROM {{company_search}} AS s),
-        m AS (SELECT x.company, c.person_key, c.title, c.email, {words('c.title', v.BUYING_TITLES)} AS is_maker FROM x JOIN {{contacts}} AS c ON contains(lower(c.company_name), lower(x.company))),
+        m AS (SELECT x.company, c.person_key, c.title, c.email, {words('c.title', _TITLES)} AS is_maker FROM x JOIN {{contacts}} AS c ON contains(lower(c.company_name), lower(x.company))),
         n AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY CASE WHEN is_maker THEN 0 ELSE 1 END, person_key) AS rank, bool_or(is_maker) OVER (PARTITION BY company) AS any_maker FROM m)
         SELECT company, person_key, title, email, is_maker, rank FROM n WHERE rank <= 5 AND (CASE WHEN any_maker THEN is_maker ELSE rank <= 3 END)""",
     "lead_summary": "SELECT (SELECT count(*) FROM {switch_leads_matched}) AS total_switch_leads, (SELECT count(*) FROM {trade_relationships}) AS trade_relationships_monitored, (SELECT count(*) FROM {switch_opportunities}) AS stressed_relationships",
