@@ -377,7 +377,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         joined = staged(joined.join(up, "joined", "left").select("id", F.coalesce("next", "joined").alias("joined")), "joined")
     known = members.join(joined, "id")
     open_trees = known.groupBy("gram").agg(F.min("joined").alias("j0"), F.max("joined").alias("j1"),
-                                           F.count("*").alias("rows")).where("j0 <> j1")
+                                           F.min("n").alias("n0"), F.max("n").alias("n1"), F.count("*").alias("rows"))
+    # of a tree of two, the sizes tell whether it can hold a link; bitmaps are sent for the others
+    open_trees = open_trees.where(f"j0 <> j1 AND (rows > 2 OR 100 * n0 >= {percent} * n1)")
     rows = staged(known.join(open_trees.select("gram", "rows"), "gram"), "open")
     rows = rows.join(bitmaps.select("id", "bits"), "id")
     large = rows.where(f"rows > {ONE_NODE}").withColumn("tiles", F.ceil(F.col("rows") / tile))
