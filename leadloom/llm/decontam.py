@@ -1,10 +1,10 @@
 """Benchmark decontamination by spaced seeds.
 
-Tokens are runs of letters and digits in lower case. A seed is eight or nine tokens seen through a mask that ignores every
-third of them; between the two masks, over all starts, a substituted word in nine does not hide a passage. Seeds of the training texts meet those of
-the benchmark in a hash join; a hit gives an alignment (document, item, shift). Around the hits whole texts are compared:
-an item leaks into a document if on one alignment at least 11 of 13 consecutive item tokens agree (80 % of all tokens of
-an item shorter than that). Items of fewer than nine tokens are sought with all their tokens; items of fewer than
+Tokens are runs of letters and digits in lower case. An item leaks into a document if on one alignment (document, item,
+shift) at least 11 of 13 consecutive item tokens agree (80 % of all tokens of an item shorter than that). A seed is a few
+tokens seen through a mask; the masks of an item's length are such that every pattern of agreement the rule tolerates
+leaves one of them whole, so no leak is without a seed (the tests enumerate all patterns). Seeds of the training texts meet
+those of the benchmark in a hash join; a hit gives an alignment, and on it whole texts are compared. Items of fewer than
 ``MIN_TOKENS`` tokens, null or empty ones are no test passages and match nothing. Null and empty documents are clean.
 """
 
@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from leadloom.llm.exprs import let
 from leadloom.session import staged
 
-SPAN = 9
-MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8))  # token positions that count; the third shift is the first one step on
+MASKS = {  # item length (the last: and above) -> masks, token positions that count
+    5: ((0, 1, 2), (0, 1, 3)), 6: ((0, 1, 2, 3), (0, 1, 3, 4)), 7: ((0, 1, 3, 4),),
+    8: ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5)), 9: ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 5, 6)),
+    10: ((0, 1, 2, 4), (0, 1, 2, 3)), 11: ((0, 1, 3, 5, 6), (0, 1, 2, 5, 6)), 12: ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7)),
+    13: ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))}
 WINDOW = 13
 NEEDED = 0.8
 MIN_TOKENS = 5
@@ -62,9 +65,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     items = benchmark.select(F.col(item).alias("item"), tokens(F.col(item_text)).alias("want"))
     items = staged(items.where(F.size("want") >= MIN_TOKENS).distinct(), "items")
-    lengths = [r[0] for r in items.select(F.size("want").alias("n")).where(f"n < {SPAN}").distinct().collect()]  # below 9
-    kinds = [(MASKS, items.where(F.size("want") >= SPAN))]
-    kinds += [((tuple(range(n)),), items.where(F.size("want") == n)) for n in sorted(lengths)]
+    length = F.least(F.size("want"), F.lit(WINDOW))
+    lengths = [r[0] for r in items.select(length.alias("n")).distinct().collect()]  # from 5 to 13
+    kinds = [(MASKS[n], items.where(length == n)) for n in sorted(lengths) or [WINDOW]]
 
     hits = None
     hashed = docs.select("id", tokens(F.col("text")).alias("have"))

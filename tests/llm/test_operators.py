@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import compare
-from leadloom.llm import ngram_join, packing, pii, pitman_yor, quality, toxicity, url_filters, warc
+from leadloom.llm import decontam, ngram_join, packing, pii, pitman_yor, quality, toxicity, url_filters, warc
 from leadloom.llm.chunk_dedup import repeats
 from leadloom.llm.decontam import clean_documents, decontamination
 from leadloom.llm.oracles import ORACLES
@@ -235,6 +235,34 @@ def test_leaks(spark, edge, empty):
     assert decontamination(empty, bench).count() == 0 and clean_documents(edge, bench.where("1 = 0")).count() == len(EDGE)
 
 
+def tolerated(n):
+    """The sets of disagreeing places that the rule allows among n <= 13 item tokens."""
+    most = n - math.ceil(0.8 * n)
+    return [set(c) for k in range(most + 1) for c in itertools.combinations(range(n), k)]
+
+
+def test_masks_hit_every_tolerated_pattern():
+    assert sorted(decontam.MASKS) == list(range(decontam.MIN_TOKENS, decontam.WINDOW + 1))
+    for n, masks in decontam.MASKS.items():
+        for wrong in tolerated(n):
+            assert any(not wrong & {s + p for p in mask} for mask in masks for s in range(n - mask[-1])), (n, wrong)
+
+
+@pytest.mark.parametrize("around", ["", "before it "])
+def test_leaks_of_every_tolerated_pattern(spark, around):
+    items = {n: [f"i{n}t{k}" for k in range(n)] for n in (4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 16)}
+    rows, want = [], {}
+    for n, words in items.items():
+        more = [set(range(n - 4 - k, n - 1 - k)) for k in range(2)] if n < 16 else []  # one more than any rule allows
+        for wrong in (tolerated(n) if n < 14 else [w | {13, 14, 15} for w in tolerated(13)]) + more:
+            want[len(rows)] = [n] if n > 4 and wrong not in more else []
+            rows.append((len(rows), around + " ".join("other" if k in wrong else w for k, w in enumerate(words))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    assert {r.doc_id: r["items"] for r in decontamination(docs, bench).collect()} == want
+    assert decontamination(docs, bench.where("item_id = 4")).where("contaminated").count() == 0
+
+
 def test_repeated_passages(edge, empty):
     rows = {r.doc_id: r for r in repeats(edge).collect()}
     assert rows[9].first_docs == [8] and rows[9].repeated_bytes > 0.7 * len(PASSAGE) and not rows[8].spans and rows[8].shared_bytes > 0
