@@ -2,7 +2,8 @@
 
 List entries are dated: from ``listed_on`` an entry blocks, allows or (action ``remove``) stops doing so. The entries of a
 pattern become validity intervals, and a capture meets the interval that holds at its fetch time. Patterns are a host,
-a domain with all hosts below it (``.example.com``), or a host with a path prefix that ends in ``/``. Of the patterns active at
+a domain with all hosts below it (``.example.com``), or a host with a path prefix that ends in ``/``; hosts ignore case,
+paths do not. Of the patterns active at
 fetch time the most specific decides (longest pattern, then the last in order), so an allowed host may lie in a blocked domain.
 
 The join is an equi join on (pattern, month): a capture has one key per domain level and path level of its URL, an interval
@@ -49,7 +50,9 @@ def intervals(entries: DataFrame) -> DataFrame:
     (action, category) counts; equal ones are one.
     """
     dated = entries.where("pattern IS NOT NULL AND listed_on IS NOT NULL AND action IS NOT NULL")
-    last = dated.groupBy(F.lower("pattern").alias("pattern"), F.col("listed_on").cast("date").alias("listed_on")).agg(
+    host = F.substring_index("pattern", "/", 1)
+    pattern = F.concat(F.lower(host), F.expr("substring(pattern, length(substring_index(pattern, '/', 1)) + 1)"))
+    last = dated.groupBy(pattern.alias("pattern"), F.col("listed_on").cast("date").alias("listed_on")).agg(
         F.max(F.struct("action", "category")).alias("e"))
     history = Window.partitionBy("pattern").orderBy("listed_on")  # one pattern's own history
     spans = last.select("pattern", "listed_on", F.lead("listed_on").over(history).alias("until"),

@@ -306,6 +306,17 @@ def test_url_filters(spark):
     assert url_filters.filter_urls(captures.where("1 = 0"), entries).count() == 0
 
 
+def test_url_filter_paths_keep_their_case(spark):
+    import datetime
+    day = datetime.date(2024, 1, 5)
+    urls = ["http://Example.com/Private/x", "http://example.com/private/x", "http://b.example/A/x", "http://b.example/a/x", "http://c.example/"]
+    captures = spark.createDataFrame([(k, u, day) for k, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+    entries = spark.createDataFrame([(p, day, a, "c") for p, a in (("EXAMPLE.com/Private/", "block"), ("b.example/A/", "block"), ("B.example/a/", "allow"),
+                                                                   ("C.Example", "block"))], "pattern string, listed_on date, action string, category string")
+    got = {r.page_id: (r.blocked, r.pattern) for r in url_filters.filter_urls(captures, entries).collect()}
+    assert got == {0: (True, "example.com/Private/"), 1: (False, None), 2: (True, "b.example/A/"), 3: (False, "b.example/a/"), 4: (True, "c.example")}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
