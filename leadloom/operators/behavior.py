@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.config import SourcePrefixes
-from leadloom.functions.rank import top_k
 from leadloom.functions.values import choose, lookup, text
 from leadloom.operators.platform_leads import PRODUCT_PAGE
 
@@ -25,7 +24,6 @@ BUTTON_WEIGHTS = {
 }
 DEEP_SCROLL = 75.0
 RFQ_AS_ENQUIRY = ["submitted", "active", "open"]
-KEYWORD_CHARS, DETAIL_CHARS = 500, 300
 
 COUNTS = ("total_sessions", "total_page_views", "product_page_views", "total_clicks", "high_intent_score",
           "sessions_deep_scroll", "enquiries_sent", "quote_requests", "messages_sent", "searches_done")
@@ -115,13 +113,10 @@ def buyer_profiles(sessions: DataFrame, clicks: DataFrame, scrolls: DataFrame, p
     detail = tally.where("w > 0").groupBy("user_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "button"))),
         lambda b: F.concat(b["button"], F.lit(":"), (-b["k"]).cast("string"))), "|").alias("high_intent_detail"))
-    # A text of 500 characters holds at most 251 distinct keywords, so no more are collected.
-    words = top_k(per_word.where("name is not null"), ["user_id"], [-F.col("top"), F.col("name")], KEYWORD_CHARS // 2 + 1)
-    keywords = words.groupBy("user_id").agg(F.substring(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("rank", "name"))), lambda w: w["name"]), "|"),
-        1, KEYWORD_CHARS).alias("search_keywords"))
+    keywords = per_word.where("name is not null").groupBy("user_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct((-F.col("top")).alias("k"), "name"))), lambda w: w["name"]), "|").alias("search_keywords"))
     return profile.join(detail, "user_id", "left").join(keywords, "user_id", "left").withColumns({
-        "high_intent_detail": F.substring(text("high_intent_detail"), 1, DETAIL_CHARS),
+        "high_intent_detail": text("high_intent_detail"),
         "search_keywords": text("search_keywords"),
         "profile_uid": F.concat(F.lit("buyer_profile:"), F.col("user_id"))})
 

@@ -174,7 +174,7 @@ def engaged_person_leads(buyers: DataFrame, engagements: DataFrame, known: DataF
 
 def quotation_leads(quotations: DataFrame, known: DataFrame) -> DataFrame:
     rows = quotations.withColumns({"quotation_status": F.lower(text("status")),
-                                   "product_name": F.substring(text("product_name"), 1, 200),
+                                   "product_name": text("product_name"),
                                    "total_cost": F.coalesce(F.col("total_cost").cast("double"), F.lit(0.0))})
     st = F.col("quotation_status")
     kind = F.when(st.isin("accepted", "sent"), "quote_ready").otherwise("rfq_submitted")
@@ -193,7 +193,7 @@ def enquiry_type(raw: Column) -> tuple[Column, Column]:
 def enquiry_leads(enquiries: DataFrame, known: DataFrame) -> DataFrame:
     kind, score = enquiry_type(F.col("enquiry_type"))
     rows = enquiries.where("deleted_at is null").withColumns({
-        "_kind": kind, "_score": score, "message": F.substring(text("message"), 1, 500),
+        "_kind": kind, "_score": score, "message": text("message"),
         "buyer_user_id": text("enquiry_user_id"), "seller_user_id": text("seller_user_id"),
         "buyer_country": text("country"), "competitor": text("competitor")})
     return _leads(rows, known, F.col("_kind"), F.concat(F.lit("enquiry:"), F.col("id").cast("string")), _source("crm2"),
@@ -222,23 +222,19 @@ def session_leads(views: DataFrame, sessions: DataFrame, known: DataFrame) -> Da
 def search_leads(searches: DataFrame, known: DataFrame) -> DataFrame:
     """One intent lead per user and keyword; every search counts 2 points, 20 at most.
 
-    The reference key keeps 40 characters of the keyword; longer keywords that agree in them are
-    one lead, the one searched most.
+    The reference key holds the whole keyword, so no two keywords of a user share one; null counts as the empty one.
     """
-    rows = searches.where("deleted_at is null and user_id > 0").groupBy("user_id", F.col("name").alias("keyword")).agg(
+    rows = searches.where("deleted_at is null and user_id > 0").groupBy("user_id", text("name").alias("keyword")).agg(
         F.sum("searched_total").alias("search_count"), F.max("created_at").alias("last_searched"))
-    rows = rows.withColumn("_ref", F.concat(F.lit("search:"), F.col("user_id").cast("string"), F.lit(":"),
-                                            F.substring(text("keyword"), 1, 40)))
-    best = rows.groupBy("_ref").agg(F.max(F.struct("search_count", "keyword", "user_id", "last_searched")).alias("b"))
-    rows = best.select("_ref", "b.*")
-    return _leads(rows, known, "intent_only", F.col("_ref"), _source("search"),
+    ref = F.concat(F.lit("search:"), F.col("user_id").cast("string"), F.lit(":"), F.col("keyword"))
+    return _leads(rows, known, "intent_only", ref, _source("search"),
                   ["user_id", "keyword", "search_count", "last_searched"],
                   55 + F.least(F.coalesce("search_count", F.lit(0)) * 2, F.lit(20)))
 
 
 def competitor_leads(enquiries: DataFrame, known: DataFrame) -> DataFrame:
     rows = enquiries.where(F.col("deleted_at").isNull() & (F.trim("competitor") != "")).withColumns({
-        "current_supplier": F.substring("competitor", 1, 200), "message": F.substring(text("message"), 1, 500),
+        "current_supplier": F.col("competitor"), "message": text("message"),
         "buyer_user_id": text("enquiry_user_id")})
     return _leads(rows, known, "competitor_displacement",
                   F.concat(F.lit("competitor_enquiry:"), F.col("id").cast("string")), _source("crm2"),
