@@ -116,7 +116,6 @@ CODE = ["hs_code", "hscode", "matched_hs_code"]
 VALUE = ["shipment_value", "shipmentvalue", "total_value", "trade_value", "amount"]
 SHIPMENTS = ["number_of_shipments", "totalshipments", "shipment_count", "shipments"]
 FAMILY_CONFIDENCE = {TRADE: 0.90, ENRICH: 0.85}
-PAYLOAD_CHARS, KEY_CHARS = 12_000, 1_000
 
 
 def named(mapping: Mapping, prefixes: SourcePrefixes) -> dict:
@@ -156,7 +155,7 @@ def normalise_signals(rows: DataFrame, source_key: str, signal_type: str, family
     """Rows of one source table as signals with stable ids, hints, numbers and a JSON payload."""
     as_json = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
     key = F.lit(source_key.lower())
-    record = F.coalesce(first_present(rows, RECORD_ID), stable_id(key, F.substring(as_json, 1, KEY_CHARS)))
+    record = F.coalesce(first_present(rows, RECORD_ID), stable_id(key, as_json))
     when = F.replace(first_present(rows, OCCURRED), F.lit(" "), F.lit("T"))
     now = F.date_format(as_ts(as_of), "yyyy-MM-dd'T'HH:mm:ss")
     kind = F.lit(signal_type)
@@ -167,7 +166,7 @@ def normalise_signals(rows: DataFrame, source_key: str, signal_type: str, family
         first_present(rows, PRODUCT).alias("product_hint"), first_present(rows, CATEGORY).alias("category_hint"),
         first_present(rows, CODE).alias("hs_code"), to_number(first_present(rows, VALUE)).alias("shipment_value"),
         to_number(first_present(rows, SHIPMENTS)).alias("number_of_shipments"),
-        F.substring(as_json, 1, PAYLOAD_CHARS).alias("payload"))
+        as_json.alias("payload"))
     return picked.select(
         stable_id(F.lit("signal"), key, F.col("source_record_id"), kind).alias("signal_uid"),
         stable_id(F.lit("source_record"), key, F.col("source_record_id")).alias("raw_uid"),

@@ -1,13 +1,14 @@
 """Edge rows, and the operators SQL cannot state, against plain Python."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from leadloom.operators import (
-    behavior, enrich, factory, feedback, governance, health, layers, merge, models, platform_leads, sellers, switch, trade)
+    behavior, enrich, factory, feedback, governance, health, layers, merge, models, platform_leads, sellers, signals, switch, trade)
 from tests.conftest import rows
 
 AS_OF = "2024-01-31 00:00:00"
@@ -307,3 +308,11 @@ def test_profile_keeps_all_keywords_and_buttons(spark):
     got = behavior.buyer_profiles(**{k: spark.createDataFrame(given.get(k, []), v) for k, v in frames.items()}).first()
     assert got.search_keywords.split("|") == [names[699], *names[:699]] and got.searches_done == 701
     assert got.high_intent_detail.split("|") == sorted(f"{b}:1" for b in behavior.BUTTON_WEIGHTS)
+
+
+def test_long_rows_have_their_own_signal_and_a_whole_payload(spark):
+    data = [("x" * 1500 + "1", "y" * 20_000), ("x" * 1500 + "2", "y" * 20_000), ("x" * 1500 + "2", "y" * 20_000)]
+    table = spark.createDataFrame(data, "body string, note string")
+    got = signals.normalise_signals(table, "raw.notes", "page_view", "CRMSource", AS_OF).collect()
+    assert len({r.signal_uid for r in got}) == len({r.source_record_id for r in got}) == 2
+    assert sorted(tuple(json.loads(r.payload).values()) for r in got) == data
