@@ -29,6 +29,7 @@ from leadloom.session import staged
 
 CRLF = "\r\n"
 HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}"
+BROADCAST_DIGESTS = 200_000  # digests held twice (about 60 bytes each) that may be broadcast
 DATE = "2024-01-01T00:00:00Z"
 HEADERS = {  # column -> header, in lower case
     "record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri",
@@ -75,9 +76,11 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
         F.max("page").alias("first"), F.count("*").alias("n"))
     twice = staged(digests.where("n > 1").select("digest", "first"), "digests")
     ids = rows.where(F.col("size") >= least_bytes).select("page", "digest").join(twice, "digest")
-    few = twice.count() <= 200_000  # digests held twice, about 60 bytes each
-    marked = rows.join(F.broadcast(twice), "digest", "left") if few else rows.join(
-        ids.where("page <> first or page is null").select("page", "digest", "first").distinct(), ["page", "digest"], "left")
+    if twice.count() <= BROADCAST_DIGESTS:
+        marked = rows.join(F.broadcast(twice), "digest", "left")
+    else:  # by page too, as a digest may be hot; null pages meet
+        later = ids.where("page <> first or page is null").select(F.col("page").alias("_page"), F.col("digest").alias("_digest"), "first").distinct()
+        marked = rows.join(later, (F.col("digest") == F.col("_digest")) & F.col("page").eqNullSafe(F.col("_page")), "left").drop("_page", "_digest")
     refers = F.when((F.col("size") >= least_bytes) & ~F.col("page").eqNullSafe(F.col("first")), F.col("first").cast("string"))
     kind = F.when(refers.isNull(), F.lit("response")).otherwise(F.lit("revisit"))
     marked = marked.withColumn("refers", refers).withColumn("kind", kind)

@@ -222,6 +222,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_warc(spark, str(tmp_path / "empty")).count() == 0
 
 
+def test_warc_is_the_same_with_few_and_many_repeated_payloads(spark, tmp_path, monkeypatch):
+    rows = [(1, "same"), (2, "same"), (None, "same"), (None, "own"), (None, "twice"), (None, "twice"), (3, "more"), (None, "more"), (4, "other")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").selectExpr("*", "'u' AS url")
+    got = []
+    for k, most in enumerate((warc.BROADCAST_DIGESTS, 0)):
+        monkeypatch.setattr(warc, "BROADCAST_DIGESTS", most)
+        warc.write_warc(pages, str(tmp_path / str(k)))
+        got.append(sorted((r.record_id, r.record_type, r.refers_to or "", bytes(r.payload or b"")) for r in warc.read_warc(spark, str(tmp_path / str(k))).collect()))
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    assert [r for r in got[0] if "null" in r[0]] == sorted([
+        ("<urn:page:null>", "revisit", "<urn:page:2>", b""), ("<urn:page:null>", "revisit", "<urn:page:3>", b""), ("<urn:page:null>", "response", "", b"own"),
+        ("<urn:page:null>", "response", "", b"twice"), ("<urn:page:null>", "response", "", b"twice")])
+
+
 def test_leaks(spark, edge, empty):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
     words = item.split()
