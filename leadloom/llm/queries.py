@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from leadloom.llm import pitman_yor, warc
 from leadloom.llm.chunk_dedup import repeats
+from leadloom.llm.conversation_repair import repair_damaged
 from leadloom.llm.decontam import decontamination
+from leadloom.llm.merkle import document_manifest
 from leadloom.llm.ngram_join import jaccard_components
 from leadloom.llm.packing import pack
 from leadloom.llm.pii import replace_pii
 from leadloom.llm.quality import quality
+from leadloom.llm.token_counts import token_counts
 from leadloom.llm.toxicity import toxicity
 from leadloom.llm.url_filters import filter_urls, host_of, path_of
 from leadloom.session import shared_dir
@@ -107,6 +110,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return replace_pii(docs, PII_KEY, values="found").selectExpr("doc_id", "text", "cast(size(found) as long) AS n_found")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_damaged(_table(spark, folder, "conversations"))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return document_manifest(_table(spark, folder, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -114,4 +129,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality, op2_packing, op3_pitman_yor, op4_toxicity, op5_warc, op6_decontamination, op7_chunk_dedup,
-                            op8_url_filters, op9_jaccard_join, op10_pii, pipeline)}
+                            op8_url_filters, op9_jaccard_join, op10_pii, op11_conversation_repair, op12_merkle, op13_token_counts, pipeline)}
