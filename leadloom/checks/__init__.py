@@ -13,9 +13,9 @@ SQL_PARTS = (
     ("fixtures_sellers", "SELLER_FIXTURES"),
     ("fixtures_streams", "STREAM_FIXTURES"), ("oracle_graph", "GRAPH_FIXTURES"), ("oracle_models", "MODEL_FIXTURES"),
     ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
-    ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"), ("oracle_graph", "GRAPH"), ("oracle_models", "MODELS"),
+    ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"), ("oracle_graph", "GRAPH"), ("oracle_models", "MODELS"), ("oracle_learned", "LEARNED"),
 )
-QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models")
+QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models", "queries_learned")
 
 
 def fixture_inputs(spark, folder: str) -> Inputs:

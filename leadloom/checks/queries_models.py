@@ -16,11 +16,11 @@ def forest(i):
     return m.anomaly_forest(h.series_features(plan(i).snapshots))
 
 
-def trained(i, trees: int):
+def trained(i, trees: int, boosted: bool = True):
     t = plan(i)
     rows = staged(m.training_rows(t.features, t.rules.select(
         "rel_id", F.col("rule_status").alias("health_status"), F.lit(0.0).alias("anomaly_score"))), "training")
-    return m.fit_switch_classifier(rows, trees=trees, depth=4), rows
+    return m.fit_switch_classifier(rows, trees=trees, depth=4, boosted=boosted), rows
 
 
 def classified(i):
@@ -30,7 +30,7 @@ def classified(i):
 
 def explained(i):
     model, rows = trained(i, 5)
-    return m.score_explanations(model, rows)
+    return m.score_explanations(model, rows, top=5)
 
 
 def ranked(i):
@@ -44,7 +44,7 @@ def register(r: Registry) -> None:
     add("anomaly_forest", forest, "rel_id,anomaly_score:d", None)
     add("switch_classifier", classified, "rel_id,probability:d", None)
     add("pairwise_ranker", ranked, "opportunity_id,candidate:i,rank_score:d,rank:i", None)
-    add("score_explanations", explained, "rel_id,feature,delta:d,rank:i", None)
+    add("score_explanations", explained, "rel_id,feature,contribution:d,rank:i", None)
     add("classifier_metrics", lambda i: m.classifier_metrics(i.scored_labels),
         "tp:i,fp:i,tn:i,fn:i,accuracy:d,precision:d,recall:d,f1:d,roc_auc:d")
     add("ranker_metrics", lambda i: m.ranker_metrics(i.ranked_lists, "q", "score", "label", "item"),

@@ -20,20 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.config import Models
-from leadloom.functions.rank import top_k
 from leadloom.functions.values import as_ts, tidy_round, whole_days
+from leadloom.operators.forests import forest_explanations, forest_of
 from leadloom.operators.switch import FEATURES
+from leadloom.session import staged
 
 ANOMALY_FEATURES = ("mean_qty", "cv_qty", "slope", "zero_frac", "recent_vs_baseline")
-SAMPLE = 256
-
-
-def standardise(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns with mean 0 and deviation 1 (population); one aggregate row joined back by broadcast."""
-    stats = rows.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
-    joined = rows.withColumn("_k", F.lit(1)).join(F.broadcast(stats.withColumn("_k", F.lit(1))), "_k")
-    return joined.select(*[c for c in rows.columns if c not in columns], *[
-        F.coalesce((F.col(c) - F.col(f"m_{c}")) / F.nullif(F.col(f"s_{c}"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in columns])
 
 
 def _average_path(n: int) -> float:
@@ -46,7 +38,7 @@ def _average_path(n: int) -> float:
 
 
 def _grow(points: np.ndarray, rng: np.random.Generator, depth: int, limit: int):
-    """A random tree as nested lists: [feature, cut, left, right] or the leaf's expected extra length."""
+    """A random tree as nested lists: [feature, cut, left, right] or the leaf's expected path length."""
     low, high = (points.min(axis=0), points.max(axis=0)) if len(points) else (None, None)
     if depth >= limit or len(points) <= 1 or not (high > low).any():
         return depth + _average_path(len(points))
@@ -65,49 +57,65 @@ def _lengths(tree, points: np.ndarray) -> np.ndarray:
     return out
 
 
-def anomaly_forest(features: DataFrame, trees: int = 100, cfg: Models = Models()) -> DataFrame:
-    """Adds anomaly_score 0..1 (1 most anomalous) from an isolation forest over the five series features.
+def fit_anomaly_forest(features: DataFrame, trees: int = 100, sample: int = 256, cfg: Models = Models()) -> dict | None:
+    """An isolation forest over the five series features as a plain dict: columns, means, deviations, trees, typical length.
 
-    Every tree sees a sample of at most 256 rows, chosen by hash, and is grown in its own group;
-    the grown trees have a fixed size bound and are broadcast for scoring. The contamination
-    setting only shifts scores before they are scaled to 0..1 and so has no effect.
+    A tree grows on ``sample`` rows without repeats, out of a pool of the ``trees * sample`` rows whose keys hash lowest; the
+    pool has a fixed bound, whatever the input, and goes to the tasks that grow the trees. None without rows.
     """
     cols = list(ANOMALY_FEATURES)
-    scaled = standardise(features.select("rel_id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in cols]), cols)
-    total = features.count()
-    copies = max(1, min(trees, math.ceil(1.5 * SAMPLE * trees / max(total, 1))))
-    start = F.pmod(F.xxhash64("rel_id", F.lit(cfg.seed)), F.lit(trees))
-    spread = scaled.withColumn("tree", F.explode(F.sequence(start, start + copies - 1))).withColumn(
-        "tree", F.pmod(F.col("tree"), F.lit(trees)))
-    sample = top_k(spread, ["tree"], [F.xxhash64("rel_id", "tree", F.lit(cfg.seed)), F.col("rel_id")], SAMPLE)
-    limit = math.ceil(math.log2(SAMPLE))
-
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        tree = int(group["tree"].iloc[0])
-        ordered = group.sort_values("rel_id")
-        grown = _grow(ordered[cols].to_numpy(float), np.random.default_rng([cfg.seed, tree]), 0, limit)
-        return pd.DataFrame({"tree": [tree], "body": [json.dumps(grown)], "size": [len(group)]})
-
-    grown = sample.groupBy("tree").applyInPandas(grow, "tree long, body string, size long").collect()
-    if not grown:
-        return features.withColumn("anomaly_score", F.lit(0.0))
-    forest = features.sparkSession.sparkContext.broadcast([json.loads(r["body"]) for r in grown])
-    typical = _average_path(max(2, round(sum(r["size"] for r in grown) / len(grown))))
+    known = features.select("rel_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    stats = known.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    mean, sd = [stats[f"m_{c}"] for c in cols], [stats[f"s_{c}"] for c in cols]
+    pool = known.orderBy(F.xxhash64("rel_id", F.lit(cfg.seed)), "rel_id").limit(trees * sample).collect()
+    if not pool:
+        return None
+    points = np.array([[r[c] for c in cols] for r in pool], float)
+    spread = np.array([s or np.inf for s in sd])  # a constant feature is 0 everywhere
+    spark, points = features.sparkSession, (points - mean) / spread
+    shared = spark.sparkContext.broadcast(points)
+    size, limit = min(sample, len(points)), math.ceil(math.log2(max(2, min(sample, len(points)))))
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for tree in batch["id"].tolist():
+                rng = np.random.default_rng([cfg.seed, tree])
+                own = shared.value[np.sort(rng.choice(len(shared.value), size, replace=False))]
+                yield pd.DataFrame({"tree": [tree], "body": [json.dumps(_grow(own, rng, 0, limit))]})
+
+    grown = spark.range(trees).repartition(min(trees, 32)).mapInPandas(grow, "tree long, body string").collect()
+    bodies = [json.loads(r["body"]) for r in sorted(grown, key=lambda r: r["tree"])]
+    return {"columns": cols, "mean": mean, "deviation": sd, "trees": bodies, "typical": _average_path(max(2, size))}
+
+
+def anomaly_scores(model: dict, features: DataFrame) -> DataFrame:
+    """Adds anomaly_score 0..1 (1 most anomalous) by a forest of ``fit_anomaly_forest``: 2 to the minus mean path length over
+    the typical one, then stretched to 0..1 over all rows."""
+    forest = features.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        own = forest.value
+        spread = np.array([s or np.inf for s in own["deviation"]])
         for columns in batches:
-            points = np.column_stack([c.to_numpy(float) for c in columns])
-            mean = np.mean([_lengths(t, points) for t in forest.value], axis=0)
-            yield pd.Series(2.0 ** (-mean / typical))
+            points = (np.column_stack([c.to_numpy(float) for c in columns]) - own["mean"]) / spread
+            yield pd.Series(2.0 ** (-np.mean([_lengths(t, points) for t in own["trees"]], axis=0) / own["typical"]))
 
-    scored = scaled.withColumn("raw", score(*cols)).select("rel_id", "raw", F.lit(1).alias("_k"))
+    raw = features.select("rel_id", score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model["columns"]]).alias("raw"))
+    scored = staged(raw, "anomalies").withColumn("_k", F.lit(1))  # read for the range and for the rows
     span = scored.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).withColumn("_k", F.lit(1))
     normal = scored.join(F.broadcast(span), "_k").select("rel_id", ((F.col("raw") - F.col("lo")) / F.greatest(
         F.col("hi") - F.col("lo"), F.lit(1e-9))).alias("anomaly_score"))
     return features.join(normal, "rel_id")
 
 
+def anomaly_forest(features: DataFrame, trees: int = 100, cfg: Models = Models()) -> DataFrame:
+    """Adds anomaly_score 0..1 from an isolation forest grown on the same rows. The contamination setting only shifts scores
+    before they are stretched to 0..1 and so has no effect."""
+    model = fit_anomaly_forest(features, trees, cfg=cfg)
+    return anomaly_scores(model, features) if model else features.withColumn("anomaly_score", F.lit(0.0))
+
+
 def training_rows(features: DataFrame, health: DataFrame, cfg: Models = Models()) -> DataFrame:
     """Features with label (dormant or churned = 1) and holdout mark: one in five of each class, by hash."""
     labelled = features.drop("anomaly_score").join(health.select("rel_id", "health_status", "anomaly_score"), "rel_id")
@@ -210,22 +218,12 @@ def ranker_metrics(scored: DataFrame, query: str, score: str, label: str, key: s
         F.count(F.lit(1)).alias("n_queries"))
 
 
-def score_explanations(model: PipelineModel, rows: DataFrame, top: int = 5) -> DataFrame:
-    """The features that move a row's probability most when set to their median: (rel_id, feature, delta, rank).
+def score_explanations(model: PipelineModel, rows: DataFrame, top: int | None = None) -> DataFrame:
+    """(rel_id, feature, contribution, rank): what each feature adds to a row's log odds (or a forest's probability), by size.
 
-    All rows at once: each row is scored once as it is and once per feature; the window that ranks
-    holds one row per feature.
+    Contributions are Shapley values of the trees themselves; with the base value they add up to the model's margin.
     """
-    medians = rows.agg(*[F.percentile_approx(f, 0.5).cast("double").alias(f"m_{f}") for f in FEATURES])
-    base = rows.select("rel_id", *[F.col(f).cast("double").alias(f) for f in FEATURES]).withColumn("_k", F.lit(1)).join(
-        F.broadcast(medians.withColumn("_k", F.lit(1))), "_k")
-    changed = base.withColumn("feature", F.explode(F.array(F.lit(""), *[F.lit(f) for f in FEATURES]))).select(
-        "rel_id", "feature", *[F.when(F.col("feature") == f, F.col(f"m_{f}")).otherwise(F.col(f)).alias(f) for f in FEATURES])
-    scored = model.transform(changed).select("rel_id", "feature", vector_to_array("probability")[1].alias("p"))
-    own = F.max(F.when(F.col("feature") == "", F.col("p"))).over(Window.partitionBy("rel_id"))
-    deltas = scored.withColumn("delta", own - F.col("p")).where("feature <> ''")
-    ranked = deltas.withColumn("rank", F.row_number().over(Window.partitionBy("rel_id").orderBy(F.desc(F.abs("delta")), "feature")))
-    return ranked.where(F.col("rank") <= top).select("rel_id", "feature", tidy_round(F.col("delta"), 4).alias("delta"), "rank")
+    return forest_explanations(forest_of(model), rows, top=top)
 
 
 MODEL_NAMES = ["health_detector", "switch_classifier", "supplier_ranker"]
