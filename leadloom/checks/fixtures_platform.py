@@ -8,16 +8,18 @@ PLATFORM_FIXTURES: dict[str, str] = {
                CAST(user_id AS STRING) || '-' || CAST(CAST(ts AS DATE) AS STRING) AS session_id FROM {{events}}""",
     "sessions": """
         SELECT session_id, user_id, '10.0.0.' || CAST(user_id % 7 AS STRING) AS ip_address, 'agent/' || CAST(user_id % 5 AS STRING) AS user_agent,
-               min(ts) AS created_at FROM {activity} GROUP BY session_id, user_id""",
+               min(ts) AS created_at, CASE user_id % 5 WHEN 0 THEN 'NL' WHEN 1 THEN 'US' WHEN 2 THEN '' WHEN 3 THEN CASE WHEN min(event_id) % 2 = 0 THEN 'DE' ELSE 'AT' END ELSE NULL END AS country,
+               CASE min(event_id) % 3 WHEN 0 THEN 'phone' WHEN 1 THEN 'desktop' ELSE NULL END AS device FROM {activity} GROUP BY session_id, user_id""",
     "clicks": """
         SELECT event_id AS id, session_id, CASE k % 12 WHEN 0 THEN 'Get Quote Now' WHEN 1 THEN ' Contact Supplier' WHEN 2 THEN 'Company Profile' WHEN 3 THEN 'Send a Query'
                  WHEN 4 THEN 'Get Quote' ELSE 'Other' END AS element_type, ts AS created_at FROM {activity} WHERE event_type = 'click'""",
     "scrolls": "SELECT session_id, CAST(event_id * 7 % 101 AS DOUBLE) AS average, ts AS created_at FROM {activity} WHERE event_type IN ('view', 'error')",
     "page_views": """
         SELECT event_id AS id, session_id, CASE k % 3 WHEN 0 THEN 'ProductDetail' WHEN 1 THEN 'Home' ELSE 'Category' END AS type, ts AS created_at,
+               CASE WHEN k % 3 = 0 THEN 'p' || CAST(event_id % 40 AS STRING) ELSE NULL END AS product_id,
                CASE WHEN event_id % 20 = 0 THEN ts ELSE NULL END AS deleted_at FROM {activity} WHERE event_type IN ('view', 'purchase')""",
     "searches": """
-        SELECT a.user_id, p.p_name AS name, a.event_id % 4 + 1 AS searched_total, a.ts AS created_at,
+        SELECT a.user_id, CASE WHEN a.event_id % 7 < 3 THEN 'certified goods with delivery and assembly: ' || p.p_name ELSE p.p_name END AS name, p.p_size AS category_id, a.event_id % 4 + 1 AS searched_total, a.ts AS created_at,
                CASE WHEN a.event_id % 13 = 0 THEN a.ts ELSE NULL END AS deleted_at
         FROM {activity} AS a JOIN {part} AS p ON p.p_partkey = a.k WHERE a.event_type IN ('error', 'view')""",
     "messages": "SELECT user_id, ts AS created_at FROM {activity} WHERE event_type = 'signup' AND k < 60",
@@ -25,7 +27,8 @@ PLATFORM_FIXTURES: dict[str, str] = {
         SELECT a.event_id AS id, a.user_id % 60 AS enquiry_user_id, a.k AS seller_user_id, a.event_id % 90 AS product_id,
                CASE a.k % 5 WHEN 0 THEN 'quote' WHEN 1 THEN ' Bid' WHEN 2 THEN 'Seller Created' WHEN 3 THEN 'query' ELSE NULL END AS enquiry_type,
                d.text AS message, CASE WHEN a.k % 4 = 0 THEN 'NL' ELSE NULL END AS country,
-               CASE a.k % 6 WHEN 0 THEN 'Rival ' || CAST(a.k AS STRING) WHEN 1 THEN '  ' ELSE NULL END AS competitor,
+               CASE a.k % 3 WHEN 0 THEN 'stone' WHEN 1 THEN 'glass' ELSE NULL END AS industry,
+               CASE a.k % 6 WHEN 0 THEN 'Rival ' || CAST(a.k AS STRING) || repeat(' and partners', a.k % 24) WHEN 1 THEN '  ' ELSE NULL END AS competitor,
                CASE a.k % 9 WHEN 0 THEN 'We resell' WHEN 1 THEN 'Distribution of goods' WHEN 2 THEN 'WHOLESALE' WHEN 3 THEN 'resell, distribute' ELSE 'own use' END AS purpose_of_inquiry,
                a.ts AS created_at, CASE WHEN a.event_id % 17 = 0 THEN a.ts ELSE NULL END AS deleted_at
         FROM {activity} AS a LEFT JOIN {documents} AS d ON d.doc_id = a.event_id WHERE a.event_type = 'purchase'""",

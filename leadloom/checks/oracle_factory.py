@@ -1,12 +1,113 @@
 """DuckDB statements for signals and the lead factory."""
 
 from leadloom.checks.sqltext import quoted, rnd, sid, values_table
-from leadloom.config import SourcePrefixes
-from leadloom.operators import factory as f
-from leadloom.operators.signals import SIGNAL_MAP, named
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
-_map = values_table("k, t, fam", [(k, *v) for k, v in named(SIGNAL_MAP, SourcePrefixes()).items()])
+# Fixed values, written here again so that a wrong one in an operator shows: groups of signal and lead types, signals by source.
+COMMITMENT_TYPES = ["quote_sent", "quote_opened", "quote_accepted", "po_received", "contract_signed", "deal_won"]
+DEAL_TYPES = ["deal_created", "deal_stage_progressed"]
+ENRICHMENT_TYPES = ["contact_enriched", "firmographic_update_detected", "company_discovered"]
+EVENT_TYPES = ["meeting_scheduled", "event_attended"]
+HIGH_TYPES = [
+    "rfq_draft", "hot_in_market", "market_opportunity", "active_deal", "active_importer", "trade_buyer_candidate", "buying_committee_active"]
+INTELLIGENCE_TYPES = ["meeting_scheduled", "contact_enriched", "third_party_intent_detected", "business_event_detected", "news_trigger_detected"]
+LATE_STAGE = ["deal_ready", "quote_ready", "rfq_submitted", "strategic_consolidation"]
+LOW_TYPES = ["visit_only", "cold_market", "intent_only"]
+MEDIUM_TYPES = ["warm_account", "procurement_project_active", "strategic_account"]
+OPEN_TYPES = ["lead_created", "deal_created", "deal_stage_progressed"]
+QUEUE_GROUPS = [
+    (["rfq_submitted", "deal_ready", "strategic_consolidation"], "immediate"),
+    (["rfq_draft", "hot_in_market", "active_importer", "buying_committee_active", "quote_ready"], "priority_queue"),
+    (["trade_buyer_candidate", "market_opportunity", "procurement_project_active", "active_deal", "strategic_account"], "standard_queue"),
+]
+RFQ_FIRST = ["rfq_submitted", "rfq_created", "rfq_started", "inquiry_created"]
+RFQ_TYPES = [
+    "rfq_created", "rfq_submitted", "rfq_started", "inquiry_created", "specification_uploaded", "drawing_uploaded", "bom_uploaded", "boq_uploaded"]
+VISIBILITY_GROUPS = [
+    (["blocked"], "internal_only"),
+    (["rfq_submitted", "deal_ready"], "instant_alert"),
+    (["hot_in_market", "quote_ready", "buying_committee_active"], "push_notify"),
+    (["market_opportunity", "strategic_account", "active_deal", "active_importer", "trade_buyer_candidate", "strategic_consolidation"], "priority"),
+]
+_SIGNALS = [
+    ("raw.trade_shipment_bl", "shipment_detected", "TradeShipmentSource"),
+    ("raw.trade_buyer_supplier_list", "active_importer_detected", "TradeShipmentSource"),
+    ("raw.trade_company_master", "trade_company_profile_detected", "TradeShipmentSource"),
+    ("raw.trade_company_matcher", "trade_company_matched", "TradeShipmentSource"),
+    ("raw.trade_company_import_partner", "import_partner_detected", "TradeShipmentSource"),
+    ("raw.trade_company_export_partner", "export_partner_detected", "TradeShipmentSource"),
+    ("raw.trade_company_imported_hs", "import_hs_interest_detected", "TradeShipmentSource"),
+    ("raw.trade_company_exported_hs", "export_hs_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_company_imported_keyword", "import_keyword_interest_detected", "TradeShipmentSource"),
+    ("raw.trade_company_exported_keyword", "export_keyword_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_company_country_import", "import_country_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_company_country_export", "export_country_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_company_ports_lading", "export_port_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_company_ports_unlading", "import_port_activity_detected", "TradeShipmentSource"),
+    ("raw.trade_hs_classifier", "hs_classification_detected", "TradeShipmentSource"),
+    ("raw.trade_relationship_health", "relationship_health_detected", "TradeShipmentSource"),
+    ("raw.trade_company_profile", "company_profile_detected", "TradeShipmentSource"),
+    ("raw.trade_shipment_search", "shipment_search_detected", "TradeShipmentSource"),
+    ("raw.company_hs_code", "company_hs_profile_detected", "TradeShipmentSource"),
+    ("raw.company_products", "company_product_profile_detected", "TradeShipmentSource"),
+    ("firmo.company_search", "company_discovered", "ThirdPartyIntelligenceSource"),
+    ("firmo.contact_search", "contact_discovered", "ThirdPartyIntelligenceSource"),
+    ("firmo.contact_enrich", "contact_enriched", "EnrichmentSource"),
+    ("firmo.corporate_hierarchy", "firmographic_update_detected", "ThirdPartyIntelligenceSource"),
+    ("firmo.intent_search", "third_party_intent_detected", "ThirdPartyIntelligenceSource"),
+    ("firmo.news_search", "news_trigger_detected", "ThirdPartyIntelligenceSource"),
+    ("firmo.scoop_search", "business_event_detected", "ThirdPartyIntelligenceSource"),
+    ("skg.intent_signal", "commercial_intent_detected", "ThirdPartyIntelligenceSource"),
+    ("skg.intent_score", "intent_score_updated", "ThirdPartyIntelligenceSource"),
+    ("skg.interaction", "interaction_detected", "WebsiteBehaviorSource"),
+    ("skg.lead", "external_lead_detected", "CRMSource"),
+    ("crm.click_tracking", "commercial_click_detected", "WebsiteBehaviorSource"),
+    ("crm.page_event_trackings", "commercial_action_detected", "WebsiteBehaviorSource"),
+    ("crm.page_visits", "page_visit_detected", "WebsiteBehaviorSource"),
+    ("crm.scroll_depths", "scroll_depth_recorded", "WebsiteBehaviorSource"),
+    ("crm.session_engagements", "session_engagement_detected", "WebsiteBehaviorSource"),
+    ("crm.rfqs", "rfq_detected", "CRMSource"),
+    ("crm.rfq_items", "rfq_item_detected", "CRMSource"),
+    ("crm.rfq_files", "rfq_file_attached", "CRMSource"),
+    ("crm.rfq_distributions", "rfq_distributed", "CRMSource"),
+    ("crm.rfq_quotes", "quote_submitted", "CRMSource"),
+    ("crm.quotation", "quote_request_detected", "CRMSource"),
+    ("crm.deals", "deal_detected", "CRMSource"),
+    ("crm.deal_stages", "deal_stage_changed", "CRMSource"),
+    ("crm.deal_stage_histories", "deal_stage_history_recorded", "CRMSource"),
+    ("crm.crm_leads", "crm_lead_detected", "CRMSource"),
+    ("crm.crm_contacts", "contact_detected", "CRMSource"),
+    ("crm.crm_emails", "email_interaction_detected", "CRMSource"),
+    ("crm.auto_quote_email_events", "email_event_detected", "CRMSource"),
+    ("crm.crm_lead_product_items", "lead_product_interest_detected", "CRMSource"),
+    ("crm.lead_master", "lead_master_updated", "CRMSource"),
+    ("crm.lead_evidence", "lead_evidence_recorded", "CRMSource"),
+    ("crm.raw_source_payload", "raw_source_ingested", "CRMSource"),
+    ("crm.signal_registry", "signal_registered", "NormalizedSource"),
+    ("crm.source_registry", "source_registered", "NormalizedSource"),
+    ("crm.lead_action_log", "lead_action_logged", "CRMSource"),
+    ("crm.lead_suppression_log", "lead_suppressed", "CRMSource"),
+    ("crm.lead_distribution_log", "lead_distributed", "CRMSource"),
+    ("crm.account_identity", "identity_resolved", "IdentitySource"),
+    ("crm.account_risk_flags", "compliance_flag_detected", "ComplianceSource"),
+    ("crm.identity_resolution_log", "identity_resolution_logged", "IdentitySource"),
+    ("crm.account_state", "account_state_changed", "CRMSource"),
+    ("crm.person_identity", "person_identity_detected", "IdentitySource"),
+    ("crm.partner_registry", "partner_detected", "CRMSource"),
+    ("crm.engagement_with_sellers", "seller_engagement_detected", "CRMSource"),
+    ("crm.trade_relationship", "crm_trade_relationship_detected", "TradeShipmentSource"),
+    ("crm.scoring_outcomes", "scoring_outcome_recorded", "CRMSource"),
+    ("crm.scoring_rule_evaluation", "scoring_rule_evaluated", "CRMSource"),
+    ("crm.build_lead_score", "lead_score_built", "CRMSource"),
+    ("crm.seller_user_metrics", "seller_metric_updated", "CRMSource"),
+    ("app.messages", "message_sent_detected", "CRMSource"),
+    ("app.bot_detection_logs", "bot_detected", "BotDetectionSource"),
+    ("app_staging.enquiries", "enquiry_detected", "CRMSource"),
+    ("app_staging.tracking_sessions", "session_detected", "WebsiteBehaviorSource"),
+    ("app_staging.tracking_click_events", "click_detected", "WebsiteBehaviorSource"),
+    ("app_staging.tracking_page_views", "page_view_detected", "WebsiteBehaviorSource"),
+]
+_map = values_table("k, t, fam", _SIGNALS)
 
 
 def _has(*words: str) -> str:
@@ -66,8 +167,8 @@ FACTORY: dict[str, str] = {
           CASE WHEN account_hint IS NOT NULL AND sf = 'TradeShipmentSource' THEN 0.95 WHEN account_hint IS NOT NULL THEN 0.78
                WHEN person_hint IS NOT NULL THEN 0.80 WHEN domain_hint IS NOT NULL THEN 0.70 ELSE 0.40 END AS confidence_score,
           CASE WHEN account_hint IS NULL AND person_hint IS NULL AND domain_hint IS NULL THEN 'poor_identity' ELSE 'proposed' END AS status,
-          CASE WHEN st IN ({quoted(f.RFQ_FIRST)}) THEN 100 WHEN st IN ({quoted(f.DEAL_TYPES + f.COMMITMENT_TYPES)}) THEN 95 WHEN {_trade} THEN 90
-               WHEN st IN ({quoted(f.INTELLIGENCE_TYPES)}) THEN 80 WHEN st = 'lead_created' THEN 70 ELSE 10 END AS processing_priority
+          CASE WHEN st IN ({quoted(RFQ_FIRST)}) THEN 100 WHEN st IN ({quoted(DEAL_TYPES + COMMITMENT_TYPES)}) THEN 95 WHEN {_trade} THEN 90
+               WHEN st IN ({quoted(INTELLIGENCE_TYPES)}) THEN 80 WHEN st = 'lead_created' THEN 70 ELSE 10 END AS processing_priority
         FROM (SELECT *, signal_type AS st, source_family AS sf FROM {{signals}}) AS s""",
     "resolve_identity": """
         SELECT h.hypothesis_id, h.candidate_entity_type, k.entity_id, h.confidence_score AS resolution_confidence
@@ -76,14 +177,14 @@ FACTORY: dict[str, str] = {
     "evidence": f"""
         WITH a AS (SELECT *, signal_type AS st, source_family AS sf,
                      greatest(0, CAST(floor((epoch_us({NOW}) - epoch_us(occurred_at)) / 86400000000.0) AS BIGINT)) AS age FROM {{signals}}),
-        b AS (SELECT *, CASE WHEN st IN ({quoted(f.RFQ_TYPES)}) THEN 'rfq_intent_detected'
+        b AS (SELECT *, CASE WHEN st IN ({quoted(RFQ_TYPES)}) THEN 'rfq_intent_detected'
                   WHEN sf = 'TradeShipmentSource' OR contains(st, 'shipment') OR contains(st, 'import') THEN 'active_importer_detected'
-                  WHEN st IN ({quoted(f.ENRICHMENT_TYPES)}) THEN 'decision_maker_presence_detected'
-                  WHEN st IN ({quoted(f.COMMITMENT_TYPES)}) THEN 'procurement_commitment_detected'
-                  WHEN st IN ({quoted(f.OPEN_TYPES)}) THEN 'active_opportunity_detected'
-                  WHEN st IN ({quoted(f.EVENT_TYPES)}) THEN 'event_engagement_detected' ELSE 'product_interest_cluster' END AS et
-              FROM a WHERE age <= CASE WHEN st IN ({quoted(f.RFQ_TYPES)}) THEN 7 WHEN {_trade} THEN 90
-                  WHEN st IN ({quoted(f.ENRICHMENT_TYPES)}) THEN 365 ELSE 30 END),
+                  WHEN st IN ({quoted(ENRICHMENT_TYPES)}) THEN 'decision_maker_presence_detected'
+                  WHEN st IN ({quoted(COMMITMENT_TYPES)}) THEN 'procurement_commitment_detected'
+                  WHEN st IN ({quoted(OPEN_TYPES)}) THEN 'active_opportunity_detected'
+                  WHEN st IN ({quoted(EVENT_TYPES)}) THEN 'event_engagement_detected' ELSE 'product_interest_cluster' END AS et
+              FROM a WHERE age <= CASE WHEN st IN ({quoted(RFQ_TYPES)}) THEN 7 WHEN {_trade} THEN 90
+                  WHEN st IN ({quoted(ENRICHMENT_TYPES)}) THEN 365 ELSE 30 END),
         c AS (SELECT *, CASE et WHEN 'active_importer_detected' THEN 'trade' WHEN 'rfq_intent_detected' THEN 'intent' WHEN 'decision_maker_presence_detected' THEN 'enrichment'
                   WHEN 'procurement_commitment_detected' THEN 'commitment' ELSE 'behavior' END AS cat,
                 CASE et WHEN 'rfq_intent_detected' THEN 70 WHEN 'active_importer_detected' THEN 70 WHEN 'procurement_commitment_detected' THEN 90
@@ -134,12 +235,12 @@ FACTORY: dict[str, str] = {
             WHEN x >= 85 THEN 'procurement_project_active' WHEN x >= 70 THEN 'hot_in_market' WHEN x >= 50 THEN 'warm_account' WHEN x >= 30 THEN 'intent_only' ELSE 'visit_only' END AS lead_type FROM a)
         SELECT 'lc25:' || fit_suppression_uid AS classification_uid, fit_suppression_uid, evidence_uid, lead_type,
             CASE WHEN lead_type = 'blocked' THEN 'none' WHEN rfq_exists OR trade_exists OR product_match >= 0.6 THEN 'opportunity_lead' WHEN contact_exists THEN 'person_lead' ELSE 'account_lead' END AS lead_grain,
-            CASE WHEN lead_type IN ({quoted(f.LATE_STAGE)}) THEN 'late' WHEN lead_type = 'blocked' THEN 'invalid' WHEN lead_type IN ('visit_only', 'cold_market') THEN 'early' ELSE 'mid' END AS lead_stage,
-            CASE WHEN lead_type IN ({quoted(f.LATE_STAGE)}) OR x >= 85 THEN 'critical' WHEN lead_type IN ({quoted(f.HIGH_TYPES)}) OR x >= 70 THEN 'high'
-                 WHEN lead_type IN ({quoted(f.MEDIUM_TYPES)}) THEN 'medium' WHEN lead_type IN ({quoted(f.LOW_TYPES)}) THEN 'low' WHEN lead_type = 'blocked' THEN 'none' ELSE 'medium' END AS priority,
+            CASE WHEN lead_type IN ({quoted(LATE_STAGE)}) THEN 'late' WHEN lead_type = 'blocked' THEN 'invalid' WHEN lead_type IN ('visit_only', 'cold_market') THEN 'early' ELSE 'mid' END AS lead_stage,
+            CASE WHEN lead_type IN ({quoted(LATE_STAGE)}) OR x >= 85 THEN 'critical' WHEN lead_type IN ({quoted(HIGH_TYPES)}) OR x >= 70 THEN 'high'
+                 WHEN lead_type IN ({quoted(MEDIUM_TYPES)}) THEN 'medium' WHEN lead_type IN ({quoted(LOW_TYPES)}) THEN 'low' WHEN lead_type = 'blocked' THEN 'none' ELSE 'medium' END AS priority,
             CASE WHEN lead_type = 'blocked' THEN 'internal_only' WHEN lead_type IN ('rfq_submitted', 'deal_ready') THEN 'instant_alert'
                  WHEN lead_type IN ('hot_in_market', 'quote_ready', 'buying_committee_active') THEN 'push_notify'
-                 WHEN lead_type IN ({quoted(f.VISIBILITY_GROUPS[3][0])}) THEN 'priority' ELSE 'feed' END AS visibility FROM b""",
+                 WHEN lead_type IN ({quoted(VISIBILITY_GROUPS[3][0])}) THEN 'priority' ELSE 'feed' END AS visibility FROM b""",
     "create_leads": f"""
         WITH a AS (SELECT c.*, s.final_decision, s.six_component_score, e.evidence_strength, e.decay_factor, e.signal_age_days, e.rfq_exists, e.trade_exists, e.contact_exists,
                      e.number_of_shipments, h.confidence_score AS ic, h.candidate_entity_id, h.resolution_method AS m, h.status AS hs,
@@ -168,8 +269,8 @@ FACTORY: dict[str, str] = {
                CASE WHEN lead_type IN ('rfq_submitted', 'rfq_draft') THEN 'rfq_alert_v25' WHEN lead_type IN ('active_importer', 'trade_buyer_candidate', 'market_opportunity') THEN 'trade_opportunity_v25'
                     WHEN lead_type IN ('deal_ready', 'strategic_consolidation') THEN 'deal_ready_v25' ELSE 'lead_alert_v25' END AS template, priority AS urgency,
                'status:v25:' || lead_uid AS history_id, 'outcome:pending:v25:' || lead_uid AS outcome_id
-        FROM (SELECT *, CASE WHEN lead_type IN ({quoted(f.QUEUE_GROUPS[0][0])}) THEN 'immediate' WHEN lead_type IN ({quoted(f.QUEUE_GROUPS[1][0])}) THEN 'priority_queue'
-                WHEN lead_type IN ({quoted(f.QUEUE_GROUPS[2][0])}) THEN 'standard_queue' ELSE 'research_queue' END AS q FROM {{dedup_leads}} WHERE routing_eligible) AS x""",
+        FROM (SELECT *, CASE WHEN lead_type IN ({quoted(QUEUE_GROUPS[0][0])}) THEN 'immediate' WHEN lead_type IN ({quoted(QUEUE_GROUPS[1][0])}) THEN 'priority_queue'
+                WHEN lead_type IN ({quoted(QUEUE_GROUPS[2][0])}) THEN 'standard_queue' ELSE 'research_queue' END AS q FROM {{dedup_leads}} WHERE routing_eligible) AS x""",
     "pipeline_quality": """
         WITH c AS (SELECT (SELECT count(*) FROM {signals}) AS total_signals, 0 AS signals_without_identity, (SELECT count(*) FROM {signals}) AS signals_with_identity,
           (SELECT count(*) FROM {evidence} WHERE evidence_strength IS NULL) AS evidence_missing_strength,

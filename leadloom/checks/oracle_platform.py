@@ -2,11 +2,32 @@
 
 from leadloom.checks.oracle_views import CLICK_BUTTONS, CLICK_ELEMENTS
 from leadloom.checks.sqltext import quoted, values_table
-from leadloom.operators import platform_leads as p
 
-_scores = values_table("t, s", p.SCORES.items())
-_vis = values_table("t, v", p.VISIBILITY.items())
-_tags = values_table("t, tags", [(k, ",".join(v)) for k, v in p.PLAYBOOK_TAGS.items()])
+# Fixed values, written here again so that a wrong one in an operator shows: score, visibility and tags by lead type.
+_SCORES = [
+    ("rfq_submitted", 85), ("rfq_draft", 65), ("quote_ready", 90), ("engaged_person", 75), ("engaged_account", 70),
+    ("known_account_interest", 68), ("hot_in_market", 72), ("intent_only", 55), ("active_importer", 60), ("visit_only", 40),
+    ("anonymous_account_visit", 30), ("trade_buyer_candidate", 62), ("strategic_account_watch", 65), ("competitor_displacement", 80), ("known_person_interest", 70),
+    ("reactivation_candidate", 72), ("partner_chain_opportunity", 68), ("suppressed_noise", 10), ("active_exporter", 60),
+]
+_VISIBILITY = [
+    ("rfq_submitted", "instant_alert"), ("quote_ready", "instant_alert"), ("hot_in_market", "instant_alert"), ("rfq_draft", "push_notify"),
+    ("competitor_displacement", "push_notify"), ("switch_lead", "push_notify"), ("engaged_person", "priority"), ("engaged_account", "priority"),
+    ("active_importer", "priority"), ("trade_buyer_candidate", "priority"), ("known_account_interest", "feed"), ("known_person_interest", "feed"),
+    ("intent_only", "feed"), ("strategic_account_watch", "watchlist"), ("anonymous_account_visit", "watchlist"), ("visit_only", "count_only"),
+    ("reactivation_candidate", "push_notify"), ("partner_chain_opportunity", "feed"), ("suppressed_noise", "count_only"), ("active_exporter", "feed"),
+]
+_TAGS = [
+    ("rfq_submitted", "rfq_respond_now,procurement_response"), ("quote_ready", "rfq_respond_now,commercial_path"),
+    ("hot_in_market", "high_intent_abandonment,account_warming"), ("competitor_displacement", "champion_reengagement,commercial_path"),
+    ("engaged_person", "contact_qualification,buying_committee_velocity"), ("engaged_account", "account_warming,contact_qualification"),
+    ("known_person_interest", "contact_qualification,outbound_trade"), ("known_account_interest", "account_warming"),
+    ("active_importer", "outbound_trade,procurement_response"), ("trade_buyer_candidate", "supply_chain_resilience,outbound_trade"),
+    ("intent_only", "account_warming,high_intent_abandonment"), ("strategic_account_watch", "strategic_consolidation,ecosystem_play"),
+    ("reactivation_candidate", "champion_reengagement,contact_moved_to_new_company"), ("partner_chain_opportunity", "ecosystem_play,cross_sell"),
+    ("active_exporter", "ecosystem_play,strategic_consolidation"),
+]
+_scores, _vis, _tags = values_table("t, s", _SCORES), values_table("t, v", _VISIBILITY), values_table("t, tags", _TAGS)
 _elements = values_table("name, w", CLICK_ELEMENTS)
 _buttons = values_table("name, w", CLICK_BUTTONS)
 
@@ -22,7 +43,7 @@ def std(body: str, extra: str = "", score: str = "score_default", vis: str = "vi
     return f"SELECT lead_uid, lead_type, {score} AS score_final, {vis} AS visibility_level, source, source_ref{', ' + extra if extra else ''} FROM ({lead(body)}) AS y"
 
 
-_enq = "(SELECT *, lower(trim(coalesce(enquiry_type, ''))) AS e FROM {enquiries} WHERE deleted_at IS NULL) AS q"
+_enq = "(SELECT * EXCLUDE (enquiry_type), lower(trim(coalesce(enquiry_type, ''))) AS e FROM {enquiries} WHERE deleted_at IS NULL) AS q"
 _owned = "(SELECT * FROM {sessions} WHERE user_id > 0)"
 
 PLATFORM: dict[str, str] = {
@@ -36,7 +57,7 @@ PLATFORM: dict[str, str] = {
         SELECT lead_uid, CASE WHEN lead_type = 'cold_market' THEN 'active_importer' ELSE lead_type END AS lead_type,
                CASE WHEN lead_type = 'cold_market' THEN 60 ELSE score_final END AS score_final, CASE WHEN lead_type = 'cold_market' THEN 'priority' ELSE visibility_level END AS visibility_level,
                CASE WHEN lead_type = 'cold_market' THEN TIMESTAMP '2024-01-31 00:00:00' ELSE classified_at END AS classified_at FROM {leads}""",
-    "rfq_leads": std(f"""SELECT CASE WHEN status IN ({quoted(p.RFQ_SUBMITTED)}) THEN 'rfq_submitted' WHEN status IN ({quoted(p.RFQ_QUOTED)}) THEN 'quote_ready' ELSE 'rfq_draft' END AS lead_type,
+    "rfq_leads": std(f"""SELECT CASE WHEN status IN ('processed', 'processing', 'health_check_process') THEN 'rfq_submitted' WHEN status IN ('quoted', 'approved', 'closed_won') THEN 'quote_ready' ELSE 'rfq_draft' END AS lead_type,
         'rfq:' || rfq_id AS source_ref, 'app_crm' AS source, rfq_id, status FROM {{rfqs}}""", "rfq_id, status"),
     "meeting_leads": std("""SELECT 'engaged_account' AS lead_type, 'meeting:' || meeting_id AS source_ref, 'app_crm' AS source, meeting_id, host_email FROM {meetings} WHERE lead_id IS NOT NULL
         UNION ALL SELECT 'engaged_person' AS lead_type, 'meeting_person:' || meeting_id AS source_ref, 'app_crm' AS source, meeting_id, host_email FROM {meetings} WHERE lead_id IS NULL AND host_email <> ''""",
@@ -60,8 +81,9 @@ PLATFORM: dict[str, str] = {
         coalesce(total_cost, 0) AS total_cost, st AS quotation_status FROM (SELECT *, lower(coalesce(status, '')) AS st FROM {quotations}) AS q""", "product_name, total_cost, quotation_status",
         "CASE quotation_status WHEN 'accepted' THEN 95 WHEN 'sent' THEN 85 WHEN 'initiated' THEN 75 WHEN 'draft' THEN 75 ELSE 70 END", "'instant_alert'"),
     "enquiry_leads": std(f"""SELECT CASE e WHEN 'quote' THEN 'quote_ready' WHEN 'seller created' THEN 'engaged_account' ELSE 'rfq_submitted' END AS lead_type, 'enquiry:' || id AS source_ref, 'app_crm2' AS source,
-        CAST(enquiry_user_id AS VARCHAR) AS buyer_user_id, CAST(seller_user_id AS VARCHAR) AS seller_user_id, substr(coalesce(message, ''), 1, 500) AS message, coalesce(country, '') AS buyer_country,
-        coalesce(competitor, '') AS competitor, e FROM {_enq}""", "buyer_user_id, seller_user_id, message, buyer_country, competitor",
+        CAST(enquiry_user_id AS VARCHAR) AS buyer_user_id, CAST(seller_user_id AS VARCHAR) AS seller_user_id, coalesce(message, '') AS message, coalesce(country, '') AS buyer_country,
+        CAST(product_id AS VARCHAR) AS product_id, coalesce(industry, '') AS buyer_industry, coalesce(competitor, '') AS competitor, e, e AS enquiry_type FROM {_enq}""",
+        "buyer_user_id, seller_user_id, product_id, message, buyer_country, buyer_industry, competitor, enquiry_type",
         "CASE e WHEN 'quote' THEN 90 WHEN 'bid' THEN 88 WHEN 'seller created' THEN 70 ELSE 85 END"),
     "session_leads": std("""SELECT CASE WHEN user_id > 0 THEN 'visit_only' ELSE 'anonymous_account_visit' END AS lead_type, 'crm2_session:' || session_id AS source_ref, 'app_website_crm2' AS source, * FROM (
           SELECT v.session_id, coalesce(s.user_id, 0) AS user_id, count(*) AS pageview_count, count(*) FILTER (WHERE v.type = 'ProductDetail') AS product_views,
@@ -70,12 +92,13 @@ PLATFORM: dict[str, str] = {
         "session_id, user_id, pageview_count, product_views, page_types, first_seen, last_seen",
         "CASE WHEN user_id = 0 THEN 30 WHEN pageview_count >= 3 OR product_views >= 1 THEN 50 ELSE 40 END",
         "CASE WHEN user_id = 0 THEN 'watchlist' WHEN pageview_count >= 3 THEN 'priority' ELSE 'count_only' END"),
-    "search_leads": std("""SELECT 'intent_only' AS lead_type, 'search:' || user_id || ':' || substr(name, 1, 40) AS source_ref, 'app_search' AS source, user_id, name AS keyword,
+    "search_leads": std("""SELECT 'intent_only' AS lead_type, 'search:' || user_id || ':' || CASE WHEN length(name) <= 40 THEN name ELSE 'md5:' || md5(name) END AS source_ref, 'app_search' AS source, user_id, name AS keyword, CAST(min(category_id) AS VARCHAR) AS category_id,
         CAST(sum(searched_total) AS BIGINT) AS search_count, max(created_at) AS last_searched FROM {searches} WHERE deleted_at IS NULL AND user_id > 0 GROUP BY user_id, name""",
-        "user_id, keyword, search_count, last_searched", "55 + least(2 * search_count, 20)"),
+        "user_id, keyword, category_id, search_count, last_searched", "55 + least(2 * search_count, 20)"),
     "competitor_leads": std("""SELECT 'competitor_displacement' AS lead_type, 'competitor_enquiry:' || id AS source_ref, 'app_crm2' AS source, CAST(enquiry_user_id AS VARCHAR) AS buyer_user_id,
-        substr(competitor, 1, 200) AS current_supplier, substr(coalesce(message, ''), 1, 500) AS message FROM {enquiries} WHERE deleted_at IS NULL AND trim(competitor) <> ''""",
-        "buyer_user_id, current_supplier, message"),
+        CAST(seller_user_id AS VARCHAR) AS seller_user_id, CAST(product_id AS VARCHAR) AS product_id, competitor AS current_supplier, coalesce(message, '') AS message, coalesce(country, '') AS buyer_country,
+        lower(coalesce(enquiry_type, '')) AS enquiry_type FROM {enquiries} WHERE deleted_at IS NULL AND trim(competitor) <> ''""",
+        "buyer_user_id, seller_user_id, product_id, current_supplier, message, buyer_country, enquiry_type"),
     "relations_watched": """
         SELECT r.rel_id, r.buyer_id, r.buyer_name, r.supplier_id, r.supplier_name, r.total_shipments, r.baseline_avg_value AS buyer_monthly_volume, h.health_score
         FROM {trade_relationships} AS r LEFT JOIN {health_status} AS h ON r.rel_id = h.rel_id""",
@@ -92,7 +115,7 @@ PLATFORM: dict[str, str] = {
         FROM (SELECT *, lower(coalesce(purpose_of_inquiry, '')) || ' ' || lower(coalesce(message, '')) AS w FROM {enquiries} WHERE deleted_at IS NULL) AS q
         WHERE contains(w, 'distribut') OR contains(w, 'wholesale') OR contains(w, 'resell')""", "partner_type, buyer_user_id, buyer_country"),
     "noise_leads": std(f"""SELECT 'suppressed_noise' AS lead_type, 'risk_flag:' || id AS source_ref, 'crm_risk' AS source, coalesce(CAST(account_uid AS VARCHAR), '') AS account_uid, risk_type AS suppression_reason,
-        coalesce(severity, 'medium') AS risk_severity, TRUE AS suppressed, FALSE AS seller_visible, 'suppressed' AS distribution_status FROM {{risk_flags}} WHERE risk_type IN ({quoted(p.NOISE_TYPES)})""",
+        coalesce(severity, 'medium') AS risk_severity, TRUE AS suppressed, FALSE AS seller_visible, 'suppressed' AS distribution_status FROM {{risk_flags}} WHERE risk_type IN ('bot', 'spam', 'fake_rfq', 'duplicate', 'tracking_anomaly', 'compliance_risk', 'do_not_contact')""",
         "account_uid, suppression_reason, risk_severity, suppressed, seller_visible, distribution_status"),
     "exporter_leads": std("""SELECT 'active_exporter' AS lead_type, 'active_exporter:' || supplier_id AS source_ref, 'app_trade' AS source, supplier_name AS company_name, supplier_id AS buyer_org_id,
           count(*) AS trade_relationship_count, avg(health_score) AS avg_trade_health, CAST(sum(total_shipments) AS BIGINT) AS total_shipments FROM {relations_watched} AS w
@@ -121,15 +144,28 @@ PLATFORM: dict[str, str] = {
         pv AS (SELECT CAST(o.user_id AS VARCHAR) AS user_id, count(*) AS n, count(*) FILTER (WHERE v.type = 'ProductDetail') AS p, max(v.created_at) AS l FROM {{page_views}} AS v JOIN {_owned} AS o ON o.session_id = v.session_id WHERE v.deleted_at IS NULL GROUP BY o.user_id),
         en AS (SELECT CAST(enquiry_user_id AS VARCHAR) AS user_id, count(*) AS n, count(*) FILTER (WHERE enquiry_type = 'quote') AS q, max(created_at) AS l FROM {{enquiries}} WHERE deleted_at IS NULL AND enquiry_user_id > 0 GROUP BY enquiry_user_id),
         sw AS (SELECT CAST(user_id AS VARCHAR) AS user_id, name, sum(searched_total) AS n, max(searched_total) AS m FROM {{searches}} WHERE deleted_at IS NULL AND user_id > 0 GROUP BY user_id, name),
-        sr AS (SELECT user_id, sum(n) AS n, string_agg(name, '|' ORDER BY m DESC, name) AS k FROM sw GROUP BY user_id),
+        sr AS (SELECT user_id, sum(n) AS n FROM sw GROUP BY user_id),
+        sk AS (SELECT user_id, list(keyword ORDER BY rk) AS k FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY most_at_once DESC, keyword) AS rk FROM {{profile_keywords}}) AS x WHERE rk <= 12 GROUP BY user_id),
+        pc AS (SELECT user_id, count(*) AS n FROM {{profile_products}} GROUP BY user_id),
+        pt AS (SELECT user_id, list(product_id ORDER BY rk) AS k FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY views DESC, product_id) AS rk FROM {{profile_products}}) AS x WHERE rk <= 20 GROUP BY user_id),
+        co AS (SELECT CAST(user_id AS VARCHAR) AS user_id, list(DISTINCT country ORDER BY country) AS k FROM {{sessions}} WHERE user_id > 0 AND country <> '' GROUP BY user_id),
+        de AS (SELECT CAST(user_id AS VARCHAR) AS user_id, list(DISTINCT device ORDER BY device) AS k FROM {{sessions}} WHERE user_id > 0 AND device <> '' GROUP BY user_id),
         me AS (SELECT CAST(user_id AS VARCHAR) AS user_id, count(*) AS n FROM {{messages}} WHERE user_id > 0 GROUP BY user_id),
         rf AS (SELECT CAST(user_id AS VARCHAR) AS user_id, count(*) FILTER (WHERE status IN ('submitted', 'active', 'open')) AS n, count(*) FILTER (WHERE status = 'submitted') AS q, max(created_at) AS l FROM {{rfqs}} WHERE user_id IS NOT NULL GROUP BY user_id)
         SELECT u.user_id, 'buyer_profile:' || u.user_id AS profile_uid, coalesce(se.n, 0) AS total_sessions, coalesce(pv.n, 0) AS total_page_views, coalesce(pv.p, 0) AS product_page_views, coalesce(bu.n, 0) AS total_clicks,
                coalesce(bu.w, 0) AS high_intent_score, coalesce(sc.n, 0) AS sessions_deep_scroll, coalesce(en.n, 0) + coalesce(rf.n, 0) AS enquiries_sent, coalesce(en.q, 0) + coalesce(rf.q, 0) AS quote_requests,
                coalesce(me.n, 0) AS messages_sent, coalesce(sr.n, 0) AS searches_done, coalesce(sc.d, 0) AS max_scroll_depth, greatest(se.l, bu.l, pv.l, en.l, rf.l) AS last_activity_at,
-               en.user_id IS NOT NULL OR rf.user_id IS NOT NULL AS has_enquiry, substr(coalesce(bd.d, ''), 1, 300) AS high_intent_detail, substr(coalesce(sr.k, ''), 1, 500) AS search_keywords
+               en.user_id IS NOT NULL OR rf.user_id IS NOT NULL AS has_enquiry, coalesce(bd.d, '') AS high_intent_detail, coalesce(sk.k, []) AS search_keywords,
+               coalesce(pc.n, 0) AS products_viewed_count, coalesce(pt.k, []) AS products_top, coalesce(co.k, []) AS buyer_countries, coalesce(de.k, []) AS buyer_devices
         FROM u LEFT JOIN se ON se.user_id = u.user_id LEFT JOIN bu ON bu.user_id = u.user_id LEFT JOIN bd ON bd.user_id = u.user_id LEFT JOIN sc ON sc.user_id = u.user_id LEFT JOIN pv ON pv.user_id = u.user_id
-        LEFT JOIN en ON en.user_id = u.user_id LEFT JOIN sr ON sr.user_id = u.user_id LEFT JOIN me ON me.user_id = u.user_id LEFT JOIN rf ON rf.user_id = u.user_id""",
+        LEFT JOIN en ON en.user_id = u.user_id LEFT JOIN sr ON sr.user_id = u.user_id LEFT JOIN me ON me.user_id = u.user_id LEFT JOIN rf ON rf.user_id = u.user_id
+        LEFT JOIN sk ON sk.user_id = u.user_id LEFT JOIN pc ON pc.user_id = u.user_id LEFT JOIN pt ON pt.user_id = u.user_id LEFT JOIN co ON co.user_id = u.user_id LEFT JOIN de ON de.user_id = u.user_id""",
+    "profile_keywords": """
+        SELECT CAST(user_id AS VARCHAR) AS user_id, name AS keyword, CAST(sum(searched_total) AS BIGINT) AS searches, max(searched_total) AS most_at_once
+        FROM {searches} WHERE deleted_at IS NULL AND user_id > 0 AND name IS NOT NULL GROUP BY user_id, name""",
+    "profile_products": """
+        SELECT CAST(s.user_id AS VARCHAR) AS user_id, v.product_id, count(*) AS views FROM {page_views} AS v JOIN {sessions} AS s ON s.session_id = v.session_id
+        WHERE v.type = 'ProductDetail' AND v.deleted_at IS NULL AND v.product_id <> '' AND s.user_id > 0 GROUP BY s.user_id, v.product_id""",
     "behavior_score": """
         SELECT *, least(100, 30 + least(8 * enquiries_sent, 40) + least(2 * high_intent_score, 20) + least(2 * total_sessions, 10) + least(2 * sessions_deep_scroll, 8) + least(searches_done, 5) + least(3 * messages_sent, 9)) AS behavioral_score
         FROM {buyer_profiles}""",

@@ -1,8 +1,12 @@
 """DuckDB statements for trade, enrichment, health and switch operators, from their definitions."""
 
 from leadloom.checks.sqltext import sid, words
-from leadloom.operators.enrich import (
-    DECISION_MAKER_WORDS, FUNDING_WORDS, LEADERSHIP_WORDS, MERGER_WORDS)
+
+# Fixed values, written here again so that a wrong one in an operator shows: words that mark titles and news.
+DECISION_MAKER_WORDS = ["procurement", "supply chain", "purchasing", "cpo", "vp supply", "sourcing", "operations", "logistics"]
+LEADERSHIP_WORDS = ["ceo", "cpo", "vp", "director", "chief", "president", "appoint", "resign", "hire", "named"]
+FUNDING_WORDS = ["funding", "investment", "raise", "series", "capital", "venture", "ipo"]
+MERGER_WORDS = ["merger", "acquisition", "acquire", "merge", "takeover", "buyout"]
 
 ASOF = "TIMESTAMP '2001-11-05 00:00:00'"
 DAY = "DATE '2001-11-05'"

@@ -10,8 +10,9 @@ from leadloom.operators import platform_leads as p
 from leadloom.operators import switch
 
 LEAD = "lead_uid,lead_type,score_final:i,visibility_level,source,source_ref"
+KEYWORDS = 12  # shown in a profile; profile_keywords has all
 STATE = "lead_uid,lead_type,score_final:i,visibility_level,classified_at"
-PROFILE = "user_id,profile_uid,total_sessions:i,total_page_views:i,product_page_views:i,total_clicks:i,high_intent_score:i,sessions_deep_scroll:i,enquiries_sent:i,quote_requests:i,messages_sent:i,searches_done:i,max_scroll_depth:d,last_activity_at,has_enquiry,high_intent_detail,search_keywords"
+PROFILE = "user_id,profile_uid,total_sessions:i,total_page_views:i,product_page_views:i,total_clicks:i,high_intent_score:i,sessions_deep_scroll:i,enquiries_sent:i,quote_requests:i,messages_sent:i,searches_done:i,max_scroll_depth:d,last_activity_at,has_enquiry,high_intent_detail,search_keywords:l,products_viewed_count:i,products_top:l,buyer_countries:l,buyer_devices:l"
 
 
 def watched(i):
@@ -34,7 +35,7 @@ def big_switchers(i):
 
 def profiles(i):
     return b.buyer_profiles(i.sessions, i.clicks, i.scrolls, i.page_views, i.searches, i.messages, i.enquiries, i.rfqs,
-                            i.button_events)
+                            i.button_events, keywords=KEYWORDS)
 
 
 def register(r: Registry) -> None:
@@ -51,11 +52,11 @@ def register(r: Registry) -> None:
         LEAD + ",contact_name,contact_email,company_name,buyer_user_id,crm_lead_id")
     add("quotation_leads", lambda i: p.quotation_leads(i.quotations, i.leads), LEAD + ",product_name,total_cost:d,quotation_status")
     add("enquiry_leads", lambda i: p.enquiry_leads(i.enquiries, i.leads),
-        LEAD + ",buyer_user_id,seller_user_id,message,buyer_country,competitor")
+        LEAD + ",buyer_user_id,seller_user_id,product_id,message,buyer_country,buyer_industry,competitor,enquiry_type")
     add("session_leads", lambda i: p.session_leads(i.page_views, i.sessions, i.leads),
         LEAD + ",session_id,user_id:i,pageview_count:i,product_views:i,page_types,first_seen,last_seen")
-    add("search_leads", lambda i: p.search_leads(i.searches, i.leads), LEAD + ",user_id:i,keyword,search_count:i,last_searched")
-    add("competitor_leads", lambda i: p.competitor_leads(i.enquiries, i.leads), LEAD + ",buyer_user_id,current_supplier,message")
+    add("search_leads", lambda i: p.search_leads(i.searches, i.leads), LEAD + ",user_id:i,keyword,category_id,search_count:i,last_searched")
+    add("competitor_leads", lambda i: p.competitor_leads(i.enquiries, i.leads), LEAD + ",buyer_user_id,seller_user_id,product_id,current_supplier,message,buyer_country,enquiry_type")
     add("strategic_watch", lambda i: p.strategic_watch(watched(i), i.leads, big_switchers(i), i.leads),
         LEAD + ",company_name,buyer_org_id,buyer_monthly_volume:d,trade_health_score:d,trade_relationship_count:i")
     add("reactivation_leads", lambda i: p.reactivation_leads(i.deals, i.leads, AS_OF_EVENTS), LEAD + ",deal_amount:d")
@@ -70,6 +71,8 @@ def register(r: Registry) -> None:
     add("lead_type_distribution", lambda i: p.lead_type_distribution(i.leads, rule_opps(i)), "lead_type,leads:i")
     add("click_weights", lambda i: b.click_weights(i.clicks, "element_type", False), "id,element_type,weight:i")
     add("buyer_profiles", profiles, PROFILE)
+    add("profile_keywords", lambda i: b.profile_keywords(i.searches), "user_id,keyword,searches:i,most_at_once:i")
+    add("profile_products", lambda i: b.profile_products(i.page_views, i.sessions), "user_id,product_id,views:i")
     add("behavior_score", lambda i: b.behavior_score(profiles(i)), "user_id,behavioral_score:i")
     add("profile_lead_type", lambda i: b.profile_lead_type(b.behavior_score(profiles(i))),
         "user_id,behavioral_score:i,lead_type_signal,lead_score:i")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.config import SourcePrefixes
-from leadloom.functions.values import choose, lookup, text
+from leadloom.functions.rank import top_k
+from leadloom.functions.values import choose, lookup, non_empty, text
 from leadloom.operators.platform_leads import PRODUCT_PAGE
 
 # Purchase intent of page elements (by name) and of buttons (by id).
@@ -23,6 +26,7 @@ BUTTON_WEIGHTS = {
     "Return Policy-product-specifciation-Tab": 1, "product-image-click": 1, "visit-store-link": 1, "view-more-pdp": 1,
 }
 DEEP_SCROLL = 75.0
+PRODUCTS_SHOWN, PLACES_SHOWN = 20, 50
 RFQ_AS_ENQUIRY = ["submitted", "active", "open"]
 
 COUNTS = ("total_sessions", "total_page_views", "product_page_views", "total_clicks", "high_intent_score",
@@ -42,16 +46,42 @@ def click_weights(clicks: DataFrame, name: str, by_button: bool) -> DataFrame:
     return clicks.withColumn("weight", (button_weight if by_button else element_weight)(F.col(name)).cast("long"))
 
 
+def profile_keywords(searches: DataFrame) -> DataFrame:
+    """Every keyword of every user: user_id, keyword, searches (all), most_at_once (the largest single count)."""
+    return searches.where("deleted_at is null and user_id > 0 and name is not null").groupBy(
+        F.col("user_id").cast("string").alias("user_id"), F.col("name").alias("keyword")).agg(
+        F.sum("searched_total").alias("searches"), F.max("searched_total").alias("most_at_once"))
+
+
+def _owned(sessions: DataFrame, *extra: str) -> DataFrame:
+    return sessions.where(F.col("user_id") > 0).select("session_id", F.col("user_id").cast("string").alias("user_id"), *extra)
+
+
+def profile_products(page_views: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Every product page of every user: user_id, product_id, views."""
+    seen = page_views.where((F.col("type") == PRODUCT_PAGE) & F.col("deleted_at").isNull() & non_empty("product_id").isNotNull())
+    per = seen.groupBy("session_id", F.col("product_id").cast("string").alias("product_id")).agg(F.count(F.lit(1)).alias("n"))
+    return per.join(_owned(sessions), "session_id").groupBy("user_id", "product_id").agg(F.sum("n").alias("views"))
+
+
+def _first_values(rows: DataFrame, value: str, order: Sequence[Column], most: int, name: str, by_value: bool = False) -> DataFrame:
+    """The first ``most`` values of every user as an array, in that order or sorted by value."""
+    kept = top_k(rows, ["user_id"], order, most).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("rank", value))).alias("v"))
+    values = F.transform("v", lambda v: v[value])
+    return kept.select("user_id", (F.array_sort(values) if by_value else values).alias(name))
+
+
 def buyer_profiles(sessions: DataFrame, clicks: DataFrame, scrolls: DataFrame, page_views: DataFrame,
                    searches: DataFrame, messages: DataFrame, enquiries: DataFrame, rfqs: DataFrame,
-                   button_events: DataFrame) -> DataFrame:
+                   button_events: DataFrame, *, keywords: int, products: int = PRODUCTS_SHOWN, places: int = PLACES_SHOWN) -> DataFrame:
     """One row per user seen in any source.
 
-    Each source is aggregated to its user first, the small results are put in one long frame and
+    Arrays in a profile are bounded: search_keywords (as many as ``keywords`` says, most searched first), products_top,
+    buyer_countries and buyer_devices. ``profile_keywords`` and ``profile_products`` give all of them as rows. Each source is aggregated to its user first, the small results are put in one long frame and
     added up, so there is one final shuffle and no outer-join chain. ``button_events`` holds the
     two button tables together.
     """
-    owned = sessions.where(F.col("user_id") > 0).select("session_id", F.col("user_id").cast("string").alias("user_id"))
+    owned = _owned(sessions)
     zero = F.lit(0).cast("long")
     parts = []
 
@@ -90,10 +120,8 @@ def buyer_profiles(sessions: DataFrame, clicks: DataFrame, scrolls: DataFrame, p
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("enquiry_type") == "quote").alias("q"),
         F.max("created_at").alias("last"), F.lit(True).alias("_enq")), "last", enquiries_sent="n", quote_requests="q")
 
-    per_word = searches.where("deleted_at is null and user_id > 0").groupBy(
-        F.col("user_id").cast("string").alias("user_id"), "name").agg(
-        F.sum("searched_total").alias("n"), F.max("searched_total").alias("top"))
-    add(per_word.groupBy("user_id").agg(F.sum("n").alias("n")), searches_done="n")
+    add(searches.where("deleted_at is null and user_id > 0").groupBy(F.col("user_id").cast("string").alias("user_id")).agg(
+        F.sum("searched_total").alias("n")), searches_done="n")
 
     add(messages.where(F.col("user_id") > 0).groupBy(F.col("user_id").cast("string").alias("user_id")).agg(
         F.count(F.lit(1)).alias("n")), messages_sent="n")
@@ -113,11 +141,20 @@ def buyer_profiles(sessions: DataFrame, clicks: DataFrame, scrolls: DataFrame, p
     detail = tally.where("w > 0").groupBy("user_id").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "button"))),
         lambda b: F.concat(b["button"], F.lit(":"), (-b["k"]).cast("string"))), "|").alias("high_intent_detail"))
-    keywords = per_word.where("name is not null").groupBy("user_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("top")).alias("k"), "name"))), lambda w: w["name"]), "|").alias("search_keywords"))
-    return profile.join(detail, "user_id", "left").join(keywords, "user_id", "left").withColumns({
-        "high_intent_detail": text("high_intent_detail"),
-        "search_keywords": text("search_keywords"),
+    viewed = profile_products(page_views, sessions)
+    viewed_count = viewed.groupBy("user_id").agg(F.count(F.lit(1)).alias("products_viewed_count"))
+    facets = [detail, viewed_count,
+              _first_values(profile_keywords(searches), "keyword", [-F.col("most_at_once"), F.col("keyword")], keywords, "search_keywords"),
+              _first_values(viewed, "product_id", [-F.col("views"), F.col("product_id")], products, "products_top")]
+    for column, name in (("country", "buyer_countries"), ("device", "buyer_devices")):
+        used = _owned(sessions, column).where(non_empty(column).isNotNull()).groupBy("user_id", column).agg(F.count(F.lit(1)).alias("n"))
+        facets.append(_first_values(used, column, [-F.col("n"), F.col(column)], places, name, by_value=True))
+    for facet in facets:
+        profile = profile.join(facet, "user_id", "left")
+    nothing = F.array().cast("array<string>")
+    return profile.withColumns({
+        "high_intent_detail": text("high_intent_detail"), "products_viewed_count": F.coalesce("products_viewed_count", zero),
+        **{c: F.coalesce(c, nothing) for c in ("search_keywords", "products_top", "buyer_countries", "buyer_devices")},
         "profile_uid": F.concat(F.lit("buyer_profile:"), F.col("user_id"))})
 
 

@@ -53,6 +53,7 @@ RFQ_QUOTED = ["quoted", "approved", "closed_won"]
 NOISE_TYPES = ["bot", "spam", "fake_rfq", "duplicate", "tracking_anomaly", "compliance_risk", "do_not_contact"]
 PARTNER_WORDS = [("distribut", "distributor"), ("wholesale", "wholesaler"), ("resell", "reseller")]
 PRODUCT_PAGE = "ProductDetail"
+SHORT_KEYWORD = 40
 STRATEGIC_VOLUME, STRATEGIC_SCORE, EXPORTER_RELATIONS = 10_000, 70, 3
 
 COMMON = ("lead_uid", "lead_type", "score_final", "visibility_level", "source", "source_ref")
@@ -193,11 +194,12 @@ def enquiry_type(raw: Column) -> tuple[Column, Column]:
 def enquiry_leads(enquiries: DataFrame, known: DataFrame) -> DataFrame:
     kind, score = enquiry_type(F.col("enquiry_type"))
     rows = enquiries.where("deleted_at is null").withColumns({
-        "_kind": kind, "_score": score, "message": text("message"),
-        "buyer_user_id": text("enquiry_user_id"), "seller_user_id": text("seller_user_id"),
-        "buyer_country": text("country"), "competitor": text("competitor")})
+        "_kind": kind, "_score": score, "message": text("message"), "enquiry_type": norm(text("enquiry_type")),
+        "buyer_user_id": text("enquiry_user_id"), "seller_user_id": text("seller_user_id"), "product_id": text("product_id"),
+        "buyer_country": text("country"), "buyer_industry": text("industry"), "competitor": text("competitor")})
     return _leads(rows, known, F.col("_kind"), F.concat(F.lit("enquiry:"), F.col("id").cast("string")), _source("crm2"),
-                  ["buyer_user_id", "seller_user_id", "message", "buyer_country", "competitor"], F.col("_score"))
+                  ["buyer_user_id", "seller_user_id", "product_id", "message", "buyer_country", "buyer_industry", "competitor",
+                   "enquiry_type"], F.col("_score"))
 
 
 def session_leads(views: DataFrame, sessions: DataFrame, known: DataFrame) -> DataFrame:
@@ -222,23 +224,28 @@ def session_leads(views: DataFrame, sessions: DataFrame, known: DataFrame) -> Da
 def search_leads(searches: DataFrame, known: DataFrame) -> DataFrame:
     """One intent lead per user and keyword; every search counts 2 points, 20 at most.
 
-    The reference key holds the whole keyword, so no two keywords of a user share one; null counts as the empty one.
+    The reference key is the keyword up to ``SHORT_KEYWORD`` characters and its MD5 beyond, so keys stay short and no two
+    keywords of a user share one. A null keyword counts as the empty one; of several categories the lowest is kept.
     """
     rows = searches.where("deleted_at is null and user_id > 0").groupBy("user_id", text("name").alias("keyword")).agg(
-        F.sum("searched_total").alias("search_count"), F.max("created_at").alias("last_searched"))
-    ref = F.concat(F.lit("search:"), F.col("user_id").cast("string"), F.lit(":"), F.col("keyword"))
+        F.sum("searched_total").alias("search_count"), F.max("created_at").alias("last_searched"),
+        text(F.min("category_id")).alias("category_id"))
+    key = F.when(F.length("keyword") <= SHORT_KEYWORD, F.col("keyword")).otherwise(F.concat(F.lit("md5:"), F.md5("keyword")))
+    ref = F.concat(F.lit("search:"), F.col("user_id").cast("string"), F.lit(":"), key)
     return _leads(rows, known, "intent_only", ref, _source("search"),
-                  ["user_id", "keyword", "search_count", "last_searched"],
+                  ["user_id", "keyword", "category_id", "search_count", "last_searched"],
                   55 + F.least(F.coalesce("search_count", F.lit(0)) * 2, F.lit(20)))
 
 
 def competitor_leads(enquiries: DataFrame, known: DataFrame) -> DataFrame:
+    """Buyers who name the rival they buy from."""
     rows = enquiries.where(F.col("deleted_at").isNull() & (F.trim("competitor") != "")).withColumns({
-        "current_supplier": F.col("competitor"), "message": text("message"),
-        "buyer_user_id": text("enquiry_user_id")})
+        "current_supplier": F.col("competitor"), "message": text("message"), "buyer_user_id": text("enquiry_user_id"),
+        "seller_user_id": text("seller_user_id"), "product_id": text("product_id"), "buyer_country": text("country"),
+        "enquiry_type": F.lower(text("enquiry_type"))})
     return _leads(rows, known, "competitor_displacement",
                   F.concat(F.lit("competitor_enquiry:"), F.col("id").cast("string")), _source("crm2"),
-                  ["buyer_user_id", "current_supplier", "message"])
+                  ["buyer_user_id", "seller_user_id", "product_id", "current_supplier", "message", "buyer_country", "enquiry_type"])
 
 
 def strategic_watch(rels: DataFrame, leads: DataFrame, switch_leads: DataFrame, known: DataFrame,
