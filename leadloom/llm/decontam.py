@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.exprs import let
+from leadloom.llm.exprs import fresh_name, let
 from leadloom.session import staged
 
 MASKS = {  # item length (the last: and above) -> masks, token positions that count
@@ -112,6 +112,7 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without a leak, all their columns; rows with a null key stay."""
-    gone = staged(leaks(docs, benchmark, key, text).select(F.col("id").alias("_gone")).distinct(), "gone")
+    mark = fresh_name(docs, "gone")
+    gone = staged(leaks(docs, benchmark, key, text).select(F.col("id").alias(mark)).distinct(), "gone")
     few = gone.count() <= BROADCAST_SEEDS
-    return docs.join(F.broadcast(gone) if few else gone, docs[key] == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, docs[key] == F.col(mark), "left_anti")

@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.llm.exprs import fresh_name
 from leadloom.llm.links import components
 from leadloom.llm.tokens import blocks, find_words, hash_words, mix, sets_of, shingles, text_bytes
 from leadloom.session import staged
@@ -399,15 +400,17 @@ def one_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Rows without a key or without words stay. Of rows that repeat a key, one stays: the smallest text.
     """
+    mark, head = fresh_name(docs, "marked"), fresh_name(docs, "head")
     groups = staged(jaccard_components(docs, key, text, words, percent), "groups")
-    gone = staged(groups.where(f"`{key}` <> component_id").select(F.col(key).alias("_gone")).distinct(), "gone")
-    kept = docs.join(_hinted(gone), docs[key] == F.col("_gone"), "left_anti")
+    gone = staged(groups.where(f"`{key}` <> component_id").select(F.col(key).alias(mark)).distinct(), "gone")
+    kept = docs.join(_hinted(gone), docs[key] == F.col(mark), "left_anti")
     twice = staged(groups.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1")
-                   .select(F.col(key).alias("_twice")), "twice")
+                   .select(F.col(key).alias(mark)), "twice")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, kept[key] == F.col("_twice"), "left_semi")
-    rest = [c for c in docs.columns if c != key]
-    one = again.groupBy(key).agg(F.min(F.struct(F.col(text).isNull(), text, *[c for c in rest if c != text])).alias("_m"))
-    one = one.select(*[F.col(key) if c == key else F.col("_m").getField(c).alias(c) for c in docs.columns])
-    return kept.join(twice, kept[key] == F.col("_twice"), "left_anti").unionByName(one)
+    again = kept.join(twice, kept[key] == F.col(mark), "left_semi")
+    # maps cannot be compared: rows are ordered by their text and then by their JSON, and come back whole
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = again.groupBy(key).agg(F.min_by(row, F.struct(F.col(text).isNull(), F.col(text), F.to_json(row))).alias(head))
+    one = one.select(*[F.col(head).getField(c).alias(c) for c in docs.columns])
+    return kept.join(twice, kept[key] == F.col(mark), "left_anti").unionByName(one)

@@ -42,15 +42,7 @@ d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, ''))
 dt AS (SELECT doc_id, generate_subscripts(have, 1) AS p, unnest(have) AS tok FROM d),
 m AS (SELECT doc_id, item_id, v, n, q, p - q AS shift FROM dt JOIN it USING (tok)),
 near AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, v, shift ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM m),
-good AS (SELECT DISTINCT doc_id, item_id, v, shift FROM near WHERE c >= ceil(least(n, 13) * 0.8)),
-masks AS (SELECT * FROM (VALUES (8, 0), (8, 1), (8, 3), (8, 4), (8, 6), (8, 7), (9, 0), (9, 2), (9, 3), (9, 5), (9, 6), (9, 8)) AS x(span, place)),
-seeds AS (SELECT doc_id, item_id, v, shift, n, span, q - place AS s, count(*) AS c FROM m JOIN good USING (doc_id, item_id, v, shift), masks
-  WHERE n >= 9 AND q - place >= 1 AND q - place + span - 1 <= n GROUP BY ALL),
-short AS (SELECT doc_id, item_id, v, shift FROM m JOIN good USING (doc_id, item_id, v, shift) WHERE n < 9
-  GROUP BY doc_id, item_id, v, shift, n HAVING count(*) = n),
-long AS (SELECT DISTINCT s.doc_id, s.item_id FROM seeds s JOIN (SELECT doc_id, len(have) AS size FROM d) z USING (doc_id)
-  WHERE c = 6 AND s + shift >= 1 AND s + shift + span - 1 <= size),
-found AS (SELECT doc_id, item_id FROM long UNION SELECT doc_id, item_id FROM short),
+found AS (SELECT DISTINCT doc_id, item_id FROM near WHERE c >= ceil(least(n, 13) * 0.8)),
 per AS (SELECT doc_id, list_sort(list(item_id)) AS items FROM found GROUP BY doc_id)
 SELECT doc_id, items IS NOT NULL AS contaminated, array_to_string(coalesce(items, []), ',') AS items FROM documents LEFT JOIN per USING (doc_id)"""
 
@@ -69,7 +61,7 @@ entries AS (
   SELECT pattern, CAST(DATE '2023-10-01' + e % 300 AS DATE) AS listed_on, CASE WHEN b < 11 THEN 'block' ELSE 'allow' END AS action, 'c' || (c % 5) AS category FROM x
   UNION ALL SELECT pattern, CAST(DATE '2023-10-01' + (e % 300 + 20 + g) AS DATE), 'remove', 'c' || (c % 5) FROM x WHERE f < 6
   UNION ALL SELECT host || '/' || top || '/', CAST(DATE '2023-10-01' + i % 400 AS DATE), CASE WHEN j < 8 THEN 'block' ELSE 'allow' END, 'path' FROM x WHERE top <> ''),
-one AS (SELECT lower(pattern) AS pattern, listed_on, max({'action': action, 'category': category}) AS e FROM entries GROUP BY 1, 2),
+one AS (SELECT CASE WHEN contains(pattern, '/') THEN lower(split_part(pattern, '/', 1)) || substr(pattern, strpos(pattern, '/')) ELSE lower(pattern) END AS pattern, listed_on, max({'action': action, 'category': category}) AS e FROM entries GROUP BY 1, 2),
 spans AS (SELECT pattern, listed_on, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS until, e FROM one),
 keys AS (SELECT page_id, fetched_on, host AS pattern FROM c WHERE host IS NOT NULL
   UNION SELECT page_id, fetched_on, '.' || array_to_string(string_split(host, '.')[k:], '.') FROM c, range(1, 40) t(k)

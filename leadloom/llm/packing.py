@@ -27,6 +27,7 @@ END = 1  # the id after every document
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "capacity_share long")
 _encoders: dict = {}
+_TOO_LONG = "Max stack size exceeded"  # what the pattern of the rank library says to very long runs of blanks
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -46,6 +47,23 @@ def _encoder(ranks_path: str):
     return _encoders[ranks_path]
 
 
+def _library(json_path: str):
+    if json_path not in _encoders:
+        from tokenizers import Tokenizer
+        _encoders[json_path] = Tokenizer.from_file(json_path)
+    return _encoders[json_path]
+
+
+def encode(text: str, ranks_path: str, json_path: str) -> list[int]:
+    """The ids of a text. A run of blanks that the rank library cannot cut sends this text to the slower JSON library."""
+    try:
+        return _encoder(ranks_path).encode(text, allowed_special="all")
+    except ValueError as error:
+        if _TOO_LONG not in str(error):
+            raise
+        return _library(json_path).encode(text, add_special_tokens=False).ids
+
+
 class Bins:
     """The open bins of one task. ``add`` and ``close`` yield finished sequences as lists of pieces."""
 
@@ -82,7 +100,7 @@ def cuts(total: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-         ranks_path: str | None = None) -> DataFrame:
+         ranks_path: str | None = None, json_path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, capacity_share (k of its class).
 
     Null and empty texts are one end id. Rows that repeat a key are packed each on their own; a null key stays null. Other
@@ -90,10 +108,10 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    ranks_path = ranks_path or tokenizer_paths()[1]
+    json_path, ranks_path = json_path or tokenizer_paths()[0], ranks_path or tokenizer_paths()[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, bins, count = _encoder(ranks_path).encode, Bins(capacity), TaskContext.get().partitionId() << 33
+        bins, count = Bins(capacity), TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
 
         def place(sequence: list[tuple]) -> None:
@@ -109,7 +127,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
 
         for batch in blocks(batches, "text"):
             for doc, body in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array([*(encode(body, allowed_special="all") if body else ()), END], "<u4")
+                ids = np.array([*(encode(body, ranks_path, json_path) if body else ()), END], "<u4")
                 for start, length in cuts(len(ids), capacity):
                     crc = zlib.crc32(ids[start:start + length].tobytes())
                     if full := bins.add(length, (doc, start, length, crc, len(ids))):

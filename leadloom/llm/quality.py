@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.exprs import BLANK, let, words
+from leadloom.llm.exprs import BLANK, fresh_name, let, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -78,27 +78,28 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     has_word = r"[^\x20\x09-\x0D]"
     other = [c for c in docs.columns if c not in MEASURES]
-    first = docs.select(*[F.col(f"`{c}`") for c in other], words(body).alias("__q_words"),
-                        F.filter(F.split(body, "\n"), lambda s: s.rlike(has_word)).alias("__q_lines"))
+    word_list, line_list, stops, upper, letters = (fresh_name(docs, f"q_{n}") for n in ("words", "lines", "stops", "upper", "letters"))
+    first = docs.select(*[F.col(f"`{c}`") for c in other], words(body).alias(word_list),
+                        F.filter(F.split(body, "\n"), lambda s: s.rlike(has_word)).alias(line_list))
     n = F.greatest(F.col("n_words"), F.lit(1))
-    lines = F.greatest(F.size("__q_lines"), F.lit(1))
+    lines = F.greatest(F.size(line_list), F.lit(1))
     counted = first.select(
-        *[F.col(f"`{c}`") for c in other], "__q_lines",
-        F.size("__q_words").cast("long").alias("n_words"),
+        *[F.col(f"`{c}`") for c in other], line_list,
+        F.size(word_list).cast("long").alias("n_words"),
         F.length(F.regexp_replace(body, BLANK, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
-        (F.size("__q_lines") - F.size(F.array_distinct("__q_lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("__q_words")).alias("n_repeat_words"),
-        F.size(F.filter("__q_words", lambda w: w.isin(STOP_WORDS))).alias("__q_stops"),
-        F.length(F.regexp_replace(body, r"\P{Lu}+", "")).alias("__q_upper"),
-        F.length(F.regexp_replace(body, r"\P{L}+", "")).alias("__q_letters"))
+        (F.size(line_list) - F.size(F.array_distinct(line_list))).cast("long").alias("n_dup_lines"),
+        repeat_words(F.col(word_list)).alias("n_repeat_words"),
+        F.size(F.filter(word_list, lambda w: w.isin(STOP_WORDS))).alias(stops),
+        F.length(F.regexp_replace(body, r"\P{Lu}+", "")).alias(upper),
+        F.length(F.regexp_replace(body, r"\P{L}+", "")).alias(letters))
     return counted.select(
         *[F.col(f"`{c}`") for c in other], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (F.col("word_chars") / n).alias("mean_word_length"), (F.col("n_symbols") / n).alias("symbols_per_word"),
-        (F.col("__q_stops") / n).alias("stop_word_ratio"), (F.col("n_dup_lines") / lines).alias("dup_line_ratio"),
-        (F.size(F.filter("__q_lines", lambda s: s.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))) / lines).alias("ellipsis_line_ratio"),
-        (F.size(F.filter("__q_lines", lambda s: s.rlike(r"^[\x20\x09-\x0D]*[•*-][\x20\x09-\x0D]"))) / lines).alias("bullet_line_ratio"),
-        (F.col("__q_upper") / F.greatest(F.col("__q_letters"), F.lit(1))).alias("upper_ratio"),
+        (F.col(stops) / n).alias("stop_word_ratio"), (F.col("n_dup_lines") / lines).alias("dup_line_ratio"),
+        (F.size(F.filter(line_list, lambda s: s.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))) / lines).alias("ellipsis_line_ratio"),
+        (F.size(F.filter(line_list, lambda s: s.rlike(r"^[\x20\x09-\x0D]*[•*-][\x20\x09-\x0D]"))) / lines).alias("bullet_line_ratio"),
+        (F.col(upper) / F.greatest(F.col(letters), F.lit(1))).alias("upper_ratio"),
         ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"))
 
 

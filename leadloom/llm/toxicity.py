@@ -62,9 +62,10 @@ def features(docs: DataFrame, lexicon: list[tuple[str, float]], text: str = "tex
         insults = F.filter(F.transform(tokens, lambda w, i: F.when(w.isin(INSULTS), i)), lambda i: i.isNotNull())
         return let(marks, lambda m: F.size(F.filter(insults, lambda i: F.exists(m, lambda j: F.abs(i - j) <= NEAR))))
 
-    odd = F.regexp_extract_all(F.col("__body"), F.lit(r"[\p{L}@$!|+*.0-9_-]*\p{L}[@$!|+*.0-9_-]+[\p{L}@$!|+*.0-9_-]*"), F.lit(0))
+    # runs of letters and signs with a sign behind a letter; read as letters they are an insult, and not without their ends
+    odd = F.filter(F.split(F.col("__body"), r"[^\p{L}@$!|+*.0-9_-]+"), lambda w: w.rlike(r"\p{L}[@$!|+*.0-9_-]"))
     disguised = F.size(F.filter(odd, lambda w: _plain(w).isin(INSULTS)
-                                & ~F.regexp_replace(F.lower(w), r"[^\p{L}]+$|^[^\p{L}]+", "").isin(INSULTS)))
+                                & ~F.regexp_extract(F.lower(w), r"\p{L}(?:.*\p{L})?", 0).isin(INSULTS)))
     n_fixed = F.size(F.filter("__tokens", lambda w: w.isin(INSULTS)))
     counted = listed.select(
         *[F.col(f"`{c}`") for c in rest], F.size("__tokens").alias("__n"), F.length("__body").alias("__size"), n_fixed.alias("__fixed"),

@@ -294,9 +294,10 @@ def test_pseudonyms(spark, edge, empty):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     out = [r.text for r in pii.replace_pii(df, "k").orderBy("doc_id").collect()]
     assert out == [r.text for r in pii.replace_pii(df, "k").orderBy("doc_id").collect()] and out[8:] == texts[8:]
-    for old, new in zip(texts[:8], out[:8]):
+    assert out[2] == texts[2]  # no valid card number
+    for old, new in zip(texts[:2] + texts[3:8], out[:2] + out[3:8]):
         assert old != new and (len(old) == len(new) or "10.200" in old)
-    assert luhn(re.sub(r"\D", "", out[1])) and not luhn(re.sub(r"\D", "", out[2])) and out[3].startswith("call +1 (")
+    assert luhn(re.sub(r"\D", "", out[1])) and out[3].startswith("call +1 (")
     assert all(int(o) < 256 for o in re.search(r"from ([\d.]+)\.", out[4])[1].split("."))
     import datetime
     dates = re.findall(r"\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}", out[5])
