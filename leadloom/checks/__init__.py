@@ -14,8 +14,9 @@ SQL_PARTS = (
     ("fixtures_streams", "STREAM_FIXTURES"), ("oracle_graph", "GRAPH_FIXTURES"), ("oracle_models", "MODEL_FIXTURES"),
     ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
     ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"), ("oracle_graph", "GRAPH"), ("oracle_models", "MODELS"), ("oracle_learned", "LEARNED"),
+    ("oracle_state", "STATE_FIXTURES"), ("oracle_state", "STATE"),
 )
-QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models", "queries_learned")
+QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models", "queries_learned", "queries_state")
 
 
 def fixture_inputs(spark, folder: str) -> Inputs:

@@ -88,9 +88,8 @@ def fit_anomaly_forest(features: DataFrame, trees: int = 100, sample: int = 256,
     return {"columns": cols, "mean": mean, "deviation": sd, "trees": bodies, "typical": _average_path(max(2, size))}
 
 
-def anomaly_scores(model: dict, features: DataFrame) -> DataFrame:
-    """Adds anomaly_score 0..1 (1 most anomalous) by a forest of ``fit_anomaly_forest``: 2 to the minus mean path length over
-    the typical one, then stretched to 0..1 over all rows."""
+def _raw_anomalies(model: dict, features: DataFrame) -> DataFrame:
+    """(rel_id, raw): 2 to the minus mean path length over the typical one."""
     forest = features.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -101,11 +100,27 @@ def anomaly_scores(model: dict, features: DataFrame) -> DataFrame:
             points = (np.column_stack([c.to_numpy(float) for c in columns]) - own["mean"]) / spread
             yield pd.Series(2.0 ** (-np.mean([_lengths(t, points) for t in own["trees"]], axis=0) / own["typical"]))
 
-    raw = features.select("rel_id", score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model["columns"]]).alias("raw"))
+    return features.select("rel_id", score(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model["columns"]]).alias("raw"))
+
+
+def with_range(model: dict, features: DataFrame) -> dict:
+    """The model with the range of its raw scores over these rows, so that single rows can be scored alike later."""
+    low, high = _raw_anomalies(model, features).agg(F.min("raw"), F.max("raw")).first()
+    return model | {"range": [low, high]}
+
+
+def anomaly_scores(model: dict, features: DataFrame) -> DataFrame:
+    """Adds anomaly_score 0..1 (1 most anomalous) by a forest of ``fit_anomaly_forest``: raw scores stretched to 0..1 over the
+    model's own range where it holds one, else over all these rows."""
+    raw, floor = _raw_anomalies(model, features), F.lit(1e-9)
+    if model.get("range"):
+        low, high = (F.lit(float(v)) for v in model["range"])
+        normal = raw.select("rel_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("raw") - low) / F.greatest(high - low, floor))).alias("anomaly_score"))
+        return features.join(normal, "rel_id")
     scored = staged(raw, "anomalies").withColumn("_k", F.lit(1))  # read for the range and for the rows
     span = scored.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).withColumn("_k", F.lit(1))
     normal = scored.join(F.broadcast(span), "_k").select("rel_id", ((F.col("raw") - F.col("lo")) / F.greatest(
-        F.col("hi") - F.col("lo"), F.lit(1e-9))).alias("anomaly_score"))
+        F.col("hi") - F.col("lo"), floor)).alias("anomaly_score"))
     return features.join(normal, "rel_id")
 
 

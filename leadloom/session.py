@@ -55,3 +55,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder the library wrote, in any file system Spark reaches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
+from leadloom.functions.rank import best_row
 from leadloom.functions.values import as_ts
 from leadloom.operators.merge import keyed_merge
+from leadloom.sources.versioned import VersionedTable
 
 
 def append_new_keys(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -27,9 +29,16 @@ def warehouse_shape(df: DataFrame, columns: Sequence[str], arrays: Sequence[str]
     return df.select(*[one(c) for c in columns])
 
 
-def upsert_nodes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """A node table after writing ``new``: known keys updated, unknown ones added."""
-    return keyed_merge(old, new.where(F.col(key).isNotNull()), [key], keep=())
+def write_nodes(table: VersionedTable, rows: DataFrame, source: str = "", batch: int | None = None) -> int:
+    """The node table's next version: known keys updated where a new value is there, unknown ones added, null keys left out."""
+    rows = rows.where(F.col(table.keys[0]).isNotNull())
+    return table.upsert(keyed_merge(table.near(rows), rows, table.keys, keep=()), source=source, batch=batch)
+
+
+def write_edges(table: VersionedTable, rows: DataFrame, source: str = "", batch: int | None = None) -> int:
+    """The edge table's next version (src, dst): every pair once, those with a missing end left out, known ones as they are."""
+    pairs = rows.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).dropDuplicates(["src", "dst"])
+    return table.upsert(pairs.join(table.near(pairs), ["src", "dst"], "left_anti"), source=source, batch=batch)
 
 
 def unique_edges(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -38,13 +47,6 @@ def unique_edges(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new.where(ends)).dropDuplicates(["src", "dst"])
 
 
-def save_version(df: DataFrame, table_dir: str, run_id: str) -> str:
-    """Writes a table's next version beside the earlier ones; readers switch when it is complete."""
-    path = f"{table_dir.rstrip('/')}/run={run_id}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 # Event types and payload fields of the outbox.
 SWITCH_LEAD_EVENT = "switch_lead.upserted"
 RELATIONSHIP_EVENT = "trade_relationship.health_updated"
@@ -60,8 +62,7 @@ LEAD_FIELDS = ["lead_id", "buyer_name", "buyer_id", "hs_code", "candidate_suppli
 def outbox_events(rows: DataFrame, event_type: str, aggregate: str, fields: Sequence[str], as_of) -> DataFrame:
     """One unprocessed event per row with the listed fields as JSON.
 
-    The id is derived from type and aggregate, so writing the same rows again changes nothing;
-    ``write_outbox`` lets a later write of an aggregate replace the earlier one.
+    The id is derived from type and aggregate, so writing the same rows again changes nothing.
     """
     payload = F.to_json(F.struct(*[F.col(c) for c in fields if c in rows.columns]), {"ignoreNullFields": "false"})
     return rows.select(
@@ -71,9 +72,19 @@ def outbox_events(rows: DataFrame, event_type: str, aggregate: str, fields: Sequ
         as_ts(as_of).alias("created_at"), F.lit(False).alias("processed"))
 
 
-def write_outbox(outbox: DataFrame, events: DataFrame) -> DataFrame:
-    """The outbox after the events: one row per aggregate, replaced ones unprocessed again."""
-    return keyed_merge(outbox, events, ["aggregate_id"], keep=())
+OUTBOX = "aggregate_id string, event_id string, event_type string, payload string, created_at timestamp, processed boolean"
+
+
+def write_outbox(table: VersionedTable, events: DataFrame, source: str = "", batch: int | None = None) -> int:
+    """The outbox after the events (``OUTBOX`` by aggregate_id): a later write of an aggregate replaces the earlier one and is
+    unprocessed again. Of several events of an aggregate in one write the latest counts, then the last by type."""
+    return table.upsert(best_row(events, ["aggregate_id"], [F.col("created_at"), F.col("event_type")]), source=source, batch=batch)
+
+
+def mark_processed(table: VersionedTable, events: DataFrame) -> int:
+    """Marks the events that were sent; one replaced meanwhile stays unprocessed."""
+    sent = table.near(events).join(events.select("aggregate_id", "event_id", F.col("created_at").alias("sent_at")), ["aggregate_id", "event_id"])
+    return table.upsert(sent.where("created_at = sent_at").drop("sent_at").withColumn("processed", F.lit(True)))
 
 
 def load_log(log: DataFrame, runs: DataFrame) -> DataFrame:
