@@ -26,8 +26,16 @@ GRAPH_FIXTURES: dict[str, str] = {
     "t_rules": "SELECT DISTINCT s_name AS entity, 'rule' || CAST(s_suppkey % 5 AS STRING) AS rule_id, 'x > 1' AS predicate FROM {supplier} WHERE s_suppkey % 2 = 0",
     "policy_rows": """
         SELECT o_orderkey AS id, 'm' || CAST(o_orderkey % 5 AS STRING) AS module, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'edit' END AS action, CASE o_orderkey % 7 WHEN 0 THEN 'deny' WHEN 1 THEN 'allow' ELSE '' END AS effect,
-               CASE o_orderkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '' END AS deny, CASE WHEN o_orderkey % 2 = 0 THEN 'false' ELSE NULL END AS is_allowed, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS user_id,
-               CASE WHEN o_orderkey % 6 = 0 THEN o_custkey % 100 ELSE NULL END AS organization_id FROM {orders}""",
+               CASE o_orderkey % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' ELSE '' END AS deny, CASE WHEN o_orderkey % 2 = 0 THEN 'false' ELSE NULL END AS is_allowed, CASE o_orderkey % 11 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '' ELSE NULL END AS allow,
+               CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey END AS user_id, CASE WHEN o_orderkey % 6 = 0 THEN o_custkey % 100 ELSE NULL END AS organization_id,
+               CASE WHEN o_orderkey % 8 = 1 THEN o_custkey % 30 ELSE NULL END AS organization_group_id, CASE WHEN o_orderkey % 10 = 3 THEN 'store:' || CAST(o_custkey % 50 AS STRING) ELSE NULL END AS store_id FROM {orders}""",
+    "override_rows": """
+        SELECT o_orderkey AS id, 'm' || CAST(o_orderkey % 5 AS STRING) AS module, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'edit' END AS action, CASE o_orderkey % 4 WHEN 0 THEN 'deny' ELSE '' END AS effect,
+               CASE o_orderkey % 5 WHEN 0 THEN 'False' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE '1' END AS is_allowed, CASE WHEN o_orderkey % 3 = 1 THEN o_custkey ELSE NULL END AS user_id,
+               CASE WHEN o_orderkey % 3 = 2 THEN o_custkey % 100 ELSE NULL END AS organization_id, CASE WHEN o_orderkey % 7 = 2 THEN o_custkey % 30 ELSE NULL END AS organization_group_id,
+               CASE o_orderkey % 6 WHEN 1 THEN ' Buyer ' WHEN 4 THEN 'BUILDING' ELSE NULL END AS role_name FROM {orders} WHERE o_orderkey % 5 = 0""",
+    "feature_packages": "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE n_name END AS name, CASE WHEN n_nationkey % 8 = 0 THEN NULL ELSE 'Title ' || n_name END AS title, '' AS slug FROM {nation} WHERE n_nationkey < 20",
+    "feature_plans": "SELECT o_custkey AS user_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 25 ELSE NULL END AS plan_id, o_orderkey % 23 AS feature_package_id FROM {orders}",
     "own_rules": "SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'scope:group:' || CAST(o_custkey % 25 AS STRING) WHEN o_orderkey % 3 = 1 THEN 'scope:org:' || CAST(o_custkey % 100 AS STRING) ELSE 'scope:global' END AS scope_id, 'p' || CAST(o_orderkey % 40 AS STRING) AS permission, CASE WHEN o_orderkey % 50 = 0 THEN 'deny' ELSE 'allow' END AS effect FROM {orders}",
     "l_views": "SELECT CAST(user_id AS STRING) AS account_id, event_id AS id FROM {events} WHERE event_type = 'view'",
     "l_rfqs": "SELECT CAST(o_custkey AS STRING) AS account_id, o_orderkey AS id FROM {orders} WHERE o_orderstatus = 'O'",
@@ -95,9 +103,29 @@ GRAPH: dict[str, str] = {
         UNION ALL SELECT 'scope:org:' || org_id AS scope_id, 'organization' AS scope_type, CASE WHEN group_id IS NULL THEN 'scope:global' ELSE 'scope:group:' || group_id END AS parent_id FROM {g_orgs}
         UNION ALL SELECT 'scope:store:' || store_id AS scope_id, 'store' AS scope_type, 'scope:org:' || org_id AS parent_id FROM {g_stores}""",
     "policies": f"""
-        WITH p AS (SELECT *, module || ':' || coalesce(nullif(action, ''), 'access') AS permission, CASE WHEN effect <> '' THEN effect WHEN deny <> '' THEN CASE deny WHEN '0' THEN 'allow' ELSE 'deny' END WHEN is_allowed IS NOT NULL THEN 'deny' ELSE 'allow' END AS eff FROM {{policy_rows}}),
-        s AS (SELECT *, 'scope:global' AS scope_id FROM p UNION ALL SELECT *, 'scope:account:' || CAST(user_id AS VARCHAR) AS scope_id FROM p WHERE user_id IS NOT NULL UNION ALL SELECT *, 'scope:org:' || CAST(organization_id AS VARCHAR) AS scope_id FROM p WHERE organization_id IS NOT NULL)
+        WITH p AS (SELECT *, module || ':' || coalesce(nullif(action, ''), 'access') AS permission, CASE WHEN effect <> '' THEN effect WHEN deny <> '' THEN CASE deny WHEN '0' THEN 'allow' ELSE 'deny' END WHEN is_allowed IS NOT NULL THEN 'deny' WHEN allow = '0' THEN 'deny' ELSE 'allow' END AS eff FROM {{policy_rows}}),
+        s AS (SELECT *, 'scope:global' AS scope_id FROM p UNION ALL SELECT *, 'scope:account:' || CAST(user_id AS VARCHAR) AS scope_id FROM p WHERE user_id IS NOT NULL UNION ALL SELECT *, 'scope:org:' || CAST(organization_id AS VARCHAR) AS scope_id FROM p WHERE organization_id IS NOT NULL
+            UNION ALL SELECT *, 'scope:group:' || CAST(organization_group_id AS VARCHAR) AS scope_id FROM p WHERE organization_group_id IS NOT NULL UNION ALL SELECT *, 'scope:store:' || store_id AS scope_id FROM p WHERE store_id IS NOT NULL)
         SELECT {sid("'policy_rule'", "'permissions'", "id")} AS policy_id, {sid("'permission'", "permission")} AS permission_id, permission, eff AS effect, scope_id FROM s""",
+    "permission_overrides": f"""
+        WITH p AS (SELECT *, module || ':' || coalesce(nullif(action, ''), 'access') AS permission, CASE WHEN effect <> '' THEN effect WHEN is_allowed IN ('', 'False') THEN 'deny' ELSE 'allow' END AS eff, lower(trim(role_name)) AS role FROM {{override_rows}}),
+        s AS (SELECT *, 'scope:global' AS scope_id FROM p UNION ALL SELECT *, 'scope:account:' || CAST(user_id AS VARCHAR) AS scope_id FROM p WHERE user_id IS NOT NULL UNION ALL SELECT *, 'scope:org:' || CAST(organization_id AS VARCHAR) AS scope_id FROM p WHERE organization_id IS NOT NULL
+            UNION ALL SELECT *, 'scope:group:' || CAST(organization_group_id AS VARCHAR) AS scope_id FROM p WHERE organization_group_id IS NOT NULL)
+        SELECT {sid("'override'", "'custom_role_permission_overrides'", "id")} AS policy_id, {sid("'permission'", "permission")} AS permission_id, permission, eff AS effect, scope_id, role,
+               'scope:account:' || CAST(user_id AS VARCHAR) AS account_scope FROM s""",
+    "capabilities": "SELECT CAST(id AS VARCHAR) AS capability_id, coalesce(nullif(name, ''), title, 'capability:' || CAST(id AS VARCHAR)) AS name FROM {feature_packages}",
+    "enabled_capabilities": """
+        WITH b AS (SELECT DISTINCT CAST(p.user_id AS VARCHAR) AS account_id, CAST(f.id AS VARCHAR) AS capability_id FROM {feature_plans} AS p JOIN {feature_packages} AS f ON f.id = coalesce(p.plan_id, p.feature_package_id))
+        SELECT 'account' AS owner_kind, account_id AS owner_id, capability_id FROM b UNION SELECT 'organization' AS owner_kind, o.org_id AS owner_id, b.capability_id FROM b JOIN {account_orgs} AS o ON o.account_id = b.account_id""",
+    "resolved_permissions": """
+        WITH up AS (SELECT DISTINCT scope_id, parent_id FROM {scopes}),
+        c AS (SELECT scope_id, scope_id AS anc, 0 AS d FROM up UNION ALL SELECT scope_id, parent_id AS anc, 1 AS d FROM up UNION ALL SELECT s.scope_id, p.parent_id AS anc, 2 AS d FROM up AS s JOIN up AS p ON p.scope_id = s.parent_id
+            UNION ALL SELECT s.scope_id, q.parent_id AS anc, 3 AS d FROM up AS s JOIN up AS p ON p.scope_id = s.parent_id JOIN up AS q ON q.scope_id = p.parent_id),
+        r AS (SELECT scope_id, permission, effect, policy_id, 2 AS place FROM {policies} UNION ALL SELECT scope_id, permission, effect, policy_id, 1 AS place FROM {permission_overrides} WHERE role IS NULL
+            UNION ALL SELECT DISTINCT o.account_scope AS scope_id, o.permission, o.effect, o.policy_id, 0 AS place FROM {permission_overrides} AS o JOIN {roles} AS h ON 'scope:account:' || h.account_id = o.account_scope AND lower(h.role) = o.role),
+        f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY scope_id, permission ORDER BY place, CASE WHEN effect = 'deny' THEN 0 ELSE 1 END, policy_id) = 1)
+        SELECT c.scope_id, f.permission, f.effect, c.d AS distance, f.policy_id, f.place < 2 AS is_override FROM c JOIN f ON f.scope_id = c.anc
+        QUALIFY row_number() OVER (PARTITION BY c.scope_id, f.permission ORDER BY c.d) = 1""",
     "effective_permissions": """
         WITH RECURSIVE c AS (SELECT scope_id, scope_id AS anc FROM {scopes} UNION ALL SELECT s.scope_id, s.parent_id AS anc FROM {scopes} AS s UNION ALL
             SELECT s.scope_id, p.parent_id AS anc FROM {scopes} AS s JOIN {scopes} AS p ON p.scope_id = s.parent_id UNION ALL

@@ -82,6 +82,13 @@ def register(r: Registry) -> None:
     add("roles", lambda i: g.roles(i.g_accounts), "account_id,role")
     add("scopes", lambda i: g.scopes(i.g_accounts, i.g_groups, i.g_orgs, i.g_stores), "scope_id,scope_type,parent_id")
     add("policies", lambda i: g.policies(i.policy_rows), "policy_id,permission_id,permission,effect,scope_id")
+    add("permission_overrides", lambda i: g.overrides(i.override_rows), "policy_id,permission_id,permission,effect,scope_id,role,account_scope")
+    add("capabilities", lambda i: g.capabilities(i.feature_packages), "capability_id,name")
+    add("enabled_capabilities", lambda i: g.enabled_capabilities(i.feature_plans, g.capabilities(i.feature_packages), i.account_orgs),
+        "owner_kind,owner_id,capability_id")
+    add("resolved_permissions", lambda i: g.resolved_permissions(
+        g.scopes(i.g_accounts, i.g_groups, i.g_orgs, i.g_stores), g.policies(i.policy_rows), g.overrides(i.override_rows), g.roles(i.g_accounts)),
+        "scope_id,permission,effect,distance:i,policy_id,is_override")
     add("effective_permissions", lambda i: g.effective_permissions(g.scopes(i.g_accounts, i.g_groups, i.g_orgs, i.g_stores), i.own_rules),
         "scope_id,permission,effect")
     add("provenance_touches", lambda i: p.provenance_touches({

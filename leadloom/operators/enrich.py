@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.rank import best_row
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import choose, first_non_empty, norm, text
+from leadloom.session import staged
 
 # Words that mark decision makers and company events.
 DECISION_MAKER_WORDS = ["procurement", "supply chain", "purchasing", "cpo", "vp supply", "sourcing",
@@ -16,7 +18,7 @@ DECISION_MAKER_WORDS = ["procurement", "supply chain", "purchasing", "cpo", "vp
 LEADERSHIP_WORDS = ["ceo", "cpo", "vp", "director", "chief", "president", "appoint", "resign", "hire", "named"]
 FUNDING_WORDS = ["funding", "investment", "raise", "series", "capital", "venture", "ipo"]
 MERGER_WORDS = ["merger", "acquisition", "acquire", "merge", "takeover", "buyout"]
-GRAM = 3
+WIDTHS = (1, 2, 3, 4, 6, 8, 12)  # of grams; a pattern uses the largest not longer than itself
 
 
 def any_word(haystack: Column, words: Sequence[str]) -> Column:
@@ -38,25 +40,28 @@ def _grams(col: Column, width: Column) -> Column:
 def contains_pairs(long_side: DataFrame, long_col: str, short_side: DataFrame, short_col: str) -> DataFrame:
     """All distinct value pairs (``long_text``, ``short_text``) where the long one holds the short one.
 
-    Exact substring join without a nested loop. A text that contains the pattern contains every
-    3-gram of it, so each pattern is looked up through its rarest 3-gram only (patterns shorter
-    than 3 through themselves) and the few candidates are verified. Both sides are distinct
-    lower-cased values, so repeated names cost nothing.
+    Exact substring join without a nested loop. A text that holds a pattern holds all its grams, so each pattern is looked up
+    through one gram: of the largest width in ``WIDTHS`` that it is long enough for, the rarest among the long texts. Long
+    texts are cut into grams of the widths that patterns use and keep those that patterns have. The candidates are verified.
+    Both sides are distinct lower-cased values, so repeated names cost nothing, and a gram of many texts and patterns is cut
+    up (``grid_join``).
     """
-    longs = long_side.select(F.lower(long_col).alias("long_text")).where("long_text <> ''").distinct()
-    shorts = short_side.select(F.lower(short_col).alias("short_text")).where("short_text <> ''").distinct()
-    short_grams = shorts.select("short_text", F.explode(_grams(
-        F.col("short_text"), F.least(F.lit(GRAM), F.length("short_text")))).alias("gram"))
-    long_grams = longs.select("long_text", F.explode(F.concat(*[
-        _grams(F.col("long_text"), F.lit(n)) for n in range(1, GRAM + 1)])).alias("gram"))
-    long_grams = long_grams.join(short_grams.select("gram").distinct(), "gram", "left_semi")
+    longs = staged(long_side.select(F.lower(long_col).alias("long_text")).where("long_text <> ''").distinct(), "long_texts")
+    width = choose([(F.length("short_text") >= w, w) for w in sorted(WIDTHS, reverse=True)], 1)
+    shorts = staged(short_side.select(F.lower(short_col).alias("short_text")).where("short_text <> ''").distinct().withColumn(
+        "width", width.cast("int")), "patterns")
+    used = sorted(r[0] for r in shorts.select("width").distinct().collect())  # at most as many as WIDTHS
+    if not used:
+        return longs.select("long_text", F.col("long_text").alias("short_text")).limit(0)
+    short_grams = staged(shorts.select("short_text", F.explode(_grams(F.col("short_text"), F.col("width"))).alias("gram")), "pattern_grams")
+    long_grams = longs.select("long_text", F.explode(F.concat(*[_grams(F.col("long_text"), F.lit(n)) for n in used])).alias("gram"))
+    long_grams = staged(long_grams.join(short_grams.select("gram").distinct(), "gram", "left_semi"), "text_grams")
     freq = long_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # A pattern with a gram no text has cannot match: the left join leaves n null, sorted first.
     rare = short_grams.join(freq, "gram", "left").groupBy("short_text").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("m"))
-    rare = rare.where("m.n > 0").select("short_text", F.col("m.gram").alias("gram"))
-    return rare.join(long_grams, "gram").where(F.contains("long_text", "short_text")).select(
-        "long_text", "short_text")
+    rare = staged(rare.where("m.n > 0").select("short_text", F.col("m.gram").alias("gram")), "rare_grams")
+    return grid_join(rare, long_grams, ["gram"], condition=F.contains("long_text", "short_text")).select("long_text", "short_text")
 
 
 def match_profiles(profiles: DataFrame, orgs: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import first_present, text
 from leadloom.operators.layers import family_tree_edges
+from leadloom.session import staged
 
 
 @dataclass(frozen=True)
@@ -162,12 +164,11 @@ def keyword_nodes(rows: DataFrame, key: str, words: Column) -> DataFrame:
         key, stable_id(F.lit("keyword"), F.lower("keyword")).alias("keyword_id"), F.lower("keyword").alias("keyword")).distinct()
 
 
-def keyword_use_cases(product_words: DataFrame, use_case_words: DataFrame, salts: int = 16) -> DataFrame:
-    """Distinct (product_id, use_case_id) that share a keyword; a hot keyword is spread over sub-keys."""
-    left = product_words.select("product_id", "keyword_id", F.pmod(F.xxhash64("product_id"), F.lit(salts)).alias("_s"))
-    right = use_case_words.select("use_case_id", "keyword_id", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_s"))
-    return left.join(right, ["keyword_id", "_s"]).select("product_id", "use_case_id").distinct()
+def keyword_use_cases(product_words: DataFrame, use_case_words: DataFrame) -> DataFrame:
+    """Distinct (product_id, use_case_id) that share a keyword; a keyword is cut up by how many of either have it."""
+    left = staged(product_words.select("product_id", "keyword_id").distinct(), "product_words")
+    right = staged(use_case_words.select("use_case_id", "keyword_id").distinct(), "use_case_words")
+    return grid_join(left, right, ["keyword_id"]).select("product_id", "use_case_id").distinct()
 
 
 def seller_products(owned_products: DataFrame, owned_orgs: DataFrame) -> DataFrame:

@@ -100,40 +100,113 @@ def scopes(accounts: DataFrame, groups: DataFrame, orgs: DataFrame, stores: Data
     return first
 
 
+SCOPE_COLUMNS = (("account", "user_id"), ("org", "organization_id"), ("group", "organization_group_id"), ("store", "store_id"))
+
+
+def _permission() -> Column:
+    return F.concat(F.coalesce(non_empty("module"), F.lit("general")), F.lit(":"), F.coalesce(non_empty("action"), F.lit("access")))
+
+
+def _said(rows: DataFrame, name: str, yes: str, no: str) -> Column:
+    """What a yes/no column says; null where it is absent or empty."""
+    if name not in rows.columns:
+        return F.lit(None).cast("string")
+    said = F.trim(F.col(name).cast("string"))
+    return F.when(non_empty(name).isNotNull(), F.when(said.isin(*FALSE_WORDS), no).otherwise(yes))
+
+
+def _applies(rows: DataFrame) -> Column:
+    """The scopes a rule applies to: everywhere, and the account, organisation, group and store it names."""
+    named = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"scope:{k}:"), F.col(c).cast("string"))) for k, c in SCOPE_COLUMNS if c in rows.columns]
+    return F.filter(F.array(F.lit("scope:global"), *named), lambda s: s.isNotNull())
+
+
 def policies(rows: DataFrame) -> DataFrame:
-    """Policy rules with permission id, effect (from effect, deny or is_allowed) and the scopes they apply to."""
-    perm = F.concat(F.coalesce(non_empty("module"), F.lit("general")), F.lit(":"), F.coalesce(non_empty("action"), F.lit("access")))
-    said_no = F.col("is_allowed").isNotNull() & F.col("is_allowed").isin(*FALSE_WORDS)
-    denied = F.col("deny").isNotNull() & ~F.col("deny").isin(*FALSE_WORDS)
-    effect = F.coalesce(non_empty("effect"), F.when(non_empty("deny").isNotNull(), F.when(denied, "deny").otherwise("allow")),
-                        F.when(non_empty("is_allowed").isNotNull(), F.when(said_no, "deny").otherwise("allow")), F.lit("allow"))
-    applies = F.filter(F.array(
-        F.lit("scope:global"), *[F.when(F.col(c).isNotNull(), F.concat(F.lit(f"scope:{k}:"), F.col(c).cast("string")))
-                                 for k, c in (("account", "user_id"), ("org", "organization_id"))]), lambda s: s.isNotNull())
-    named = rows.withColumns({"permission": perm, "effect": effect})
+    """Policy rules with permission id, effect (from effect, deny, is_allowed or allow, the first that says something, else
+    allow) and the scopes they apply to."""
+    effect = F.coalesce(non_empty("effect") if "effect" in rows.columns else F.lit(None).cast("string"), _said(rows, "deny", "deny", "allow"),
+                        _said(rows, "is_allowed", "allow", "deny"), _said(rows, "allow", "allow", "deny"), F.lit("allow"))
+    named = rows.withColumns({"permission": _permission(), "effect": effect})
     return named.select(
         stable_id(F.lit("policy_rule"), F.lit("permissions"), F.col("id")).alias("policy_id"),
         stable_id(F.lit("permission"), F.col("permission")).alias("permission_id"), "permission", "effect",
-        F.explode(applies).alias("scope_id"))
+        F.explode(_applies(rows)).alias("scope_id"))
 
 
-def effective_permissions(scope_rows: DataFrame, policy_rows: DataFrame) -> DataFrame:
-    """(scope_id, permission, effect): a scope inherits its ancestors' rules; one deny outweighs any allow.
+def overrides(rows: DataFrame) -> DataFrame:
+    """Overrides of permissions: as ``policies``, with the role they name (lower case, else null) and the account it is meant for.
+
+    The effect is what ``effect`` says, else what ``is_allowed`` says: an empty one denies, an absent one allows.
+    """
+    said = F.trim(F.col("is_allowed").cast("string")) if "is_allowed" in rows.columns else F.lit(None).cast("string")
+    effect = F.coalesce(non_empty("effect") if "effect" in rows.columns else F.lit(None).cast("string"),
+                        F.when(F.coalesce(said.isin(*FALSE_WORDS), F.lit(False)), "deny").otherwise("allow"))
+    role = first_non_empty(*[c for c in ("role_name", "role") if c in rows.columns]) if {"role_name", "role"} & set(rows.columns) else F.lit(None)
+    named = rows.withColumns({"permission": _permission(), "effect": effect, "_role": F.lower(F.trim(role.cast("string")))})
+    return named.select(
+        stable_id(F.lit("override"), F.lit("custom_role_permission_overrides"), F.col("id")).alias("policy_id"),
+        stable_id(F.lit("permission"), F.col("permission")).alias("permission_id"), "permission", "effect",
+        F.explode(_applies(rows)).alias("scope_id"), non_empty("_role").alias("role"),
+        F.when(F.col("user_id").isNotNull(), F.concat(F.lit("scope:account:"), F.col("user_id").cast("string"))).alias("account_scope"))
+
 
-    The closure is built level by level over distinct pairs until a level adds none, so depth is free and a loop ends.
+def capabilities(packages: DataFrame) -> DataFrame:
+    """(capability_id, name) of feature packages: name, title, slug, else the id."""
+    named = first_non_empty(*[c for c in ("name", "title", "slug") if c in packages.columns])
+    key = F.col("id").cast("string")
+    return packages.where("id IS NOT NULL").select(key.alias("capability_id"), F.coalesce(named, F.concat(F.lit("capability:"), key)).alias("name"))
+
+
+def enabled_capabilities(plans: DataFrame, known: DataFrame, account_orgs: DataFrame) -> DataFrame:
+    """(owner_kind, owner_id, capability_id): what the plan of an account enables, for it and for the organisations it owns."""
+    bought = plans.select(F.col("user_id").cast("string").alias("account_id"),
+                          F.coalesce("plan_id", "feature_package_id").cast("string").alias("capability_id")).where(
+        "account_id IS NOT NULL").distinct().join(known.select("capability_id"), "capability_id")
+    orgs = bought.join(account_orgs, "account_id").select(F.lit("organization").alias("owner_kind"), F.col("org_id").alias("owner_id"), "capability_id")
+    return bought.select(F.lit("account").alias("owner_kind"), F.col("account_id").alias("owner_id"), "capability_id").unionByName(orgs).distinct()
+
+
+def scope_closure(scope_rows: DataFrame) -> DataFrame:
+    """(scope_id, ancestor, distance): every scope with itself (0) and all above it, by the shortest way.
+
+    Built level by level over distinct pairs until a level adds none, so depth is free and a loop ends. A level is written
+    once, and only what it adds is looked up in the next.
     """
-    up = scope_rows.select(F.col("scope_id"), F.col("parent_id").alias("ancestor"))
-    closure = scope_rows.select("scope_id", F.col("scope_id").alias("ancestor")).unionByName(up)
-    parents = scope_rows.select(F.col("scope_id").alias("ancestor"), F.col("parent_id").alias("above"))
-    level, closure = up, staged(closure.distinct(), "closure")
-    while True:
-        above = level.join(parents, "ancestor").where("above is not null").select("scope_id", F.col("above").alias("ancestor"))
-        level = staged(above.distinct().join(closure, ["scope_id", "ancestor"], "left_anti"), "level")
-        if level.isEmpty():
-            break
+    parents = staged(scope_rows.where("parent_id IS NOT NULL").select(F.col("scope_id").alias("ancestor"), F.col("parent_id").alias("above")).distinct(), "parents")
+    level = staged(scope_rows.select("scope_id", F.col("scope_id").alias("ancestor")).distinct().withColumn("distance", F.lit(0)), "closure")
+    closure, distance = level, 0
+    while not level.isEmpty():
+        distance += 1
+        above = level.join(parents, "ancestor").select("scope_id", F.col("above").alias("ancestor")).distinct()
+        level = staged(above.join(closure, ["scope_id", "ancestor"], "left_anti").withColumn("distance", F.lit(distance)), "level")
         closure = closure.unionByName(level)
-    rules = policy_rows.groupBy("scope_id", "permission").agg(F.max((F.col("effect") == "deny")).alias("denied"))
-    return closure.distinct().join(rules.withColumnRenamed("scope_id", "ancestor"), "ancestor").groupBy(
-        "scope_id", "permission").agg(F.when(F.max("denied"), "deny").otherwise("allow").alias("effect"))
+    return closure
 
 
+def resolved_permissions(scope_rows: DataFrame, policy_rows: DataFrame, override_rows: DataFrame, role_rows: DataFrame) -> DataFrame:
+    """(scope_id, permission, effect, distance, policy_id, is_override): the one rule that decides a permission in a scope.
+
+    The rule applied nearest counts: to the scope itself before those above it. At one distance an override for a role comes
+    before a general override and that before a policy, and a deny before an allow; then the smallest rule id. An override that
+    names a role counts only in the scope of the account it is meant for, and only if that account holds the role.
+    """
+    general = override_rows.where("role IS NULL").select("scope_id", "permission", "effect", "policy_id", F.lit(1).alias("place"))
+    holders = role_rows.select(F.concat(F.lit("scope:account:"), F.col("account_id").cast("string")).alias("account_scope"), F.lower("role").alias("role")).distinct()
+    by_role = override_rows.where("role IS NOT NULL AND account_scope IS NOT NULL").select(
+        "account_scope", "role", "permission", "effect", "policy_id").distinct().join(holders, ["account_scope", "role"]).select(
+        F.col("account_scope").alias("scope_id"), "permission", "effect", "policy_id", F.lit(0).alias("place"))
+    rules = policy_rows.select("scope_id", "permission", "effect", "policy_id", F.lit(2).alias("place")).unionByName(general).unionByName(by_role)
+    # of the rules of one scope and permission only the first can decide
+    order = F.struct("place", (F.col("effect") != "deny").alias("allows"), "policy_id", "effect")
+    first = rules.groupBy("scope_id", "permission").agg(F.min(order).alias("r")).withColumnRenamed("scope_id", "ancestor")
+    reached = scope_closure(scope_rows).join(first, "ancestor")
+    best = reached.groupBy("scope_id", "permission").agg(F.min(F.struct("distance", "r")).alias("b"))
+    return best.select("scope_id", "permission", F.col("b.r.effect").alias("effect"), F.col("b.distance").alias("distance"),
+                       F.col("b.r.policy_id").alias("policy_id"), (F.col("b.r.place") < 2).alias("is_override"))
+
+
+def effective_permissions(scope_rows: DataFrame, policy_rows: DataFrame) -> DataFrame:
+    """(scope_id, permission, effect): a scope inherits its ancestors' rules; one deny outweighs any allow."""
+    rules = policy_rows.groupBy("scope_id", "permission").agg(F.max((F.col("effect") == "deny")).alias("denied"))
+    return scope_closure(scope_rows).join(rules.withColumnRenamed("scope_id", "ancestor"), "ancestor").groupBy(
+        "scope_id", "permission").agg(F.when(F.max("denied"), "deny").otherwise("allow").alias("effect"))

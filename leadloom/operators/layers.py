@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leadloom.functions.ids import hash_key
 from leadloom.functions.rank import best_row
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import norm
 from leadloom.operators.merge import audit_columns, gold_upsert, keyed_merge
 from leadloom.session import staged
@@ -158,21 +159,17 @@ def family_tree_rows(docs: DataFrame, max_depth: int = 50) -> DataFrame:
     raise ValueError(f"tree deeper than {max_depth}")
 
 
-def pairs_from_roles(companies: DataFrame, codes: DataFrame, salts: int = 16) -> DataFrame:
+def pairs_from_roles(companies: DataFrame, codes: DataFrame) -> DataFrame:
     """Distinct buyer and supplier pairs worth asking a health report for: those that share a code.
 
-    Pairing every buyer with every supplier does not scale and mostly asks about strangers. A hot
-    code's buyers are spread over ``salts`` sub-keys, its suppliers copied to each.
+    Pairing every buyer with every supplier does not scale and mostly asks about strangers. How many
+    buyers and suppliers a code has decides into how many parts it is cut (``grid_join``).
     """
     who = companies.select("company_id", norm("company_role").alias("role")).distinct()
-    listed = codes.select("company_id", "hs_code").distinct().join(who, "company_id")
-    buyers = listed.where("role = 'buyer'").select(
-        F.col("company_id").alias("buyer_id"), "hs_code", F.pmod(F.xxhash64("company_id"), F.lit(salts)).alias("_s"))
-    suppliers = listed.where("role = 'supplier'").select(
-        F.col("company_id").alias("supplier_id"), "hs_code",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_s"))
-    return buyers.join(suppliers, ["hs_code", "_s"]).where("buyer_id <> supplier_id").select(
-        "buyer_id", "supplier_id").distinct()
+    listed = staged(codes.select("company_id", "hs_code").distinct().join(who, "company_id"), "listed")
+    buyers = listed.where("role = 'buyer'").select(F.col("company_id").alias("buyer_id"), "hs_code")
+    suppliers = listed.where("role = 'supplier'").select(F.col("company_id").alias("supplier_id"), "hs_code")
+    return grid_join(buyers, suppliers, ["hs_code"]).where("buyer_id <> supplier_id").select("buyer_id", "supplier_id").distinct()
 
 
 def not_yet_enriched(contacts: DataFrame, enriched: DataFrame, min_score: float) -> DataFrame:

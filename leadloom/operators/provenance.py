@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import text
+from leadloom.session import staged
 
 # Touch score, signal weight and event type by kind of source row.
 TOUCH = {
@@ -52,8 +54,10 @@ def device_identity(visits: DataFrame, sessions: DataFrame, owned: DataFrame) ->
 def ghost_to_lead(ghosts: DataFrame, page_views: DataFrame, view_sources: DataFrame, lead_sources: DataFrame) -> DataFrame:
     """(profile_id, lead_id): a ghost's session has a page view whose source a lead shares.
 
-    Pairs are made distinct before each join, so repeated views of one source do not multiply.
+    Pairs are made distinct before each join, so repeated views of one source do not multiply; a source is
+    cut up by how many ghosts and leads share it.
     """
     sources = ghosts.select("profile_id", "session_id").join(page_views.select("session_id", "page_view_id"), "session_id").join(
         view_sources, "page_view_id").select("profile_id", "source_id").distinct()
-    return sources.join(lead_sources.select("lead_id", "source_id").distinct(), "source_id").select("profile_id", "lead_id").distinct()
+    leads = staged(lead_sources.select("lead_id", "source_id").distinct(), "lead_sources")
+    return grid_join(staged(sources, "ghost_sources"), leads, ["source_id"]).select("profile_id", "lead_id").distinct()

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
 from leadloom.functions.rank import best_row
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import as_ts, choose, norm, text, tidy_round
+from leadloom.session import staged
 
 # Accepted source names of each shipment column, most wanted first.
 SHIPMENT_ALIASES = {
@@ -178,12 +180,11 @@ def synthetic_months(rels: DataFrame, as_of) -> DataFrame:
 
 
 def relationships_from_codes(companies: DataFrame, imported: DataFrame, exported: DataFrame,
-                             as_of, min_share: float = 1.0, salts: int = 16) -> DataFrame:
+                             as_of, min_share: float = 1.0) -> DataFrame:
     """Possible relationships: buyer and supplier whose import and export codes agree.
 
-    The result itself holds every such pair, so its size is the join's size. The buyer side is
-    spread over ``salts`` sub-keys per code and the supplier side copied to each, so a hot code
-    is joined by many tasks and no single one gets all of it.
+    The result itself holds every such pair, so its size is the join's size. How many buyers and
+    suppliers a code has decides into how many parts it is cut (``grid_join``).
     """
     today = as_ts(as_of).cast("date")
     buyers = best_row(companies.where(norm("company_role") == "buyer").select(
@@ -194,13 +195,12 @@ def relationships_from_codes(companies: DataFrame, imported: DataFrame, exported
     demand = buyers.join(imported.where(F.col("import_share_pct") >= min_share).groupBy("company_id", "hs_code").agg(
         F.max("import_share_pct").alias("hs_share")), "company_id").select(
         F.trim("company_id").alias("buyer_id"), text("company_name").alias("buyer_name"), "hs_code", "hs_share",
-        "number_of_shipments", "shipment_value", "from_date", "to_date",
-        F.pmod(F.xxhash64("company_id"), F.lit(salts)).alias("_salt"))
+        "number_of_shipments", "shipment_value", "from_date", "to_date")
     supply = sellers.join(exported.where(F.col("export_share_pct") >= min_share).select(
         "company_id", "hs_code").distinct(), "company_id").select(
-        F.trim("company_id").alias("supplier_id"), text("company_name").alias("supplier_name"), "hs_code",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
-    pairs = demand.join(supply, ["hs_code", "_salt"]).where(F.col("buyer_id") != F.col("supplier_id"))
+        F.trim("company_id").alias("supplier_id"), text("company_name").alias("supplier_name"), "hs_code")
+    pairs = grid_join(staged(demand, "demand"), staged(supply, "supply"), ["hs_code"], spread=(["buyer_id"], ["supplier_id"]))
+    pairs = pairs.where(F.col("buyer_id") != F.col("supplier_id"))
     pairs = pairs.where((F.col("buyer_id") != "") & (F.col("supplier_id") != "") & (F.trim("hs_code") != ""))
     end = F.coalesce("to_date", today)
     return pairs.select(
