@@ -154,26 +154,27 @@ FIXTURES: dict[str, str] = {
                o.o_orderkey % 500 AS total_shipment_count, o.o_orderstatus AS company_type, o.o_orderdate AS modified_on
         FROM {orders} AS o JOIN {customer} AS c ON o.o_custkey = c.c_custkey""",
     "company_search": """
-        SELECT substring(c_name, 1, 17) AS company_name, c_custkey % 900 AS employee_count, c_mktsegment AS industry,
+        SELECT CASE c_custkey % 10 WHEN 7 THEN substring(c_name, 1, 17) WHEN 3 THEN c_name || ' ' || c_mktsegment ELSE c_name END AS company_name,
+               c_custkey % 900 AS employee_count, c_mktsegment AS industry,
                'c' || CAST(c_custkey % 45 AS STRING) || '.example' AS domain, CAST(c_nationkey AS STRING) AS country
-        FROM {customer} WHERE c_custkey % 10 = 7""",
+        FROM {customer}""",
     "contact_rows": """
         SELECT CASE WHEN c_custkey % 3 = 0 THEN 'Ann' ELSE NULL END AS first_name,
                CASE WHEN c_custkey % 4 = 0 THEN 'Lee' ELSE '' END AS last_name,
                CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE '' END AS full_name,
                CASE c_custkey % 4 WHEN 0 THEN 'VP Supply Chain' WHEN 1 THEN 'Sourcing Lead' WHEN 2 THEN 'Clerk' ELSE NULL END AS title,
                CASE WHEN c_custkey % 2 = 0 THEN 'm' || CAST(c_custkey AS STRING) || '@x.example' ELSE NULL END AS email,
-               CAST(c_custkey AS STRING) AS phone, substring(c_name, 1, 17) AS company_name, 'senior' AS seniority_level
+               CAST(c_custkey AS STRING) AS phone, CASE WHEN c_custkey % 10 = 7 THEN substring(c_name, 1, 17) ELSE c_name END AS company_name, 'senior' AS seniority_level
         FROM {customer}""",
     "intent_rows": """
         SELECT c.c_name AS company_name, p.p_type AS topic, CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS signal_date
         FROM {orders} AS o JOIN {customer} AS c ON o.o_custkey = c.c_custkey
-        JOIN {lineitem} AS l ON l.l_orderkey = o.o_orderkey AND l.l_linenumber = 1
+        JOIN {lineitem} AS l ON l.l_orderkey = o.o_orderkey
         JOIN {part} AS p ON l.l_partkey = p.p_partkey""",
     "news_rows": """
         SELECT c.c_name AS company_name, d.text AS content, '2024-01-' || CAST(10 + d.doc_id % 20 AS STRING) AS news_date
-        FROM {documents} AS d JOIN {customer} AS c ON c.c_custkey = d.doc_id % 100""",
+        FROM {documents} AS d JOIN {customer} AS c ON c.c_custkey = d.doc_id % 100 + 1""",
     "scoop_rows": """
         SELECT c.c_name AS company_name, v.text AS content, '2024-01-' || CAST(10 + v.turn % 20 AS STRING) AS news_date
-        FROM {conversations} AS v JOIN {customer} AS c ON c.c_custkey = v.conv_id % 120""",
+        FROM {conversations} AS v JOIN {customer} AS c ON c.c_custkey = v.conv_id % 120 + 1""",
 }

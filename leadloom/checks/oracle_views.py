@@ -54,24 +54,32 @@ VIEWS: dict[str, str] = {
         FROM {trade_relationships} AS r LEFT JOIN {health_status} AS h ON h.rel_id = r.rel_id""",
     "trade_view": """
         SELECT w.*, (SELECT count(*) FROM {switch_opportunities} AS o WHERE o.rel_id = w.rel_id) AS opportunity_count FROM (SELECT * FROM {valued} WHERE buyer_monthly_volume >= 1000 AND health_status = 'stressed'
-        ORDER BY buyer_monthly_volume DESC, rel_id LIMIT 50) AS w""",
+        ) AS w""",
     "trade_stats": f"""
         SELECT count(*) AS total_relationships, {rnd('sum(buyer_monthly_volume)', 2)} AS total_monthly_volume, {rnd('avg(buyer_monthly_volume)', 2)} AS avg_monthly_volume,
                {rnd('max(buyer_monthly_volume)', 2)} AS max_monthly_volume, {rnd('avg(health_score)', 1)} AS avg_health_score, {_stat} FROM {{valued}}""",
-    "profile_view": "SELECT user_id, behavioral_score, enquiries_sent, 'high' AS intent_band FROM {behavior_score} WHERE behavioral_score >= 70 AND enquiries_sent > 0 ORDER BY behavioral_score DESC, enquiries_sent DESC, user_id LIMIT 50",
+    "profile_view": "SELECT user_id, behavioral_score, enquiries_sent, 'high' AS intent_band FROM {behavior_score} WHERE behavioral_score >= 70 AND enquiries_sent > 0",
     "profile_stats": f"""
         SELECT count(*) AS total_profiles, {rnd('avg(behavioral_score)', 1)} AS avg_behavioral_score, count(*) FILTER (WHERE behavioral_score >= 70) AS high_intent, count(*) FILTER (WHERE behavioral_score >= 50 AND behavioral_score < 70) AS medium_intent,
                count(*) FILTER (WHERE behavioral_score < 50) AS low_intent, count(*) FILTER (WHERE enquiries_sent > 0) AS with_enquiries, count(*) FILTER (WHERE max_scroll_depth >= 75) AS deep_readers,
                sum(total_clicks) AS platform_clicks, sum(enquiries_sent) AS total_enquiries FROM {{behavior_score}}""",
     "opportunity_view": """
-        SELECT o.opportunity_id, o.rel_id, o.detection_method, h.health_score, h.health_status, o.switch_probability FROM {score_opportunities} AS o LEFT JOIN {health_status} AS h ON h.rel_id = o.rel_id
-        ORDER BY h.health_score NULLS LAST, o.switch_probability DESC NULLS LAST, o.opportunity_id LIMIT 50""",
+        SELECT o.opportunity_id, o.rel_id, o.detection_method, h.health_score, h.health_status, o.switch_probability FROM {score_opportunities} AS o LEFT JOIN {health_status} AS h ON h.rel_id = o.rel_id""",
     "detection_comparison": f"""
         SELECT o.detection_method, count(*) AS total, {rnd('avg(h.health_score)', 1)} AS avg_health_score, {rnd('avg(o.switch_probability * 100)', 1)} AS avg_switch_prob_pct, {_stat3}
         FROM {{score_opportunities}} AS o LEFT JOIN {{health_status}} AS h ON h.rel_id = o.rel_id GROUP BY o.detection_method""",
     "pipeline_counts": """
-        SELECT 'Lead' AS label, count(*) AS rows FROM {leads} UNION ALL SELECT 'TradeRelationship' AS label, count(*) AS rows FROM {trade_relationships} UNION ALL SELECT 'Seller' AS label, count(*) AS rows FROM {sellers}
-        UNION ALL SELECT 'SellerLeadAssignment' AS label, count(*) AS rows FROM {assignments} UNION ALL SELECT 'SupplierSwitchOpportunity' AS label, count(*) AS rows FROM {switch_opportunities}""",
+        SELECT 'Lead' AS label, count(*) AS rows FROM {leads}
+        UNION ALL SELECT 'BuyerProfile' AS label, count(*) AS rows FROM {behavior_score}
+        UNION ALL SELECT 'TradeRelationship' AS label, count(*) AS rows FROM {trade_relationships}
+        UNION ALL SELECT 'SwitchLead' AS label, count(*) AS rows FROM {switch_leads_matched}
+        UNION ALL SELECT 'SupplierSwitchOpportunity' AS label, count(*) AS rows FROM {switch_opportunities}
+        UNION ALL SELECT 'Seller' AS label, count(*) AS rows FROM {sellers}
+        UNION ALL SELECT 'SellerLeadAssignment' AS label, count(*) AS rows FROM {assignments}
+        UNION ALL SELECT 'ConversionFact' AS label, count(*) AS rows FROM {conversion_facts}""",
+    "pipeline_status": """
+        SELECT 'table' AS part, label, rows, CAST(NULL AS TIMESTAMP) AS latest_at FROM {pipeline_counts} UNION ALL SELECT 'latest_lead', 'Lead', NULL, CAST(max(classified_at) AS TIMESTAMP) FROM {leads}
+        UNION ALL SELECT 'lead_type', lead_type, count(*), NULL FROM {leads} GROUP BY lead_type UNION ALL SELECT 'detection_method', detection_method, count(*), NULL FROM {switch_opportunities} GROUP BY detection_method""",
     "enriched_leads": f"""
         SELECT s.lead_id, s.buyer_name, o.existing_supplier_name, s.candidate_supplier_name, s.hs_code, coalesce(c.name, 'HS ' || s.hs_code) AS hs_description, s.final_lead_score,
                CASE WHEN coalesce(h.health_score, o.stress_score) < 40 OR s.switch_probability * 100 >= 60 THEN 'HIGH' WHEN coalesce(h.health_score, o.stress_score) < 70 OR s.switch_probability * 100 >= 35 THEN 'MEDIUM' ELSE 'LOW' END AS urgency,
@@ -97,12 +105,16 @@ VIEWS: dict[str, str] = {
         SELECT a.seller_id, l.lead_type, count(*) AS total, count(*) FILTER (WHERE a.status = 'converted') AS converted, count(*) FILTER (WHERE a.status = 'rejected') AS rejected, avg(l.score_final) AS avg_score,
                {rnd("100.0 * count(*) FILTER (WHERE a.status = 'converted') / count(*)", 1)} AS conv_rate_pct FROM {{assignments}} AS a JOIN {{leads}} AS l ON l.lead_uid = a.lead_id GROUP BY a.seller_id, l.lead_type""",
     "assigned_leads": f"""
-        WITH u AS (SELECT lead_uid AS lead_id, lead_type, priority, CAST(score_final AS DOUBLE) AS score, coalesce(playbook_tags, '') AS tags, hs_code FROM {{lead_tags}}),
-        j AS (SELECT a.assignment_id, a.seller_id, a.status, u.*, row_number() OVER (PARTITION BY a.seller_id ORDER BY CASE u.priority WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END, u.score DESC, a.assignment_id) AS rank
-              FROM {{assignments}} AS a JOIN u ON u.lead_id = a.lead_id)
-        SELECT assignment_id, seller_id, lead_id, lead_type, priority, score, rank, 'Stone & cement articles' AS hs_description,
-               CASE WHEN tags <> '' THEN 'Send personalised outreach referencing trade data,Prepare consolidation proposal for executive sponsor' ELSE 'Review profile and add to nurture sequence' END AS action_steps,
-               CASE WHEN priority = 'critical' OR score >= 85 THEN 'HIGH' WHEN priority = 'high' OR score >= 70 THEN 'MEDIUM' ELSE 'LOW' END AS urgency FROM j WHERE rank > 20 AND rank <= 40""",
+        WITH u AS (SELECT lead_uid AS lead_id, lead_type, priority, CAST(score_final AS DOUBLE) AS score, coalesce(playbook_tags, '') AS tags, CAST(NULL AS VARCHAR) AS action, hs_code FROM {{lead_tags}}
+            UNION ALL SELECT lead_id, 'switch_lead' AS lead_type, lead_priority AS priority, final_lead_score AS score, '' AS tags, recommended_action AS action, hs_code FROM {{switch_leads_matched}}),
+        g AS (SELECT assignment_id, seller_id, lead_id, status FROM {{assignments}} UNION ALL SELECT 'sw:' || seller_id || ':' || lead_id AS assignment_id, seller_id, lead_id, 'assigned' AS status
+            FROM (SELECT lead_id, 'SL1' AS seller_id FROM {{switch_leads_matched}} UNION SELECT lead_id, 'SL' || substr(lead_id, 1, 1) AS seller_id FROM {{switch_leads_matched}}) AS w),
+        j AS (SELECT g.assignment_id, g.seller_id, g.status, u.*, row_number() OVER (PARTITION BY g.seller_id ORDER BY CASE u.priority WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END, u.score DESC, g.assignment_id) AS rank
+              FROM g JOIN u ON u.lead_id = g.lead_id)
+        SELECT assignment_id, seller_id, lead_id, lead_type, priority, score, rank, coalesce(c.name, 'Unknown') AS hs_description,
+               CASE WHEN action <> '' THEN action WHEN tags <> '' THEN 'Send personalised outreach referencing trade data,Prepare consolidation proposal for executive sponsor' ELSE 'Review profile and add to nurture sequence' END AS action_steps,
+               CASE WHEN priority = 'critical' OR score >= 85 THEN 'HIGH' WHEN priority = 'high' OR score >= 70 THEN 'MEDIUM' ELSE 'LOW' END AS urgency
+        FROM j LEFT JOIN (SELECT * FROM {_chapters}) AS c ON c.ch = substr(j.hs_code, 1, 2) WHERE rank > 20 AND rank <= 40""",
     "sellers_list": "SELECT s.seller_id, s.name, s.tier, s.active, s.max_leads_per_day, s.leads_today, coalesce(a.credits_available, 0) AS credits_available FROM {sellers} AS s LEFT JOIN {accounts} AS a ON a.seller_id = s.seller_id",
     # --- streams ---------------------------------------------------------------------------------
     "route_events": """

@@ -82,6 +82,6 @@ def register(r: Registry) -> None:
         "lead_uid,buyer_user_id,behavioral_score:s,high_intent_score:s,total_sessions:s,profile_uid")
     add("behavior_summary", lambda i: b.behavior_summary(b.behavior_score(profiles(i))),
         "total_profiles:i,avg_score:d,high_intent:i,enquiry_buyers:i,strong_clickers:i,deep_readers:i,chatted:i")
-    add("top_engaged", lambda i: b.top_engaged(b.behavior_score(profiles(i))), "user_id,behavioral_score:i,high_intent_detail")
+    add("top_engaged", lambda i: b.top_engaged(b.behavior_score(profiles(i)), 5), "user_id,behavioral_score:i,high_intent_detail")
     add("visit_facts", lambda i: b.visit_facts(i.visits),
         "utm_source,utm_campaign,visits:i,users:i,mean_scroll_depth:d,mean_stay:d,clicks:i")

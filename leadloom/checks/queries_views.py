@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from leadloom.checks.fixtures import AS_OF_EVENTS, AS_OF_TRADE
 from leadloom.checks.queries_platform import profiles
+from leadloom.checks.queries_sellers import facts
 from leadloom.checks.queries_trade import plan
 from leadloom.checks.registry import Registry
 from leadloom.operators import behavior as b
@@ -32,6 +33,19 @@ def enriched(i):
     return v.enriched_leads(t.matched_leads, t.scored, rels, AS_OF_TRADE, best_per_buyer=True)
 
 
+def every_assignment(i):
+    """Assignments of leads, and of switch leads to two sellers each."""
+    switch = plan(i).matched_leads.select("lead_id", F.explode(F.array(F.lit("SL1"), F.concat(F.lit("SL"), F.substring("lead_id", 1, 1)))).alias("seller_id"))
+    switch = switch.distinct().select(F.concat(F.lit("sw:"), "seller_id", F.lit(":"), "lead_id").alias("assignment_id"), "seller_id", "lead_id", F.lit("assigned").alias("status"))
+    return i.assignments.select("assignment_id", "seller_id", "lead_id", "status").unionByName(switch)
+
+
+def result_tables(i):
+    return {"Lead": i.leads, "BuyerProfile": scored_profiles(i), "TradeRelationship": plan(i).rels, "SwitchLead": plan(i).matched_leads,
+            "SupplierSwitchOpportunity": plan(i).opportunities, "Seller": i.sellers, "SellerLeadAssignment": i.assignments,
+            "ConversionFact": facts(i)}
+
+
 MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
@@ -96,9 +110,8 @@ def register(r: Registry) -> None:
         "opportunity_id,rel_id,detection_method,health_score:d,health_status,switch_probability:d")
     add("detection_comparison", lambda i: v.detection_comparison(plan(i).scored, plan(i).health),
         "detection_method,total:i,avg_health_score:d,avg_switch_prob_pct:d,churned:i,dormant:i,stressed:i")
-    add("pipeline_counts", lambda i: v.pipeline_counts({
-        "Lead": i.leads, "TradeRelationship": plan(i).rels, "Seller": i.sellers, "SellerLeadAssignment": i.assignments,
-        "SupplierSwitchOpportunity": plan(i).opportunities}), "label,rows:i", "pipeline_counts")
+    add("pipeline_counts", lambda i: v.pipeline_counts(result_tables(i)), "label,rows:i")
+    add("pipeline_status", lambda i: v.pipeline_status(result_tables(i), i.leads, plan(i).opportunities), "part,label,rows:s,latest_at")
     add("enriched_leads", enriched,
         "lead_id,buyer_name,existing_supplier_name,candidate_supplier_name,hs_code,hs_description,final_lead_score:d,urgency,health_score:d,monthly_volume:d,total_shipments:i,months_since_last:i,act_within_two_weeks")
     add("decision_makers", lambda i: v.decision_makers(i.company_search.select(F.col("company_name").alias("company")), _people(i)),
@@ -109,8 +122,8 @@ def register(r: Registry) -> None:
         "seller_id,name,tier,total_assigned:i,converted:i,rejected:i,new_last_7d:i,credits_available:d,conversion_rate_pct:d,credits_unlimited,credits_used_pct:d")
     add("seller_performance", lambda i: v.seller_performance(i.assignments, i.leads),
         "seller_id,lead_type,total:i,converted:i,rejected:i,avg_score:d,conv_rate_pct:d")
-    no_switch = "lead_id string, lead_priority string, final_lead_score double, recommended_action string, hs_code string"
-    add("assigned_leads", lambda i: v.assigned_leads(i.assignments, i.lead_tags, i.spark.createDataFrame([], no_switch), page=1).withColumn(
+    add("assigned_leads", lambda i: v.assigned_leads(
+        every_assignment(i), i.lead_tags, plan(i).matched_leads, page=1, page_size=20).withColumn(
         "action_steps", F.array_join("action_steps", ",")),
         "assignment_id,seller_id,lead_id,lead_type,priority,score:d,rank:i,hs_description,action_steps,urgency")
     add("sellers_list", lambda i: v.sellers_list(i.sellers, i.accounts), "seller_id,name,tier,active,max_leads_per_day:i,leads_today:i,credits_available:d")

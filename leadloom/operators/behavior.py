@@ -215,7 +215,7 @@ def behavior_summary(scored: DataFrame) -> DataFrame:
         F.count_if(F.col("messages_sent") > 0).alias("chatted"))
 
 
-def top_engaged(scored: DataFrame, k: int = 5) -> DataFrame:
+def top_engaged(scored: DataFrame, k: int) -> DataFrame:
     """The k highest scores among profiles with telling clicks."""
     return scored.where("high_intent_detail <> ''").orderBy(F.desc("behavioral_score"), "user_id").limit(k).select(
         "user_id", "behavioral_score", "high_intent_detail")

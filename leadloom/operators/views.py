@@ -5,7 +5,7 @@ Lists take ``top`` (a top-k report); pages are cut by a stable order with the ke
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.functions.rank import best_row, top_k
@@ -60,17 +60,22 @@ def chapter_name(code: Column, default: Column) -> Column:
     return F.coalesce(lookup(HS_CHAPTERS, F.substring(F.regexp_replace(text(code), r"[\[\]\s]", ""), 1, 2)), default)
 
 
+def _first(rows: DataFrame, order: list[Column], top: int | None) -> DataFrame:
+    """The first rows of a report; all of them, sorted, without a limit."""
+    ordered = rows.orderBy(*order)
+    return ordered if top is None else ordered.limit(top)
+
+
 def trade_view(rels: DataFrame, opps: DataFrame, min_volume: float = 0.0, status: str | None = None,
-               country: str | None = None, top: int = 50) -> DataFrame:
-    """Largest relationships with their number of opportunities."""
+               country: str | None = None, top: int | None = None) -> DataFrame:
+    """Relationships, largest first, with their number of opportunities; all of them unless ``top`` says how many."""
     rows = rels.where(F.col("buyer_monthly_volume") >= min_volume)
     if status:
         rows = rows.where(F.lower("health_status") == status.lower())
     if country:
         rows = rows.where(F.upper("buyer_country") == country.upper())
-    best = rows.orderBy(F.desc("buyer_monthly_volume"), "rel_id").limit(top)
-    counts = opps.join(F.broadcast(best.select("rel_id")), "rel_id", "left_semi").groupBy("rel_id").agg(
-        F.count(F.lit(1)).alias("opportunity_count"))
+    best = _first(rows, [F.desc("buyer_monthly_volume"), F.col("rel_id")], top)
+    counts = opps.join(best.select("rel_id"), "rel_id", "left_semi").groupBy("rel_id").agg(F.count(F.lit(1)).alias("opportunity_count"))
     return best.join(counts, "rel_id", "left").withColumn("opportunity_count", F.coalesce("opportunity_count", F.lit(0)))
 
 
@@ -88,14 +93,14 @@ def intent_band(score: Column) -> Column:
 
 
 def profile_view(profiles: DataFrame, min_score: int = 0, has_enquiries: bool | None = None,
-                 band: str | None = None, top: int = 50) -> DataFrame:
+                 band: str | None = None, top: int | None = None) -> DataFrame:
     rows = profiles.where(F.col("behavioral_score") >= min_score)
     if has_enquiries is not None:
         rows = rows.where((F.coalesce("enquiries_sent", F.lit(0)) > 0) == F.lit(has_enquiries))
     if band:
         rows = rows.where(intent_band(F.col("behavioral_score")) == band)
-    return rows.withColumn("intent_band", intent_band(F.col("behavioral_score"))).orderBy(
-        F.desc("behavioral_score"), F.desc("enquiries_sent"), "user_id").limit(top)
+    return _first(rows.withColumn("intent_band", intent_band(F.col("behavioral_score"))),
+                  [F.desc("behavioral_score"), F.desc("enquiries_sent"), F.col("user_id")], top)
 
 
 def profile_stats(profiles: DataFrame) -> DataFrame:
@@ -109,11 +114,11 @@ def profile_stats(profiles: DataFrame) -> DataFrame:
         F.sum("enquiries_sent").alias("total_enquiries"))
 
 
-def opportunity_view(opps: DataFrame, health: DataFrame, method: str | None = None, top: int = 50) -> DataFrame:
+def opportunity_view(opps: DataFrame, health: DataFrame, method: str | None = None, top: int | None = None) -> DataFrame:
     """Opportunities on the least healthy relationships first."""
     rows = opps if method is None else opps.where(F.col("detection_method") == method)
-    return rows.join(health.select("rel_id", "health_score", "health_status"), "rel_id", "left").orderBy(
-        F.asc_nulls_last("health_score"), F.desc_nulls_last("switch_probability"), "opportunity_id").limit(top)
+    return _first(rows.join(health.select("rel_id", "health_score", "health_status"), "rel_id", "left"),
+                  [F.asc_nulls_last("health_score"), F.desc_nulls_last("switch_probability"), F.col("opportunity_id")], top)
 
 
 def detection_comparison(opps: DataFrame, health: DataFrame) -> DataFrame:
@@ -134,6 +139,19 @@ def pipeline_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def pipeline_status(tables: dict[str, DataFrame], leads: DataFrame, opps: DataFrame) -> DataFrame:
+    """What a run has left: (part, label, rows, latest_at): rows of every table, the latest lead, leads by type, opportunities by method."""
+    nothing = F.lit(None).cast("timestamp").alias("latest_at")
+    counts = pipeline_counts(tables).select(F.lit("table").alias("part"), "label", "rows", nothing)
+    latest = leads.agg(F.max("classified_at").cast("timestamp").alias("latest_at")).select(
+        F.lit("latest_lead").alias("part"), F.lit("Lead").alias("label"), F.lit(None).cast("long").alias("rows"), "latest_at")
+
+    def broken_down(rows: DataFrame, by: str, part: str) -> DataFrame:
+        return rows.groupBy(F.col(by).alias("label")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(part).alias("part"), "label", "rows", nothing)
+    return counts.unionByName(latest).unionByName(broken_down(leads, "lead_type", "lead_type")).unionByName(
+        broken_down(opps, "detection_method", "detection_method"))
+
+
 def enriched_leads(switch_leads: DataFrame, opps: DataFrame, rels: DataFrame, as_of, min_score: float = 0.0,
                    best_per_buyer: bool = False, top: int | None = None) -> DataFrame:
     """Switch leads with the relationship behind them, chapter name, urgency and months since the last shipment."""
@@ -213,8 +231,8 @@ def action_steps(tags: Column) -> Column:
 
 
 def assigned_leads(assignments: DataFrame, leads: DataFrame, switch_leads: DataFrame, status: str | None = None,
-                   page: int = 0, page_size: int = 20) -> DataFrame:
-    """One page of every seller's leads, both lead kinds, by priority and score."""
+                   page: int = 0, page_size: int | None = None) -> DataFrame:
+    """Every seller's leads, both lead kinds, by priority and score; one page of them where ``page_size`` says how long it is."""
     ours = leads.select(F.col("lead_uid").alias("lead_id"), "lead_type", "priority", F.col("score_final").cast("double").alias("score"),
                         text("playbook_tags").alias("tags"), F.lit(None).cast("string").alias("action"), "hs_code")
     theirs = switch_leads.select("lead_id", F.lit("switch_lead").alias("lead_type"), F.col("lead_priority").alias("priority"),
@@ -223,9 +241,13 @@ def assigned_leads(assignments: DataFrame, leads: DataFrame, switch_leads: DataF
     rows = assignments if status is None else assignments.where(F.col("status") == status)
     rows = rows.select("assignment_id", "seller_id", "lead_id", "status").join(ours.unionByName(theirs), "lead_id")
     place = lookup(PRIORITY_PLACE, F.col("priority"), 4)
-    ranked = top_k(rows, ["seller_id"], [place, -F.coalesce("score", F.lit(0.0)), F.col("assignment_id")], (page + 1) * page_size)
+    order = [place, -F.coalesce("score", F.lit(0.0)), F.col("assignment_id")]
+    if page_size is None:
+        ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("seller_id").orderBy(*order)))
+    else:
+        ranked = top_k(rows, ["seller_id"], order, (page + 1) * page_size).where(F.col("rank") > page * page_size)
     p, s = F.col("priority"), F.coalesce("score", F.lit(0.0))
-    return ranked.where(F.col("rank") > page * page_size).withColumns({
+    return ranked.withColumns({
         "hs_description": chapter_name(F.col("hs_code"), F.lit("Unknown")),
         "action_steps": F.when(text("action") != "", F.array("action")).otherwise(action_steps(F.col("tags"))),
         "urgency": choose([((p == "critical") | (s >= 85), "HIGH"), ((p == "high") | (s >= 70), "MEDIUM")], "LOW")})

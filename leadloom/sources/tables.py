@@ -7,42 +7,46 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows per split, most splits of one read, columns a table may be split on.
-ROWS_PER_SPLIT, MAX_SPLITS = 20_000, 50
+# Rows per split, columns a table may be split on.
+ROWS_PER_SPLIT = 20_000
 SPLIT_COLUMNS = ["id", "bl_id", "shipment_id", "company_id", "contact_id", "record_id"]
 
 
-def split_count(rows: int) -> int:
-    return max(1, min(rows // ROWS_PER_SPLIT + 1, MAX_SPLITS))
+def split_count(rows: int, rows_per_split: int = ROWS_PER_SPLIT, max_splits: int | None = None) -> int:
+    """Splits of a read: as many as the rows ask for, or as the source allows readers at once."""
+    wanted = rows // rows_per_split + 1
+    return max(1, wanted if max_splits is None else min(wanted, max_splits))
 
 
-def read_jdbc_split(spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str]) -> DataFrame:
+def read_jdbc_split(spark: SparkSession, url: str, table: str, column: str, properties: dict[str, str],
+                    max_splits: int | None = None) -> DataFrame:
     """A database table read in parallel ranges of a numeric column; bounds are asked for first."""
     probe = f"(SELECT COUNT(*) AS n, MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) AS probe"
     found = spark.read.jdbc(url=url, table=probe, properties=properties).first()
     if not found["n"]:
         return spark.read.jdbc(url=url, table=table, properties=properties)
     return spark.read.jdbc(url=url, table=table, column=column, lowerBound=int(found["lo"]),
-                           upperBound=int(found["hi"]) + 1, numPartitions=split_count(int(found["n"])),
+                           upperBound=int(found["hi"]) + 1, numPartitions=split_count(int(found["n"]), max_splits=max_splits),
                            properties=properties)
 
 
 def split_ranges(rows: DataFrame, column: str, rows_per_split: int = ROWS_PER_SPLIT,
-                 max_splits: int = MAX_SPLITS) -> DataFrame:
+                 max_splits: int | None = None) -> DataFrame:
     """The plan of such a split read: number, lower and upper bound of every range, rows in it."""
     bounds = rows.agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
-    plan = bounds.where("n > 0").withColumn("splits", F.greatest(F.lit(1), F.least(
-        F.floor(F.col("n") / rows_per_split) + 1, F.lit(max_splits))).cast("long"))
+    wanted = F.floor(F.col("n") / rows_per_split) + 1
+    plan = bounds.where("n > 0").withColumn("splits", F.greatest(F.lit(1), wanted if max_splits is None else F.least(
+        wanted, F.lit(max_splits))).cast("long"))
     plan = plan.withColumn("width", F.ceil((F.col("hi") - F.col("lo") + 1) / F.col("splits")).cast("long"))
     ranges = plan.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("splits") - 1)).alias("split"),
                          "lo", "width").select(
         "split", (F.col("lo") + F.col("split") * F.col("width")).alias("lower"),
         (F.col("lo") + (F.col("split") + 1) * F.col("width")).alias("upper"))
-    # One plan row and at most max_splits ranges, so both sides are of proven size.
+    # the plan is one row
     placed = rows.select(F.col(column).alias("v"), F.lit(1).alias("k")).join(
         F.broadcast(plan.select("lo", "width", F.lit(1).alias("k"))), "k").groupBy(
         F.floor((F.col("v") - F.col("lo")) / F.col("width")).alias("split")).agg(F.count(F.lit(1)).alias("rows"))
-    return F.broadcast(ranges).join(placed, "split", "left").select(
+    return ranges.join(placed, "split", "left").select(
         "split", "lower", "upper", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
