@@ -12,7 +12,7 @@ from leadloom.functions.ids import hash_key
 from leadloom.functions.rank import best_row
 from leadloom.functions.skew import grid_join
 from leadloom.functions.values import norm
-from leadloom.operators.merge import audit_columns, gold_upsert, keyed_merge
+from leadloom.operators.merge import CREATED, KEPT_ON_UPDATE, audit_columns, gold_upsert, keyed_merge
 from leadloom.session import staged
 
 Fields = Mapping[str, tuple[str, str]]
@@ -181,7 +181,8 @@ def not_yet_enriched(contacts: DataFrame, enriched: DataFrame, min_score: float)
 
 @dataclass(frozen=True)
 class Feed:
-    """One feed: its silver key (hashed when ``hash_parts``), which duplicate wins, its gold key."""
+    """One feed: its silver key (hashed when ``hash_parts``), which duplicate wins, its gold key, and whether a row that comes
+    again keeps the time it was first ingested, in silver and in gold."""
 
     key: tuple[str, ...]
     best: str
@@ -189,19 +190,22 @@ class Feed:
     gold_order: tuple[str, ...]
     hash_parts: tuple[str, ...] = ()
     update_gold: bool = True
+    silver_keeps_time: bool = False
+    gold_keeps_time: bool = True
 
 
 # Keys and order of the 13 feeds.
 FEEDS = {
     "buyer_supplier_list": Feed(("hash_key",), "number_of_shipments", "bsl_key", ("hash_key",),
-                                ("company_id", "country", "zip_code", "matched_hs_codes", "company_role")),
-    "company_matcher": Feed(("company_id",), "name_match_percentage", "cm_key", ("company_id",)),
+                                ("company_id", "country", "zip_code", "matched_hs_codes", "company_role"), silver_keeps_time=True),
+    "company_matcher": Feed(("company_id",), "name_match_percentage", "cm_key", ("company_id",), silver_keeps_time=True),
     "company_profile": Feed(("company_id",), "ingested_at", "cp_key", ("company_id",)),
-    "hs_classifier": Feed(("hs_hash",), "ingested_at", "hs_key", ("hs_hash",), ("title", "country", "direction")),
+    "hs_classifier": Feed(("hs_hash",), "ingested_at", "hs_key", ("hs_hash",),
+                          ("product_title", "country_of_classification", "trade_direction")),
     "relationship_health": Feed(("supplier_id", "buyer_id"), "ingested_at", "rh_key", ("supplier_id", "buyer_id")),
     "shipment_search": Feed(("shipment_id",), "ingested_at", "shipment_key", ("shipment_id",)),
     "company_search": Feed(("company_id",), "ingested_at", "company_search_key", ("company_id",)),
-    "contact_enrich": Feed(("person_id",), "ingested_at", "contact_key", ("person_id",)),
+    "contact_enrich": Feed(("person_id",), "ingested_at", "contact_key", ("person_id",), gold_keeps_time=False),
     "contact_search": Feed(("contact_id",), "last_updated_date", "contact_search_key",
                            ("last_updated_date", "contact_id")),
     "corporate_hierarchy": Feed(("company_id",), "ingested_at", "ch_key", ("company_id",)),
@@ -223,10 +227,12 @@ def silver(bronze: DataFrame, old: DataFrame | None, feed: Feed, as_of, by: str)
     if feed.hash_parts:
         rows = rows.withColumn(feed.key[0], hash_key(*feed.hash_parts))
     rows = audit_columns(dedup_best(rows, feed.key, feed.best), as_of, by)
-    return rows if old is None else keyed_merge(old, rows, feed.key, as_of=as_of, by=by)
+    keep = KEPT_ON_UPDATE if feed.silver_keeps_time else CREATED
+    return rows if old is None else keyed_merge(old, rows, feed.key, as_of=as_of, by=by, keep=keep)
 
 
 def gold(silver_rows: DataFrame, old: DataFrame, feed: Feed) -> DataFrame:
     """The silver table with stable surrogate keys, on top of the old gold table (which may be empty)."""
     order = list(dict.fromkeys((*feed.gold_order, *feed.key)))
-    return gold_upsert(old, silver_rows, feed.gold_key, feed.key, order, update=feed.update_gold)
+    keep = KEPT_ON_UPDATE if feed.gold_keeps_time else CREATED
+    return gold_upsert(old, silver_rows, feed.gold_key, feed.key, order, update=feed.update_gold, keep=keep)

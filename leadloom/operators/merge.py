@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from leadloom.functions.values import as_ts
 from leadloom.session import staged
 
-KEPT_ON_UPDATE = ("created_on", "created_by", "ingested_at")
+CREATED = ("created_on", "created_by")
+KEPT_ON_UPDATE = (*CREATED, "ingested_at")
 AUDIT = ("created_on", "created_by", "modified_on", "modified_by")
 
 
@@ -95,7 +96,7 @@ def surrogate_key(rows: DataFrame, name: str, order: Sequence[str], existing: Da
 
 
 def gold_upsert(gold: DataFrame, silver: DataFrame, key_name: str, natural_key: Sequence[str],
-                order: Sequence[str], update: bool = True) -> DataFrame:
+                order: Sequence[str], update: bool = True, keep: Sequence[str] = KEPT_ON_UPDATE) -> DataFrame:
     """Silver into gold: new natural keys get the next surrogate keys, known ones keep theirs.
 
     ``update=False`` appends new rows only. A natural key with nulls is known again on the next run.
@@ -106,5 +107,5 @@ def gold_upsert(gold: DataFrame, silver: DataFrame, key_name: str, natural_key:
     kept = gold
     if update:
         known = silver.join(known_keys, _same_key(natural_key), "left_semi")
-        kept = keyed_merge(gold, known, natural_key)
+        kept = keyed_merge(gold, known, natural_key, keep=keep)
     return kept.unionByName(numbered.select(*gold.columns), allowMissingColumns=True)
