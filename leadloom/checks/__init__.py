@@ -15,7 +15,7 @@ SQL_PARTS = (
     ("oracle_trade", "TRADE"), ("oracle_factory", "FACTORY"), ("oracle_layers", "LAYERS"),
     ("oracle_platform", "PLATFORM"), ("oracle_sellers", "SELLERS"), ("oracle_views", "VIEWS"), ("oracle_graph", "GRAPH"), ("oracle_models", "MODELS"), ("oracle_learned", "LEARNED"),
     ("oracle_state", "STATE_FIXTURES"), ("oracle_state", "STATE"),
-    ("oracle_feeds", "FEED_FIXTURES"), ("oracle_feeds", "FEED_SQL"),
+    ("oracle_entities", "ENTITY_FIXTURES"), ("oracle_entities", "ENTITY_SQL"), ("oracle_feeds", "FEED_FIXTURES"), ("oracle_feeds", "FEED_SQL"),
 )
 QUERY_PARTS = ("queries_trade", "queries_factory", "queries_layers", "queries_platform", "queries_sellers", "queries_views", "queries_graph", "queries_models", "queries_learned", "queries_state", "queries_feeds")
 

@@ -137,6 +137,11 @@ FIXTURES: dict[str, str] = {
         FROM {orders}""",
     "platform_pageviews": "SELECT event_id AS pageViewId, user_id AS userId, CAST(ts AS STRING) AS createdAt FROM {events} WHERE event_type = 'view'",
     "platform_rfqs": "SELECT o_orderkey AS rfqId, o_custkey AS user_id, 'P' || o_orderpriority AS productId FROM {orders} WHERE o_orderstatus = 'O'",
+    "platform_leads": "SELECT event_id AS leadId, user_id AS accountId, 'P' || CAST(event_id % 9 AS STRING) AS contact_id, CASE WHEN event_id % 2 = 0 THEN event_id % 12 ELSE NULL END AS category_id, CAST(ts AS STRING) AS created_at FROM {events} WHERE event_type = 'signup'",
+    "platform_meetings": "SELECT CASE WHEN event_id % 10 = 0 THEN NULL ELSE event_id END AS meetingId, user_id, CAST(event_id % 50 AS STRING) AS personId FROM {events} WHERE event_type = 'purchase'",
+    "platform_deals": "SELECT o_orderkey AS dealId, o_custkey AS userId, o_orderpriority AS product_id FROM {orders} WHERE o_orderstatus = 'P'",
+    "vendor_keys": """
+        SELECT CASE event_id % 6 WHEN 0 THEN 'RAW.vendora_shipment_bl' WHEN 1 THEN 'vendorb.contact_enrich' WHEN 2 THEN 'x.vendora_feed' WHEN 3 THEN 'y.vendorb_list' WHEN 4 THEN 'z.trade_feed' ELSE 'shop_staging.tracking_page_views' END AS source_key, event_id FROM {events}""",
     "signals_known": "SELECT 'signal:derived:PageView:' || CAST(event_id AS STRING) AS signal_uid FROM {events} WHERE user_id < 40",
     # --- organisations and outside reports ----------------------------------------------------
     "orgs": """

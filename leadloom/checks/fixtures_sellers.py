@@ -14,6 +14,9 @@ SELLER_FIXTURES: dict[str, str] = {
                CASE o_orderpriority WHEN '1-URGENT' THEN 'critical' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN 'medium' WHEN '4-NOT SPECIFIED' THEN 'none' ELSE 'low' END AS priority,
                o_orderkey % 97 AS score, '[' || CAST(60 + o_custkey % 9 AS STRING) || '0299]' AS hs_code, 'nation_' || CAST(o_custkey % 25 AS STRING) AS buyer_country,
                CASE o_orderkey % 5 WHEN 0 THEN 'instant_alert' WHEN 1 THEN 'push_notify' WHEN 2 THEN 'feed' WHEN 3 THEN 'priority' ELSE NULL END AS visibility FROM {orders}""",
+    "distribution_leads": """
+        SELECT lead_uid AS lead_id, CASE WHEN score_final % 13 = 0 THEN 'blocked' ELSE lead_type END AS lead_type, CASE score_final % 4 WHEN 0 THEN FALSE WHEN 1 THEN NULL ELSE TRUE END AS seller_visible,
+               CASE score_final % 6 WHEN 0 THEN 'distributed' WHEN 1 THEN 'pending' ELSE distribution_status END AS distribution_status FROM {leads}""",
     "assignments": """
         SELECT 'a' || CAST(o_orderkey AS STRING) AS assignment_id, 'SL' || CAST(o_custkey % 10 AS STRING) AS seller_id, 'lead:' || CAST(o_orderkey AS STRING) AS lead_id,
                CASE o_orderstatus WHEN 'F' THEN 'converted' WHEN 'O' THEN 'assigned' ELSE 'rejected' END AS status, o_orderdate AS assigned_at,
@@ -43,4 +46,11 @@ SELLER_FIXTURES: dict[str, str] = {
                'U' || CAST(user_id AS STRING) AS changed_by, ts AS changed_at FROM {events} WHERE user_id < 50""",
     "overridable": """
         SELECT lead_uid, lead_type, score_final, CASE WHEN score_override THEN score_final - 7 ELSE NULL END AS score_final_original, score_override FROM {leads}""",
+    "overridden_nodes": """
+        SELECT 'BuyerProfile' AS kind, 'buyer_profile:' || CAST(event_id AS STRING) AS key, event_type AS sub, CAST(event_id % 60 AS DOUBLE) AS original, CAST(event_id % 100 AS DOUBLE) AS score, event_id % 7 = 0 AS hand,
+               'r' || CAST(event_id % 5 AS STRING) AS reason, 'U' || CAST(user_id AS STRING) AS changed_by, ts AS changed_at FROM {events} WHERE event_id < 3000
+        UNION ALL SELECT 'TradeRelationship' AS kind, 'rel' || CAST(o_orderkey AS STRING) AS key, o_orderstatus AS sub, CAST(o_orderkey % 90 AS DOUBLE) AS original, CAST(o_orderkey % 80 AS DOUBLE) AS score, o_orderkey % 9 = 1 AS hand,
+               o_orderpriority AS reason, 'C' || CAST(o_custkey AS STRING) AS changed_by, o_orderdate AS changed_at FROM {orders}
+        UNION ALL SELECT 'SwitchLead' AS kind, 'sl' || CAST(c_custkey AS STRING) AS key, c_mktsegment AS sub, CAST(NULL AS DOUBLE) AS original, c_acctbal AS score, c_custkey % 3 = 0 AS hand,
+               CAST(NULL AS STRING) AS reason, c_name AS changed_by, TIMESTAMP '2024-01-01 00:00:00' AS changed_at FROM {customer}""",
 }

@@ -143,14 +143,22 @@ FACTORY: dict[str, str] = {
         FROM {{shipment_rows}}""",
     "derive_platform_signals": """
         SELECT * FROM (
-          SELECT 'signal:derived:PageView:' || CAST(pageViewId AS VARCHAR) AS signal_uid, 'derived.PageView' AS source_key, 'page_view' AS signal_type,
-                 'WebsiteBehaviorSource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
-                 CAST(userId AS VARCHAR) AS account_hint, CAST(NULL AS VARCHAR) AS product_hint FROM {platform_pageviews}
-          UNION ALL
-          SELECT 'signal:derived:RFQ:' || CAST(rfqId AS VARCHAR) AS signal_uid, 'derived.RFQ' AS source_key, 'rfq_created' AS signal_type,
-                 'RFQInquirySource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
-                 CAST(user_id AS VARCHAR) AS account_hint, productId AS product_hint FROM {platform_rfqs}) AS u
+          SELECT 'signal:derived:PageView:' || CAST(pageViewId AS VARCHAR) AS signal_uid, 'derived.PageView' AS source_key, 'page_view' AS signal_type, 'WebsiteBehaviorSource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
+                 CAST(userId AS VARCHAR) AS account_hint, CAST(NULL AS VARCHAR) AS person_hint, CAST(NULL AS VARCHAR) AS product_hint, CAST(NULL AS VARCHAR) AS category_hint FROM {platform_pageviews} WHERE pageViewId IS NOT NULL
+          UNION ALL SELECT 'signal:derived:RFQ:' || CAST(rfqId AS VARCHAR) AS signal_uid, 'derived.RFQ' AS source_key, 'rfq_created' AS signal_type, 'RFQInquirySource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
+                 CAST(user_id AS VARCHAR) AS account_hint, CAST(NULL AS VARCHAR) AS person_hint, CAST(productId AS VARCHAR) AS product_hint, CAST(NULL AS VARCHAR) AS category_hint FROM {platform_rfqs} WHERE rfqId IS NOT NULL
+          UNION ALL SELECT 'signal:derived:Lead:' || CAST(leadId AS VARCHAR) AS signal_uid, 'derived.Lead' AS source_key, 'lead_created' AS signal_type, 'CRMSource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
+                 CAST(accountId AS VARCHAR) AS account_hint, CAST(contact_id AS VARCHAR) AS person_hint, CAST(NULL AS VARCHAR) AS product_hint, CAST(category_id AS VARCHAR) AS category_hint FROM {platform_leads} WHERE leadId IS NOT NULL
+          UNION ALL SELECT 'signal:derived:Meeting:' || CAST(meetingId AS VARCHAR) AS signal_uid, 'derived.Meeting' AS source_key, 'meeting_scheduled' AS signal_type, 'CRMSource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
+                 CAST(user_id AS VARCHAR) AS account_hint, CAST(personId AS VARCHAR) AS person_hint, CAST(NULL AS VARCHAR) AS product_hint, CAST(NULL AS VARCHAR) AS category_hint FROM {platform_meetings} WHERE meetingId IS NOT NULL
+          UNION ALL SELECT 'signal:derived:Deal:' || CAST(dealId AS VARCHAR) AS signal_uid, 'derived.Deal' AS source_key, 'deal_created' AS signal_type, 'CommercialProgressionSource' AS source_family, 0.75 AS confidence_score, 0.7 AS intensity_score,
+                 CAST(userId AS VARCHAR) AS account_hint, CAST(NULL AS VARCHAR) AS person_hint, CAST(product_id AS VARCHAR) AS product_hint, CAST(NULL AS VARCHAR) AS category_hint FROM {platform_deals} WHERE dealId IS NOT NULL) AS u
         WHERE signal_uid NOT IN (SELECT signal_uid FROM {signals_known})""",
+    "signal_type_of_vendor": """
+        SELECT * FROM (SELECT source_key, event_id,
+            CASE event_id % 6 WHEN 0 THEN 'shipment_detected' WHEN 1 THEN 'contact_enriched' WHEN 2 THEN 'trade_intelligence_detected' WHEN 3 THEN 'third_party_company_intelligence_detected' WHEN 5 THEN 'page_view_detected' END AS signal_type,
+            CASE event_id % 6 WHEN 0 THEN 'TradeShipmentSource' WHEN 1 THEN 'EnrichmentSource' WHEN 2 THEN 'TradeShipmentSource' WHEN 3 THEN 'ThirdPartyIntelligenceSource' WHEN 5 THEN 'WebsiteBehaviorSource' END AS source_family
+          FROM {vendor_keys}) AS x WHERE signal_type IS NOT NULL""",
     "source_registry": """
         SELECT DISTINCT * FROM (
           SELECT 'RECORDED_IN_SOURCE' AS kind, raw_uid AS src, source_key AS dst FROM {signals} UNION ALL

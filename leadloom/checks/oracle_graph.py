@@ -13,7 +13,7 @@ GRAPH_FIXTURES: dict[str, str] = {
     "g_stores": "SELECT CAST(s_suppkey AS STRING) AS org_id, 'store:' || CAST(s_suppkey AS STRING) AS store_id, CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'shop' || CAST(s_suppkey AS STRING) END AS slug FROM {supplier} WHERE s_suppkey % 2 = 0",
     "account_orgs": "SELECT CAST(s_suppkey * 2 AS STRING) AS account_id, CAST(s_suppkey AS STRING) AS org_id FROM {supplier} WHERE s_suppkey % 5 <> 1",
     "g_products": """
-        SELECT p_partkey AS id, p_partkey AS product_id, p_name AS title, p_brand AS brand, p_retailprice AS price, p_size % 30 AS category_id, p_partkey % 120 AS supplier_id, CASE p_size % 3 WHEN 0 THEN ' kg ' WHEN 1 THEN 'm' ELSE '' END AS unit,
+        SELECT p_partkey AS id, p_partkey AS product_id, p_name AS title, p_brand AS brand, CASE WHEN p_size % 4 = 1 THEN NULL ELSE p_retailprice END AS price, CASE p_size % 5 WHEN 0 THEN NULL ELSE p_size % 5 END AS currency_id, p_size % 30 AS category_id, p_partkey % 120 AS supplier_id, CASE p_size % 3 WHEN 0 THEN ' kg ' WHEN 1 THEN 'm' ELSE '' END AS unit,
                p_type || '|' || p_name || ', ' || lower(p_type) || ';' || p_brand AS words, p_partkey % 900 AS user_id FROM {part}""",
     "g_categories": "SELECT n_nationkey + 1 AS id, n_regionkey AS parent_id, n_name AS name FROM {nation}",
     "g_use_cases": "SELECT n_nationkey AS use_case_id, CASE n_nationkey % 3 WHEN 0 THEN 'red' WHEN 1 THEN 'Economy, small' ELSE 'Brand#3;promo' END AS words FROM {nation}",
@@ -80,7 +80,9 @@ GRAPH: dict[str, str] = {
     "classify_accounts": """
         WITH l AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS a, 'Seller' AS label FROM {g_orgs} UNION SELECT DISTINCT account_id AS a, 'Buyer' AS label FROM {l_rfqs}), k AS (SELECT l.* FROM l JOIN {g_accounts} AS g ON g.account_id = l.a)
         SELECT 'Account' AS entity, a AS id, label FROM k UNION ALL SELECT DISTINCT 'Person' AS entity, 'p' || CAST(CAST(a AS BIGINT) // 2 AS VARCHAR) AS id, label FROM k""",
-    "derived_units": f"SELECT DISTINCT product_id, {sid(chr(39) + 'unit' + chr(39), 'trim(unit)', 'CAST(price AS VARCHAR)')} AS unit_id, trim(unit) AS unit, CAST(price AS VARCHAR) AS price FROM {{g_products}} WHERE trim(unit) <> ''",
+    "derived_units": f"""
+        WITH u AS (SELECT product_id, nullif(trim(coalesce(unit, '')), '') AS unit, CAST(price AS VARCHAR) AS price, CAST(currency_id AS VARCHAR) AS currency, {sid("'unit'", "trim(coalesce(unit, ''))", "coalesce(CAST(price AS VARCHAR), '')")} AS unit_id FROM {{g_products}} WHERE trim(coalesce(unit, '')) <> '' OR price IS NOT NULL)
+        SELECT DISTINCT product_id, unit_id, unit, price, max(currency) OVER (PARTITION BY unit_id) AS currency FROM u""",
     "derived_pipelines": """
         SELECT CAST(deal_id AS VARCHAR) AS src, 'IN_PIPELINE' AS kind, CAST(pipeline_id AS VARCHAR) AS dst FROM {deal_rows} WHERE pipeline_id IS NOT NULL
         UNION SELECT CAST(pipeline_id AS VARCHAR) AS src, 'HAS_STAGE' AS kind, CAST(stage_id AS VARCHAR) AS dst FROM {deal_rows} WHERE pipeline_id IS NOT NULL AND stage_id IS NOT NULL
@@ -132,7 +134,13 @@ GRAPH: dict[str, str] = {
             SELECT s.scope_id, q.parent_id AS anc FROM {scopes} AS s JOIN {scopes} AS p ON p.scope_id = s.parent_id JOIN {scopes} AS q ON q.scope_id = p.parent_id)
         SELECT c.scope_id, r.permission, CASE WHEN bool_or(r.effect = 'deny') THEN 'deny' ELSE 'allow' END AS effect FROM c JOIN {own_rules} AS r ON r.scope_id = c.anc GROUP BY c.scope_id, r.permission""",
     "provenance_touches": _touch("page_visit", "page_view", "'web'", 1.0, 1.0, "{events} WHERE event_type = 'view'", "event_id", "ts") + " UNION ALL "
-        + _touch("rfq", "rfq_created", "lower(o_orderpriority)", 3.0, 4.0, "{orders}", "o_orderkey", "o_orderdate"),
+        + _touch("rfq", "rfq_created", "lower(o_orderpriority)", 3.0, 4.0, "{orders}", "o_orderkey", "o_orderdate") + " UNION ALL "
+        + _touch("lead", "lead_created", "lower(c_mktsegment)", 4.0, 4.0, "{customer}", "c_custkey", "TIMESTAMP '2024-01-02 00:00:00'") + " UNION ALL "
+        + _touch("thread", "thread_created", "''", 3.0, 2.0, "{part}", "p_partkey", "TIMESTAMP '2024-01-03 00:00:00'"),
+    "ip_identities": f"""
+        WITH s AS (SELECT ip_address AS ip, 'ui' AS source, max(created_at) AS seen, 0 AS place FROM {{sessions}} GROUP BY ip_address UNION ALL SELECT trim(ip) AS ip, 'crm' AS source, CAST(NULL AS TIMESTAMP) AS seen, 1 AS place FROM {{ip_visits}} GROUP BY trim(ip))
+        SELECT {sid("'ip'", "ip")} AS ip_id, ip, source, seen AS last_seen FROM s QUALIFY row_number() OVER (PARTITION BY ip ORDER BY place DESC) = 1""",
+    "session_addresses": f"SELECT DISTINCT session_id, {sid("'ip'", "ip_address")} AS ip_id FROM {{{{sessions}}}}".replace("{{", "{").replace("}}", "}"),
     "device_identity": f"""
         WITH v AS (SELECT DISTINCT session_id, trim(ip) AS ip FROM {{ip_visits}}), x AS (SELECT v.*, s.user_agent AS ua FROM v LEFT JOIN {{sessions}} AS s ON s.session_id = v.session_id WHERE v.session_id NOT IN (SELECT session_id FROM {{sessions}} WHERE user_id > 0))
         SELECT session_id, {sid("'anon_visitor'", "session_id")} AS visitor_id, {sid("'ip'", "ip")} AS ip_id, {sid("'fingerprint'", "ip", "ua")} AS fingerprint_id, {sid("'ghost_profile'", sid("'anon_visitor'", "session_id"))} AS profile_id, 0.55 AS confidence FROM x""",

@@ -27,6 +27,12 @@ SELLERS: dict[str, str] = {
               FROM k JOIN {{sellers}} AS s ON {_match} JOIN {{seller_stats}} AS st ON st.seller_id = s.seller_id),
         y AS (SELECT *, {rnd("0.30 * CASE WHEN hs_chapters IS NULL THEN 0.5 ELSE 1.0 END + 0.15 * CASE WHEN target_countries IS NULL OR list_contains(target_countries, '*') THEN 0.5 ELSE 1.0 END + 0.20 * least(win_rate * 2.5, 1.0) + 0.15 * CASE WHEN h <= sla * 0.25 THEN 1.0 WHEN h <= sla * 0.5 THEN 0.75 WHEN h <= sla THEN 0.5 ELSE 0.1 END + 0.10 * least(greatest(0, m - t) / CAST(m AS DOUBLE), 1.0) + 0.10 * least(ta / 100.0, 1.0)", 4)} AS rank_score FROM x)
         SELECT hs_chapter, country, visibility, seller_id, rank_score, row_number() OVER (PARTITION BY hs_chapter, country, visibility ORDER BY rank_score DESC, seller_id) AS rank FROM y""",
+    "pending_leads": """
+        SELECT lead_id, lead_type, distribution_status FROM {distribution_leads} WHERE seller_visible AND coalesce(distribution_status, 'pending') = 'pending' AND coalesce(lead_type, '') <> 'blocked'
+           AND lead_id NOT IN (SELECT lead_id FROM {assignments} WHERE status = 'converted')""",
+    "mark_distributed": """
+        SELECT lead_id, CASE WHEN h THEN 'distributed' ELSE distribution_status END AS distribution_status, CASE WHEN h THEN TIMESTAMP '2024-01-31 00:00:00' END AS distributed_at
+        FROM (SELECT *, lead_id IN (SELECT lead_id FROM {assignments} WHERE status = 'assigned') AS h FROM {distribution_leads}) AS x""",
     "assign_leads": f"""
         WITH p AS (SELECT s.seller_id, k.lead_id, k.priority, k.ch, k.co, s.hs_chapters, s.target_countries, s.credits_available AS cr, greatest(0, s.max_leads_per_day - s.leads_today) AS cap,
                 CASE k.priority WHEN 'critical' THEN 1 WHEN 'high' THEN 2 WHEN 'medium' THEN 3 ELSE 4 END AS c, k.score FROM {_lead} AS k JOIN {{sellers}} AS s ON s.active AND {_match}),
@@ -97,6 +103,7 @@ SELLERS: dict[str, str] = {
                CASE WHEN x.new_score IS NOT NULL THEN x.changed_by END AS score_changed_by, CASE WHEN x.new_score IS NOT NULL THEN x.changed_at END AS score_changed_at
         FROM {overridable} AS l LEFT JOIN (SELECT * FROM {overrides} QUALIFY row_number() OVER (PARTITION BY lead_uid ORDER BY changed_at DESC) = 1) AS x ON x.lead_uid = l.lead_uid""",
     "override_audit": """
-        SELECT 'Lead' AS node_type, lead_uid AS node_id, lead_type AS sub_type, score_final_original AS original_score, score_final AS current_score, score_reason AS reason, score_changed_by AS changed_by, score_changed_at AS changed_at
-        FROM {apply_overrides} WHERE score_override""",
+        SELECT 'Lead' AS node_type, lead_uid AS node_id, lead_type AS sub_type, CAST(score_final_original AS DOUBLE) AS original_score, CAST(score_final AS DOUBLE) AS current_score, score_reason AS reason,
+               score_changed_by AS changed_by, score_changed_at AS changed_at FROM {apply_overrides} WHERE score_override
+        UNION ALL SELECT kind, key, sub, original, score, reason, changed_by, changed_at FROM {overridden_nodes} WHERE kind <> 'Lead' AND hand""",
 }

@@ -2,7 +2,7 @@
 
 from leadloom.checks.fixtures import AS_OF_EVENTS
 from leadloom.checks.registry import Registry
-from leadloom.config import Scoring
+from leadloom.config import Scoring, SourcePrefixes
 from leadloom.operators import factory as f
 from leadloom.operators import signals as s
 from leadloom.plans.factory import FactoryPlan
@@ -25,8 +25,11 @@ def register(r: Registry) -> None:
         i.shipment_rows, "raw.trade_shipment_bl", "shipment_detected", s.TRADE, AS_OF_EVENTS),
         "signal_uid,raw_uid,signal_type,source_family,confidence_score:d,intensity_score:d,source_key,source_record_id,occurred_at,account_hint,product_hint,category_hint,hs_code,shipment_value:d")
     r.add("derive_platform_signals", lambda i: s.derive_platform_signals(
-        {"PageView": i.platform_pageviews, "RFQ": i.platform_rfqs}, i.signals_known, AS_OF_EVENTS),
-        "signal_uid,source_key,signal_type,source_family,confidence_score:d,intensity_score:d,account_hint,product_hint")
+        {"PageView": i.platform_pageviews, "RFQ": i.platform_rfqs, "Lead": i.platform_leads, "Meeting": i.platform_meetings, "Deal": i.platform_deals},
+        i.signals_known, AS_OF_EVENTS),
+        "signal_uid,source_key,signal_type,source_family,confidence_score:d,intensity_score:d,account_hint,person_hint,product_hint,category_hint")
+    r.add("signal_type_of_vendor", lambda i: s.signal_type_of(i.vendor_keys, SourcePrefixes("vendora", "vendorb", "shop")),
+          "source_key,event_id,signal_type,source_family")
     r.add("source_registry", lambda i: s.source_registry(i.signals), "kind,src,dst")
     r.add("identity_hypotheses", lambda i: plan(i).hypotheses,
           "hypothesis_id,signal_uid,signal_type,candidate_entity_type,candidate_entity_id,resolution_method,confidence_score:d,status,processing_priority:i")

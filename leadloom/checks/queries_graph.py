@@ -1,5 +1,9 @@
 """Registered queries: entities, governance, provenance, intelligence."""
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.checks.registry import Registry
@@ -35,6 +39,30 @@ def all_edges(i):
     return out.unionByName(e.entity_edges(i.g_products, edge("SUPPLIED_BY", "Product", "Organization"), made["Product"], made["Organization"]))
 
 
+def every_node(i):
+    """All entities, one row per node and column."""
+    parts = []
+    for label, spec in e.ENTITIES.items():
+        made, fields = nodes(i, label, i[f"ent_{label}"]), [*spec.columns, *spec.dates]
+        parts.append(made.select(F.lit(label).alias("label"), F.col(spec.key).alias("key"), F.explode(F.array(*[
+            F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("f")).select("label", "key", "f.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def every_edge(i):
+    """All kinds of edges between nodes that exist; rows that hold one column for both ends name the second apart."""
+    parts = []
+    for n, kind in enumerate(e.EDGES):
+        rows = i[f"edge_{n}"]
+        twin = next((c for c in rows.columns if c.endswith("_2")), None)
+        if twin:
+            kind = replace(kind, dst_columns=(twin,))
+        ends = (nodes(i, label, i[f"ent_{label}"]) for label in (kind.src, kind.dst))
+        made = e.entity_edges(rows, kind, *ends)
+        parts.append(made.withColumn("kind", F.lit(f"{kind.src} {kind.kind} {kind.dst}")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def link(i, col: str):
     return i.ll.select("lead_id", F.col(col).alias("id"))
 
@@ -57,6 +85,8 @@ def as_org(rows):
 
 def register(r: Registry) -> None:
     add = r.add
+    add("all_entity_nodes", every_node, "label,key,field,value")
+    add("all_entity_edges", every_edge, "src,kind,dst")
     add("entity_nodes", all_nodes, "label,key,name")
     add("account_emails", lambda i: e.account_emails(nodes(i, "Account", i.g_accounts)), "accountId,emailId,email")
     add("entity_edges", all_edges, "src,kind,dst")
@@ -70,7 +100,7 @@ def register(r: Registry) -> None:
     add("classify_accounts", lambda i: e.classify_accounts(
         i.g_accounts, i.g_orgs, i.l_rfqs.select(F.col("account_id").alias("user_id")), i.g_accounts.select("account_id", F.concat(
             F.lit("p"), F.floor(F.col("id") / 2).cast("string")).alias("person_id"))), "entity,id,label")
-    add("derived_units", lambda i: e.derived_units(i.g_products), "product_id,unit_id,unit,price")
+    add("derived_units", lambda i: e.derived_units(i.g_products), "product_id,unit_id,unit,price,currency")
     add("derived_pipelines", lambda i: e.derived_pipelines(i.deal_rows, i.account_orgs), "src,kind,dst")
     add("confidence_gate", lambda i: g.confidence_gate(i.instances, i.taxonomy), "entity,id,confidence:d,required:d,passed")
     add("validate_entities", lambda i: g.validate_entities(i.g_accounts, "Account", "id", [
@@ -93,8 +123,13 @@ def register(r: Registry) -> None:
         "scope_id,permission,effect")
     add("provenance_touches", lambda i: p.provenance_touches({
         "page_visit": i.events.where("event_type = 'view'").select(F.col("event_id").alias("id"), F.lit("web").alias("channel"), F.col("ts").alias("at")),
-        "rfq": i.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("channel"), F.col("o_orderdate").alias("at"))}),
+        "rfq": i.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("channel"), F.col("o_orderdate").alias("at")),
+        "lead": i.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("channel"), F.lit("2024-01-02").cast("timestamp").alias("at")),
+        "thread": i.part.select(F.col("p_partkey").alias("id"), F.lit(None).cast("string").alias("channel"), F.lit("2024-01-03").cast("timestamp").alias("at"))}),
         "kind,source_ref,source_id,event_id,touch_id,signal_id,event_type,channel,touch_score:d,signal_weight:d,event_at")
+    add("ip_identities", lambda i: p.ip_identities(i.sessions.withColumnRenamed("created_at", "last_activity"),
+        i.ip_visits.withColumn("seen_at", F.lit(None).cast("timestamp"))), "ip_id,ip,source,last_seen")
+    add("session_addresses", lambda i: p.session_addresses(i.sessions), "session_id,ip_id")
     add("device_identity", ghosts, "session_id,visitor_id,ip_id,fingerprint_id,profile_id,confidence:d")
     add("ghost_to_lead", lambda i: p.ghost_to_lead(ghosts(i), i.ip_visits.select("session_id", "page_view_id"), i.view_sources, i.lead_sources),
         "profile_id,lead_id")

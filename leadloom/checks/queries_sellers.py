@@ -22,11 +22,23 @@ def overridden(i):
     return f.apply_overrides(i.overridable, i.overrides, "lead_uid", "score_final")
 
 
+def audited(i):
+    """Four kinds of nodes with scores set by hand."""
+    def kind(name: str):
+        return i.overridden_nodes.where(F.col("kind") == name).selectExpr(
+            "key", "sub", "original AS score_original", "score", "hand AS score_override", "reason AS score_reason", "changed_by AS score_changed_by", "changed_at AS score_changed_at")
+    others = {n: (kind(n), "key", "sub", "score") for n in ("BuyerProfile", "TradeRelationship", "SwitchLead")}
+    return f.override_audit(Lead=(overridden(i), "lead_uid", "lead_type", "score_final"), **others)
+
+
 def register(r: Registry) -> None:
     add = r.add
     add("seller_stats", stats, "seller_id,total_assigned:i,total_converted:i,win_rate:d,avg_response_h:d")
     add("rank_sellers", lambda i: s.rank_sellers(i.market_leads, i.sellers, stats(i)),
         "hs_chapter,country,visibility,seller_id,rank_score:d,rank:i")
+    add("pending_leads", lambda i: s.pending_leads(i.distribution_leads, i.assignments.where("status = 'converted'")), "lead_id,lead_type,distribution_status")
+    add("mark_distributed", lambda i: s.mark_distributed(i.distribution_leads, i.assignments.where("status = 'assigned'"), AS_OF_EVENTS),
+        "lead_id,distribution_status,distributed_at")
     add("assign_leads", lambda i: s.assign_leads(i.market_leads, i.sellers), ASSIGN)
     add("assign_exclusive", lambda i: s.assign_exclusive(i.market_leads, i.sellers, stats(i)), ASSIGN, None)
     add("assign_switch_leads", lambda i: s.assign_switch_leads(i.market_leads, i.sellers), ASSIGN, None)
@@ -59,5 +71,4 @@ def register(r: Registry) -> None:
         "history_uid,lead_uid,state_from,state_to,reason,triggered_by,score_at_transition:i,transitioned_at")
     add("apply_overrides", overridden,
         "lead_uid,lead_type,score_final:i,score_final_original:s,score_override,score_reason,score_changed_by,score_changed_at")
-    add("override_audit", lambda i: f.override_audit(Lead=(overridden(i), "lead_uid", "lead_type", "score_final")),
-        "node_type,node_id,sub_type,original_score:d,current_score:d,reason,changed_by,changed_at")
+    add("override_audit", audited, "node_type,node_id,sub_type,original_score:d,current_score:d,reason,changed_by,changed_at")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
 from leadloom.functions.skew import grid_join
-from leadloom.functions.values import first_present, text
+from leadloom.functions.values import first_present, non_empty, text
 from leadloom.operators.layers import family_tree_edges
 from leadloom.session import staged
 
@@ -192,10 +192,16 @@ def classify_accounts(accounts: DataFrame, sellers: DataFrame, rfqs: DataFrame,
 
 
 def derived_units(products: DataFrame) -> DataFrame:
-    """Distinct (unit, price) pairs of products with the product edge: (product_id, unit_id, unit, price)."""
-    rows = products.where(F.trim(text("unit")) != "").select(
-        "product_id", F.trim("unit").alias("unit"), F.col("price").cast("string").alias("price"))
-    return rows.select("product_id", stable_id(F.lit("unit"), F.col("unit"), F.col("price")).alias("unit_id"), "unit", "price").distinct()
+    """(product_id, unit_id, unit, price, currency): the unit and price of every product that has either; the id is of both.
+
+    Products of one unit and price share the node; its currency is the largest of theirs.
+    """
+    currency = F.col("currency_id").cast("string") if "currency_id" in products.columns else F.lit(None).cast("string")
+    unit, price = non_empty(F.trim(text("unit"))), F.col("price").cast("string")
+    rows = products.select("product_id", unit.alias("unit"), non_empty(price).alias("price"), currency.alias("currency")).where(
+        "unit IS NOT NULL OR price IS NOT NULL").withColumn("unit_id", stable_id(F.lit("unit"), text("unit"), text("price")))
+    nodes = rows.groupBy("unit_id").agg(F.max("currency").alias("currency"))
+    return rows.select("product_id", "unit_id", "unit", "price").distinct().join(nodes, "unit_id")
 
 
 def derived_pipelines(deals: DataFrame, owners: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def provenance_touches(kinds: dict[str, DataFrame]) -> DataFrame:
 
 
 def device_identity(visits: DataFrame, sessions: DataFrame, owned: DataFrame) -> DataFrame:
-    """Anonymous visitors: one per session no account owns, with ip, fingerprint and ghost profile ids."""
+    """Anonymous visitors: one per visited session no account owns and address, with ip, fingerprint and ghost profile ids."""
     seen = visits.where(F.trim(text("ip")) != "").select("session_id", F.trim("ip").alias("ip")).distinct()
     agents = sessions.select("session_id", F.col("user_agent").alias("ua"))
     rows = seen.join(agents, "session_id", "left").join(owned.select("session_id").distinct(), "session_id", "left_anti")
@@ -51,6 +51,23 @@ def device_identity(visits: DataFrame, sessions: DataFrame, owned: DataFrame) ->
         stable_id(F.lit("ghost_profile"), visitor).alias("profile_id"), F.lit(GHOST_CONFIDENCE).alias("confidence"))
 
 
+def ip_identities(sessions: DataFrame, visits: DataFrame) -> DataFrame:
+    """(ip_id, ip, source, last_seen): addresses of sessions and visits; where both know one, the visits say the rest."""
+    def seen(rows: DataFrame, column: str, at: str, source: str, place: int) -> DataFrame:
+        ip = F.trim(text(column))
+        return rows.where(ip != "").groupBy(ip.alias("ip")).agg(F.max(at).alias("at")).select(
+            "ip", F.struct(F.lit(place).alias("place"), F.lit(source).alias("source"), "at").alias("s"))
+    both = seen(sessions, "ip_address", "last_activity", "ui", 0).unionByName(seen(visits, "ip", "seen_at", "crm", 1))
+    return both.groupBy("ip").agg(F.max("s").alias("s")).select(
+        stable_id(F.lit("ip"), F.col("ip")).alias("ip_id"), "ip", F.col("s.source").alias("source"), F.col("s.at").alias("last_seen"))
+
+
+def session_addresses(sessions: DataFrame) -> DataFrame:
+    """(session_id, ip_id): OBSERVED_AT_IP of sessions by their own address."""
+    ip = F.trim(text("ip_address"))
+    return sessions.where((ip != "") & F.col("session_id").isNotNull()).select("session_id", stable_id(F.lit("ip"), ip).alias("ip_id")).distinct()
+
+
 def ghost_to_lead(ghosts: DataFrame, page_views: DataFrame, view_sources: DataFrame, lead_sources: DataFrame) -> DataFrame:
     """(profile_id, lead_id): a ghost's session has a page view whose source a lead shares.
 

@@ -20,7 +20,6 @@ SLA_HOURS = {"instant_alert": 4, "push_notify": 24, "priority": 48, "feed": 168,
 CREDIT_COST = {"critical": 5, "high": 3, "medium": 1, "low": 0}
 TIER_ACCESS = {"basic": ["low", "medium"], "professional": ["low", "medium", "high"],
                "enterprise": ["low", "medium", "high", "critical"]}
-TIER_CREDITS = {"basic": 100, "professional": 500, "enterprise": -1}
 DEFAULT_SLA, DEFAULT_RESPONSE, ANY = 168, 48.0, "*"
 PRIORITY_ORDER = ("critical", "high", "medium", "low")
 
@@ -108,6 +107,23 @@ def _class_of(priority: Column) -> Column:
     return choose([(priority == p, n) for n, p in enumerate(PRIORITY_ORDER[:3], start=1)], 4)
 
 
+def pending_leads(leads: DataFrame, assignments: DataFrame | None = None) -> DataFrame:
+    """Leads to hand out: visible to sellers, not blocked, not distributed before (by their own mark or by an assignment)."""
+    rows = leads.where(F.coalesce("seller_visible", F.lit(False)) & (F.coalesce("distribution_status", F.lit("pending")) == "pending")
+                       & (F.coalesce("lead_type", F.lit("")) != "blocked"))
+    return rows if assignments is None else rows.join(assignments.select("lead_id").distinct(), "lead_id", "left_anti")
+
+
+def mark_distributed(leads: DataFrame, assignments: DataFrame, as_of) -> DataFrame:
+    """The leads after an assignment: those that went to a seller are distributed since ``as_of``."""
+    went = assignments.select("lead_id").distinct().withColumn("_went", F.lit(True))
+    now = F.coalesce("_went", F.lit(False))
+    before = F.col("distributed_at") if "distributed_at" in leads.columns else F.lit(None).cast("timestamp")
+    return leads.join(went, "lead_id", "left").withColumns({
+        "distribution_status": F.when(now, "distributed").otherwise(F.col("distribution_status")),
+        "distributed_at": F.when(now, as_ts(as_of)).otherwise(before)}).drop("_went")
+
+
 def assign_leads(leads: DataFrame, sellers: DataFrame) -> DataFrame:
     """Every seller takes leads by priority and score while capacity and credits last; leads are shared.
 
@@ -347,13 +363,3 @@ def tier_access(leads: DataFrame, sellers: DataFrame) -> DataFrame:
                       for t, ps in TIER_ACCESS.items()], False)
     return leads.join(sellers.select("seller_id", "tier"), "seller_id").withColumn("accessible", allowed)
 
-
-def ensure_accounts(accounts: DataFrame, sellers: DataFrame, as_of) -> DataFrame:
-    """Accounts with a row for every seller; new ones start empty with their tier's allotment."""
-    fresh = sellers.join(accounts, "seller_id", "left_anti").select(
-        "seller_id", F.lit(0.0).alias("credits_available"), F.lit(0.0).alias("credits_used_month"),
-        lookup(TIER_CREDITS, F.col("tier"), 100).cast("double").alias("credits_total_month"),
-        as_ts(as_of).cast("date").alias("billing_cycle_start"))
-    return accounts.select(*fresh.columns).unionByName(fresh)
-
-
