@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import logging
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -144,37 +145,90 @@ def _line(file) -> bytes:
     return bytes(out)
 
 
-def read_records(file, seekable: bool, wanted, payload: bool = True) -> Iterator[tuple]:
-    """The records whose headers ``wanted`` accepts; a block is read only for those."""
-    while True:
-        version = _line(file)
-        if not version:
-            return
-        if not version.strip():
+class Damaged(ValueError):
+    """A record that cannot be read as it says it is."""
+
+
+def _header(file, line: bytes) -> dict[str, str]:
+    if not line.startswith(b"WARC/"):
+        raise Damaged(f"no WARC record: {line[:80]!r}")
+    head: dict[str, str] = {}
+    while (line := _line(file)):
+        if not line.strip():
+            break
+        name, _, value = line.partition(b":")
+        head[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+    return head
+
+
+def _body(head: dict[str, str], block: bytes) -> bytes:
+    """The payload of a response's block: what follows the HTTP head, or all of it where there is none."""
+    if block[:5] == b"HTTP/":
+        for gap in (b"\r\n\r\n", b"\n\n"):
+            if (at := block.find(gap)) >= 0:
+                return block[at + len(gap):]
+        return b""
+    return block
+
+
+def _checked(head: dict[str, str], block: bytes) -> bytes:
+    if len(block) != int(head["content-length"]):
+        raise Damaged(f"record {head.get('warc-record-id')}: {len(block)} bytes of {head['content-length']}")
+    body, digest = _body(head, block), head.get("warc-payload-digest", "")
+    kind, _, said = digest.partition(":")
+    if kind == "sha1" and len(said) == 32:  # other kinds of digest are passed on unchecked
+        found = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        if found != said.upper():
+            raise Damaged(f"record {head.get('warc-record-id')}: digest {found}, header {said}")
+    return body
+
+
+def _next_line(file, skip_damaged: bool) -> bytes:
+    try:
+        return _line(file)
+    except zlib.error:
+        if not skip_damaged:
+            raise
+        return b""
+
+
+def read_records(file, seekable: bool, wanted, payload: bool = True, skip_damaged: bool = False) -> Iterator[tuple]:
+    """The records whose headers ``wanted`` accepts; a block is read only for those.
+
+    A response may lack a digest (null), have one of another kind (passed on as it is) or no HTTP head (its payload is the
+    block). A damaged record raises; with ``skip_damaged`` it is a row of type ``damaged`` without payload, and reading goes
+    on at the next line that begins a record.
+    """
+    resync = False
+    while (line := _next_line(file, skip_damaged)):
+        if not line.strip() or (resync and not line.startswith(b"WARC/")):
             continue
-        if not version.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record: {version[:80]!r}")
-        head: dict[str, str] = {}
-        while (line := _line(file).rstrip(b"\r\n")):
-            name, _, value = line.partition(b":")
-            head[name.strip().lower().decode()] = value.strip().decode()
-        length = int(head["content-length"])
-        row = [head.get(name) for name in HEADERS.values()]
-        row[3] = row[3].removeprefix("sha1:") if row[3] else None
-        if wanted(dict(zip(HEADERS, row))):
-            size, body = int(head.get("x-payload-length", -1)), None
+        resync, head = False, {}
+        try:
+            head = _header(file, line)
+            if not head.get("content-length", "").isdecimal():
+                raise Damaged(f"record {head.get('warc-record-id')}: no content length")
+            row = [head.get(name) for name in HEADERS.values()]
+            row[3] = row[3].removeprefix("sha1:") if row[3] else None
+            length = int(head["content-length"])
+            if not wanted(dict(zip(HEADERS, row))):
+                _skip(file, seekable, length)
+                continue
+            size, body = int(head["x-payload-length"]) if head.get("x-payload-length", "").isdecimal() else None, None
             if payload and row[0] == "response":
-                block = file.read(length)
-                body = block[block.index(b"\r\n\r\n") + 4:]
-                found = base64.b32encode(hashlib.sha1(body).digest()).decode()
-                if row[3] != found or len(block) != length:
-                    raise ValueError(f"record {row[1]}: digest {found}, header {row[3]}")
+                body = _checked(head, file.read(length))
                 size = len(body)
             else:
                 _skip(file, seekable, length)
             yield (*row, size, body)
-        else:
-            _skip(file, seekable, length)
+        except (Damaged, zlib.error) as error:  # behind broken compression nothing of the file can be read
+            if not skip_damaged:
+                raise
+            logging.getLogger(__name__).warning("passed over: %s", error)
+            row = [head.get(name) for name in HEADERS.values()]
+            row[0], resync = "damaged", True
+            if wanted(dict(zip(HEADERS, row))):
+                yield (*row, None, None)
 
 
 def _skip(file, seekable: bool, length: int) -> None:
@@ -186,8 +240,8 @@ def _skip(file, seekable: bool, length: int) -> None:
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, files: list[str], payload: bool):
-        self.files, self.payload, self.tests = files, payload, []
+    def __init__(self, files: list[str], payload: bool, skip_damaged: bool = False):
+        self.files, self.payload, self.skip_damaged, self.tests = files, payload, skip_damaged, []
 
     def pushFilters(self, filters):
         for f in filters:
@@ -213,13 +267,13 @@ class WarcReader(DataSourceReader):
 
         file, seekable = _open(partition.path)
         try:
-            yield from read_records(file, seekable, wanted, self.payload)
+            yield from read_records(file, seekable, wanted, self.payload, self.skip_damaged)
         finally:
             file.close()
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc").load(folder)``; options: path, payload (true or false)."""
+    """``spark.read.format("warc").load(path)``; options: path, payload (true or false), damaged (raise or skip)."""
 
     @classmethod
     def name(cls) -> str:
@@ -230,19 +284,26 @@ class WarcSource(DataSource):
 
     def reader(self, schema) -> WarcReader:
         from pyarrow import fs
-        store, folder = fs.FileSystem.from_uri(self.options["path"])
-        infos = store.get_file_info(fs.FileSelector(folder))
+        store, place = fs.FileSystem.from_uri(self.options["path"])
+        info = store.get_file_info(place)
+        if info.type == fs.FileType.NotFound:
+            raise FileNotFoundError(self.options["path"])
+        listed = [info] if info.is_file else store.get_file_info(fs.FileSelector(place, recursive=True))
+        shown = [f for f in listed if f.is_file and not f.base_name.startswith((".", "_"))]
+        if not shown and not any(f.base_name == "_SUCCESS" for f in listed):
+            raise FileNotFoundError(f"no archive in {self.options['path']}")
         scheme = self.options["path"].split("://")[0] + "://" if "://" in self.options["path"] else ""
         host = self.options["path"].split("://")[1].split("/")[0] if scheme and scheme != "file://" else ""
-        names = sorted(f.path for f in infos if f.is_file and f.size and f.base_name.startswith("part-"))
+        names = sorted(f.path for f in shown if f.size)
         return WarcReader([f"{scheme}{host}{n}" if scheme else f"file://{n}" for n in names],
-                          self.options.get("payload", "true").lower() != "false")
+                          self.options.get("payload", "true").lower() != "false", self.options.get("damaged", "raise") == "skip")
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """The records under ``path``; filters on record type and headers are evaluated before blocks are read."""
+def read_warc(spark: SparkSession, path: str, payload: bool = True, damaged: str = "raise") -> DataFrame:
+    """The records of an archive or of all archives below a folder (hidden files aside), whoever wrote them; filters on record
+    type and headers are evaluated before blocks are read. ``damaged="skip"`` passes damaged records over, as rows of that type."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
     if "://" not in path:
         path = "file://" + path.removeprefix("file:")
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).option("damaged", damaged).load(path)
