@@ -27,6 +27,13 @@ SELLERS: dict[str, str] = {
               FROM k JOIN {{sellers}} AS s ON {_match} JOIN {{seller_stats}} AS st ON st.seller_id = s.seller_id),
         y AS (SELECT *, {rnd("0.30 * CASE WHEN hs_chapters IS NULL THEN 0.5 ELSE 1.0 END + 0.15 * CASE WHEN target_countries IS NULL OR list_contains(target_countries, '*') THEN 0.5 ELSE 1.0 END + 0.20 * least(win_rate * 2.5, 1.0) + 0.15 * CASE WHEN h <= sla * 0.25 THEN 1.0 WHEN h <= sla * 0.5 THEN 0.75 WHEN h <= sla THEN 0.5 ELSE 0.1 END + 0.10 * least(greatest(0, m - t) / CAST(m AS DOUBLE), 1.0) + 0.10 * least(ta / 100.0, 1.0)", 4)} AS rank_score FROM x)
         SELECT hs_chapter, country, visibility, seller_id, rank_score, row_number() OVER (PARTITION BY hs_chapter, country, visibility ORDER BY rank_score DESC, seller_id) AS rank FROM y""",
+    "credit_ledger": """
+        WITH RECURSIVE t AS (SELECT seller_id, kind, amount, row_number() OVER (PARTITION BY seller_id ORDER BY "at", tx_id) AS n FROM {transactions}),
+        s AS (SELECT seller_id, credits_available AS b, credits_used_month AS u, CAST(0 AS BIGINT) AS r, credits_total_month AS m, CAST(0 AS BIGINT) AS n FROM {accounts}
+          UNION ALL SELECT s.seller_id, CASE WHEN t.kind = 'topup' THEN s.b + t.amount WHEN s.m <> -1 AND t.amount <= s.b THEN s.b - t.amount ELSE s.b END AS b,
+                 CASE WHEN t.kind <> 'topup' AND (s.m = -1 OR t.amount <= s.b) THEN s.u + t.amount ELSE s.u END AS u, CASE WHEN t.kind <> 'topup' AND s.m <> -1 AND t.amount > s.b THEN s.r + 1 ELSE s.r END AS r, s.m, t.n
+          FROM s JOIN t ON t.seller_id = s.seller_id AND t.n = s.n + 1)
+        SELECT seller_id, arg_max(b, n) AS credits_available, arg_max(u, n) AS credits_used, arg_max(r, n) AS refused FROM s GROUP BY seller_id""",
     "pending_leads": """
         SELECT lead_id, lead_type, distribution_status FROM {distribution_leads} WHERE seller_visible AND coalesce(distribution_status, 'pending') = 'pending' AND coalesce(lead_type, '') <> 'blocked'
            AND lead_id NOT IN (SELECT lead_id FROM {assignments} WHERE status = 'converted')""",

@@ -46,7 +46,7 @@ def register(r: Registry) -> None:
     add("upsert_sellers", lambda i: s.upsert_sellers(i.sellers, i.given_sellers),
         "seller_id,name,tier,max_leads_per_day:i,credits_available:d,active")
     add("credit_ledger", lambda i: s.credit_ledger(i.accounts, i.transactions),
-        "seller_id,credits_available:d,credits_used:d,refused:i", None)
+        "seller_id,credits_available:d,credits_used:d,refused:i")
     add("billing_reset", lambda i: s.billing_reset(i.accounts, AS_OF_EVENTS),
         "seller_id,credits_used_month:d,credits_available:d,billing_cycle_start:s")
     add("tier_access", lambda i: s.tier_access(i.assignments.select("assignment_id", "seller_id", "lead_id").join(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -167,45 +169,66 @@ def _match_reason() -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.lit("open_match"))
 
 
-CHUNK = 10_000
-
-
-def _serve_chunk(per_lead: int):
-    """Leads of one chunk served one by one; every seller of the chunk's lists comes with its budget."""
-    def serve(leads: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
-        sellers = lists.drop_duplicates("seller_id")
-        cap = dict(zip(sellers["seller_id"], sellers["cap"]))
-        credit = dict(zip(sellers["seller_id"], sellers["cr"]))
-        of_kind = {k: list(g["seller_id"]) for k, g in lists.sort_values("rank").groupby("kind")}
-        out = []
-        for lead in leads.sort_values("g").itertuples(index=False):
-            got, spent = 0, False
-            for seller in of_kind.get(lead.kind, ()):
-                if cap[seller] <= 0:
-                    spent = True
-                elif credit[seller] >= lead.cost:
-                    cap[seller] -= 1
-                    credit[seller] -= lead.cost
-                    out.append((lead.lead_id, seller, lead.cost))
-                    got += 1
-                    if got == per_lead:
-                        break
-            if spent:
-                of_kind[lead.kind] = [x for x in of_kind[lead.kind] if cap[x] > 0]
-        return pd.DataFrame(out, columns=["lead_id", "seller_id", "cost"])
-    return serve
-
-
-def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind_of: Sequence[str],
-                    per_lead: int, chunk: int = CHUNK) -> DataFrame:
+NO_LIMIT = 1 << 62  # a seller that still takes any lead
+
+
+def _reach(per_lead: int):
+    """From lists sorted by kind and rank: the leads each seller is asked for, ``above < g <= limit``.
+
+    A lead asks the first ``per_lead`` sellers of its list whose limit it meets. So a seller is asked by those that meet its limit
+    and fewer than ``per_lead`` of the limits before it: that are beyond the ``per_lead``-th largest of those. Holds as many
+    numbers as a lead has sellers.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, largest = None, []
+        for batch in batches:
+            out = []
+            for own, seller, limit, room in zip(*[batch.column(c).to_pylist() for c in ("kind", "seller_id", "limit", "room")]):
+                if own != kind:
+                    kind, largest = own, []
+                above = largest[0] if len(largest) == per_lead else 0
+                if limit > above:
+                    out.append((own, seller, above, limit, room))
+                    heapq.heappush(largest, limit)
+                    if len(largest) > per_lead:
+                        heapq.heappop(largest)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["kind", "seller_id", "above", "limit", "room"])
+    return run
+
+
+def _settle(turn: DataFrame, lists: DataFrame, per_lead: int) -> DataFrame:
+    """(g, lead_id, seller_id): who gets which lead of one class, where every seller has ``room`` for as many.
+
+    In rounds: every lead asks the sellers it would take at their present limits, a seller that is asked by more than it has room
+    for lowers its limit to the last one it can take. Limits only fall, and when none does the result is that of serving the
+    leads one by one in their order. A round is a few joins over all leads and sellers; the limits are written once per round.
+    """
+    limits = None
+    while True:
+        known = lists.withColumn("limit", F.lit(NO_LIMIT)) if limits is None else lists.join(limits, "seller_id", "left").withColumn(
+            "limit", F.coalesce("limit", F.lit(NO_LIMIT)))
+        reach = known.repartition("kind").sortWithinPartitions("kind", "rank").mapInArrow(
+            _reach(per_lead), "kind string, seller_id string, above long, limit long, room long")
+        asked = turn.join(reach, "kind").where("g > above AND g <= limit").select("seller_id", "g", "room", "lead_id", F.pmod("g", F.lit(16)).alias("salt"))
+        asked = staged(asked, "asked")
+        over = asked.groupBy("seller_id").agg(F.count(F.lit(1)).alias("n"), F.max("room").alias("room")).where("n > room").select("seller_id")
+        crowded = asked.join(over, "seller_id", "left_semi")
+        for by in (["seller_id", "salt"], ["seller_id"]):  # a crowded seller is thinned in parts first
+            crowded = crowded.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("g"))).where("place <= room")
+        lower = staged(crowded.where("place = room").select("seller_id", F.col("g").alias("lower")), "limits")
+        if lower.isEmpty():
+            return asked.select("g", "lead_id", "seller_id")
+        limits = lower.withColumnRenamed("lower", "limit") if limits is None else staged(limits.join(lower, "seller_id", "full").select(
+            "seller_id", F.least("limit", "lower").alias("limit")), "limits")
+
+
+def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind_of: Sequence[str], per_lead: int) -> DataFrame:
     """Leads by priority class, score and id; each takes the first ``per_lead`` sellers of its kind's
     list that have capacity and credits left.
 
-    Each lead's choice depends on all before it, so the order cannot be split, but the leads that
-    still matter can be kept few: after every chunk of fixed size the budgets are brought up to
-    date and leads none of whose sellers has room for them drop out by a join. One task sees one
-    chunk and the open sellers of its kinds; the number of chunks follows the places the sellers
-    have, not the number of leads.
+    Leads of one class cost the same, so within it a seller's credits are room for a number of leads, and one class is settled
+    after the other (``_settle``). Of a kind no more leads take part than its sellers have room for together.
     """
     budget = staged(sellers.select(
         "seller_id", (F.col("max_leads_per_day") - F.col("leads_today")).cast("long").alias("cap"),
@@ -215,30 +238,27 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind
         "lead_id", "priority", "hs_chapter", "country", F.concat_ws("|", *[text(c) for c in kind_of]).alias("kind"),
         _class_of(F.col("priority")).alias("class"), (-F.col("score").cast("double")).alias("s"),
         _cost(F.col("priority")).cast("long").alias("cost"))
-    rows = staged(surrogate_key(rows, "g", ["class", "s", "lead_id"]), "ordered")
-    done, served_to = None, 0
-    while True:
-        open_lists = prefs.join(budget.where("cap > 0"), "seller_id")
-        richest = open_lists.groupBy("kind").agg(F.max("cr").alias("most"))
-        waiting = rows.where(F.col("g") > served_to).join(richest, "kind").where(F.col("cost") <= F.col("most"))
-        turn = staged(waiting.select("g", "lead_id", "kind", "cost").orderBy("g").limit(chunk), "turn")
-        served_to = turn.agg(F.max("g")).first()[0]
-        if served_to is None:
-            break
-        lists = open_lists.join(turn.select("kind").distinct(), "kind", "left_semi")
-        one = F.lit(1).alias("one")
-        got = staged(turn.groupBy(one).cogroup(lists.groupBy(one)).applyInPandas(
-            _serve_chunk(per_lead), "lead_id string, seller_id string, cost long"), "served")
+    rows, done = staged(surrogate_key(rows, "g", ["class", "s", "lead_id"]), "ordered"), None
+    for number, priority in enumerate(PRIORITY_ORDER, start=1):
+        cost = CREDIT_COST[priority]
+        paid = F.floor(F.col("cr") / cost) if cost else F.when(F.col("cr") >= 0, F.col("cap")).otherwise(0)
+        lists = staged(prefs.join(budget.withColumn("room", F.least("cap", paid).cast("long")).where("room > 0").select("seller_id", "room"), "seller_id"), "lists")
+        places = lists.groupBy("kind").agg(F.sum("room").alias("places"))
+        turn = rows.where(F.col("class") == number).select("g", "lead_id", "kind", F.pmod(F.xxhash64("lead_id"), F.lit(16)).alias("salt")).join(places, "kind")
+        for by in (["kind", "salt"], ["kind"]):
+            turn = turn.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("g"))).where("n <= places")
+        turn = staged(turn.select("g", "lead_id", "kind"), "turn")
+        if turn.isEmpty():
+            continue
+        got = staged(_settle(turn, lists, per_lead).select("lead_id", "seller_id", F.lit(cost).cast("long").alias("cost")), "served")
         done = got if done is None else done.unionByName(got)
-        used = got.groupBy("seller_id").agg(F.count(F.lit(1)).alias("u"), F.sum("cost").alias("c"))
+        used = got.groupBy("seller_id").agg(F.count(F.lit(1)).alias("u"))
         budget = staged(budget.join(used, "seller_id", "left").select(
             "seller_id", (F.col("cap") - F.coalesce("u", F.lit(0))).alias("cap"),
-            (F.col("cr") - F.coalesce("c", F.lit(0))).alias("cr")), "budget")
+            (F.col("cr") - F.coalesce("u", F.lit(0)) * cost).alias("cr")), "budget")
     out = rows.select("lead_id", "hs_chapter", "country", "priority")
     if done is None:
-        return out.where("false").join(sellers, F.lit(False)).select(
-            F.lit("").alias("assignment_id"), "seller_id", "lead_id", "priority", F.lit("").alias("match_reason"),
-            F.lit(0).cast("long").alias("credits_cost"))
+        done = out.where("1 = 0").select("lead_id", F.lit("").alias("seller_id"), F.lit(0).cast("long").alias("cost"))
     out = out.join(done, "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
     return out.select(F.concat(F.lit("sla:"), "seller_id", F.lit(":"), "lead_id").alias("assignment_id"), "seller_id",
                       "lead_id", "priority", _match_reason().alias("match_reason"), F.col("cost").alias("credits_cost"))

@@ -149,8 +149,9 @@ def test_assignment_equals_the_plain_loop(spark, seed):
     assert three == one_by_one(leads, people, lambda _: by_id, 3)
 
 
-def test_exclusive_assignment_in_small_chunks(spark, monkeypatch):
-    leads, people, lead_df, seller_df = market(spark, 5)
+@pytest.mark.parametrize("seed", [5, 6])
+def test_exclusive_assignment_equals_the_plain_loop(spark, seed):
+    leads, people, lead_df, seller_df = market(spark, seed, n_leads=120)
     stats = spark.createDataFrame([(p[0], n * 7, 0.1 * n, 10.0 * n) for n, p in enumerate(people)],
                                   "seller_id string, total_assigned int, win_rate double, avg_response_h double")
     ranks = {(r.hs_chapter, r.country, r.visibility, r.seller_id): r["rank"]
@@ -159,13 +160,22 @@ def test_exclusive_assignment_in_small_chunks(spark, monkeypatch):
     def order(lead):
         key = (lead[3].strip("[]")[:2], lead[4].upper(), lead[5])
         return sorted((p for p in people if (*key, p[0]) in ranks), key=lambda p: ranks[(*key, p[0])])
-    want = one_by_one(leads, people, order, 1)
-    for size in (7, 10_000):
-        monkeypatch.setattr(sellers, "CHUNK", size)
-        prefs = sellers.rank_sellers(lead_df, seller_df.where("active"), stats, k=None).select(
-            F.concat_ws("|", "hs_chapter", "country", "visibility").alias("kind"), "seller_id", "rank")
-        got = sellers._assign_in_turn(lead_df, seller_df.where("active"), prefs, ("hs_chapter", "country", "visibility"), 1, chunk=size)
-        assert {(r.seller_id, r.lead_id) for r in got.collect()} == want
+    got = {(r.seller_id, r.lead_id) for r in sellers.assign_exclusive(lead_df, seller_df, stats).collect()}
+    assert got == one_by_one(leads, people, order, 1) and got
+    assert sellers.assign_exclusive(lead_df, seller_df.withColumn("credits_available", F.lit(-1.0)), stats).count() == 0
+    assert sellers.assign_exclusive(lead_df.where("1 = 0"), seller_df, stats).count() == 0
+
+
+def test_distributed_leads_are_not_handed_out_again(spark):
+    leads, people, lead_df, seller_df = market(spark, 3)
+    lead_df = lead_df.withColumns({"seller_visible": F.lit(True), "distribution_status": F.lit(None).cast("string"), "lead_type": F.lit("t")})
+    first = sellers.assign_leads(sellers.pending_leads(lead_df), seller_df)
+    marked = sellers.mark_distributed(lead_df, first, AS_OF)
+    left = sellers.pending_leads(marked)
+    taken = {r.lead_id for r in first.collect()}
+    assert taken and not taken & {r.lead_id for r in left.collect()} and left.count() == len(leads) - len(taken)
+    again = sellers.assign_leads(left, seller_df.withColumn("max_leads_per_day", F.col("leads_today")))  # nobody has room any more
+    assert again.count() == 0 and rows(sellers.mark_distributed(marked, again, "2030-01-01").select("lead_id", "distributed_at")) == rows(marked.select("lead_id", "distributed_at"))
 
 
 def test_credit_ledger_equals_the_plain_loop(spark):
