@@ -87,4 +87,50 @@ links AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, k.b FROM reach r JOIN links k ON r.b = k.a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id FROM g"""
 
-ORACLES = {"op1_quality": OP1, "op5_warc": OP5, "op6_decontamination": OP6, "op8_url_filters": OP8, "op9_jaccard_join": OP9}
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    step = ("list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda a, z: "
+            "xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))")
+    return (f"xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split({text}, ''), lambda x: ascii(x)::UBIGINT), lambda c, b: {step}), "
+            "4294967295::UBIGINT)")
+
+
+def _tree(name: str, first: str, levels: int) -> str:
+    """Nodes (g, p, d, n: nodes of the level) from the leaves up; a group of one node stays as it is."""
+    parts = [f"{name}0 AS ({first})"]
+    for k in range(1, levels + 1):
+        parts.append(f"{name}{k} AS (SELECT g, CAST(floor(p / 2) AS BIGINT) AS p, CASE WHEN n > 1 THEN sha256(string_agg(d, '' ORDER BY p)) ELSE min(d) END AS d, "
+                     f"CAST(ceil(n / 2.0) AS BIGINT) AS n FROM {name}{k - 1} GROUP BY g, CAST(floor(p / 2) AS BIGINT), n)")
+    return ", ".join(parts)
+
+
+def _climb(name: str, tree: str, first: str, levels: int) -> str:
+    """From rows (r, g, p, proof, f) their proofs and folded digests at the group's root."""
+    parts = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        parts.append(f"""{name}{k + 1} AS (SELECT c.r, c.g, CAST(floor(c.p / 2) AS BIGINT) AS p, c.proof || coalesce(s.d, '') AS proof,
+            CASE WHEN o.n = 1 THEN c.f WHEN s.d IS NULL THEN sha256(c.f) WHEN c.p % 2 = 1 THEN sha256(s.d || c.f) ELSE sha256(c.f || s.d) END AS f
+            FROM {name}{k} AS c JOIN {tree}{k} AS o ON o.g = c.g AND o.p = c.p LEFT JOIN {tree}{k} AS s ON s.g = c.g AND s.p = CASE WHEN c.p % 2 = 0 THEN c.p + 1 ELSE c.p - 1 END)""")
+    return ", ".join(parts)
+
+
+def _leaf(n_chars: str) -> str:
+    def part(v: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({v} AS VARCHAR)) AS VARCHAR) || ':' || CAST({v} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(part(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+LEVELS = 24  # enough for sixteen million documents of a language, and as many languages
+OP12 = f"""
+WITH d AS (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("n_chars + 1")} END AS other FROM documents),
+e AS (SELECT *, coalesce('=' || lang, '') AS g FROM d),
+x AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM e),
+{_tree("a", "SELECT g, p, leaf AS d, n FROM x", LEVELS)},
+y AS (SELECT g AS lang_key, d, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n FROM a{LEVELS} WHERE p = 0),
+{_tree("t", "SELECT 'all' AS g, p, d, n FROM y", LEVELS)},
+{_climb("c", "a", "SELECT r, g, p, '' AS proof, coalesce(other, leaf) AS f FROM x", LEVELS)},
+{_climb("u", "t", f"SELECT c.r, 'all' AS g, y.p, c.proof, c.f FROM c{LEVELS} AS c JOIN y ON y.lang_key = c.g", LEVELS)}
+SELECT x.doc_id, x.leaf, y.d AS subroot, t.d AS root, sha256(u.proof) AS proof_sha256, u.f AS folded_root, u.f = t.d AS verified
+FROM x JOIN y ON y.lang_key = x.g JOIN u{LEVELS} AS u ON u.r = x.r CROSS JOIN t{LEVELS} AS t"""
+
+ORACLES = {"op1_quality": OP1, "op5_warc": OP5, "op6_decontamination": OP6, "op8_url_filters": OP8, "op9_jaccard_join": OP9, "op12_merkle": OP12}
