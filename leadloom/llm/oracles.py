@@ -120,6 +120,45 @@ def _leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(part(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
 
 
+def _least(state: int, deleted: str, forced: str, kept: str) -> str:
+    """Least cost of taking row f from a state, without inserts before it; each target's cost is a column of b."""
+    return f"least(3 + b.{deleted}, CASE WHEN f.fault < 2 THEN 2 + f.fault + b.{forced} ELSE 1000000000 END, CASE WHEN f.fault < 2 THEN CASE {kept} ELSE 1000000000 END ELSE 1000000000 END)"
+
+
+OP11 = rf"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS c, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS what FROM conversations),
+e AS (SELECT c, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN what = 3 THEN [1, 2] ELSE [1] END) AS copy FROM d WHERE what <> 0),
+h AS (SELECT *, sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) AS digest, regexp_replace(text, '[ 	-]+$', '') AS body FROM e),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, digest, copy) AS n, row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, digest, copy) AS last FROM h),
+f AS (SELECT *, CASE WHEN body = '' THEN 3 WHEN seen > 1 THEN 2 WHEN right(body, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault, substr(role, 1, 1) AS letter FROM o),
+every AS (SELECT c, min(conv_id) AS conv_id FROM d GROUP BY c),
+size AS (SELECT every.c, count(f.n) AS m FROM every LEFT JOIN f ON f.c = every.c GROUP BY every.c),
+costs AS (SELECT c, m + 1 AS n, CAST(0 AS BIGINT) AS v0, CAST(4 AS BIGINT) AS v1, CAST(2 AS BIGINT) AS v2, CAST(0 AS BIGINT) AS v3 FROM size
+  UNION ALL SELECT c, n, CAST(least(w0, 2 + w2, 4 + w3) AS BIGINT) AS v0, CAST(least(w1, 2 + w2, 4 + w3) AS BIGINT) AS v1, CAST(least(w2, 2 + w3) AS BIGINT) AS v2, CAST(least(w3, 2 + w2) AS BIGINT) AS v3
+  FROM (SELECT f.c, f.n, {_least(0, 'v0', 'v2', "f.letter WHEN 's' THEN f.fault + b.v1 WHEN 'u' THEN f.fault + b.v2")} AS w0, {_least(1, 'v1', 'v2', "f.letter WHEN 'u' THEN f.fault + b.v2")} AS w1,
+          {_least(2, 'v2', 'v3', "f.letter WHEN 'a' THEN f.fault + b.v3")} AS w2, {_least(3, 'v3', 'v2', "f.letter WHEN 'u' THEN f.fault + b.v2")} AS w3
+        FROM costs AS b JOIN f ON f.c = b.c AND f.n = b.n - 1) AS s),
+k AS (SELECT a.c, a.n, s.state, CASE s.state WHEN 0 THEN a.v0 WHEN 1 THEN a.v1 WHEN 2 THEN a.v2 ELSE a.v3 END AS here, CASE s.state WHEN 2 THEN 3 ELSE 2 END AS forced,
+    CASE s.state WHEN 2 THEN a.v3 ELSE a.v2 END AS inserted, z.v0 IS NULL AS ended, CASE s.state WHEN 0 THEN z.v0 WHEN 1 THEN z.v1 WHEN 2 THEN z.v2 ELSE z.v3 END AS deleted, f.fault,
+    CASE WHEN f.fault >= 2 THEN NULL WHEN s.state = 0 AND f.letter = 's' THEN 1 WHEN s.state <> 2 AND f.letter = 'u' THEN 2 WHEN s.state = 2 AND f.letter = 'a' THEN 3 END AS kept, z.v1, z.v2, z.v3
+  FROM costs AS a CROSS JOIN (SELECT CAST(range AS INTEGER) AS state FROM range(4)) AS s LEFT JOIN costs AS z ON z.c = a.c AND z.n = a.n + 1 LEFT JOIN f ON f.c = a.c AND f.n = a.n),
+choice AS (SELECT c, n, state, forced, kept, CASE WHEN ended THEN CASE WHEN state IN (1, 2) THEN 'I' END WHEN here = 3 + deleted THEN 'D' WHEN here = 2 + inserted THEN 'I'
+    WHEN kept IS NOT NULL AND here = fault + CASE kept WHEN 1 THEN v1 WHEN 2 THEN v2 ELSE v3 END THEN 'K' ELSE 'R' END AS edit FROM k),
+steps AS (SELECT c, CAST(0 AS BIGINT) AS step, CAST(1 AS BIGINT) AS n, 0 AS state, CAST('' AS VARCHAR) AS edit FROM size
+  UNION ALL SELECT t.c, t.step + 1 AS step, CASE WHEN x.edit = 'I' THEN t.n ELSE t.n + 1 END AS n, CAST(CASE x.edit WHEN 'D' THEN t.state WHEN 'K' THEN x.kept ELSE x.forced END AS INTEGER) AS state, x.edit
+  FROM steps AS t JOIN choice AS x ON x.c = t.c AND x.n = t.n AND x.state = t.state WHERE x.edit IS NOT NULL),
+lines AS (SELECT t.c, t.step, t.edit, CASE t.edit WHEN 'K' THEN f.role WHEN 'D' THEN NULL ELSE CASE t.state WHEN 2 THEN 'user' ELSE 'assistant' END END || ':' || CASE WHEN t.edit = 'I' THEN '' ELSE f.text END AS line
+  FROM steps AS t LEFT JOIN f ON f.c = t.c AND f.n = t.n - 1 AND t.edit <> 'I' WHERE t.step > 0),
+done AS (SELECT c, string_agg(edit, '' ORDER BY step) AS audit, string_agg(line, chr(10) ORDER BY step) AS whole FROM lines GROUP BY c),
+facts AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 3) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+    count(*) FILTER (WHERE fault = 1) AS truncated, count(*) FILTER (WHERE last IS NOT NULL AND last || letter NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY c)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(v0, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM every LEFT JOIN facts ON facts.c = every.c LEFT JOIN done ON done.c = every.c LEFT JOIN costs ON costs.c = every.c AND costs.n = 1"""
+
 LEVELS = 24  # enough for sixteen million documents of a language, and as many languages
 OP12 = f"""
 WITH d AS (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf("n_chars + 1")} END AS other FROM documents),
@@ -133,4 +172,4 @@ y AS (SELECT g AS lang_key, d, row_number() OVER (ORDER BY g) - 1 AS p, count(*)
 SELECT x.doc_id, x.leaf, y.d AS subroot, t.d AS root, sha256(u.proof) AS proof_sha256, u.f AS folded_root, u.f = t.d AS verified
 FROM x JOIN y ON y.lang_key = x.g JOIN u{LEVELS} AS u ON u.r = x.r CROSS JOIN t{LEVELS} AS t"""
 
-ORACLES = {"op1_quality": OP1, "op5_warc": OP5, "op6_decontamination": OP6, "op8_url_filters": OP8, "op9_jaccard_join": OP9, "op12_merkle": OP12}
+ORACLES = {"op1_quality": OP1, "op5_warc": OP5, "op6_decontamination": OP6, "op8_url_filters": OP8, "op9_jaccard_join": OP9, "op11_conversation_repair": OP11, "op12_merkle": OP12}
