@@ -20,7 +20,6 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.exprs import let
 from leadloom.session import staged
 
 MOST_ROWS = 40_000
@@ -58,9 +57,11 @@ def features(docs: DataFrame, lexicon: list[tuple[str, float]], text: str = "tex
     listed = docs.select(*[F.col(f"`{c}`") for c in rest], body.alias("__body"), _tokens(body).alias("__tokens"))
 
     def near(tokens: Column) -> Column:
-        marks = F.filter(F.transform(tokens, lambda w, i: F.when(w.isin(SECOND_PERSON), i)), lambda i: i.isNotNull())
+        def beside(i: Column) -> Column:  # only the words around an insult are looked at
+            begin = F.greatest(i - NEAR, F.lit(0))
+            return F.exists(F.slice(tokens, begin + 1, i + NEAR - begin + 1), lambda w: w.isin(SECOND_PERSON))
         insults = F.filter(F.transform(tokens, lambda w, i: F.when(w.isin(INSULTS), i)), lambda i: i.isNotNull())
-        return let(marks, lambda m: F.size(F.filter(insults, lambda i: F.exists(m, lambda j: F.abs(i - j) <= NEAR))))
+        return F.size(F.filter(insults, beside))
 
     # runs of letters and signs with a sign behind a letter; read as letters they are an insult, and not without their ends
     odd = F.filter(F.split(F.col("__body"), r"[^\p{L}@$!|+*.0-9_-]+"), lambda w: w.rlike(r"\p{L}[@$!|+*.0-9_-]"))

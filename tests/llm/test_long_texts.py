@@ -16,7 +16,7 @@ RUNS = {
     "letters": "q" * MEGA, "letters, a digit and an at": "q" * MEGA + "7" + "q" * 100 + "@", "at in front": "x@" + "a." * (MEGA // 2),
     "dotted words": "a." * (MEGA // 2) + "@x", "blanks": " " * MEGA + "x", "line feeds": "\n" * (2 * MEGA), "digits": "4" * MEGA, "hex": "beef" * (MEGA // 4),
     "ats": "@" * MEGA, "mails": "a.b@c.example " * (MEGA // 14), "signs": "a" + "-" * MEGA + "b1c", "disguised": "id1ot" * (MEGA // 5), "dashes": "-" * MEGA,
-    "points": "x@y" + "." * MEGA, "pluses": "+1 " * (MEGA // 3)}
+    "points": "x@y" + "." * MEGA, "pluses": "+1 " * (MEGA // 3), "insults": "you idiot " * (MEGA // 10)}
 
 
 @pytest.fixture(scope="module")
