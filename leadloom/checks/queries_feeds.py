@@ -1,8 +1,11 @@
-"""Registered queries: every feed from one-object JSON files to gold and warehouse, in two runs.
+"""Registered queries: every feed from landed JSON files to gold and warehouse, in two runs.
 
-The records are made of the customers, a few per document; the second run brings some again, changed, and some new.
+The records are made of the customers, at most some hundred per file: as one document that lists them or, where a document is
+a record, as an array of documents. The second run brings some again, changed, and some new.
 """
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from leadloom.operators.layers import FEEDS
 from leadloom.sources import feeds
 
 RUNS = {1: "2024-01-30 00:00:00", 2: "2024-01-31 00:00:00"}
+RECORDS = 500  # of a file, about; files grow in number, not in size
 SHOWN = {"boolean": "", "long": ":s", "int": ":s", "double": ":d", "time": "", "vendor_time": "", "list": "", "json": "", "text": ""}
 
 
@@ -35,23 +39,29 @@ def _written(field: feeds.Field) -> Column:
 
 
 def documents(flat: DataFrame, name: str) -> DataFrame:
-    """Flat records as documents of the feed, those of one page in one document (at most a few)."""
+    """Flat records as the texts of files, several lines each. The records of a page go into one document, or into several once
+    they are more than ``RECORDS``; all tell the same of the page. Records without a list around them are documents of their own."""
     feed = feeds.MAPS[name]
     levels: list[dict] = [{} for _ in range(len(feed.lists) + 1)]
     for field in feeds.fields_of(feed):
         _put(levels[field.level], field.path, F.first(_written(field)) if field.level == 0 and feed.lists else _written(field))
+    together = ["page"] if feed.lists else []
+    most = flat.groupBy(*together).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, ceil(most / RECORDS))))
+    cut = flat.withColumn("_part", part).groupBy(*together, "_part")
     if not feed.lists:
-        return flat.select(F.to_json(_struct(levels[0]), {"pretty": "true"}).alias("value"))
+        texts = F.collect_list(F.to_json(_struct(levels[0]), {"pretty": "true"}))
+        return cut.agg(F.concat(F.lit("["), F.array_join(texts, ",\n"), F.lit("]")).alias("value"))
     inner = _struct(levels[-1])
     if len(feed.lists) == 2:  # one record in each element of the outer list
         _put(levels[1], tuple(feed.lists[1].split(".")), F.array(inner))
         inner = _struct(levels[1])
     _put(levels[0], tuple(feed.lists[0].split(".")), F.collect_list(inner))
-    return flat.groupBy("page").agg(F.to_json(_struct(levels[0]), {"pretty": "true"}).alias("value"))
+    return cut.agg(F.to_json(_struct(levels[0]), {"pretty": "true"}).alias("value"))
 
 
 def landed(i, name: str) -> str:
-    """The documents of both runs, one object per file, several lines each."""
+    """The files of both runs."""
     folder = f"{work_dir(i)}/{name}"
     flat = i[f"flat_{name}"]
     for run in RUNS:
@@ -59,7 +69,7 @@ def landed(i, name: str) -> str:
         path = f"{folder}/run{run}"
         if feeds.MAPS[name].path_facts:
             path += "/buyer-supplier-list/buyer/2024-01-01_to_2024-01-31"
-        part.repartition(2).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+        part.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
     return folder
 
 

@@ -1,7 +1,7 @@
 """The 13 vendor feeds from landed JSON documents to the warehouse: what each field is called on both sides, as data.
 
-A feed's documents hold one object per file, with the records in a list (or a list in a list) or as the object itself. A map
-names the columns; a column comes from the record's field of the same name in camel case unless its path is given.
+A feed's documents are JSON objects, one per file or several in an array, with the records in a list (or a list in a list) or as
+the object itself. A map names the columns; a column comes from the record's field of the same name in camel case unless its path is given.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from leadloom.functions.values import as_ts
 from leadloom.operators.layers import FEEDS, gold, silver
+from leadloom.session import staged
 from leadloom.sources.landed import path_fields, read_landed_json
 from leadloom.sources.sinks import append_new_keys, warehouse_shape
 
@@ -165,12 +166,13 @@ def read_feed(spark: SparkSession, folder: str, name: str, as_of) -> DataFrame:
 
 def run_feed(spark: SparkSession, folder: str, name: str, as_of, by: str, old_silver: DataFrame | None = None,
              old_gold: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(silver, gold) after the documents of a folder, on top of the tables of the run before. Records without a key are left out."""
+    """(silver, gold) after the documents of a folder, on top of the tables of the run before. Records without a key are left out.
+    Silver is written once, so the documents are read once, however often this run and later ones use it."""
     spec, rows = FEEDS[name], read_feed(spark, folder, name, as_of)
     needed = spec.hash_parts[:1] if spec.hash_parts else spec.key
     for column in needed:
         rows = rows.where(F.col(column).isNotNull())
-    new_silver = silver(rows, old_silver, spec, as_of, by)
+    new_silver = staged(silver(rows, old_silver, spec, as_of, by), "silver")
     before = old_gold if old_gold is not None else new_silver.where("1 = 0").select(F.lit(0).cast("long").alias(spec.gold_key), "*")
     return new_silver, gold(new_silver, before, spec)
 

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from leadloom.checks import queries_feeds
 from leadloom.sources import feeds
 from tests.conftest import rows
 
@@ -70,3 +71,33 @@ def test_two_runs_keep_keys_and_replace_values(spark, tmp_path):
     _, gold = feeds.run_feed(spark, second, "company_matcher", "2024-02-01 00:00:00", "x", silver, gold)
     assert rows(gold.select("cm_key", "company_id", "name_match_percentage", "country")) == sorted([(1, "a", None, None), (2, "b", 5.0, None), (3, "c", None, None)], key=repr)
     assert rows(feeds.warehouse_rows(gold, "company_matcher", sent).select("cm_key")) == [(3,)]
+
+
+def _files_of(made, name):
+    return [json.loads(r.value) for r in queries_feeds.documents(made, name).collect()]
+
+
+def test_a_page_of_many_records_lands_in_several_documents(spark):
+    made = spark.range(2600).selectExpr("id as contact_id", "id % 2 as page", "'n' || id as first_name", "timestamp'2024-01-02' as ingested_at")
+    made = made.select("page", *[f.name if f.name in made.columns else F.lit(None).cast("string").alias(f.name) for f in feeds.fields_of(feeds.MAPS["contact_search"])])
+    for c in ("valid_date", "last_updated_date"):
+        made = made.withColumn(c, F.lit(None).cast("timestamp"))
+    found = _files_of(made, "contact_search")
+    assert len(found) == 6 and max(len(d["data"]) for d in found) < 1.5 * queries_feeds.RECORDS
+    assert sorted(r["id"] for d in found for r in d["data"]) == list(range(2600))
+
+
+def test_single_records_share_files_of_bounded_size(spark):
+    made = spark.range(1300).selectExpr("'c' || id as company_id")
+    made = made.select("*", *[F.lit(None).cast("string").alias(f.name) for f in feeds.fields_of(feeds.MAPS["company_profile"]) if f.name != "company_id"])
+    found = _files_of(made, "company_profile")
+    assert len(found) == 3 and max(map(len, found)) < 1.5 * queries_feeds.RECORDS
+    assert {r["companyID"] for d in found for r in d} == {f"c{k}" for k in range(1300)}
+
+
+def test_files_hold_one_document_or_many_with_exact_values(spark, tmp_path):
+    one = {"companyID": "a", "stockTickers": ["X", {"b": 1.50}]}
+    (tmp_path / "one.json").write_text(json.dumps(one, indent=2).replace("1.5", "1.50"))
+    (tmp_path / "many.json").write_text('[{"companyID": 1.50e3,\n "tradeHealthScore": 2},\n {"companyID": true}]')
+    got = feeds.read_feed(spark, str(tmp_path), "company_profile", AS_OF).select("company_id", "trade_health_score", "stock_tickers_json")
+    assert rows(got) == sorted([("a", None, '["X",{"b":1.5}]'), ("1.50e3", 2.0, None), ("true", None, None)], key=repr)
