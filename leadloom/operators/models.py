@@ -154,8 +154,10 @@ def fit_switch_classifier(rows: DataFrame, trees: int = 200, depth: int = 6, boo
     return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"), model]).fit(train)
 
 
-def switch_probability(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """(rel_id, probability) of every relationship."""
+def switch_probability(model: PipelineModel | None, rows: DataFrame) -> DataFrame:
+    """(rel_id, probability) of every relationship; unknown where there was too little to train a model on."""
+    if model is None:
+        return rows.select("rel_id", F.lit(None).cast("double").alias("probability"))
     return model.transform(rows).select("rel_id", vector_to_array("probability")[1].alias("probability"))
 
 
@@ -233,11 +235,14 @@ def ranker_metrics(scored: DataFrame, query: str, score: str, label: str, key: s
         F.count(F.lit(1)).alias("n_queries"))
 
 
-def score_explanations(model: PipelineModel, rows: DataFrame, top: int | None = None) -> DataFrame:
+def score_explanations(model: PipelineModel | None, rows: DataFrame, top: int | None = None) -> DataFrame:
     """(rel_id, feature, contribution, rank): what each feature adds to a row's log odds (or a forest's probability), by size.
 
     Contributions are Shapley values of the trees themselves; with the base value they add up to the model's margin.
+    Without a model there is nothing to explain and no row.
     """
+    if model is None:
+        return rows.select("rel_id", F.lit("").alias("feature"), F.lit(0.0).alias("contribution"), F.lit(0).alias("rank")).limit(0)
     return forest_explanations(forest_of(model), rows, top=top)
 
 
