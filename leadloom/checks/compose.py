@@ -9,8 +9,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.session import staged
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                "embeddings", "pages", "benchmark", "labels", "conversations")
+SHARED = ("shipments",)  # joins of the largest tables that several other fixtures read
 _REF = re.compile(r"\{(\w+)\}")
 
 
@@ -41,6 +44,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str, pieces: dict[str, str]):
         self.spark, self.folder, self.pieces = spark, folder, pieces
         self._seen: dict[str, DataFrame] = {}
+        self._written: set[str] = set()
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -53,6 +57,13 @@ class Inputs:
                 frame = self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
             else:
                 sql = self.pieces[name]
-                frame = self.spark.sql(sql, **{r: self[r] for r in references(sql)})
+                frame = self.spark.sql(sql, **{r: self._once(r) if r in SHARED else self[r] for r in references(sql)})
             self._seen[name] = frame
         return self._seen[name]
+
+    def _once(self, name: str) -> DataFrame:
+        """A fixture computed and written once for all that read it from here on."""
+        if name not in self._written:
+            self._written.add(name)
+            self._seen[name] = staged(self[name], name)
+        return self._seen[name]
