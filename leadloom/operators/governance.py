@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.ids import stable_id
+from leadloom.functions.skew import grid_join
 from leadloom.functions.values import choose, first_non_empty, non_empty, text
 from leadloom.session import staged
 
@@ -100,6 +102,7 @@ def scopes(accounts: DataFrame, groups: DataFrame, orgs: DataFrame, stores: Data
     return first
 
 
+REACHED = 500_000  # rows of a part
 SCOPE_COLUMNS = (("account", "user_id"), ("org", "organization_id"), ("group", "organization_group_id"), ("store", "store_id"))
 
 
@@ -183,6 +186,17 @@ def scope_closure(scope_rows: DataFrame) -> DataFrame:
     return closure
 
 
+def _reached(closure: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every scope with the rules of all its ancestors, dealt into parts of about ``REACHED`` rows by scope and permission.
+
+    All scopes lie below one, so that one is cut up (``grid_join``), and the parts are counted from the rows that come out:
+    few rows go in, so their size would give a few parts, whose aggregation grows with the number of scopes.
+    """
+    met = closure.groupBy("ancestor").agg(F.count(F.lit(1)).alias("l")).join(rules.groupBy("ancestor").agg(F.count(F.lit(1)).alias("r")), "ancestor")
+    found = met.agg(F.sum(F.col("l") * F.col("r"))).first()[0] or 0
+    return grid_join(closure, rules, ["ancestor"]).repartition(max(1, ceil(found / REACHED)), "scope_id", "permission")
+
+
 def resolved_permissions(scope_rows: DataFrame, policy_rows: DataFrame, override_rows: DataFrame, role_rows: DataFrame) -> DataFrame:
     """(scope_id, permission, effect, distance, policy_id, is_override): the one rule that decides a permission in a scope.
 
@@ -199,7 +213,7 @@ def resolved_permissions(scope_rows: DataFrame, policy_rows: DataFrame, override
     # of the rules of one scope and permission only the first can decide
     order = F.struct("place", (F.col("effect") != "deny").alias("allows"), "policy_id", "effect")
     first = rules.groupBy("scope_id", "permission").agg(F.min(order).alias("r")).withColumnRenamed("scope_id", "ancestor")
-    reached = scope_closure(scope_rows).join(first, "ancestor")
+    reached = _reached(scope_closure(scope_rows), staged(first, "rules"))
     best = reached.groupBy("scope_id", "permission").agg(F.min(F.struct("distance", "r")).alias("b"))
     return best.select("scope_id", "permission", F.col("b.r.effect").alias("effect"), F.col("b.distance").alias("distance"),
                        F.col("b.r.policy_id").alias("policy_id"), (F.col("b.r.place") < 2).alias("is_override"))
@@ -208,5 +222,5 @@ def resolved_permissions(scope_rows: DataFrame, policy_rows: DataFrame, override
 def effective_permissions(scope_rows: DataFrame, policy_rows: DataFrame) -> DataFrame:
     """(scope_id, permission, effect): a scope inherits its ancestors' rules; one deny outweighs any allow."""
     rules = policy_rows.groupBy("scope_id", "permission").agg(F.max((F.col("effect") == "deny")).alias("denied"))
-    return scope_closure(scope_rows).join(rules.withColumnRenamed("scope_id", "ancestor"), "ancestor").groupBy(
+    return _reached(scope_closure(scope_rows), staged(rules.withColumnRenamed("scope_id", "ancestor"), "rules")).groupBy(
         "scope_id", "permission").agg(F.when(F.max("denied"), "deny").otherwise("allow").alias("effect"))
