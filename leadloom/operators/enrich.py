@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadloom.functions.rank import best_row
@@ -94,12 +94,16 @@ def enrich_orgs_by_name(orgs: DataFrame, companies: DataFrame) -> DataFrame:
     """
     usable = companies.where(F.trim("company_name") != "").withColumn("company_name", F.trim("company_name"))
     pairs = contains_pairs(orgs, "org_name", usable, "company_name")
-    by_name = orgs.select("org_id", F.lower("org_name").alias("long_text")).join(pairs, "long_text").join(
-        usable.withColumn("short_text", F.lower("company_name")), "short_text")
-    cols = ["org_id", "company_name", "employee_count", "industry", "domain", "country"]
-    by_domain = orgs.select("org_id", "domain").where("domain <> ''").join(usable, "domain")
-    hits = by_name.select(*cols).unionByName(by_domain.select(*cols))
-    best = best_row(hits, ["org_id"], [F.length("company_name"), F.col("company_name")])
+    cols = ["company_name", "employee_count", "industry", "domain", "country"]
+    order = [F.length("company_name"), F.col("company_name")]
+    # the best company of a name or a domain is the best for all organisations that hold it
+    named = best_row(usable.select(F.lower("company_name").alias("short_text"), *cols), ["short_text"], order)
+    per_name = best_row(pairs.join(named, "short_text").drop("short_text"), ["long_text"], order)
+    per_domain = best_row(usable.where("domain <> ''").select(F.col("domain").alias("_domain"), *cols), ["_domain"], order)
+    by_name = orgs.select("org_id", F.lower("org_name").alias("long_text")).join(per_name, "long_text")
+    by_domain = orgs.select("org_id", F.col("domain").alias("_domain")).join(per_domain, "_domain")
+    hits = by_name.select("org_id", *cols).unionByName(by_domain.select("org_id", *cols))
+    best = best_row(hits, ["org_id"], order)
     return best.select("org_id", F.col("company_name").alias("matched_company"), "employee_count", "industry",
                        F.col("domain").alias("company_domain"), F.col("country").alias("company_country"))
 
@@ -122,9 +126,13 @@ def contact_links(people: DataFrame, orgs: DataFrame) -> DataFrame:
     """person_key -> org_id where the organisation's name holds the contact's company name."""
     named = people.where("company_name <> ''")
     pairs = contains_pairs(orgs, "org_name", named, "company_name")
-    return named.select("person_key", F.lower("company_name").alias("short_text")).join(pairs, "short_text").join(
-        orgs.select("org_id", F.lower("org_name").alias("long_text")), "long_text").select(
-        "person_key", "org_id").distinct()
+    held = staged(pairs.join(orgs.select("org_id", F.lower("org_name").alias("long_text")).distinct(), "long_text").select("short_text", "org_id").distinct(), "held")
+    who = named.select("person_key", F.lower("company_name").alias("short_text")).distinct()
+    several = F.count(F.lit(1)).over(Window.partitionBy(F.col("person_key"))) > 1
+    who = staged(who.withColumn("several", several), "people")
+    # only a contact of several companies can reach an organisation twice
+    once = grid_join(who.where("NOT several").drop("several"), held, ["short_text"]).select("person_key", "org_id")
+    return once.unionByName(grid_join(who.where("several").drop("several"), held, ["short_text"]).select("person_key", "org_id").distinct())
 
 
 def intent_per_company(rows: DataFrame) -> DataFrame:
