@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from math import ceil
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -83,17 +86,29 @@ def rank_score(sla: Column) -> Column:
     return tidy_round(sum(WEIGHTS[k] * v for k, v in parts.items()), 4)
 
 
+def _wanted(leads: DataFrame) -> DataFrame:
+    """The kinds of leads with each of the markets they belong to."""
+    kinds = _demand(leads).select("hs_chapter", "country", F.coalesce("visibility", F.lit("")).alias("visibility")).distinct()
+    return kinds.select("*", _blocks().alias("b")).select("hs_chapter", "country", "visibility", "b.*")
+
+
+def _market_scores(leads: DataFrame, sellers: DataFrame, stats: DataFrame) -> DataFrame:
+    """(m_chapter, m_country, visibility, seller_id, rank_score): sellers of each market that leads belong to. In a market a
+    seller fits every lead alike: by its own chapter and country or by being open."""
+    markets = _wanted(leads).select("m_chapter", "m_country", "visibility").distinct()
+    pairs = markets.join(_markets(sellers.join(stats, "seller_id", "left")), ["m_chapter", "m_country"])
+    pairs = pairs.withColumns({"hs_chapter": F.col("m_chapter"), "country": F.col("m_country")})
+    return pairs.withColumn("rank_score", rank_score(lookup(SLA_HOURS, F.col("visibility"), DEFAULT_SLA))).select(
+        "m_chapter", "m_country", "visibility", "seller_id", "rank_score")
+
+
 def rank_sellers(leads: DataFrame, sellers: DataFrame, stats: DataFrame, k: int | None = None) -> DataFrame:
     """Eligible sellers ranked per kind of lead (chapter, country, visibility), best ``k`` (None: all).
 
-    The score depends on a lead only through its kind, so it is computed per kind and seller and
-    not per lead and seller; leads look their kind up.
+    The score depends on a lead only through its visibility and the market in which a seller serves it, so it is computed per
+    market and seller and not per lead and seller; leads look their kind up.
     """
-    kinds = _demand(leads).select("hs_chapter", "country", F.coalesce("visibility", F.lit("")).alias("visibility")).distinct()
-    offers = _markets(sellers.join(stats, "seller_id", "left"))
-    wanted = kinds.select("*", _blocks().alias("b")).select("hs_chapter", "country", "visibility", "b.*")
-    pairs = wanted.join(offers, ["m_chapter", "m_country"])
-    scored = pairs.withColumn("rank_score", rank_score(lookup(SLA_HOURS, F.col("visibility"), DEFAULT_SLA))).select(
+    scored = _wanted(leads).join(_market_scores(leads, sellers, stats), ["m_chapter", "m_country", "visibility"]).select(
         "hs_chapter", "country", "visibility", "seller_id", "rank_score")
     keys, order = ["hs_chapter", "country", "visibility"], [-F.col("rank_score"), F.col("seller_id")]
     if k is not None:
@@ -169,97 +184,118 @@ def _match_reason() -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.lit("open_match"))
 
 
-NO_LIMIT = 1 << 62  # a seller that still takes any lead
+SLICE, LEAST_SLICES = 1_000_000, 2  # most leads of a slice, on average; fewest slices of a priority class
 
 
-def _reach(per_lead: int):
-    """From lists sorted by kind and rank: the leads each seller is asked for, ``above < g <= limit``.
+def _serve(per_lead: int):
+    """One slice of leads served in their order, given the sellers' room at its start: (slice, g, seller).
 
-    A lead asks the first ``per_lead`` sellers of its list whose limit it meets. So a seller is asked by those that meet its limit
-    and fewer than ``per_lead`` of the limits before it: that are beyond the ``per_lead``-th largest of those. Holds as many
-    numbers as a lead has sellers.
+    A kind of lead is the markets it belongs to; its list of sellers is their merged lists, read only as far as sellers fill up.
+    Holds the leads of the slice and the sellers that are still open.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, largest = None, []
-        for batch in batches:
-            out = []
-            for own, seller, limit, room in zip(*[batch.column(c).to_pylist() for c in ("kind", "seller_id", "limit", "room")]):
-                if own != kind:
-                    kind, largest = own, []
-                above = largest[0] if len(largest) == per_lead else 0
-                if limit > above:
-                    out.append((own, seller, above, limit, room))
-                    heapq.heappush(largest, limit)
-                    if len(largest) > per_lead:
-                        heapq.heappop(largest)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["kind", "seller_id", "above", "limit", "room"])
+    def run(leads: pa.Table, offers: pa.Table) -> pa.Table:
+        leads = leads.sort_by("g")
+        offers = offers.sort_by([(c, "ascending") for c in ("list", "place", "seller")])
+        number, place = offers["list"].to_numpy(), offers["place"].to_numpy()
+        sellers, seller = np.unique(offers["seller"].to_numpy(), return_inverse=True)
+        room = np.zeros(len(sellers), "int64")
+        room[seller] = offers["room"].to_numpy()
+        room = room.tolist()
+
+        def market(one: int) -> Iterator[tuple[float, int]]:
+            begin, end = np.searchsorted(number, [one, one + 1])
+            for at in range(begin, end, 256):
+                yield from zip(place[at:min(at + 256, end)].tolist(), seller[at:min(at + 256, end)].tolist())
+
+        kinds = leads["lists"].combine_chunks().dictionary_encode()
+        state = [([], heapq.merge(*[market(int(n)) for n in name.split(",")])) for name in kinds.dictionary.to_pylist()]
+        lead, got = [], []
+        for g, kind in zip(leads["g"].to_numpy().tolist(), kinds.indices.to_numpy().tolist()):
+            if state[kind] is None:
+                continue
+            taken, rest = state[kind]
+            if not taken or any(room[s] <= 0 for s in taken) or len(taken) < per_lead:
+                taken[:] = [s for s in taken if room[s] > 0]
+                while len(taken) < per_lead and (found := next(rest, None)) is not None:
+                    if room[found[1]] > 0 and found[1] not in taken:
+                        taken.append(found[1])
+                if not taken:
+                    state[kind] = None
+                    continue
+            for s in taken:
+                room[s] -= 1
+            lead += [g] * len(taken)
+            got += taken
+        at = leads["slice"][0].as_py() if len(leads) else 0
+        return pa.table({"slice": pa.array([at] * len(lead), "int32"), "g": pa.array(lead, "int64"), "seller": pa.array(sellers[got] if got else [], "int64")})
     return run
 
 
-def _settle(turn: DataFrame, lists: DataFrame, per_lead: int) -> DataFrame:
-    """(g, lead_id, seller_id): who gets which lead of one class, where every seller has ``room`` for as many.
+def _room_before(budget: DataFrame, todo: DataFrame, used: DataFrame) -> DataFrame:
+    """(slice, seller, room): what each seller still takes at the start of each slice in ``todo``, after what the slices before used."""
+    rows = budget.crossJoin(todo)
+    before = used.select(F.col("seller").alias("_seller"), F.col("slice").alias("_slice"), F.col("class").alias("_class"), "n")
+    rows = rows.join(before, (F.col("seller") == F.col("_seller")) & (F.col("_slice") < F.col("slice")), "left").groupBy(*rows.columns).agg(
+        *[F.coalesce(F.sum(F.when(F.col("_class") == n, F.col("n"))), F.lit(0)).alias(f"u{n}") for n in range(1, len(PRIORITY_ORDER) + 1)])
+    cap, cr = F.col("cap"), F.col("cr")
+    rooms = []
+    for n, priority in enumerate(PRIORITY_ORDER, start=1):
+        cost = CREDIT_COST[priority]
+        paid = F.floor(cr / cost) if cost else F.when(cr >= 0, cap).otherwise(0)
+        rooms.append((F.col("class") == n, F.least(cap, paid).cast("long") - F.col(f"u{n}")))
+        cap, cr = cap - F.col(f"u{n}"), cr - F.col(f"u{n}") * cost
+    return rows.select("slice", "seller", choose(rooms[:-1], rooms[-1][1]).alias("room")).where("room > 0")
 
-    In rounds: every lead asks the sellers it would take at their present limits, a seller that is asked by more than it has room
-    for lowers its limit to the last one it can take. Limits only fall, and when none does the result is that of serving the
-    leads one by one in their order. A round is a few joins over all leads and sellers; the limits are written once per round.
-    """
-    limits = None
-    while True:
-        known = lists.withColumn("limit", F.lit(NO_LIMIT)) if limits is None else lists.join(limits, "seller_id", "left").withColumn(
-            "limit", F.coalesce("limit", F.lit(NO_LIMIT)))
-        reach = known.repartition("kind").sortWithinPartitions("kind", "rank").mapInArrow(
-            _reach(per_lead), "kind string, seller_id string, above long, limit long, room long")
-        asked = turn.join(reach, "kind").where("g > above AND g <= limit").select("seller_id", "g", "room", "lead_id", F.pmod("g", F.lit(16)).alias("salt"))
-        asked = staged(asked, "asked")
-        over = asked.groupBy("seller_id").agg(F.count(F.lit(1)).alias("n"), F.max("room").alias("room")).where("n > room").select("seller_id")
-        crowded = asked.join(over, "seller_id", "left_semi")
-        for by in (["seller_id", "salt"], ["seller_id"]):  # a crowded seller is thinned in parts first
-            crowded = crowded.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("g"))).where("place <= room")
-        lower = staged(crowded.where("place = room").select("seller_id", F.col("g").alias("lower")), "limits")
-        if lower.isEmpty():
-            return asked.select("g", "lead_id", "seller_id")
-        limits = lower.withColumnRenamed("lower", "limit") if limits is None else staged(limits.join(lower, "seller_id", "full").select(
-            "seller_id", F.least("limit", "lower").alias("limit")), "limits")
-
-
-def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind_of: Sequence[str], per_lead: int) -> DataFrame:
-    """Leads by priority class, score and id; each takes the first ``per_lead`` sellers of its kind's
-    list that have capacity and credits left.
-
-    Leads of one class cost the same, so within it a seller's credits are room for a number of leads, and one class is settled
-    after the other (``_settle``). Of a kind no more leads take part than its sellers have room for together.
+
+def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kind_of: Sequence[str], per_lead: int) -> DataFrame:
+    """Leads by priority class, score and id; each takes the first ``per_lead`` sellers of its markets' lists, ``offers`` by
+    ``place`` and seller_id, that have capacity and credits left. A seller that is listed twice is one seller.
+
+    The leads are cut into slices of their order, none across two classes. All slices are served at once, each from the room
+    that the slices before it left by the last round's account; a slice is settled when those before it are and have used what it
+    was told. A round settles the first open slice at least, so there are no more rounds than slices; what is settled equals
+    serving one by one. A task holds one slice and the offers of open sellers, one row per seller and market.
     """
-    budget = staged(sellers.select(
-        "seller_id", (F.col("max_leads_per_day") - F.col("leads_today")).cast("long").alias("cap"),
-        F.col("credits_available").cast("double").alias("cr")).where("cap > 0"), "budget")
-    prefs = staged(prefs.select("kind", "seller_id", "rank"), "prefs")
-    rows = _demand(leads).select(
-        "lead_id", "priority", "hs_chapter", "country", F.concat_ws("|", *[text(c) for c in kind_of]).alias("kind"),
-        _class_of(F.col("priority")).alias("class"), (-F.col("score").cast("double")).alias("s"),
-        _cost(F.col("priority")).cast("long").alias("cost"))
-    rows, done = staged(surrogate_key(rows, "g", ["class", "s", "lead_id"]), "ordered"), None
-    for number, priority in enumerate(PRIORITY_ORDER, start=1):
-        cost = CREDIT_COST[priority]
-        paid = F.floor(F.col("cr") / cost) if cost else F.when(F.col("cr") >= 0, F.col("cap")).otherwise(0)
-        lists = staged(prefs.join(budget.withColumn("room", F.least("cap", paid).cast("long")).where("room > 0").select("seller_id", "room"), "seller_id"), "lists")
-        places = lists.groupBy("kind").agg(F.sum("room").alias("places"))
-        turn = rows.where(F.col("class") == number).select("g", "lead_id", "kind", F.pmod(F.xxhash64("lead_id"), F.lit(16)).alias("salt")).join(places, "kind")
-        for by in (["kind", "salt"], ["kind"]):
-            turn = turn.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("g"))).where("n <= places")
-        turn = staged(turn.select("g", "lead_id", "kind"), "turn")
-        if turn.isEmpty():
-            continue
-        got = staged(_settle(turn, lists, per_lead).select("lead_id", "seller_id", F.lit(cost).cast("long").alias("cost")), "served")
-        done = got if done is None else done.unionByName(got)
-        used = got.groupBy("seller_id").agg(F.count(F.lit(1)).alias("u"))
-        budget = staged(budget.join(used, "seller_id", "left").select(
-            "seller_id", (F.col("cap") - F.coalesce("u", F.lit(0))).alias("cap"),
-            (F.col("cr") - F.coalesce("u", F.lit(0)) * cost).alias("cr")), "budget")
+    spark, market = leads.sparkSession, [c for c in offers.columns if c not in ("seller_id", "place")]
+    budget = sellers.groupBy("seller_id").agg(F.max((F.col("max_leads_per_day") - F.col("leads_today")).cast("long")).alias("cap"),
+                                              F.max(F.col("credits_available").cast("double")).alias("cr"))
+    budget = staged(surrogate_key(budget.where("cap > 0 AND seller_id IS NOT NULL"), "seller", ["seller_id"]), "budget")
+    lists = staged(surrogate_key(offers.select(*market).distinct(), "list", market), "lists")
+    offers = staged(offers.join(lists, market).join(budget.select("seller_id", "seller"), "seller_id").groupBy("list", "seller").agg(
+        F.min("place").alias("place")), "offers")
+    rows = _demand(leads).withColumn("visibility", text("visibility")).select(
+        "lead_id", "priority", *dict.fromkeys(("hs_chapter", "country", *kind_of)), _class_of(F.col("priority")).alias("class"),
+        (-F.col("score").cast("double")).alias("s"))
+    rows = staged(surrogate_key(rows, "g", ["class", "s", "lead_id"]), "ordered")
+    kinds = rows.select(*kind_of).distinct().select("*", _blocks().alias("b")).select(*kind_of, "b.*").join(lists, market).groupBy(
+        *kind_of).agg(F.concat_ws(",", F.array_sort(F.collect_list("list")).cast("array<string>")).alias("lists"))
+
+    slices, cut = [], F.lit(0)
+    for c, first, n in sorted(rows.groupBy("class").agg(F.min("g"), F.count(F.lit(1))).collect()):  # one row per class
+        parts = max(LEAST_SLICES, ceil(n / SLICE))
+        cut = F.when(F.col("class") == c, len(slices) + F.floor((F.col("g") - first) * parts / n)).otherwise(cut)
+        slices += [(len(slices) + p, c) for p in range(parts)]
+    turn = staged(rows.join(kinds, list(kind_of)).select(cut.cast("int").alias("slice"), "g", "lists"), "turn")
+    classes = F.broadcast(staged(spark.createDataFrame(slices, "slice int, class int"), "slices"))  # one row per slice
+    used = staged(classes.where("1 = 0").select("slice", F.lit(0).cast("long").alias("seller"), "class", F.lit(0).cast("long").alias("n")), "used")
+    done, settled = [], -1
+    while settled + 1 < len(slices):
+        left, later = len(slices) - settled - 1, F.col("slice") > settled
+        open_now = _room_before(budget, classes.where(later), used).join(offers, "seller")
+        served = staged(turn.where(later).repartition(left, "slice").groupBy("slice").cogroup(
+            open_now.repartition(left, "slice").groupBy("slice")).applyInArrow(_serve(per_lead), "slice int, g long, seller long"), "served")
+        now = served.groupBy("slice", "seller").agg(F.count(F.lit(1)).alias("n")).join(classes, "slice").select("slice", "seller", "class", "n")
+        now = staged(used.where(~later).unionByName(now), "used")
+        other = used.where(later).join(now.where(later).withColumnRenamed("n", "m"), ["slice", "seller"], "full").where("NOT n <=> m")
+        changed = other.agg(F.min("slice")).first()[0]
+        done.append(served if changed is None else served.where(F.col("slice") <= changed))
+        settled, used = len(slices) - 1 if changed is None else changed, now
+
+    done = reduce(DataFrame.unionByName, done, rows.where("1 = 0").select(F.lit(0).alias("slice"), "g", F.col("g").alias("seller")))
     out = rows.select("lead_id", "hs_chapter", "country", "priority")
-    if done is None:
-        done = out.where("1 = 0").select("lead_id", F.lit("").alias("seller_id"), F.lit(0).cast("long").alias("cost"))
-    out = out.join(done, "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
+    got = done.join(rows.select("g", "lead_id", "priority"), "g").join(budget.select("seller", "seller_id"), "seller").select(
+        "lead_id", "seller_id", _cost(F.col("priority")).cast("long").alias("cost"))
+    out = out.join(got, "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
     return out.select(F.concat(F.lit("sla:"), "seller_id", F.lit(":"), "lead_id").alias("assignment_id"), "seller_id",
                       "lead_id", "priority", _match_reason().alias("match_reason"), F.col("cost").alias("credits_cost"))
 
@@ -267,21 +303,15 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, prefs: DataFrame, kind
 def assign_exclusive(leads: DataFrame, sellers: DataFrame, stats: DataFrame) -> DataFrame:
     """As ``assign_leads``, but a lead goes to one seller only: its best-ranked one with room."""
     live = sellers.where("active")
-    prefs = rank_sellers(leads, live, stats, k=None).select(
-        F.concat_ws("|", "hs_chapter", "country", "visibility").alias("kind"), "seller_id", "rank")
-    return _assign_in_turn(leads, live, prefs, ("hs_chapter", "country", "visibility"), 1)
+    offers = _market_scores(leads, live, stats).select("m_chapter", "m_country", "visibility", "seller_id", (-F.col("rank_score")).alias("place"))
+    return _assign_in_turn(leads, live, offers, ("hs_chapter", "country", "visibility"), 1)
 
 
 def assign_switch_leads(leads: DataFrame, sellers: DataFrame, cfg: Distribution = Distribution()) -> DataFrame:
     """As ``assign_leads`` over switch leads: at most three sellers per lead, in seller_id order."""
     live = sellers.where("active")
-    kinds = _demand(leads).select("hs_chapter", "country").distinct()
-    offers = _markets(live).select("m_chapter", "m_country", "seller_id")
-    prefs = kinds.select("*", _blocks().alias("b")).select("hs_chapter", "country", "b.*").join(
-        offers, ["m_chapter", "m_country"]).select(
-        F.concat_ws("|", "hs_chapter", "country").alias("kind"), "seller_id").distinct().withColumn(
-        "rank", F.row_number().over(Window.partitionBy("kind").orderBy("seller_id")))
-    return _assign_in_turn(leads, live, prefs, ("hs_chapter", "country"), cfg.switch_leads_per_lead)
+    offers = _markets(live).select("m_chapter", "m_country", "seller_id", F.lit(0.0).alias("place"))
+    return _assign_in_turn(leads, live, offers, ("hs_chapter", "country"), cfg.switch_leads_per_lead)
 
 
 def reset_daily_counts(sellers: DataFrame, as_of) -> DataFrame:

@@ -166,6 +166,31 @@ def test_exclusive_assignment_equals_the_plain_loop(spark, seed):
     assert sellers.assign_exclusive(lead_df.where("1 = 0"), seller_df, stats).count() == 0
 
 
+def queue(spark, n_leads, n_sellers, room):
+    """Every seller serves every lead and is soon full, so each lead may be passed on along the whole list."""
+    leads = [(f"L{i:03d}", ("high", "low")[i % 2], i % 7, "6802", "us", "feed") for i in range(n_leads)]
+    people = [(f"S{i:02d}", None, None, room, 0, 4.0, True) for i in range(n_sellers)]
+    return leads, people, spark.createDataFrame(leads, "lead_id string, priority string, score int, hs_code string, buyer_country string, visibility string"), \
+        spark.createDataFrame(people, "seller_id string, hs_chapters array<string>, target_countries array<string>, max_leads_per_day int, leads_today int, credits_available double, active boolean")
+
+
+@pytest.fixture
+def served_slices(monkeypatch):
+    """Rounds of an assignment, in slices of 20 leads."""
+    rounds, serve = [], sellers._serve
+    monkeypatch.setattr(sellers, "SLICE", 20)
+    monkeypatch.setattr(sellers, "_serve", lambda per_lead: rounds.append(per_lead) or serve(per_lead))
+    return rounds
+
+
+def test_exclusive_assignment_takes_no_more_rounds_than_slices(spark, served_slices):
+    leads, people, lead_df, seller_df = queue(spark, 60, 30, 2)
+    stats = spark.createDataFrame([], "seller_id string, total_assigned int, win_rate double, avg_response_h double")
+    got = {(r.seller_id, r.lead_id) for r in sellers.assign_exclusive(lead_df, seller_df, stats).collect()}
+    assert got == one_by_one(leads, people, lambda _: people, 1) and len(got) == 60
+    assert len(served_slices) <= 4
+
+
 def test_distributed_leads_are_not_handed_out_again(spark):
     leads, people, lead_df, seller_df = market(spark, 3)
     lead_df = lead_df.withColumns({"seller_visible": F.lit(True), "distribution_status": F.lit(None).cast("string"), "lead_type": F.lit("t")})
