@@ -191,6 +191,13 @@ def test_exclusive_assignment_takes_no_more_rounds_than_slices(spark, served_sli
     assert len(served_slices) <= 4
 
 
+def test_switch_assignment_takes_no_more_rounds_than_slices(spark, served_slices):
+    leads, people, lead_df, seller_df = queue(spark, 60, 30, 3)
+    got = {(r.seller_id, r.lead_id) for r in sellers.assign_switch_leads(lead_df, seller_df).collect()}
+    assert got == one_by_one(leads, people, lambda _: people, 3) and len(got) == 90
+    assert len(served_slices) <= 4
+
+
 def test_distributed_leads_are_not_handed_out_again(spark):
     leads, people, lead_df, seller_df = market(spark, 3)
     lead_df = lead_df.withColumns({"seller_visible": F.lit(True), "distribution_status": F.lit(None).cast("string"), "lead_type": F.lit("t")})
