@@ -78,11 +78,11 @@ def surrogate_key(rows: DataFrame, name: str, order: Sequence[str], existing: Da
 
     No window over the whole table: rows are range-partitioned by the order, written once with
     their partition number (so a retry cannot move a row), counted per partition, and numbered
-    inside the partition after the sum of the counts before it.
+    inside the partition after the sum of the counts before it. Without ``partitions`` Spark joins
+    neighbouring small ranges, so a small table is not written as many tiny files.
     """
-    spark = rows.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = staged(rows.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "ranges")
+    placed = rows.repartitionByRange(*([partitions] if partitions else []), *order)
+    placed = staged(placed.withColumn("_p", F.spark_partition_id()), "ranges")
     counts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
     if existing is not None:
         counts = counts.unionByName(existing.agg(F.coalesce(F.max(name), F.lit(0)).cast("long").alias("n")).select(

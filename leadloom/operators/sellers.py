@@ -184,7 +184,7 @@ def _match_reason() -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.lit("open_match"))
 
 
-SLICE, LEAST_SLICES = 1_000_000, 2  # most leads of a slice, on average; fewest slices of a priority class
+SLICE = 1_000_000  # most leads of a slice, on average
 
 
 def _serve(per_lead: int):
@@ -231,9 +231,9 @@ def _serve(per_lead: int):
     return run
 
 
-def _room_before(budget: DataFrame, todo: DataFrame, used: DataFrame) -> DataFrame:
+def _room_before(budget: DataFrame, todo: Column, class_of: Column, used: DataFrame) -> DataFrame:
     """(slice, seller, room): what each seller still takes at the start of each slice in ``todo``, after what the slices before used."""
-    rows = budget.crossJoin(todo)
+    rows = budget.withColumn("slice", F.explode(todo)).withColumn("class", class_of)
     before = used.select(F.col("seller").alias("_seller"), F.col("slice").alias("_slice"), F.col("class").alias("_class"), "n")
     rows = rows.join(before, (F.col("seller") == F.col("_seller")) & (F.col("_slice") < F.col("slice")), "left").groupBy(*rows.columns).agg(
         *[F.coalesce(F.sum(F.when(F.col("_class") == n, F.col("n"))), F.lit(0)).alias(f"u{n}") for n in range(1, len(PRIORITY_ORDER) + 1)])
@@ -256,7 +256,7 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kin
     was told. A round settles the first open slice at least, so there are no more rounds than slices; what is settled equals
     serving one by one. A task holds one slice and the offers of open sellers, one row per seller and market.
     """
-    spark, market = leads.sparkSession, [c for c in offers.columns if c not in ("seller_id", "place")]
+    market = [c for c in offers.columns if c not in ("seller_id", "place")]
     budget = sellers.groupBy("seller_id").agg(F.max((F.col("max_leads_per_day") - F.col("leads_today")).cast("long")).alias("cap"),
                                               F.max(F.col("credits_available").cast("double")).alias("cr"))
     budget = staged(surrogate_key(budget.where("cap > 0 AND seller_id IS NOT NULL"), "seller", ["seller_id"]), "budget")
@@ -272,22 +272,26 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kin
 
     slices, cut = [], F.lit(0)
     for c, first, n in sorted(rows.groupBy("class").agg(F.min("g"), F.count(F.lit(1))).collect()):  # one row per class
-        parts = max(LEAST_SLICES, ceil(n / SLICE))
+        parts = ceil(n / SLICE)
         cut = F.when(F.col("class") == c, len(slices) + F.floor((F.col("g") - first) * parts / n)).otherwise(cut)
-        slices += [(len(slices) + p, c) for p in range(parts)]
+        slices += [c] * parts  # the class of each slice
     turn = staged(rows.join(kinds, list(kind_of)).select(cut.cast("int").alias("slice"), "g", "lists"), "turn")
-    classes = F.broadcast(staged(spark.createDataFrame(slices, "slice int, class int"), "slices"))  # one row per slice
-    used = staged(classes.where("1 = 0").select("slice", F.lit(0).cast("long").alias("seller"), "class", F.lit(0).cast("long").alias("n")), "used")
+    class_of = F.element_at(F.array(*[F.lit(c) for c in slices]), F.col("slice") + 1)
+    used = budget.where("1 = 0").select(F.lit(0).alias("slice"), "seller", F.lit(0).alias("class"), F.lit(0).cast("long").alias("n"))
     done, settled = [], -1
     while settled + 1 < len(slices):
         left, later = len(slices) - settled - 1, F.col("slice") > settled
-        open_now = _room_before(budget, classes.where(later), used).join(offers, "seller")
+        todo = F.array(*[F.lit(n) for n in range(settled + 1, len(slices))])
+        open_now = _room_before(budget, todo, class_of, used).join(offers, "seller")
         served = staged(turn.where(later).repartition(left, "slice").groupBy("slice").cogroup(
             open_now.repartition(left, "slice").groupBy("slice")).applyInArrow(_serve(per_lead), "slice int, g long, seller long"), "served")
-        now = served.groupBy("slice", "seller").agg(F.count(F.lit(1)).alias("n")).join(classes, "slice").select("slice", "seller", "class", "n")
+        if left == 1:  # nothing after it depends on its account
+            done.append(served)
+            break
+        now = served.groupBy("slice", "seller").agg(F.count(F.lit(1)).alias("n")).withColumn("class", class_of)
         now = staged(used.where(~later).unionByName(now), "used")
-        other = used.where(later).join(now.where(later).withColumnRenamed("n", "m"), ["slice", "seller"], "full").where("NOT n <=> m")
-        changed = other.agg(F.min("slice")).first()[0]
+        told = used.where(later).withColumn("n", -F.col("n")).unionByName(now.where(later))
+        changed = told.groupBy("slice", "seller").agg(F.sum("n").alias("n")).where("n <> 0").agg(F.min("slice")).first()[0]
         done.append(served if changed is None else served.where(F.col("slice") <= changed))
         settled, used = len(slices) - 1 if changed is None else changed, now
 

@@ -198,6 +198,21 @@ def test_switch_assignment_takes_no_more_rounds_than_slices(spark, served_slices
     assert len(served_slices) <= 4
 
 
+def test_small_switch_assignment_takes_a_round_per_class_and_few_files(spark, served_slices, monkeypatch):
+    monkeypatch.setattr(sellers, "SLICE", 1000)
+    leads, people, lead_df, seller_df = queue(spark, 60, 30, 3)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        got = sellers.assign_switch_leads(lead_df, seller_df)
+        assert {(r.seller_id, r.lead_id) for r in got.collect()} == one_by_one(leads, people, lambda _: people, 3)
+        keyed = merge.surrogate_key(spark.range(500).select(F.col("id").alias("v")), "k", ["v"])
+        assert [tuple(r) for r in keyed.orderBy("v").select("k", "v").collect()] == [(v + 1, v) for v in range(500)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len(served_slices) == 2 and len(keyed.inputFiles()) < 50
+
+
 def test_distributed_leads_are_not_handed_out_again(spark):
     leads, people, lead_df, seller_df = market(spark, 3)
     lead_df = lead_df.withColumns({"seller_visible": F.lit(True), "distribution_status": F.lit(None).cast("string"), "lead_type": F.lit("t")})
