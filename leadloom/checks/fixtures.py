@@ -183,3 +183,5 @@ FIXTURES: dict[str, str] = {
         SELECT c.c_name AS company_name, v.text AS content, '2024-01-' || CAST(10 + v.turn % 20 AS STRING) AS news_date
         FROM {conversations} AS v JOIN {customer} AS c ON c.c_custkey = v.conv_id % 120 + 1""",
 }
+# contacts under their company's whole name, not its first 17 characters
+FIXTURES["named_contact_rows"] = FIXTURES["contact_rows"].replace("substring(c_name, 1, 17)", "c_name")

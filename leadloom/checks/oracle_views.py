@@ -1,5 +1,6 @@
 """DuckDB statements for views and streams (streams must equal the batch answer over the same events)."""
 
+from leadloom.checks.oracle_trade import TRADE
 from leadloom.checks.sqltext import rnd, values_table, words
 
 # Fixed values, written here again so that a wrong one in an operator shows: weights of clicks, health states, buying titles.
@@ -88,9 +89,10 @@ VIEWS: dict[str, str] = {
         FROM {{switch_leads_matched}} AS s LEFT JOIN {{score_opportunities}} AS o ON o.opportunity_id = s.opportunity_id LEFT JOIN {{trade_relationships}} AS r ON r.rel_id = o.rel_id
         LEFT JOIN {{health_status}} AS h ON h.rel_id = o.rel_id LEFT JOIN (SELECT * FROM {_chapters}) AS c ON c.ch = substr(s.hs_code, 1, 2)
         QUALIFY row_number() OVER (PARTITION BY s.buyer_id ORDER BY s.final_lead_score DESC, s.lead_id DESC) = 1""",
+    "named_contacts": TRADE["contacts"].replace("{contact_rows}", "{named_contact_rows}"),
     "decision_makers": f"""
         WITH x AS (SELECT DISTINCT s.company_name AS company FROM {{company_search}} AS s),
-        m AS (SELECT x.company, c.person_key, c.title, c.email, {words('c.title', _TITLES)} AS is_maker FROM x JOIN {{contacts}} AS c ON contains(lower(c.company_name), lower(x.company))),
+        m AS (SELECT x.company, c.person_key, c.title, c.email, {words('c.title', _TITLES)} AS is_maker FROM x JOIN {{named_contacts}} AS c ON contains(lower(c.company_name), lower(x.company))),
         n AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY CASE WHEN is_maker THEN 0 ELSE 1 END, person_key) AS rank, bool_or(is_maker) OVER (PARTITION BY company) AS any_maker FROM m)
         SELECT company, person_key, title, email, is_maker, rank FROM n WHERE rank <= 5 AND (CASE WHEN any_maker THEN is_maker ELSE rank <= 3 END)""",
     "lead_summary": "SELECT (SELECT count(*) FROM {switch_leads_matched}) AS total_switch_leads, (SELECT count(*) FROM {trade_relationships}) AS trade_relationships_monitored, (SELECT count(*) FROM {switch_opportunities}) AS stressed_relationships",

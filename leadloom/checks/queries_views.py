@@ -13,6 +13,7 @@ from leadloom.checks.queries_sellers import facts
 from leadloom.checks.queries_trade import plan
 from leadloom.checks.registry import Registry
 from leadloom.operators import behavior as b
+from leadloom.operators import enrich
 from leadloom.operators import views as v
 from leadloom.session import shared_dir
 from leadloom.streaming import events as ev
@@ -166,5 +167,5 @@ def register(r: Registry) -> None:
 
 
 def _people(i):
-    from leadloom.plans.trade import OrgPlan
-    return OrgPlan(i).people
+    """Contacts under their company's whole name, where ``contacts`` has its first 17 characters."""
+    return enrich.contacts(i.named_contact_rows)

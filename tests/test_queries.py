@@ -45,3 +45,12 @@ def test_entry_runs(spark):
 
 def test_every_sql_has_its_query():
     assert set(app.oracle_sql()) <= set(app.queries())
+
+
+def test_decision_makers_has_contacts_of_whole_names(spark, tmp_path):
+    spark.createDataFrame([(n, f"Customer#{n:09d}", "AUTO", 1) for n in range(2, 9)],
+                          "c_custkey int, c_name string, c_mktsegment string, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    got = {(r.company, r.person_key) for r in app.queries()["decision_makers"](spark, str(tmp_path)).collect()}
+    own = {(f"Customer#{n:09d}", f"m{n}@x.example") for n in (2, 4, 6, 8)}  # the cut name of 7 is in all of them too
+    assert {g for g in got if len(g[0]) == 18 and g[1].startswith("m")} == own
+    assert {g[1] for g in got if len(g[0]) == 17} == {"m4@x.example", "m8@x.example", "zi:Customer#000000005"}  # buyers by their titles
