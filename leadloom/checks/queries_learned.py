@@ -44,7 +44,7 @@ def contributions(i):
 
 def trained_importances(i):
     """What the training run keeps with the classifier, read from the store."""
-    model, _ = trained(i, 10, boosted=False)
+    model, _ = trained(i, 10, boosted=False, depth=4)
     store = ModelStore(i.spark, f"{shared_dir(i.spark).rstrip('/')}/store/{uuid.uuid4().hex}")
     if model is not None:  # too few positive rows to train on
         store.publish("switch_classifier", model, AS_OF_TRADE, {"importances": dict(feature_importances(model))})
@@ -52,7 +52,7 @@ def trained_importances(i):
 
 
 def forest_fallback(i):
-    model, rows = trained(i, 10, boosted=False)
+    model, rows = trained(i, 10, boosted=False, depth=4)
     return models.switch_probability(model, rows)
 
 

@@ -16,20 +16,20 @@ def forest(i):
     return m.anomaly_forest(h.series_features(plan(i).snapshots))
 
 
-def trained(i, trees: int, boosted: bool = True):
+def trained(i, trees: int = 200, boosted: bool = True, depth: int = 6):
     t = plan(i)
     rows = staged(m.training_rows(t.features, t.rules.select(
         "rel_id", F.col("rule_status").alias("health_status"), F.lit(0.0).alias("anomaly_score"))), "training")
-    return m.fit_switch_classifier(rows, trees=trees, depth=4, boosted=boosted), rows
+    return m.fit_switch_classifier(rows, trees=trees, depth=depth, boosted=boosted), rows
 
 
 def classified(i):
-    model, rows = trained(i, 10)
+    model, rows = trained(i)
     return m.switch_probability(model, rows)
 
 
 def explained(i):
-    model, rows = trained(i, 5)
+    model, rows = trained(i, 5, depth=4)
     return m.score_explanations(model, rows, top=5)
 
 
