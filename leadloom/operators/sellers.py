@@ -94,9 +94,9 @@ def _wanted(leads: DataFrame) -> DataFrame:
 
 def _market_scores(leads: DataFrame, sellers: DataFrame, stats: DataFrame) -> DataFrame:
     """(m_chapter, m_country, visibility, seller_id, rank_score): sellers of each market that leads belong to. In a market a
-    seller fits every lead alike: by its own chapter and country or by being open."""
+    seller fits every lead alike: by its own chapter and country or by being open. Markets are of closed lists, sellers are not."""
     markets = _wanted(leads).select("m_chapter", "m_country", "visibility").distinct()
-    pairs = markets.join(_markets(sellers.join(stats, "seller_id", "left")), ["m_chapter", "m_country"])
+    pairs = F.broadcast(markets).join(_markets(sellers.join(stats, "seller_id", "left")), ["m_chapter", "m_country"])
     pairs = pairs.withColumns({"hs_chapter": F.col("m_chapter"), "country": F.col("m_country")})
     return pairs.withColumn("rank_score", rank_score(lookup(SLA_HOURS, F.col("visibility"), DEFAULT_SLA))).select(
         "m_chapter", "m_country", "visibility", "seller_id", "rank_score")
@@ -233,10 +233,12 @@ def _serve(per_lead: int):
 
 def _room_before(budget: DataFrame, todo: Column, class_of: Column, used: DataFrame) -> DataFrame:
     """(slice, seller, room): what each seller still takes at the start of each slice in ``todo``, after what the slices before used."""
-    rows = budget.withColumn("slice", F.explode(todo)).withColumn("class", class_of)
-    before = used.select(F.col("seller").alias("_seller"), F.col("slice").alias("_slice"), F.col("class").alias("_class"), "n")
-    rows = rows.join(before, (F.col("seller") == F.col("_seller")) & (F.col("_slice") < F.col("slice")), "left").groupBy(*rows.columns).agg(
-        *[F.coalesce(F.sum(F.when(F.col("_class") == n, F.col("n"))), F.lit(0)).alias(f"u{n}") for n in range(1, len(PRIORITY_ORDER) + 1)])
+    asked = budget.select("seller", F.explode(todo).alias("slice"), "cap", "cr", F.lit(0).cast("long").alias("n"))
+    gone = used.select("seller", "slice", *[F.lit(None).cast(budget.schema[c].dataType).alias(c) for c in ("cap", "cr")], "n")
+    before = Window.partitionBy("seller").orderBy("slice").rangeBetween(Window.unboundedPreceding, -1)
+    rows = asked.unionByName(gone).withColumn("class", class_of)
+    rows = rows.withColumns({f"u{n}": F.coalesce(F.sum(F.when(F.col("class") == n, F.col("n"))).over(before), F.lit(0))
+                             for n in range(1, len(PRIORITY_ORDER) + 1)}).where("cap IS NOT NULL")
     cap, cr = F.col("cap"), F.col("cr")
     rooms = []
     for n, priority in enumerate(PRIORITY_ORDER, start=1):
@@ -254,14 +256,15 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kin
     The leads are cut into slices of their order, none across two classes. All slices are served at once, each from the room
     that the slices before it left by the last round's account; a slice is settled when those before it are and have used what it
     was told. A round settles the first open slice at least, so there are no more rounds than slices; what is settled equals
-    serving one by one. A task holds one slice and the offers of open sellers, one row per seller and market.
+    serving one by one. A task holds one slice and the offers of open sellers, one row per seller and market. Tables that grow
+    with the sellers or the leads are merged, as their files are far smaller than they are in the driver's memory.
     """
     market = [c for c in offers.columns if c not in ("seller_id", "place")]
     budget = sellers.groupBy("seller_id").agg(F.max((F.col("max_leads_per_day") - F.col("leads_today")).cast("long")).alias("cap"),
                                               F.max(F.col("credits_available").cast("double")).alias("cr"))
     budget = staged(surrogate_key(budget.where("cap > 0 AND seller_id IS NOT NULL"), "seller", ["seller_id"]), "budget")
     lists = staged(surrogate_key(offers.select(*market).distinct(), "list", market), "lists")
-    offers = staged(offers.join(lists, market).join(budget.select("seller_id", "seller"), "seller_id").groupBy("list", "seller").agg(
+    offers = staged(offers.join(lists, market).join(budget.select("seller_id", "seller").hint("merge"), "seller_id").groupBy("list", "seller").agg(
         F.min("place").alias("place")), "offers")
     rows = _demand(leads).withColumn("visibility", text("visibility")).select(
         "lead_id", "priority", *dict.fromkeys(("hs_chapter", "country", *kind_of)), _class_of(F.col("priority")).alias("class"),
@@ -282,7 +285,7 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kin
     while settled + 1 < len(slices):
         left, later = len(slices) - settled - 1, F.col("slice") > settled
         todo = F.array(*[F.lit(n) for n in range(settled + 1, len(slices))])
-        open_now = _room_before(budget, todo, class_of, used).join(offers, "seller")
+        open_now = _room_before(budget, todo, class_of, used).join(offers.hint("merge"), "seller")
         served = staged(turn.where(later).repartition(left, "slice").groupBy("slice").cogroup(
             open_now.repartition(left, "slice").groupBy("slice")).applyInArrow(_serve(per_lead), "slice int, g long, seller long"), "served")
         if left == 1:  # nothing after it depends on its account
@@ -297,9 +300,9 @@ def _assign_in_turn(leads: DataFrame, sellers: DataFrame, offers: DataFrame, kin
 
     done = reduce(DataFrame.unionByName, done, rows.where("1 = 0").select(F.lit(0).alias("slice"), "g", F.col("g").alias("seller")))
     out = rows.select("lead_id", "hs_chapter", "country", "priority")
-    got = done.join(rows.select("g", "lead_id", "priority"), "g").join(budget.select("seller", "seller_id"), "seller").select(
-        "lead_id", "seller_id", _cost(F.col("priority")).cast("long").alias("cost"))
-    out = out.join(got, "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries"), "seller_id")
+    got = done.hint("merge").join(rows.select("g", "lead_id", "priority"), "g").join(
+        budget.select("seller", "seller_id").hint("merge"), "seller").select("lead_id", "seller_id", _cost(F.col("priority")).cast("long").alias("cost"))
+    out = out.join(got.hint("merge"), "lead_id").join(sellers.select("seller_id", "hs_chapters", "target_countries").hint("merge"), "seller_id")
     return out.select(F.concat(F.lit("sla:"), "seller_id", F.lit(":"), "lead_id").alias("assignment_id"), "seller_id",
                       "lead_id", "priority", _match_reason().alias("match_reason"), F.col("cost").alias("credits_cost"))
 

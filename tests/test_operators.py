@@ -191,6 +191,21 @@ def test_exclusive_assignment_takes_no_more_rounds_than_slices(spark, served_sli
     assert len(served_slices) <= 4
 
 
+def test_assignment_sends_no_table_of_sellers_to_the_driver(spark, served_slices, monkeypatch):
+    _, _, lead_df, seller_df = queue(spark, 60, 30, 2)
+    stats = spark.createDataFrame([], "seller_id string, total_assigned int, win_rate double, avg_response_h double")
+    plans, staged = {}, sellers.staged
+
+    def kept(rows, name):
+        plans.setdefault(name, rows._jdf.queryExecution().sparkPlan().toString())
+        return staged(rows, name)
+    monkeypatch.setattr(sellers, "staged", kept)
+    out = sellers.assign_exclusive(lead_df, seller_df, stats)._jdf.queryExecution().sparkPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plans["served"]
+    for plan in (plans["served"], out):
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+
+
 def test_switch_assignment_takes_no_more_rounds_than_slices(spark, served_slices):
     leads, people, lead_df, seller_df = queue(spark, 60, 30, 3)
     got = {(r.seller_id, r.lead_id) for r in sellers.assign_switch_leads(lead_df, seller_df).collect()}
