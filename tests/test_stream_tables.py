@@ -158,3 +158,45 @@ def test_messages_through_a_stream(spark, tmp_path):
     assert got["u1"]["behavioral_score"] == 51 and got["u1"]["event_type"] == "buyer_profile.score_updated" and got["u1"]["org_id"] is None
     with pytest.raises(KeyError):
         ms.messages(frame, "kg.other", AS_OF)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(n).getName() for n in range(files.size()) if files.apply(n).getName().startswith("shuffle_")}
+
+
+def test_a_written_version_leaves_no_shuffle_files(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "id long, n long", ["id"])
+    before = shuffle_files(spark)
+    table.upsert(spark.range(500).withColumn("n", F.col("id") % 7), parts=3)
+    assert not shuffle_files(spark) - before
+    table.upsert(spark.range(490, 510).withColumn("n", F.lit(9).cast("long")))
+    assert rows(table.read()) == sorted([(n, n % 7 if n < 490 else 9) for n in range(510)], key=repr)
+
+
+def test_repeats_are_found_in_parts_and_no_copy_is_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "PART", 1)
+    asked, write = [], VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, some, number, parts=1: asked.append(parts) or write(self, some, number, parts))
+    seen = st.seen_table(spark, str(tmp_path / "seen"))
+
+    def batch(*numbers):
+        return spark.createDataFrame([(f"k{n}", dt.datetime(2024, 1, 1), n) for n in numbers], "event_key string, _polled_at timestamp, n int")
+    assert rows(st.fresh_rows(seen, batch(*range(40), 3, 3), 0).select("n")) == rows(batch(*range(40)).select("n"))
+    assert rows(st.fresh_rows(seen, batch(*range(30, 50)), 1).select("n")) == rows(batch(*range(40, 50)).select("n"))
+    assert rows(st.fresh_rows(seen, batch(*range(30, 50)), 1).select("n")) == rows(batch(*range(40, 50)).select("n"))  # again after a failure
+    assert asked == [16, 16] and seen.read().count() == 50
+    assert not [p for p in (tmp_path / "seen" / "dealt").iterdir() if p.name.startswith("_bucket=")]
+    st.forget_arrived(seen)
+    assert not (tmp_path / "seen" / "arrived").exists()
+
+
+def test_landed_lines_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    from leadloom.checks import queries_views
+    monkeypatch.setattr(queries_views, "LINES", 10)
+    made = spark.range(95).select(F.format_string("k%d", "id").alias("event_key"), (F.col("id") / 3).alias("value"))
+    queries_views.land(made, str(tmp_path / "in"), {}, parts=3)
+    files = [p for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
+    assert all(p.name.endswith(".gz") for p in files)
+    assert all(spark.read.text(str(p)).count() <= 10 for p in files)
+    assert rows(spark.read.schema("event_key string, value double").json(str(tmp_path / "in"))) == rows(made)
