@@ -195,7 +195,7 @@ def test_landed_lines_are_packed_and_bounded(spark, tmp_path, monkeypatch):
     from leadloom.checks import queries_views
     monkeypatch.setattr(queries_views, "LINES", 10)
     made = spark.range(95).select(F.format_string("k%d", "id").alias("event_key"), (F.col("id") / 3).alias("value"))
-    queries_views.land(made, str(tmp_path / "in"), {}, parts=3)
+    queries_views.land_packed(made, str(tmp_path / "in"), {}, 3)
     files = [p for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
     assert all(p.name.endswith(".gz") for p in files)
     assert all(spark.read.text(str(p)).count() <= 10 for p in files)
